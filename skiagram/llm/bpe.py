@@ -93,7 +93,7 @@ class RankCodec:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        return self.pieces.encode(texts)
+        return [ids.tobytes() for ids in self.pieces.encode_array(pa.array(texts, pa.string()))]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.entries.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -114,8 +114,8 @@ def encode_column(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for part, _, _ in chunks(batches, "_text", 1 << 21):
-            ids = own.encode_batch([x or "" for x in part.column(1).to_pylist()])
+        for part, _, _ in chunks(batches, "_text", 1 << 23):
+            ids = [x.tobytes() for x in own.pieces.encode_array(part.column(1))]
             arrays = [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()), pa.array([hashlib.sha256(own.decode(x)).hexdigest() for x in ids], pa.string())]
             names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
             yield pa.RecordBatch.from_arrays(arrays + [pa.array(ids, pa.binary())] * with_ids, names + ["ids"] * with_ids)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skiagram.llm.pretokens import PieceIds
-from skiagram.llm.shared import as_bytes, chunks, shared_dir
+from skiagram.llm.shared import chunks, shared_dir
 
 # Fixed values of the public zstandard seekable format.
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEKABLE_MAGIC, CHECKSUM_FLAG = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -64,7 +64,7 @@ def is_byte_level(path: str) -> bool:
 
 
 def by_lines(many):
-    """``many`` for pieces without white space but a leading space: one call for many of them, as lines of one text.
+    """``many`` for pieces that are a space and something else: one call for many of them, as lines of one text.
 
     A line break before a piece is a token of its own and no piece holds one, so its id tells where each piece ends.
     """
@@ -72,7 +72,7 @@ def by_lines(many):
 
     def encode(pieces: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(pieces)
-        plain = [k for k, p in enumerate(pieces) if p and p != " " and len(p.split()) == 1 and not p[1:2].isspace() and not p[-1].isspace() and (p[0] == " " or not p[0].isspace())]
+        plain = [k for k, p in enumerate(pieces) if p[:1] == " " and "\n" not in p and not p[-1].isspace() and not p[1].isspace()]
         groups = [plain[a : a + 512] for a in range(0, len(plain), 512)]
         texts = ["\n".join([pieces[k] for k in own]) + "\n" for own in groups]
         for own, raw in zip(groups, many(texts) if texts else [], strict=True):
@@ -88,6 +88,20 @@ def by_lines(many):
     return encode
 
 
+def encoder(path: str):
+    """The tokenizer and a function from a string column to the ids of each text; kept, with its memo, as long as the worker."""
+    from tokenizers import Tokenizer
+
+    if path not in _ENCODERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        many = lambda texts: [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        whole = lambda texts: [np.frombuffer(x, "<u4") for x in many(texts.fill_null("").to_pylist())]
+        _ENCODERS[path] = tokenizer, PieceIds(by_lines(many), 1_000_000).encode_array if is_byte_level(path) else whole
+    return _ENCODERS[path]
+
+
 class FrameWriter:
     """Writes one file; ``close`` publishes it under its name, so a task that dies leaves no half file there."""
 
@@ -160,28 +174,20 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     """
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = docs.select("doc_id", as_bytes("text").alias("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    dealt = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        if tokenizer_path not in _ENCODERS:
-            tokenizer = Tokenizer.from_file(tokenizer_path)
-            tokenizer.encode_special_tokens = True
-            many = lambda texts: [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            _ENCODERS[tokenizer_path] = tokenizer, PieceIds(by_lines(many), 1_000_000).encode if is_byte_level(tokenizer_path) else many
-        tokenizer, encode_texts = _ENCODERS[tokenizer_path]
+        tokenizer, encode_texts = encoder(tokenizer_path)
         width = 2 if max(tokenizer.get_vocab_size(), end_id or 0) <= 1 << 16 else 4
         part = TaskContext.get().partitionId()
         file, writer = f"{folder}/part-{part:06d}.ids", None
         tail = np.array([] if end_id is None else [end_id], np.uint32)
-        for batch, _, _ in chunks(batches, "text", 1 << 21):
+        for batch, _, _ in chunks(batches, "text", 1 << 23):
             writer = writer or FrameWriter(file, width)
-            texts = [x.decode("utf-8", "replace") for x in batch.column(1).to_pylist()]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode_texts(texts), strict=True):
-                writer.add(doc_id, np.concatenate([np.frombuffer(ids, "<u4"), tail]))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode_texts(batch.column(1)), strict=True):
+                writer.add(doc_id, np.append(ids, tail))
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pylist([{"part": part, "file": file, "n_docs": len(writer.index), "n_tokens": writer.n_tokens}], pa.schema([("part", pa.int64()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
@@ -215,14 +221,15 @@ def read_token_files(manifest: DataFrame, columns: str = OUT) -> DataFrame:
 def token_starts(manifest: DataFrame, rows: DataFrame) -> DataFrame:
     """Adds ``start``: ids of all documents in earlier files and before it in its own.
 
-    The manifest has one row for each file (one for each write task), so its prefix sums are taken on the driver.
+    The manifest has one row for each file (one for each write task), so its prefix sums are taken on the driver
+    and sent back: two numbers for each file.
     """
     before, total = [], 0
     for part, n in sorted((r.part, r.n_tokens) for r in manifest.select("part", "n_tokens").collect()):
         before.append((part, total))
         total += n
     base = manifest.sparkSession.createDataFrame(before, "part long, base long")
-    return rows.join(base, "part").withColumn("start", F.col("base") + F.col("start_in_part"))
+    return rows.join(F.broadcast(base), "part").withColumn("start", F.col("base") + F.col("start_in_part"))
 
 
 def encode_and_read(docs: DataFrame, tokenizer_path: str, end_id: int | None) -> DataFrame:
