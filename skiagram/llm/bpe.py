@@ -114,7 +114,7 @@ def encode_column(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for part, _, _ in chunks(batches, "_text", 1 << 23):
+        for part, _, _ in chunks(batches, "_text", 1 << 22):
             ids = [x.tobytes() for x in own.pieces.encode_array(part.column(1))]
             arrays = [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()), pa.array([hashlib.sha256(own.decode(x)).hexdigest() for x in ids], pa.string())]
             names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]

@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from skiagram.llm.shared import TO_LOWER, U64, as_bytes, bounded_sample, chunks, held_out, mix, prefix_hash, span_hash, words
 
 MOST, BITS = 20_000, 22
+#: Features of fewer training texts could not outweigh the L1 term; they are left out of the fit.
+LEAST_TEXTS = 3
 ALPHA, BETA, L1, L2, EPOCHS = 3.0, 1.0, 5.0, 0.01, 6
 _TRIM = np.zeros(256, bool)
 _TRIM[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
@@ -52,11 +54,11 @@ class Ftrl:
     """FTRL-proximal for logistic loss; coordinate ``2^bits`` is the bias."""
 
     def __init__(self, bits: int = BITS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2) -> None:
-        self.z, self.n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
+        self.z, self.n = np.zeros((1 << bits) + 1, np.float32), np.zeros((1 << bits) + 1, np.float32)
         self.alpha, self.beta, self.l1, self.l2, self.bias = alpha, beta, l1, l2, 1 << bits
 
     def weights(self, i: np.ndarray) -> np.ndarray:
-        z, n = self.z[i], self.n[i]
+        z, n = self.z[i].astype(np.float64), self.n[i].astype(np.float64)
         l1 = np.where(i == self.bias, 0, self.l1)
         return np.where(np.abs(z) <= l1, 0, (np.sign(z) * l1 - z) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2))
 
@@ -64,7 +66,7 @@ class Ftrl:
         i = np.append(i, self.bias)
         w = self.weights(i)
         g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
-        n = self.n[i]
+        n = self.n[i].astype(np.float64)
         self.z[i] += g - (np.sqrt(n + g * g) - np.sqrt(n)) / self.alpha * w
         self.n[i] = n + g * g
 
@@ -75,20 +77,35 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     chosen = bounded_sample(known, "doc_id", most, "toxicity")
     rows = chosen.join(docs.select("doc_id", as_bytes("text").alias("text")), "doc_id").select("doc_id", "label", "text")
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: list[tuple[np.ndarray, int]] = []
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, at in chunks(batches, "text"):
-            seen += zip((f.astype(np.int32) for f in features(data, at)), part.column(1).to_pylist(), strict=True)
-        if seen:
+            found = [f.astype(np.int32) for f in features(data, at)]
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))], ["doc_id", "label", "f"])
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, ends, label = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], []
+        for batch in batches:
+            at = batch.column(2).offsets.to_numpy().astype(np.int64)
+            flat.append(batch.column(2).values.to_numpy()[at[0] : at[-1]].copy())
+            ends.append(at[1:] - at[0] + ends[-1][-1])
+            label += batch.column(1).to_pylist()
+        if label:
+            seen, ends = np.concatenate(flat), np.concatenate(ends)
+            del flat
+            often = (np.bincount(seen, minlength=1 << BITS) >= LEAST_TEXTS)[seen]
+            ends = np.concatenate([[0], np.cumsum(often)])[ends]
+            seen = seen[often]
             model = Ftrl()
             for epoch in range(epochs):
-                for k in np.random.default_rng(epoch).permutation(len(seen)).tolist():
-                    model.learn(seen[k][0].astype(np.int64), int(seen[k][1] == 1))
+                for k in np.random.default_rng(epoch).permutation(len(label)).tolist():
+                    model.learn(seen[ends[k] : ends[k + 1]].astype(np.int64), int(label[k] == 1))
             i = np.append(np.flatnonzero(np.abs(model.z[:-1]) > model.l1), model.bias)
             yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(model.weights(i))], ["i", "w"])
 
     # the sample is bounded, so one task may hold its features
-    got = rows.repartition(1).sortWithinPartitions("doc_id").mapInArrow(fit, "i long, w double").toPandas().sort_values("i")
+    sample = rows.mapInArrow(extract, "doc_id long, label int, f array<int>").repartition(1).sortWithinPartitions("doc_id")
+    got = sample.mapInArrow(fit, "i long, w double").toPandas().sort_values("i")
     return got["i"].to_numpy(np.int64), got["w"].to_numpy(np.float64)
 
 
