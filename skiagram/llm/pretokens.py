@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KEPT, LONGEST = 250_000, 64
+KEPT, LONGEST = 150_000, 64
 #: A single space between characters that are not white space is where a text may be cut.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 _SPACE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"

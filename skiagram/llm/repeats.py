@@ -105,7 +105,7 @@ def anchor_rows(rows: DataFrame, gram: int, min_len: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, tuple[int, int]] = {}  # contexts found twice in a chunk of this task: their earliest place
-        for part, data, at in chunks(batches, "text"):
+        for part, data, at in chunks(batches, "text", 1 << 19):
             sums = prefix_hash(data)
             place, h, owner = anchors(at, sums, gram, min_len)
             doc, base = part.column(0).to_numpy(), part.column(2).to_numpy()
@@ -248,7 +248,8 @@ def maximal_repeats(data: np.ndarray, at: np.ndarray, group: np.ndarray, min_len
     words = -(-tail // 8)
     padded = np.concatenate([data, np.zeros(8 * words + min_len, np.uint8)])
     reach = np.arange(8 * words)
-    follow = np.where(reach < rest[:, None], padded[(start + min_len)[:, None] + reach], 0).astype(np.uint8) if words else np.zeros((len(start), 0), np.uint8)
+    follow = np.lib.stride_tricks.sliding_window_view(padded, 8 * words)[start + min_len] if words else np.zeros((len(start), 0), np.uint8)
+    follow[reach >= rest[:, None]] = 0
     keys = follow.view(">u8") if words else np.zeros((len(start), 0), np.int64)
     array = np.lexsort((start, rest, *(keys[:, k] for k in range(words - 1, -1, -1)), head))
     start, head, rest, follow = start[array], head[array], rest[array], follow[array]
@@ -276,7 +277,7 @@ def unequal_contexts(rows: DataFrame, min_len: int) -> DataFrame:
     """Spans of all but the first occurrence of each maximal repeat among the contexts of an anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, 1 << 13):
+        for table in whole_groups(batches, 1 << 12):
             table = table.combine_chunks()
             anchor, doc, begin = (table.column(k).to_numpy() for k in range(3))
             data, at = flat(table.column(3))

@@ -6,6 +6,8 @@ shingles and windows are found and hashed for the whole chunk at once, so there
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -86,16 +88,26 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[at[0] : at[-1]], at - at[0]
 
 
+def tidy() -> None:
+    """Hand memory that a task no longer uses back to the machine: workers live on and run other stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches of about ``most`` bytes of ``column``, never splitting a row."""
-    for batch in batches:
-        _, at = flat(batch.column(batch.schema.get_field_index(column)))
-        row = 0
-        while row < batch.num_rows:
-            end = max(row + 1, int(np.searchsorted(at, at[row] + most, "right")) - 1)
-            part = batch.slice(row, min(end, batch.num_rows) - row)
-            yield part, *flat(part.column(part.schema.get_field_index(column)))
-            row += part.num_rows
+    try:
+        for batch in batches:
+            _, at = flat(batch.column(batch.schema.get_field_index(column)))
+            row = 0
+            while row < batch.num_rows:
+                end = max(row + 1, int(np.searchsorted(at, at[row] + most, "right")) - 1)
+                part = batch.slice(row, min(end, batch.num_rows) - row)
+                yield part, *flat(part.column(part.schema.get_field_index(column)))
+                row += part.num_rows
+    finally:
+        tidy()
 
 
 # --------------------------------------------------------------------------------------------------------------- hashing

@@ -78,7 +78,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     rows = chosen.join(docs.select("doc_id", as_bytes("text").alias("text")), "doc_id").select("doc_id", "label", "text")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, at in chunks(batches, "text"):
+        for part, data, at in chunks(batches, "text", 1 << 19):
             found = [f.astype(np.int32) for f in features(data, at)]
             ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))], ["doc_id", "label", "f"])
@@ -121,7 +121,7 @@ def scored(docs: DataFrame, index: np.ndarray, weight: np.ndarray, keep: list[st
         table = np.zeros((1 << BITS) + 1, np.float32)
         table[index] = weight
         bias = float(table[-1])
-        for part, data, at in chunks(batches, "_bytes"):
+        for part, data, at in chunks(batches, "_bytes", 1 << 19):
             s = np.array([bias + float(table[f].sum()) for f in features(data, at)])
             p = 1 / (1 + np.exp(-np.clip(s, -35, 35))) if len(index) else np.zeros(len(s))
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(p)], [*part.schema.names[:-1], "score"])
