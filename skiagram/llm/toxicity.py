@@ -110,11 +110,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
 
 
 def scored(docs: DataFrame, index: np.ndarray, weight: np.ndarray, keep: list[str] | None = None) -> DataFrame:
-    """doc_id, held_out, score, predicted - or, with ``keep``, these columns of ``docs`` and score."""
+    """The kept columns of ``docs`` (doc_id alone without ``keep``) and ``_toxicity``, the probability of label 1."""
     broadcast = docs.sparkSession.sparkContext.broadcast((index, weight))
     columns = [c for c in keep or ["doc_id"]]
     rows = docs.select(*columns, as_bytes("text").alias("_bytes"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", score double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", _toxicity double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, weight = broadcast.value
@@ -124,16 +124,16 @@ def scored(docs: DataFrame, index: np.ndarray, weight: np.ndarray, keep: list[st
         for part, data, at in chunks(batches, "_bytes", 1 << 19):
             s = np.array([bias + float(table[f].sum()) for f in features(data, at)])
             p = 1 / (1 + np.exp(-np.clip(s, -35, 35))) if len(index) else np.zeros(len(s))
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(p)], [*part.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(p)], [*part.schema.names[:-1], "_toxicity"])
 
     return rows.mapInArrow(run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST) -> DataFrame:
     out = scored(docs, *train(docs, labels, most=most))
-    return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("_toxicity").alias("score"), (F.col("_toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, most: int = MOST) -> DataFrame:
     """The rows of ``docs`` with a score below 0.5, columns unchanged."""
-    return scored(docs, *train(docs, labels, most=most), keep=docs.columns).filter(F.col("score") < 0.5).select(*docs.columns)
+    return scored(docs, *train(docs, labels, most=most), keep=docs.columns).filter(F.col("_toxicity") < 0.5).select(*docs.columns)
