@@ -82,7 +82,11 @@ def ecd_bin_index(x: Column, edges: tuple[float, ...] = ECD_EDGES) -> Column:
 
 
 def ecd_bin(x: Column, edges: tuple[float, ...] = ECD_EDGES) -> Column:
-    return F.element_at(F.array(*map(F.lit, bin_labels(edges))), ecd_bin_index(x, edges) + 1)
+    index, names = ecd_bin_index(x, edges), bin_labels(edges)
+    out = F.when(index == 0, names[0])
+    for k, name in enumerate(names[1:], 1):
+        out = out.when(index == k, name)
+    return out
 
 
 def active_flags(names: tuple[str, ...] = FLAGS) -> Column:
