@@ -1 +1,3 @@
 """Particle analytics on Spark."""
+
+__version__ = "0.1.0"
