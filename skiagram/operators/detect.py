@@ -87,3 +87,26 @@ def manifest(found: DataFrame, cfg: Config) -> DataFrame:
 
 def errors(found: DataFrame) -> DataFrame:
     return found.filter("status = 'error'").select(*schema.ERRORS.names)
+
+
+def drawn(keys: DataFrame, cfg: Config) -> DataFrame:
+    """A synthetic frame a key, drawn and measured in one pass: one particle each, of a size and place that follow the key."""
+    shape = "key long, n_objects long, area_px double, true_area_px double, edge_width_px double, contrast double, touches_border boolean"
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import math
+
+        from skiagram.kernel import frame, synthetic
+
+        for b in batches:
+            rows = []
+            for key in b.column(0).to_pylist():
+                a, ratio = 8 + key % 9, 1 - (key % 4) / 8
+                image = synthetic.frame(64, 64, [synthetic.Disc("ellipse", 28 + key % 7, 30 + key % 5, a, a * ratio, key % 3)])
+                got = frame.particles(image, None, 1.0, cfg)[0]
+                first = got[0] if got else dict.fromkeys(("area_px", "edge_width_px", "contrast", "touches_border"))
+                rows.append((key, len(got), first["area_px"], math.pi * a * a * ratio, first["edge_width_px"], first["contrast"], first["touches_border"]))
+            names = [f.split()[0] for f in shape.split(", ")]
+            yield pa.RecordBatch.from_pydict({n: [r[i] for r in rows] for i, n in enumerate(names)})
+
+    return keys.select(keys.columns[0]).mapInArrow(work, shape)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skiagram.config import Config, load_config
 from skiagram.functions import gate, identity, rings
-from skiagram.operators import aggregate, resume, sampling
+from skiagram.operators import aggregate, detect, polygons, resume, sampling, schema
 from skiagram.plans import adapters as A
 
 QUERIES: dict = {}
@@ -264,3 +264,36 @@ def tile_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     edge = lambda k: (k % 8).isin(0, 7) | F.floor(k / 8).isin(0, 7)
     marks = F.transform("p", lambda v, k: F.struct((v < F.col("level")).alias("on"), edge(k).alias("edge")))
     return rows.withColumn("marks", marks).select("vec_id", F.round("level", 6).alias("level"), F.size(F.filter("marks", lambda m: m["on"])).cast("long").alias("n_foreground"), F.size(F.filter("marks", lambda m: m["on"] & m["edge"])).cast("long").alias("n_border"))
+
+
+ARC = "sums AS (SELECT *, sqrt((nx - x) * (nx - x) + (ny - y) * (ny - y)) AS s, coalesce(sum(sqrt((nx - x) * (nx - x) + (ny - y) * (ny - y))) OVER (PARTITION BY vec_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS t FROM edges), arc AS (SELECT *, sum(s) OVER (PARTITION BY vec_id) AS whole FROM sums)"
+
+
+@query(f"WITH {RG}, {ARC}, w AS (SELECT DISTINCT vec_id, i, whole * i / 48.0::DOUBLE AS want FROM arc, range(48) r(i)), p AS (SELECT w.vec_id, i, x + (want - t) / s * (nx - x) AS x, y + (want - t) / s * (ny - y) AS y, row_number() OVER (PARTITION BY w.vec_id, i ORDER BY k DESC) AS rn FROM w JOIN arc a ON w.vec_id = a.vec_id AND a.t <= w.want) SELECT vec_id, i, round(x, 4) AS x, round(y, 4) AS y FROM p WHERE rn = 1")
+def boundary_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(polygons.per_ring(A.rings(spark, sf_dir), "vec_id", polygons.resampled(48), schema.of(i=schema.LONG, x=schema.REAL, y=schema.REAL)))
+
+
+@query(f"WITH {RG}, {ARC}, h AS (SELECT vec_id, h, whole / (2 * pi() * pi() * h * h) * sum((nx - x) / s * (cos(2 * pi() * h * (t + s) / whole) - cos(2 * pi() * h * t / whole))) AS a, whole / (2 * pi() * pi() * h * h) * sum((nx - x) / s * (sin(2 * pi() * h * (t + s) / whole) - sin(2 * pi() * h * t / whole))) AS b, whole / (2 * pi() * pi() * h * h) * sum((ny - y) / s * (cos(2 * pi() * h * (t + s) / whole) - cos(2 * pi() * h * t / whole))) AS c, whole / (2 * pi() * pi() * h * h) * sum((ny - y) / s * (sin(2 * pi() * h * (t + s) / whole) - sin(2 * pi() * h * t / whole))) AS d FROM arc, range(1, 16) r(h) GROUP BY vec_id, h, whole), p AS (SELECT vec_id, h, a * a + b * b + c * c + d * d AS power FROM h), q AS (SELECT *, sum(power) OVER (PARTITION BY vec_id ORDER BY h) AS run, sum(power) OVER (PARTITION BY vec_id) AS whole FROM p) SELECT vec_id, round(max(whole), 2) AS power, CAST(count(*) FILTER (WHERE run < 0.9 * whole) + 1 AS BIGINT) AS cum_90, CAST(count(*) FILTER (WHERE run < 0.999 * whole) + 1 AS BIGINT) AS cum_999 FROM q GROUP BY vec_id")
+def efd_power_cum90(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(polygons.per_ring(A.rings(spark, sf_dir), "vec_id", polygons.harmonic_power(15), schema.of(power=schema.REAL, cum_90=schema.LONG, cum_999=schema.LONG)), 2)
+
+
+NEXT = "(PARTITION BY vec_id ORDER BY k)"
+CENTRAL = "coalesce(lead({v}) OVER w, first_value({v}) OVER w) - coalesce(lag({v}) OVER w, last_value({v}) OVER (PARTITION BY vec_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"
+
+
+@query(f"WITH {RG}, d1 AS (SELECT vec_id, k, ({CENTRAL.format(v='x')}) / 2 AS dx, ({CENTRAL.format(v='y')}) / 2 AS dy FROM points WINDOW w AS {NEXT}), d2 AS (SELECT *, ({CENTRAL.format(v='dx')}) / 2 AS ddx, ({CENTRAL.format(v='dy')}) / 2 AS ddy FROM d1 WINDOW w AS {NEXT}), c AS (SELECT vec_id, (dx * ddy - dy * ddx) / pow(dx * dx + dy * dy, 1.5) AS v FROM d2), b AS (SELECT vec_id, least(CAST(floor((v - min(v) OVER p) / (max(v) OVER p - min(v) OVER p) * 32) AS INTEGER), 31) AS bin FROM c WINDOW p AS (PARTITION BY vec_id)), n AS (SELECT vec_id, bin, count(*) / 64.0::DOUBLE AS share FROM b GROUP BY ALL) SELECT vec_id, round(-sum(share * ln(share)) / ln(32), 4) AS entropy FROM n GROUP BY vec_id")
+def curvature_entropy_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(polygons.per_ring(A.rings(spark, sf_dir), "vec_id", polygons.turning_entropy(32), schema.of(entropy=schema.REAL)))
+
+
+@query(f"WITH {RG}, pairs AS (SELECT a.vec_id, a.k AS i, b.k AS j, a.x AS ax, a.y AS ay, (b.x - a.x) / sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) AS ex, (b.y - a.y) / sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) AS ey FROM points a JOIN points b ON a.vec_id = b.vec_id AND a.k <> b.k), o AS (SELECT p.vec_id, i, j, min(ex * (c.y - ay) - ey * (c.x - ax)) AS low, max(ex * (c.y - ay) - ey * (c.x - ax)) AS high FROM pairs p JOIN points c ON p.vec_id = c.vec_id GROUP BY ALL) SELECT vec_id, round(min(high), 4) AS feret_min_px FROM o WHERE low >= -1e-9 GROUP BY vec_id")
+def feret_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(polygons.per_ring(A.rings(spark, sf_dir), "vec_id", polygons.narrowest, schema.of(feret_min_px=schema.REAL)))
+
+
+@query()
+def detect_synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frame kernel over a frame a supplier, drawn in the worker: an ellipse whose size and place follow the key."""
+    return detect.drawn(spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey"), Config())
