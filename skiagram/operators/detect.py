@@ -41,7 +41,16 @@ def processed(row: dict, cfg: Config) -> dict:
     return out | {"seconds": time.perf_counter() - began}
 
 
-def results(frames: DataFrame, cfg: Config, *, partitions: int | None = None) -> DataFrame:
+def spread(rows: DataFrame, key: str, per_task: int = 64) -> DataFrame:
+    """Rows that are small but dear, dealt out by key to tasks of about per_task rows, and to every core when there are few.
+
+    The number of partitions is given: adaptive execution would put millions of paths, being few bytes, into one task.
+    """
+    n = rows.count()
+    return rows.repartition(max(1, min(n, max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-n // per_task)))), key)
+
+
+def results(frames: DataFrame, cfg: Config) -> DataFrame:
     """One row a frame.  Frames are spread by id: a frame costs about a second, so its path is worth a shuffle."""
     shape = schema.results(cfg.measure.efd_order)
     arrow = to_arrow_schema(shape)
@@ -51,9 +60,7 @@ def results(frames: DataFrame, cfg: Config, *, partitions: int | None = None) ->
             for row in batch.to_pylist():
                 yield pa.RecordBatch.from_pylist([processed(row, cfg)], schema=arrow)
 
-    rows = frames.select(*INPUT)
-    spread = rows.repartition(partitions, "frame_id") if partitions else rows.repartition("frame_id")
-    return spread.mapInArrow(work, shape)
+    return spread(frames.select(*INPUT), "frame_id").mapInArrow(work, shape)
 
 
 def grains(found: DataFrame, cfg: Config) -> DataFrame:
@@ -109,4 +116,4 @@ def drawn(keys: DataFrame, cfg: Config) -> DataFrame:
             names = [f.split()[0] for f in shape.split(", ")]
             yield pa.RecordBatch.from_pydict({n: [r[i] for r in rows] for i, n in enumerate(names)})
 
-    return keys.select(keys.columns[0]).mapInArrow(work, shape)
+    return spread(keys.select(keys.columns[0]), keys.columns[0]).mapInArrow(work, shape)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from skiagram.config import Config
 from skiagram.functions import gate
 from skiagram.functions.identity import stem
+from skiagram.operators.detect import spread
 
 LEAST_HALF_PX, LABELLED_MOST = 20, 50
 
@@ -121,7 +122,7 @@ def overlays(drawn: DataFrame, out: str, factor: int = 1) -> DataFrame:
                     path, error = None, f"{type(e).__name__}: {e}"
                 yield pa.RecordBatch.from_pylist([{"frame_id": r["frame_id"], "png": path, "error": error}], schema=pa.schema([("frame_id", pa.string()), ("png", pa.string()), ("error", pa.string())]))
 
-    return drawn.mapInArrow(draw, "frame_id string, png string, error string")
+    return spread(drawn, "frame_id").mapInArrow(draw, "frame_id string, png string, error string")
 
 
 def store(path: str, data: bytes) -> None:
@@ -147,7 +148,7 @@ def shrunk_frames(listing: DataFrame, out: str, factor: int) -> DataFrame:
                 store(target, encode_png(small) if path.lower().endswith(".png") else encode_bmp(small))
                 yield pa.RecordBatch.from_pydict({"path": [target], "rows": [small.shape[0]], "cols": [small.shape[1]]})
 
-    return listing.select("frame_path").mapInArrow(shrink, "path string, rows long, cols long")
+    return spread(listing.select("frame_path"), "frame_path").mapInArrow(shrink, "path string, rows long, cols long")
 
 
 def with_predictions(grains: DataFrame, cfg: Config) -> DataFrame:
