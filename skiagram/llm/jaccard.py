@@ -252,7 +252,10 @@ def scan_lists(rows: DataFrame, rule: Rule) -> DataFrame:
                 found = []
             last = int(np.searchsorted(m[:, 0], m[-1, 0]))
             if last:
-                found += close(np.concatenate([*held, m[:last]]))
+                tail = int(np.searchsorted(m[:last, 0], hub[0], "right")) if hub and hub[0] == m[0, 0] else 0
+                found += [(hub[1], int(i)) for i in m[:tail, 1]]  # the end of a list too long to hold
+                if held or tail < last:
+                    found += close(np.concatenate([*held, m[tail:last]]))
                 held, hub = [], None
             rest = m[last:]
             if hub and hub[0] == rest[0, 0]:

@@ -59,6 +59,23 @@ def test_jaccard_components(docs, size, num, den):
     assert {tuple(r) for r in jaccard.components(docs, size, num, den).collect()} == components(corpus(), size, num, den)
 
 
+def test_the_end_of_a_long_list_stays_with_its_first_member(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LIST_ROWS", 4)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(size)
+    rows = [(-1, d, 5, 5) for d in range(10)] + [(k, 100 + k, k, k) for k in range(60)]
+    for batch in (1, 3, 4, 7):
+        spark.conf.set(size, batch)
+        try:
+            links = jaccard.scan_lists(spark.createDataFrame(rows, "key long, doc_id long, s0 long, s1 long"), jaccard.Rule(3, 90, 100)).collect()
+        finally:
+            spark.conf.set(size, was)
+        label = {d: d for d in range(10)}
+        for a, b in links:
+            label = {d: label[a] if x == label[b] else x for d, x in label.items()}
+        assert len(set(label.values())) == 1
+
+
 def test_repeats(docs):
     rows, seen, want = corpus(), {}, {}
     for d, t, *_ in rows:
