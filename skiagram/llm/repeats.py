@@ -86,17 +86,19 @@ def merged(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.nda
 
 
 def text_number(docs: DataFrame, doc: str, text: str):
-    """Offset of rows that share an id but not a text; 0 for all if no id comes twice, which spares a window."""
+    """Offset of rows that share an id but not a text, and whether a row is the first of its equals; 0 and true for all if no id comes twice, which spares a window."""
     total, ids, null = docs.agg(F.count("*"), F.count_distinct("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
     if total == ids + min(null, 1):
-        return F.lit(0).cast("long")
-    return ((F.dense_rank().over(Window.partitionBy(doc).orderBy(text)) - 1) * F.lit(ROOM)).cast("long")
+        return F.lit(0).cast("long"), F.lit(True)
+    w = Window.partitionBy(doc).orderBy(text)
+    return ((F.dense_rank().over(w) - 1) * F.lit(ROOM)).cast("long"), ~F.lag(text).over(w).eqNullSafe(F.col(text))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """doc (id, null as the least long), text as bytes and base, the offset of rows that share an id but not a text."""
+    """doc (id, null as the least long), text as bytes, base, the offset of rows that share an id but not a text, and first, false for all but one of equal rows."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), as_bytes("text").alias("text"))
-    return rows.withColumn("base", text_number(docs, "doc", "text"))
+    base, first = text_number(docs, "doc", "text")
+    return rows.withColumns({"base": base, "first": first})
 
 
 def anchor_rows(rows: DataFrame, gram: int, min_len: int) -> DataFrame:
@@ -120,7 +122,7 @@ def anchor_rows(rows: DataFrame, gram: int, min_len: int) -> DataFrame:
             if known:
                 seen = np.flatnonzero(np.isin(context, np.fromiter(known, np.int64, len(known))) & ~settled)
                 for k in seen.tolist():
-                    if known[int(context[k])] <= (int(own[k]), int(pos[k])):
+                    if known[int(context[k])] < (int(own[k]), int(pos[k])):
                         settled[k] = True
             for k in twice.tolist():
                 spot = int(own[k]), int(pos[k])
@@ -308,7 +310,8 @@ def unequal_contexts(rows: DataFrame, min_len: int) -> DataFrame:
 
 
 def repeated_spans(rows: DataFrame, min_len: int, gram: int) -> DataFrame:
-    """(doc, start, stop) of what goes; spans of a document may overlap."""
+    """(doc, start, stop) of what goes; spans of a document may overlap.  Of equal rows one is read: no place comes twice."""
+    rows = rows.filter("first")
     found = staged(equal_contexts(anchor_rows(rows, gram, min_len), min_len))
     ends = staged(unequal_contexts(contexts(rows, found.filter("anchor is not null")), min_len))
     return found.filter("anchor is null").select("doc", "start", "stop").unionByName(ends)
@@ -362,7 +365,7 @@ def without_repeats(docs: DataFrame, min_len: int = MIN_LEN) -> DataFrame:
 
     cut = with_spans(rows, min_len).filter("spans is not null").mapInArrow(run, "doc long, base long, kept string").dropDuplicates(["doc", "base"])
     own = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn("_bytes", as_bytes("text"))
-    own = own.withColumn("_base", text_number(docs, "_doc", "_bytes"))
+    own = own.withColumn("_base", text_number(docs, "_doc", "_bytes")[0])
     out = own.join(cut.select(F.col("doc").alias("_doc"), F.col("base").alias("_base"), "kept"), ["_doc", "_base"], "left")
     text = F.when(F.col("text").isNotNull(), F.coalesce("kept", F.col("text")))
     made = {"text": text} | ({"n_chars": F.when(F.col("kept").isNotNull(), F.length("kept")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})

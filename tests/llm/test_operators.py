@@ -92,6 +92,18 @@ def test_repeats(docs):
     assert repeats.without_repeats(docs).columns == docs.columns
 
 
+def test_equal_rows_are_no_repeats_of_each_other(spark):
+    rng = random.Random(8)
+    one, two, three = ("".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(3))
+    rows = [(1, one), (1, one), (2, two), (2, three), (2, two), (3, one[50:250]), (None, three), (None, three), (4, two[:150] + "x")]
+    for parts in (1, 3):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in repeats.digests(docs).collect())
+        assert got == [(0, 300, 0), (0, 300, 0), (1, 300, 0), (1, 300, 0), (2, 300, 0), (2, 300, 0), (2, 300, 300), (3, 200, 200), (4, 151, 150)]
+        kept = sorted((r.doc_id or 0, r.text) for r in repeats.without_repeats(docs).collect())
+        assert kept == sorted([(0, three), (0, three), (1, one), (1, one), (2, ""), (2, two), (2, two), (3, ""), (4, "x")])
+
+
 def test_maximal_intervals_list_all_occurrences():
     assert repeats.maximal_intervals([3, 3, 1], [1, 2, 3, 4]) == [(0, 2, 3), (0, 3, 1)]
     assert repeats.maximal_intervals([3], [7, 7]) == []
