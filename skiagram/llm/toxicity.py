@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 from skiagram.llm.shared import TO_LOWER, U64, as_bytes, bounded_sample, chunks, held_out, mix, prefix_hash, span_hash, words
 
 MOST, BITS = 20_000, 22
-#: Features of fewer training texts could not outweigh the L1 term; they are left out of the fit.
-LEAST_TEXTS = 3
 ALPHA, BETA, L1, L2, EPOCHS = 3.0, 1.0, 5.0, 0.01, 6
 _TRIM = np.zeros(256, bool)
 _TRIM[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
@@ -84,22 +82,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))], ["doc_id", "label", "f"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, ends, label = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], []
+        own, label = [], []
         for batch in batches:
-            at = batch.column(2).offsets.to_numpy().astype(np.int64)
-            flat.append(batch.column(2).values.to_numpy()[at[0] : at[-1]].copy())
-            ends.append(at[1:] - at[0] + ends[-1][-1])
-            label += batch.column(1).to_pylist()
+            if batch.num_rows:
+                at = batch.column(2).offsets.to_numpy()
+                own += np.split(batch.column(2).values.to_numpy()[at[0] : at[-1]].copy(), at[1:-1] - at[0])
+                label += batch.column(1).to_pylist()
         if label:
-            seen, ends = np.concatenate(flat), np.concatenate(ends)
-            del flat
-            often = (np.bincount(seen, minlength=1 << BITS) >= LEAST_TEXTS)[seen]
-            ends = np.concatenate([[0], np.cumsum(often)])[ends]
-            seen = seen[often]
             model = Ftrl()
             for epoch in range(epochs):
                 for k in np.random.default_rng(epoch).permutation(len(label)).tolist():
-                    model.learn(seen[ends[k] : ends[k + 1]].astype(np.int64), int(label[k] == 1))
+                    model.learn(own[k].astype(np.int64), int(label[k] == 1))
             i = np.append(np.flatnonzero(np.abs(model.z[:-1]) > model.l1), model.bias)
             yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(model.weights(i))], ["i", "w"])
 

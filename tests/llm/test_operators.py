@@ -202,6 +202,17 @@ def test_mixing_keeps_rows_and_stays_within_a_block(spark):
         assert np.abs(done - share / 100 * np.arange(1, 101)).max() < 1
 
 
+def test_words_of_two_toxic_texts_count(spark):
+    rng = random.Random(4)
+    plain = [" ".join(rng.choice("abcdefgh") for _ in range(20)) for _ in range(300)]
+    toxic = [k for k in range(300) if zlib.crc32(str(k).encode()) % 5][10:30:10]
+    rows = [(k, f"{t} zork" if k in toxic else t) for k, t in enumerate(plain)]
+    labels = spark.createDataFrame([(k, int(k in toxic)) for k in range(300)], "doc_id long, toxic int")
+    index, weight = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    zork = next(toxicity.features(np.frombuffer(b"zork", np.uint8), np.array([0, 4])))
+    assert weight[np.searchsorted(index, zork[0])] > 0 and zork[0] in index
+
+
 def test_models_handle_odd_rows_and_empty_tables(spark, docs, empty):
     labels = spark.createDataFrame([(k, k % 2, int(k % 7 == 0)) for k in range(100)] + [(101, None, None)], "doc_id long, quality int, toxic int")
     n = docs.count()
