@@ -1,13 +1,16 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame operations only.
 
-A source is cut, in id order, into blocks of ``block`` documents; a block takes one slot.  A source of target weight c / W
-(c whole, the c of all sources sum to the period W) may start its i-th block (from 1) from slot floor((i - 1) * W / c) on and
-must have it done by slot ceil(i * W / c).  Earliest-deadline-first over the released blocks meets every deadline on one
-machine of full utilisation, which keeps each source within less than one block of weight x slots at every moment.
-
-Windows repeat each W slots, so one period of the schedule, W entries made from the weights alone, gives every slot in closed
-form: block j of a source sits in slot (j div c) * W + slot(source, j mod c).  A source that has run out leaves its slots
-empty; its documents are all placed by then and the others go on in deadline order.  No row is dropped or repeated.
+A source is cut, in id order, into blocks of ``block`` documents; a block takes one slot.  A source of target weight w (the
+weights sum to 1) may start its i-th block (from 1) from slot floor((i - 1) / w) on and must have it done by slot ceil(i / w).
+Earliest-deadline-first over the released blocks meets every deadline on one machine of full utilisation, which keeps each
+source within less than one block of weight x slots at every moment.
+
+The schedule is made from the weights alone, as far as the last block of the table needs; it stops earlier and repeats after
+``period`` slots if all weights are whole numbers of slots there, or after ``MOST_SLOTS`` (or the slots that the smallest weight
+needs), where the rounding adds less than one block to the deviation for each repetition.  So block j of a source of c blocks in
+L slots sits in slot (j div c) * L + slot(source, j mod c).  A source that has run out leaves its slots empty; its documents are
+all placed by then and the others go on in deadline order.  No row is dropped or repeated; weights that leave out a source of
+the table are an error.
 
 Ranks within a source come from ranks in ranges of ids plus the sizes of the ranges before, so a source that holds a third of
 all rows is numbered by many tasks.  Null sources form a source of their own, null ids come first, equal ids are ordered
@@ -17,44 +20,66 @@ by the tie columns (rows equal in all of them are interchangeable).  An empty ta
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ID_RANGE = 4096
-SCHEDULE = "_source string, _turn int, _slot int, _share int"
+#: Slots of a schedule that the driver makes at most, and the fineness of the weights in it.
+MOST_SLOTS, FINE = 1 << 20, 1 << 60
 
 
 def shares(weights: dict[str | None, float], period: int) -> dict[str | None, int]:
-    """Whole shares of a period, at least one each, by largest remainder; ties go to the smaller name."""
+    """Whole shares of a period by largest remainder; ties go to the smaller name.  A weight too small for one is an error."""
     names = sorted((s for s, w in weights.items() if w > 0), key=lambda s: (s is not None, s or ""))
-    if len(names) > period:
-        raise ValueError("the period is shorter than the number of sources")
-    total, spare = sum(weights[s] for s in names), period - len(names)
-    exact = {s: weights[s] / total * spare for s in names}
-    out = {s: 1 + int(exact[s]) for s in names}
-    for s in sorted(names, key=lambda s: int(exact[s]) - exact[s])[: period - sum(out.values())]:
+    total = sum(Fraction(weights[s]) for s in names)
+    exact = {s: Fraction(weights[s]) / total * period for s in names}
+    out = {s: int(exact[s]) for s in names}
+    for s in sorted(names, key=lambda s: out[s] - exact[s])[: period - sum(out.values())]:
         out[s] += 1
+    if not all(out.values()):
+        raise ValueError("the period is too short for the smallest weight")
     return out
 
 
-def period_schedule(share: dict[str | None, int]) -> list[tuple[str | None, int, int, int]]:
-    """(source, turn within the period, slot, share) of earliest-deadline-first over Pfair windows."""
+def schedule(share: dict[str | None, int], length: int) -> Iterator[tuple[str | None, int, int]]:
+    """(source, turn, slot) of earliest-deadline-first over Pfair windows of the weights share / sum of shares."""
     period, names = sum(share.values()), list(share)
-    release = lambda k, i: i * period // share[names[k]]  # noqa: E731  of turn i, from 0
-    due = lambda k, i: -(-(i + 1) * period // share[names[k]])
-    waiting, ready, out = [(0, k, 0) for k in range(len(names))], [], []
-    for slot in range(period):
+    waiting, ready = [(0, k, 0) for k in range(len(names))], []
+    for slot in range(length):
         while waiting and waiting[0][0] <= slot:
             _, k, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (due(k, i), k, i))
+            heapq.heappush(ready, (-(-(i + 1) * period // share[names[k]]), k, i))
         deadline, k, i = heapq.heappop(ready)
         if deadline <= slot:
             raise AssertionError("a deadline was missed")
-        out.append((names[k], i, slot, share[names[k]]))
-        if i + 1 < share[names[k]]:
-            heapq.heappush(waiting, (release(k, i + 1), k, i + 1))
-    return out
+        yield names[k], i, slot
+        heapq.heappush(waiting, ((i + 1) * period // share[names[k]], k, i + 1))
+
+
+def period_schedule(share: dict[str | None, int]) -> list[tuple[str | None, int, int, int]]:
+    """(source, turn within the period, slot, share) of one period."""
+    return [(s, i, slot, share[s]) for s, i, slot in schedule(share, sum(share.values()))]
+
+
+def source_slots(weights: dict[str | None, float], blocks: dict[str | None, int], period: int) -> tuple[dict[str | None, list[int]], int]:
+    """Slots of each source and the length after which they repeat, for so many blocks of each source."""
+    if left_out := [s for s in blocks if not weights.get(s, 0) > 0]:
+        raise ValueError(f"sources without a weight: {left_out[:10]}")
+    fine = shares(weights, FINE)
+    if all(abs(c * period - round(c * period / FINE) * FINE) * 10**9 < FINE and c * period >= FINE // 2 for c in fine.values()):
+        fine, length = shares(weights, period), period
+    else:
+        needed = max(-(-n * FINE // fine[s]) for s, n in blocks.items())
+        length = max(min(max(needed, period), MOST_SLOTS), -(-FINE // min(fine.values())))
+    slots: dict[str | None, list[int]] = {s: [] for s in fine}
+    for s, _, slot in schedule(fine, length):
+        slots[s].append(slot)
+    return slots, length
 
 
 def source_ranks(rows: DataFrame, source: str, id_col: str, ties: list[str], width: int = ID_RANGE) -> DataFrame:
@@ -67,29 +92,29 @@ def source_ranks(rows: DataFrame, source: str, id_col: str, ties: list[str], wid
     return ranged.withColumn("_inside", F.row_number().over(inside)).join(sizes, ["_key", "_range"]).withColumn("_rank", F.col("_before") + F.col("_inside") - 1).drop("_range", "_before", "_inside")
 
 
-def tempered_weights(docs: DataFrame, source: str, power: float) -> dict[str | None, float]:
-    """Target weights proportional to a power of the number of rows; one row for each source reaches the driver."""
-    return {r[0]: float(r[1]) ** power for r in docs.groupBy(source).agg(F.count("*").alias("n")).collect()}
+def source_rows(docs: DataFrame, source: str) -> dict[str | None, int]:
+    """Number of rows of each source; one row for each source reaches the driver."""
+    return {r[0]: r[1] for r in docs.groupBy(source).agg(F.count("*").alias("n")).collect()}
 
 
 def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, *, source: str = "source", id_col: str = "doc_id", ties: tuple[str, ...] = (), block: int = 16, period: int = 1000, power: float = 0.5) -> DataFrame:
     """``docs`` plus mix_block (of its source), mix_slot and mix_order (sort by it to read the mixture).
 
-    ``weights`` maps every source to its target weight; without it the weights are tempered counts.
+    ``weights`` maps every source to its target weight; without it the weights are proportional to a power of the number of rows.
     """
-    weights = weights or tempered_weights(docs, source, power)
-    if not weights:
+    rows = source_rows(docs, source)
+    if not rows:
         return docs.withColumns({"mix_block": F.lit(0).cast("long"), "mix_slot": F.lit(0).cast("long"), "mix_order": F.lit(0).cast("long")}).limit(0)
-    plan = period_schedule(shares(weights, max(period, 4 * len(weights))))
-    length = len(plan)
-    table = docs.sparkSession.createDataFrame([("" if s is None else f"={s}", turn, slot, share) for s, turn, slot, share in plan], SCHEDULE)
-    slots = table.groupBy(F.col("_source").alias("_key")).agg(F.max("_share").alias("_share"), F.transform(F.array_sort(F.collect_list(F.struct("_turn", "_slot"))), lambda x: x["_slot"]).alias("_slots"))
-    # one row for each source, W small numbers in all: bounded by the weights
+    weights = weights or {s: float(n) ** power for s, n in rows.items()}
+    plan, length = source_slots(weights, {s: math.ceil(n / block) for s, n in rows.items()}, period)
+    # one row for each source, at most MOST_SLOTS small numbers in all unless a weight is smaller than that
+    columns = [pa.array(["" if s is None else f"={s}" for s in plan]), pa.array([len(x) for x in plan.values()], pa.int64()), pa.array(plan.values(), pa.list_(pa.int64()))]
+    slots = docs.sparkSession.createDataFrame(pa.Table.from_arrays(columns, ["_key", "_share", "_slots"]))
     ranked = source_ranks(docs, source, id_col, list(ties)).join(F.broadcast(slots), "_key")
     j = F.floor(F.col("_rank") / F.lit(block)).cast("long")
     return (
         ranked.withColumn("mix_block", j)
-        .withColumn("mix_slot", F.floor(F.col("mix_block") / F.col("_share")) * F.lit(length) + F.element_at("_slots", (F.pmod("mix_block", F.col("_share").cast("long")) + 1).cast("int")))
+        .withColumn("mix_slot", F.floor(F.col("mix_block") / F.col("_share")) * F.lit(length) + F.element_at("_slots", (F.pmod("mix_block", F.col("_share")) + 1).cast("int")))
         .withColumn("mix_order", F.col("mix_slot") * F.lit(block) + F.pmod(F.col("_rank"), F.lit(block)))
         .drop("_key", "_rank", "_share", "_slots")
     )

@@ -202,6 +202,21 @@ def test_mixing_keeps_rows_and_stays_within_a_block(spark):
         assert np.abs(done - share / 100 * np.arange(1, 101)).max() < 1
 
 
+def test_mixing_keeps_the_given_weights(spark):
+    assert mixing.shares({"a": 0.9, "b": 0.1}, 1000) == {"a": 900, "b": 100}
+    many = {"a": 0.5} | {str(k): 0.5 / 249 for k in range(249)}
+    for weights, blocks in (({"a": 0.9, "b": 0.1}, 9000), ({"a": 2**0.5, "b": 3**0.5, None: 0.01}, 5000), (many, 4000)):
+        slots, length = mixing.source_slots(weights, dict.fromkeys(weights, 1) | {"a": blocks}, 1000)
+        t = np.arange(1, 8001)
+        for s, w in weights.items():
+            own = np.concatenate([np.array(slots[s]) + k * length for k in range(-(-8000 // length))])
+            assert np.abs(np.searchsorted(own, t) - w / sum(weights.values()) * t).max() < 1 + 1e-9
+    docs = spark.createDataFrame([(k, "a" if k % 2 else "b") for k in range(40)], "doc_id long, source string")
+    for weights in ({"a": 1.0}, {"a": 1.0, "b": 0.0}):
+        with pytest.raises(ValueError, match="without a weight"):
+            mixing.mixed(docs, weights)
+
+
 def test_words_of_two_toxic_texts_count(spark):
     rng = random.Random(4)
     plain = [" ".join(rng.choice("abcdefgh") for _ in range(20)) for _ in range(300)]
