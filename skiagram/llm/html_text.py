@@ -7,7 +7,9 @@ the same parent, weaker the farther apart they stand in the DOM, are the smoothn
 least total cost, and the blocks on the source side are the main text.
 
 Script, style, title, form controls and the like hold no text at all.  Blocks inside elements whose meaning is fixed
-(nav, footer, aside, form ...) get a cost that no smoothness outweighs.  Character references are decoded, white space inside a
+(nav, footer, aside, form ...) get a cost that no smoothness outweighs.  A name that tells of boilerplate (class, id, role) is only
+a doubt: it ends at an article or main inside, and long text outweighs it.  On a page without other content it is less the more of
+the text the element holds, and nothing from half of the text on.  Character references are decoded, white space inside a
 block becomes one space, empty blocks vanish, blocks are joined in page order by one space.
 
 Null and empty pages give the empty text.  Unclosed and misnested markup, stray angle brackets and unfinished comments are
@@ -40,24 +42,32 @@ CONTENT_WORDS = re.compile(r"(?i)(?:^|[\s_-])(?:article\w*|post|entry|content|ma
 HEADER_WORDS = re.compile(r"(?i)(?:^|[\s_-])(?:header|top|branding)(?=$|[\s_-])")
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-NAMES = re.compile(r"""(?i)\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-HIDDEN = re.compile(r"(?i)(?:^|\s)hidden(?:[\s=]|$)|display\s*:\s*none")
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+HIDDEN = re.compile(r"(?i)(?:^|;)\s*display\s*:\s*none\b")
 SPACE = re.compile(r"\s+")
 
-SURE = 1e6
+SURE, DOUBT = 1e6, 6.0
 
 
 class Block:
-    __slots__ = ("text", "linked", "away", "inside", "heading", "path")
+    __slots__ = ("text", "linked", "away", "inside", "heading", "path", "named")
 
-    def __init__(self, text: str, linked: int, away: bool, inside: bool, heading: bool, path: tuple) -> None:
-        self.text, self.linked, self.away, self.inside, self.heading, self.path = text, linked, away, inside, heading, path
+    def __init__(self, text: str, linked: int, away: bool, inside: bool, heading: bool, path: tuple, named: int = 0) -> None:
+        self.text, self.linked, self.away, self.inside, self.heading, self.path, self.named = text, linked, away, inside, heading, path, named
+
+
+def attributes_of(raw: str) -> dict[str, str]:
+    """Attributes of a start tag by name in lower case; the first of a name counts."""
+    out: dict[str, str] = {}
+    for name, *value in ATTRIBUTE.findall(raw):
+        out.setdefault(name.lower(), "".join(value))
+    return out
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of a page in order; an element opens a scope that says whether its text is silent, away or content."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool, int]] = []  # name, silent, away, inside content, number
+    stack: list[tuple[str, bool, bool, bool, int, int]] = []  # name, silent, away, inside content, number, outermost element named like boilerplate
     parts: list[str] = []
     state = {"linked": 0, "number": 0}
 
@@ -65,9 +75,9 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                name, _, away, inside, _ = stack[-1] if stack else ("", False, False, False, 0)
+                name, _, away, inside, _, named = stack[-1] if stack else ("", False, False, False, 0, 0)
                 heading = any(s[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for s in stack[-3:])
-                out.append(Block(text, state["linked"], away, inside, heading, tuple(s[4] for s in stack if s[0] in BLOCK)))
+                out.append(Block(text, state["linked"], away, inside, heading, tuple(s[4] for s in stack if s[0] in BLOCK), named))
             parts.clear()
         state["linked"] = 0
 
@@ -117,15 +127,21 @@ def blocks(page: str) -> list[Block]:
                         break
                     if stack[k][0] in BLOCK:
                         break
-        _, silent, away, inside, _ = stack[-1] if stack else ("", False, False, False, 0)
+        _, silent, away, inside, _, named = stack[-1] if stack else ("", False, False, False, 0, 0)
         attributes = m[3]
-        labels = " ".join(a or b or c for a, b, c in NAMES.findall(attributes)) if attributes else ""
-        silent = silent or name in SILENT or bool(attributes and HIDDEN.search(attributes))
+        has = attributes_of(attributes) if attributes else {}
+        labels = " ".join(has[k] for k in ("class", "id", "role") if k in has)
+        silent = silent or name in SILENT or "hidden" in has or bool(HIDDEN.search(has.get("style", "")))
         inside = (inside or name in CONTENT_TAGS or bool(labels and CONTENT_WORDS.search(labels))) and not away
-        away = away or name in AWAY or not inside and (name == "header" or bool(labels and name not in ("body", "html") and HEADER_WORDS.search(labels))) or bool(labels and name not in ("body", "html", "article", "main") and AWAY_WORDS.search(labels))
+        away = away or name in AWAY or not inside and name == "header"
         state["number"] += 1
+        doubtful = bool(labels and name not in ("body", "html") and (not inside and HEADER_WORDS.search(labels) or AWAY_WORDS.search(labels)))
+        if name in CONTENT_TAGS:
+            named = named if doubtful else 0
+        elif doubtful:
+            named = named or state["number"]
         if not attributes.rstrip().endswith("/"):
-            stack.append((name, silent, away, inside, state["number"]))
+            stack.append((name, silent, away, inside, state["number"], named))
         if name in RAW:
             end = re.compile(rf"</{name}\s*>|\Z", re.I).search(page, at)
             if not silent:
@@ -137,13 +153,25 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def costs(b: Block, in_page: bool) -> tuple[float, float]:
+def doubts(found: list[Block]) -> list[float]:
+    """What the name of an element around each block costs; on a page without other content less, the more of its text the element holds."""
+    if any(b.inside and not b.named for b in found):
+        return [DOUBT if b.named and not b.away else 0.0 for b in found]
+    held: dict[int, int] = {}
+    for b in found:
+        if not b.away:
+            held[b.named] = held.get(b.named, 0) + len(b.text)
+    total = sum(held.values())
+    return [DOUBT * max(0.0, 1 - 2 * held[b.named] / total) if b.named and not b.away else 0.0 for b in found]
+
+
+def costs(b: Block, in_page: bool, doubt: float = 0.0) -> tuple[float, float]:
     """Cost of calling the block boilerplate and cost of calling it content."""
     if b.away:
         return 0.0, SURE
     size = len(b.text)
-    score = min(size, 400) / 100 - 4 * min(1.0, b.linked / size) + 0.4 * (b.text[-1] in ".!?:;\"'”»…")
-    score += 3.0 if b.inside else -2.5 if in_page else 0.2
+    score = min(size, 1000 if doubt else 400) / 100 - 4 * min(1.0, b.linked / size) + 0.4 * (b.text[-1] in ".!?:;\"'”»…") - doubt
+    score += 3.0 if b.inside and not doubt else -2.5 if in_page else 0.2
     score += 0.8 * b.heading - 0.3 * (size < 15)
     return max(score, 0.0), max(-score, 0.0)
 
@@ -228,8 +256,9 @@ def minimum_cut(n: int, terminal: list[tuple[float, float]], edges: list[tuple[i
 
 def labelled(page: str) -> list[tuple[Block, bool]]:
     found = blocks(page)
-    in_page = any(b.inside for b in found)
-    return list(zip(found, minimum_cut(len(found), [costs(b, in_page) for b in found], smoothness(found)), strict=True))
+    doubt = doubts(found)
+    in_page = any(b.inside and not d for b, d in zip(found, doubt, strict=True))
+    return list(zip(found, minimum_cut(len(found), [costs(b, in_page, d) for b, d in zip(found, doubt, strict=True)], smoothness(found)), strict=True))
 
 
 def main_text(page: str | None) -> str:

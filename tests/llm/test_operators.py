@@ -178,6 +178,20 @@ def test_main_text():
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<nav>x</nav><!-- open") == ""
 
 
+@pytest.mark.parametrize("around", ["class='layout has-sidebar'", "class='side-by-side'", "id='social-science'", "class='x top'"])
+def test_names_around_an_article_do_not_drop_it(around):
+    text = "A sentence of some words stands here. " * 4
+    assert html_text.main_text(f"<body><div class=menu><a href=x>Menu</a></div><div {around}><article><p>{text}<p>Two.</article></div>").startswith(text)
+    assert html_text.main_text(f"<body><div class=menu><a href=x>Menu</a></div><div {around}><p>{text}<p>{text}</div>").startswith(text)
+    assert html_text.main_text(f"<article><p>{text * 9}</article><div class=legal><p>{text * 9}</div>") == f"{text * 9}{text * 9}".strip()
+    assert html_text.main_text("<article><p>One.</article><div id=comments><article class=comment><p>A reader says things.</article></div>") == "One."
+
+
+def test_hidden_is_an_attribute():
+    assert html_text.main_text("<article><p>See <a title='the hidden cost'>words</a> <b class='x hidden y'>and</b> <i title='display: none'>more</i>.") == "See words and more."
+    assert html_text.main_text("<article><p>One.<p hidden>Two.<p HIDDEN=''>Three.<p style='color: red; display:none'>Four.") == "One."
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(1)
     v = rng.normal(size=(700, 8)).astype(np.float32)
