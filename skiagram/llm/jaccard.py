@@ -20,8 +20,8 @@ pairs of blocks of bounded size.  A task writes each of its distinct sets to the
 most one entry for each task into a list.
 
 Null and empty texts, and texts without a word, have no shingles and stay alone.  A text of fewer words than a shingle is one
-shingle.  Rows without a doc_id get a null component; rows that share an id but not a text count as separate documents.  Texts of
-any length are read whole.  Other columns are not read; an empty table gives no rows.
+shingle.  Rows without a doc_id get a null component; rows that share an id share a component,
+whatever their texts.  Texts of any length are read whole.  Other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
