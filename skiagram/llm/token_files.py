@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -95,10 +96,21 @@ def encoder(path: str):
     if path not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         many = lambda texts: [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         whole = lambda texts: [np.frombuffer(x, "<u4") for x in many(texts.fill_null("").to_pylist())]
-        _ENCODERS[path] = tokenizer, PieceIds(by_lines(many), 1_000_000).encode_array if is_byte_level(path) else whole
+        pieces = PieceIds(by_lines(many), 1_000_000).encode_array
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+        def encode(texts: pa.Array) -> list[np.ndarray]:
+            out, named = pieces(texts), np.zeros(len(texts), bool)
+            for token in added:  # texts that spell out an added token are cut by the library
+                named |= np.asarray(pc.match_substring(texts.fill_null(""), token))
+            at = np.flatnonzero(named)
+            for k, ids in zip(at.tolist(), whole(texts.take(pa.array(at))) if len(at) else [], strict=True):
+                out[k] = ids
+            return out
+
+        _ENCODERS[path] = tokenizer, encode if is_byte_level(path) else whole
     return _ENCODERS[path]
 
 

@@ -122,6 +122,17 @@ def test_token_files_round_trip(spark, docs):
     assert {tuple(r) for r in token_files.encode_and_read(docs, P.path("byte_bpe_50k.json"), 2).collect()} == want
 
 
+def test_special_tokens_in_a_text_as_the_library_has_them():
+    from tokenizers import Tokenizer
+
+    import pyarrow as pa
+
+    texts = ["a <|endoftext|> b", None, "plain words\nof a text", "<|endoftext|>", "x<|endoftext|>\n\n<|endoftext|> y", ""]
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    _, encode = token_files.encoder(P.path("byte_bpe_50k.json"))
+    assert [x.tolist() for x in encode(pa.array(texts))] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+
 def test_token_file_reads_only_what_is_asked_and_finds_damage(tmp_path):
     path = str(tmp_path / "a.ids")
     w = token_files.FrameWriter(path, 2)
