@@ -21,23 +21,55 @@ U64 = np.uint64
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; a temporary folder where that setting is absent (tests)."""
+    """A new folder below ``spark.checkpoint.dir``; in local mode (tests) a temporary folder where that setting is absent."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="skiagram-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/skiagram-{uuid.uuid4().hex}"
 
 
+_COLLECTING: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def collecting(folders: list[str]) -> Iterator[None]:
+    """Within, the folders of staged tables are noted, so that they can be discarded when the result is written."""
+    _COLLECTING.append(folders)
+    try:
+        yield
+    finally:
+        _COLLECTING.pop()
+
+
+def discard(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    folders.clear()
+
+
+def unused_name(df: DataFrame, stem: str) -> str:
+    """``stem`` with as many underscores as it takes to clash with no column."""
+    taken = {c.lower() for c in df.columns}
+    while stem in taken:
+        stem += "_"
+    return stem
+
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, folders: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and a lost executor costs one scan.
 
-    The shuffle files of that one write are not needed afterwards and go at once.
+    The shuffle files of that one write are not needed afterwards and go at once.  The folder is added to ``folders``.
     """
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
+    for noted in (*_COLLECTING[-1:], *([folders] if folders is not None else [])):
+        noted.append(path)
     was = spark.conf.get(CLEANUP, None)
     try:
         spark.conf.set(CLEANUP, "true")
@@ -73,12 +105,14 @@ def as_bytes(col: str):
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a binary Arrow column; null is empty."""
+    """Bytes and offsets of a binary or string Arrow column; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        column = column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary())
     if column.null_count:
         column = column.fill_null(b"")
-    wide = pa.types.is_large_binary(column.type) or pa.types.is_large_string(column.type)
+    wide = pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     n = len(column)
     if not n:
