@@ -6,15 +6,18 @@ Earliest-deadline-first over the released blocks meets every deadline on one mac
 source within less than one block of weight x slots at every moment.
 
 The schedule is made from the weights alone, as far as the last block of the table needs; it stops earlier and repeats after
-``period`` slots if all weights are whole numbers of slots there, or after ``MOST_SLOTS`` (or the slots that the smallest weight
-needs), where the rounding adds less than one block to the deviation for each repetition.  So block j of a source of c blocks in
-L slots sits in slot (j div c) * L + slot(source, j mod c).  A source that has run out leaves its slots empty; its documents are
-all placed by then and the others go on in deadline order.  No row is dropped or repeated; weights that leave out a source of
-the table are an error.
-
-Ranks within a source come from ranks in ranges of ids plus the sizes of the ranges before, so a source that holds a third of
-all rows is numbered by many tasks.  Null sources form a source of their own, null ids come first, equal ids are ordered
-by the tie columns (rows equal in all of them are interchangeable).  An empty table gives no rows.
+``period`` slots if all weights are whole numbers of slots there, or after ``MOST_SLOTS``, where the rounding adds less than one
+block to the deviation for each repetition.  So block j of a source of c blocks in L slots sits in slot (j div c) * L +
+slot(source, j mod c).  A source that has run out leaves its slots empty; its documents are all placed by then and the others go
+on in deadline order.  No row is dropped or repeated.  Weights that leave out a source of the table, weights under one slot in
+``MOST_SLOTS`` and tables of more than ``MOST_SOURCES`` sources are errors, so what the driver makes and broadcasts is bounded.
+
+Ranks within a source come from one range-partitioned sort by (source, id): a row's rank is its place in its partition plus the
+source's rows in the partitions before, so a source that holds a third of all rows is numbered by many tasks, however its ids are
+spread.  The sorted rows are written to the shared folder, so a lost executor can't change the order.  Null sources form a source
+of their own, null ids come first, equal ids are ordered by the tie columns and then by a hash of the row (equal rows are
+interchangeable).  Columns of the table that are named like those added keep their values; the added ones then get underscores.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,13 +27,14 @@ import math
 from collections.abc import Iterator
 from fractions import Fraction
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
-ID_RANGE = 4096
-#: Slots of a schedule that the driver makes at most, and the fineness of the weights in it.
-MOST_SLOTS, FINE = 1 << 20, 1 << 60
+from skiagram.llm.shared import staged, unused_name
+
+#: Slots of a schedule and sources that the driver handles at most, and the fineness of the weights.
+MOST_SLOTS, MOST_SOURCES, FINE = 1 << 20, 1 << 16, 1 << 60
 
 
 def shares(weights: dict[str | None, float], period: int) -> dict[str | None, int]:
@@ -74,54 +78,69 @@ def source_slots(weights: dict[str | None, float], blocks: dict[str | None, int]
     if all(abs(c * period - round(c * period / FINE) * FINE) * 10**9 < FINE and c * period >= FINE // 2 for c in fine.values()):
         fine, length = shares(weights, period), period
     else:
+        if min(fine.values()) * MOST_SLOTS < FINE:
+            raise ValueError(f"a weight is less than one slot in {MOST_SLOTS}")
         needed = max(-(-n * FINE // fine[s]) for s, n in blocks.items())
-        length = max(min(max(needed, period), MOST_SLOTS), -(-FINE // min(fine.values())))
+        length = min(max(needed, period, -(-FINE // min(fine.values()))), MOST_SLOTS)
     slots: dict[str | None, list[int]] = {s: [] for s in fine}
     for s, _, slot in schedule(fine, length):
         slots[s].append(slot)
     return slots, length
 
 
-def source_ranks(rows: DataFrame, source: str, id_col: str, ties: list[str], width: int = ID_RANGE) -> DataFrame:
-    """Adds ``_rank``, from 0, by (id, ties) within each source; no task sees a whole source."""
-    ranged = rows.withColumn("_range", F.coalesce(F.floor(F.col(id_col) / F.lit(width)), F.lit(-(1 << 62))).cast("long")).withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")))
-    sizes = ranged.groupBy("_key", "_range").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("_key", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_key", "_range").orderBy(F.col(id_col), *[F.col(t) for t in ties])
-    return ranged.withColumn("_inside", F.row_number().over(inside)).join(sizes, ["_key", "_range"]).withColumn("_rank", F.col("_before") + F.col("_inside") - 1).drop("_range", "_before", "_inside")
+def source_ranks(rows: DataFrame, key: str, id_col: str, ties: list[str]) -> DataFrame:
+    """Adds ``_rank``, from 0, by (id, ties) within each value of ``key``; sorted once, in ranges, and written."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = [F.col(f"`{f.name}`") for f in rows.schema.fields if not isinstance(f.dataType, MapType | VariantType)]
+    order = [F.col(f"`{c}`") for c in (key, id_col, *ties)]
+    at, part, rank = "_at", "_part", "_rank"
+    dealt = rows.withColumn("_tie", F.xxhash64(*hashed)).repartitionByRange(n, *order, "_tie").sortWithinPartitions(*order, "_tie")
+    placed = staged(dealt.drop("_tie").withColumn(at, F.monotonically_increasing_id()).withColumn(part, F.shiftright(at, 33)))
+    # a row for each source of a partition; sorted, so no more rows than partitions and sources together
+    runs = placed.groupBy(part, key).agg(F.min(at).alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(part, key, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return placed.join(F.broadcast(runs), [part, key]).withColumn(rank, F.col(at) + F.col("_shift")).drop(at, part, "_shift")
 
 
 def source_rows(docs: DataFrame, source: str) -> dict[str | None, int]:
-    """Number of rows of each source; one row for each source reaches the driver."""
-    return {r[0]: r[1] for r in docs.groupBy(source).agg(F.count("*").alias("n")).collect()}
+    """Number of rows of each source; one row for each of at most MOST_SOURCES sources reaches the driver."""
+    rows = docs.groupBy(source).agg(F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
+    if len(rows) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources: group them first")
+    return {r[0]: r[1] for r in rows}
 
 
 def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, *, source: str = "source", id_col: str = "doc_id", ties: tuple[str, ...] = (), block: int = 16, period: int = 1000, power: float = 0.5) -> DataFrame:
     """``docs`` plus mix_block (of its source), mix_slot and mix_order (sort by it to read the mixture).
 
-    ``weights`` maps every source to its target weight; without it the weights are proportional to a power of the number of rows.
+    ``weights`` maps every source to its target weight; without it the weights are proportional to a power of the number of
+    rows, but at least two slots in ``MOST_SLOTS``.
     """
+    names = {c: unused_name(docs, c) for c in ("mix_block", "mix_slot", "mix_order")}
     rows = source_rows(docs, source)
     if not rows:
-        return docs.withColumns({"mix_block": F.lit(0).cast("long"), "mix_slot": F.lit(0).cast("long"), "mix_order": F.lit(0).cast("long")}).limit(0)
-    weights = weights or {s: float(n) ** power for s, n in rows.items()}
+        return docs.withColumns({n: F.lit(0).cast("long") for n in names.values()}).limit(0)
+    if not weights:
+        weights = {s: float(n) ** power for s, n in rows.items()}
+        least = sum(weights.values()) * 4 / MOST_SLOTS
+        weights = {s: max(w, least) for s, w in weights.items()}
     plan, length = source_slots(weights, {s: math.ceil(n / block) for s, n in rows.items()}, period)
-    # one row for each source, at most MOST_SLOTS small numbers in all unless a weight is smaller than that
-    columns = [pa.array(["" if s is None else f"={s}" for s in plan]), pa.array([len(x) for x in plan.values()], pa.int64()), pa.array(plan.values(), pa.list_(pa.int64()))]
-    slots = docs.sparkSession.createDataFrame(pa.Table.from_arrays(columns, ["_key", "_share", "_slots"]))
-    ranked = source_ranks(docs, source, id_col, list(ties)).join(F.broadcast(slots), "_key")
+    own = [f"c{k}" for k in range(len(docs.columns))]  # the user's columns, out of the way
+    at = {c: n for c, n in zip(docs.columns, own, strict=True)}
+    coded = docs.toDF(*own).withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col(at[source]).cast("string")), F.lit("")))
+    # one row for each source, MOST_SLOTS numbers at most in all
+    slots = docs.sparkSession.createDataFrame([("" if s is None else f"={s}", len(x), x) for s, x in plan.items()], "_key string, _share long, _slots array<long>")
+    ranked = source_ranks(coded, "_key", at[id_col], [at[t] for t in ties]).join(F.broadcast(slots), "_key")
     j = F.floor(F.col("_rank") / F.lit(block)).cast("long")
-    return (
-        ranked.withColumn("mix_block", j)
-        .withColumn("mix_slot", F.floor(F.col("mix_block") / F.col("_share")) * F.lit(length) + F.element_at("_slots", (F.pmod("mix_block", F.col("_share")) + 1).cast("int")))
-        .withColumn("mix_order", F.col("mix_slot") * F.lit(block) + F.pmod(F.col("_rank"), F.lit(block)))
-        .drop("_key", "_rank", "_share", "_slots")
-    )
+    slot = F.floor(F.col("_block") / F.col("_share")) * F.lit(length) + F.element_at("_slots", (F.pmod("_block", F.col("_share")) + 1).cast("int"))
+    ranked = ranked.withColumn("_block", j).withColumn("_slot", slot).withColumn("_order", F.col("_slot") * F.lit(block) + F.pmod(F.col("_rank"), F.lit(block)))
+    return ranked.select(*[F.col(o).alias(c) for c, o in at.items()], *[F.col(f"_{c[4:]}").alias(n) for c, n in names.items()])
 
 
 def in_mix_order(docs: DataFrame, weights: dict[str | None, float] | None = None, **options) -> DataFrame:
     """The columns of ``docs`` only, dealt and sorted so that files read one after the other give the mixture."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = mixed(docs, weights, **options)
-    return rows.repartitionByRange(n, "mix_order").sortWithinPartitions("mix_order").select(*docs.columns)
+    order = unused_name(docs, "mix_order")
+    return rows.repartitionByRange(n, order).sortWithinPartitions(order).select(*[F.col(f"`{c}`") for c in docs.columns])
