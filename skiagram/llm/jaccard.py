@@ -8,20 +8,25 @@ c(n, m) = ceil(num * (n + m) / (num + den)).
   exactly if they have such a subset in common, so a shared subset is the proof and no text is read again.
 * Heavy sets go into inverted lists under the first n - ceil(num * n / den) + 1 shingles of one global order, by the prefix
   principle: linked sets share one of them.  The order puts shingles that are frequent in a sample last (order affects cost only,
-  never the result).  A list is scanned for members whose 128-bit sketches (one bit of each of 128 minima) agree in as many
-  places as linked sets do with all but about 1e-13 probability; these pairs are candidates, and connected candidates are
-  verified exactly from the texts.
+  never the result).  A list is scanned for members whose 256-bit sketches (one bit of each of 256 minima, each of a hash of its
+  own) agree in so many places that linked sets, which agree in each with a probability of (1 + J) / 2, fall short of it with one
+  below ``LOSS``, by the exact binomial tail.  That is less than the chance that the 64-bit hashes of two sets' shingles collide.
+  These pairs are candidates, and connected candidates are verified exactly from the texts; ``Rule(exact=True)`` scans lists
+  without sketches, every two members being candidates.
 * The boundary is where enumerating gets dearer than listing and verifying: the cost of a set depends on its own size only, so
   the cheapest split compares the two costs size by size.
 
 Components are kept instead of pairs: within a list and within a verified block, members already connected are not compared
 again, so a group of n near copies costs about n comparisons and n links.  Verification deals a large candidate component in
-pairs of blocks of bounded size.  A task writes each of its distinct sets to the lists once, so a hot group of copies puts at
-most one entry for each task into a list.
+blocks of bounded size that each hold its first set too, so a text is read once; only if links within the blocks leave it in
+several pieces, members of different pieces meet in pairs of blocks.  A task writes each of its distinct sets to the lists once,
+and equal sets of a task find their class through their first one, so a hot group of copies puts at most one entry for each task
+into a list or a join.
 
 Null and empty texts, and texts without a word, have no shingles and stay alone.  A text of fewer words than a shingle is one
-shingle.  Rows without a doc_id get a null component; rows that share an id share a component,
-whatever their texts.  Texts of any length are read whole.  Other columns are not read; an empty table gives no rows.
+shingle.  Rows without a doc_id get a null component.  Rows that share an id but not a text are documents of their own (by a
+64-bit hash of both); rows equal in both are one document.  Texts of any length are read whole.  Other columns, whatever their
+names, are kept by ``first_of_components``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,23 +37,34 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skiagram.llm.components import connected_components
-from skiagram.llm.shared import TO_LOWER, U64, as_bytes, bounded_sample, chunks, mix, prefix_hash, shingle_hashes, span_hash, staged, words
+from skiagram.llm.shared import TO_LOWER, U64, as_bytes, bounded_sample, chunks, mix, prefix_hash, shingle_hashes, span_hash, staged, unused_name, words
 
 SAMPLE, FREQUENT, MOST_FREQUENT = 2_000, 3, 1 << 20
 BLOCK_SETS, BLOCK_SHINGLES, LIST_ROWS = 2_000, 1 << 20, 20_000
-BITS = 128
+BITS, LOSS = 256, 1e-18
 _RNG = np.random.default_rng(99)
 _ROLLS = _RNG.integers(0, 1 << 31, BITS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_SALTS = _RNG.integers(0, 1 << 32, BITS, dtype=np.uint32)
+
+
+def least_agreement(bits: int, p: float, loss: float) -> int:
+    """The largest t with P[Binomial(bits, p) < t] <= loss."""
+    below = 0.0
+    for t in range(bits):
+        below += comb(bits, t) * p**t * (1 - p) ** (bits - t)
+        if below > loss:
+            return t
+    return bits
 
 
 class Rule:
     """Shingle size and threshold num / den, and what follows from them for sets of each size."""
 
-    def __init__(self, size: int, num: int, den: int) -> None:
+    def __init__(self, size: int, num: int, den: int, exact: bool = False) -> None:
         self.size, self.num, self.den = size, num, den
         self.light: dict[int, list[int]] = {}
         n = 1
@@ -56,9 +72,8 @@ class Rule:
             self.light[n] = self.overlaps(n)
             n += 1
         self.boundary = n - 1
-        # agreement of one-bit minima of linked sets is (1 + J) / 2; eight standard deviations of slack
-        p = (1 + num / den) / 2
-        self.agree = int(BITS * p - 8.2 * (BITS * p * (1 - p)) ** 0.5)
+        # one-bit minima of linked sets agree with probability (1 + J) / 2
+        self.agree = 0 if exact else least_agreement(BITS, (1 + num / den) / 2, LOSS)
 
     def overlap(self, n: int, m: int) -> int:
         return -(-self.num * (n + m) // (self.num + self.den))
@@ -94,14 +109,14 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, size: int) -> list[np.ndarray
 
 
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """Two 64-bit words of sketch for each non-empty set."""
-    out = np.zeros((len(sets), 2), U64)
+    """Four 64-bit words of sketch for each non-empty set."""
+    out = np.zeros((len(sets), BITS // 64), U64)
     for k, s in enumerate(sets):
         low = np.full(BITS, 0xFFFFFFFF, np.uint32)
         short = (s >> U64(32)).astype(np.uint32)
-        for a in range(0, len(short), 4096):
-            low = np.minimum(low, (short[a : a + 4096, None] * _ROLLS).min(0))
-        out[k] = np.packbits((low >> 9).astype(np.uint8) & 1).view(U64)
+        for a in range(0, len(short), 512):
+            low = np.minimum(low, ((short[a : a + 512, None] ^ _SALTS) * _ROLLS).min(0))
+        out[k] = np.packbits((low * np.uint32(0x9E3779B1) >> np.uint32(31)).astype(np.uint8)).view(U64)
     return out
 
 
@@ -136,10 +151,20 @@ def frequent_shingles(docs: DataFrame, rule: Rule) -> np.ndarray:
     return np.sort(rows.orderBy(F.desc("n"), "h").limit(MOST_FREQUENT).toPandas()["h"].to_numpy(np.int64).view(U64))
 
 
-SETS = "doc_id long, n long, h1 long, h2 long, s0 long, s1 long, light array<long>, light_c array<int>, heavy array<long>"
+def keyed(docs: DataFrame) -> tuple[Column, bool]:
+    """An expression that tells documents apart, and whether it is the id itself (null stays null)."""
+    total, ids, null = docs.agg(F.count("*"), F.count_distinct("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
+    own = F.col("doc_id").cast("long")
+    if total == ids + null:
+        return own, True
+    return F.when(own.isNotNull(), F.xxhash64(own, as_bytes("text"))), False
+
+
+#: id: the document's key; local: the key of the first equal set in the task.
+SETS = "doc_id long, id long, n long, h1 long, h2 long, s0 long, s1 long, s2 long, s3 long, local long, light array<long>, light_c array<int>, heavy array<long>"
 
 
-def set_table(docs: DataFrame, rule: Rule, frequent: np.ndarray) -> DataFrame:
+def set_table(docs: DataFrame, key: Column, rule: Rule, frequent: np.ndarray) -> DataFrame:
     """A row for each document: size, digest, sketch, and (for the first of equal sets in a task) its index keys."""
     broadcast = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -148,16 +173,15 @@ def set_table(docs: DataFrame, rule: Rule, frequent: np.ndarray) -> DataFrame:
         return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, seen, none = broadcast.value, set(), np.zeros(0, np.int64)
+        frequent, seen, none = broadcast.value, {}, np.zeros(0, np.int64)
         for part, data, at in chunks(batches, "text"):
             sets = shingle_sets(data, at, rule.size)
             digest = [set_digest(s) for s in sets]
-            new = []
-            for d, s, i in zip(digest, sets, part.column(0).to_pylist(), strict=True):
-                new.append(bool(len(s)) and d not in seen and i is not None)
-                if new[-1]:
-                    seen.add(d)
-            sketch = np.zeros((len(sets), 2), U64)
+            new, local = [], []
+            for d, s, i in zip(digest, sets, part.column(1).to_pylist(), strict=True):
+                new.append(bool(len(s)) and i is not None and d not in seen)
+                local.append(seen.setdefault(d, i) if len(s) and i is not None else i)
+            sketch = np.zeros((len(sets), BITS // 64), U64)
             sketch[np.array(new, bool)] = sketches([s for s, x in zip(sets, new, strict=True) if x])
             light, light_c, heavy = [], [], []
             for s, x in zip(sets, new, strict=True):
@@ -174,29 +198,31 @@ def set_table(docs: DataFrame, rule: Rule, frequent: np.ndarray) -> DataFrame:
                 else:
                     heavy.append(none)
             h = np.array(digest, np.int64).reshape(-1, 2)
-            words_ = sketch.view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(words_[:, 0]), pa.array(words_[:, 1]), lists(light, np.int64), lists(light_c, np.int32), lists(heavy, np.int64)], [f.split()[0] for f in SETS.split(", ")])
+            columns = [pa.array([len(s) for s in sets], pa.int64()), *(pa.array(x) for x in (h[:, 0], h[:, 1], *sketch.view(np.int64).T)), pa.array(local, pa.int64())]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns, lists(light, np.int64), lists(light_c, np.int32), lists(heavy, np.int64)], [f.split()[0] for f in SETS.split(", ")])
 
-    return staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes("text").alias("text")).mapInArrow(run, SETS))
+    return staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("id"), as_bytes("text").alias("text")).mapInArrow(run, SETS))
 
 
 def light_links(sets: DataFrame, rule: Rule) -> DataFrame:
-    """Links through a shared subset, from each member to the smallest set under the key."""
-    rows = sets.filter(F.size("light") > 0).select("doc_id", "n", F.explode(F.arrays_zip("light", "light_c")).alias("k")).select("doc_id", "n", F.col("k.light").alias("key"), F.col("k.light_c").alias("c"))
-    w = Window.partitionBy("key", "c").orderBy("n", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hub = rows.withColumn("hub", F.first(F.struct("n", "doc_id")).over(w))
-    return hub.filter((F.col("hub.doc_id") != F.col("doc_id")) & ((rule.num + rule.den) * F.col("c") >= rule.num * (F.col("n") + F.col("hub.n")))).select(F.col("doc_id").alias("a"), F.col("hub.doc_id").alias("b")).distinct()
+    """Links through a shared subset, from each member to the smallest set under the key.
+
+    Whoever shares a subset that two members need shares enough with the smallest of them, so no link is lost.
+    """
+    rows = sets.filter(F.size("light") > 0).select("id", "n", F.explode(F.arrays_zip("light", "light_c")).alias("k")).select("id", "n", F.col("k.light").alias("key"), F.col("k.light_c").alias("c"))
+    hubs = rows.groupBy("key", "c").agg(F.min(F.struct("n", "id")).alias("hub"), F.count("*").alias("members")).filter("members > 1").drop("members")
+    near = (F.col("hub.id") != F.col("id")) & ((rule.num + rule.den) * F.col("c") >= rule.num * (F.col("n") + F.col("hub.n")))
+    return rows.join(hubs, ["key", "c"]).filter(near).select(F.col("id").alias("a"), F.col("hub.id").alias("b")).distinct()
 
 
 def _similar(sketch: np.ndarray, agree: int) -> list[tuple[int, int]]:
     """Links that connect all members whose sketches agree in ``agree`` bits, directly or through others."""
-    n = len(sketch)
-    label, out = np.arange(n), []
-    for p in range(n):
-        if (label == label[0]).all():
+    label, out = np.arange(len(sketch)), []
+    for p in range(len(sketch)):
+        others = np.flatnonzero(label != label[p])
+        if not len(others):
             break
-        far = np.bitwise_count(sketch ^ sketch[p]).sum(1)
-        near = np.flatnonzero((far <= BITS - agree) & (label != label[p]))
+        near = others[np.bitwise_count(sketch[others] ^ sketch[p]).sum(1) <= BITS - agree]
         if len(near):
             out += [(p, int(q)) for q in near]
             label[np.isin(label, label[near])] = label[p]
@@ -204,7 +230,7 @@ def _similar(sketch: np.ndarray, agree: int) -> list[tuple[int, int]]:
 
 
 def scan_lists(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Candidate links (a, b) from index rows (key, doc_id, s0, s1)."""
+    """Candidate links (a, b) from index rows (key, id, s0, s1, s2, s3)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[int, int] = {}  # what this task has linked so far: a link inside a component is not sent
@@ -228,7 +254,7 @@ def scan_lists(rows: DataFrame, rule: Rule) -> DataFrame:
             return out
 
         def close(m: np.ndarray) -> list[tuple[int, int]]:
-            """m: key, id, s0, s1 of whole lists in order."""
+            """m: key, id and sketch of whole lists in order."""
             edge = np.flatnonzero(np.append(True, m[1:, 0] != m[:-1, 0]))
             size = np.diff(np.append(edge, len(m)))
             two = edge[size == 2]
@@ -302,17 +328,10 @@ def linked(sets: list[np.ndarray], rule: Rule) -> np.ndarray:
     return label
 
 
-def verified(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
-    """Exact links (a, b) within candidate components; ``members``: id, component, n."""
-    total = members.groupBy("component").agg(F.count("*").alias("k"), F.sum("n").alias("total"))
-    blocks = F.greatest(F.ceil(F.col("k") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    rows = members.join(total.select("component", blocks.alias("blocks")), "component")
-    b = F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int")
-    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: (F.col("blocks") == 1) | (x != F.col("b"))))
-    rows = rows.withColumn("b", b).withColumn("o", other).select("id", "component", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), as_bytes("text").alias("text"))
+def block_links(rows: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """Exact links that connect the members of each block as their links do; ``rows``: id, component, i, j (the block)."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.join(texts, "id").select("component", "i", "j", "id", "text").repartition(n, "component", "i", "j").sortWithinPartitions("component", "i", "j", "id")
+    dealt = rows.join(docs, "id").select("component", "i", "j", "id", "text").repartition(n, "component", "i", "j").sortWithinPartitions("component", "i", "j", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, sets = None, [], []
@@ -334,7 +353,7 @@ def verified(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
                     if (out := close()) is not None:
                         yield out
                     key, ids, sets = k, [], []
-                if len(s):
+                if len(s) and (not ids or ids[-1] != i):
                     ids.append(i)
                     sets.append(s)
         if (out := close()) is not None:
@@ -343,32 +362,77 @@ def verified(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def components(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs``."""
-    rule = Rule(size, num, den)
-    sets = set_table(docs, rule, frequent_shingles(docs, rule))
-    some = sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = some.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
-    member = staged(some.select("doc_id", "n", "h1", "h2").join(classes, ["h1", "h2"]).select("doc_id", "n", "rep"))
-    keys = some.filter(F.size("heavy") > 0).select(F.explode("heavy").alias("key"), "doc_id", "s0", "s1")
-    reps = member.select("doc_id", "rep").distinct()
+def _blocks(k: str, total: str) -> Column:
+    return F.greatest(F.ceil(F.col(k) / BLOCK_SETS), F.ceil(F.col(total) / BLOCK_SHINGLES), F.lit(1)).cast("long")
+
+
+def verified(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
+    """Exact links (a, b) that connect candidate components as their links do; ``docs``: id, text; ``members``: id, component, n."""
+    total = members.groupBy("component").agg(F.count("*").alias("k"), F.sum("n").alias("total"))
+    members = staged(members.join(total.select("component", _blocks("k", "total").alias("blocks")), "component"))
+    deal = lambda m: F.pmod(F.xxhash64("id"), m)
+    up_to = lambda m: F.sequence(F.lit(0).cast("long"), m - 1)
+    own = F.when(F.col("id") == F.col("component"), up_to(F.col("blocks"))).otherwise(F.array(deal(F.col("blocks"))))
+    first = staged(block_links(members.select("id", "component", F.explode(own).alias("i"), F.lit(0).cast("long").alias("j")), docs, rule))
+    large = members.filter("blocks > 1")
+    if large.isEmpty():
+        return first
+    # pieces of large components: all pairs of pieces but none within the largest one
+    pieces = connected_components(first).withColumnRenamed("component", "piece")
+    large = large.join(pieces, "id", "left").withColumn("piece", F.coalesce("piece", "id"))
+    sizes = large.groupBy("component", "piece").agg(F.count("*").alias("k"), F.sum("n").alias("total"))
+    main = sizes.groupBy("component").agg(F.max_by("piece", F.struct("k", "piece")).alias("main"), F.max(F.struct("k", "piece", "total")).alias("m"), F.sum("k").alias("k"), F.sum("total").alias("total"), F.count("*").alias("pieces")).filter("pieces > 1")
+    main = main.select("component", "main", F.col("m.k").alias("main_k"), F.col("m.total").alias("main_total"), (F.col("k") - F.col("m.k")).alias("k"), (F.col("total") - F.col("m.total")).alias("total"))
+    main = main.select("component", "main", _blocks("main_k", "main_total").alias("main_blocks"), _blocks("k", "total").alias("blocks"))
+    rows = large.select("id", "component", "piece").join(main, "component")
+    b, m = deal(F.col("blocks")), deal(F.col("main_blocks"))
+    of_main = F.transform(up_to(F.col("blocks")), lambda x: F.struct((-1 - m).alias("i"), x.alias("j")))
+    with_main = F.transform(up_to(F.col("main_blocks")), lambda x: F.struct((-1 - x).alias("i"), b.alias("j")))
+    among = F.transform(up_to(F.col("blocks")), lambda x: F.struct(F.least(x, b).alias("i"), F.greatest(x, b).alias("j")))
+    rows = rows.select("id", "component", F.explode(F.when(F.col("piece") == F.col("main"), of_main).otherwise(F.concat(with_main, among))).alias("at")).select("id", "component", "at.i", "at.j")
+    return first.unionByName(block_links(rows, docs, rule))
+
+
+def labelled(docs: DataFrame, rule: Rule) -> tuple[DataFrame, Column, bool]:
+    """(doc_id, id, n, component) of every row, component being the smallest key reachable; the key, and whether it is the id."""
+    key, plain = keyed(docs)
+    sets = set_table(docs, key, rule, frequent_shingles(docs, rule))
+    some = sets.filter((F.col("n") > 0) & F.col("id").isNotNull())
+    classes = some.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
+    leads = staged(some.filter("id = local").select("id", "n", "h1", "h2").distinct().join(classes, ["h1", "h2"]).select(F.col("id").alias("local"), "n", "rep"))
+    keys = some.filter(F.size("heavy") > 0).select(F.explode("heavy").alias("key"), "id", "s0", "s1", "s2", "s3")
 
     def by_rep(links: DataFrame) -> DataFrame:
         for end in ("a", "b"):
-            links = links.join(reps.select(F.col("doc_id").alias(end), F.col("rep").alias(f"{end}_rep")), end).drop(end).withColumnRenamed(f"{end}_rep", end)
+            links = links.join(leads.select(F.col("local").alias(end), F.col("rep").alias(f"{end}_rep")), end).drop(end).withColumnRenamed(f"{end}_rep", end)
         return links.filter("a <> b").distinct()
 
     candidates = connected_components(by_rep(scan_lists(keys, rule)))
-    sizes = member.filter("doc_id = rep").groupBy(F.col("rep").alias("id")).agg(F.max("n").alias("n"))
-    exact = verified(docs, candidates.join(sizes, "id"), rule)
+    sizes = leads.groupBy(F.col("rep").alias("id")).agg(F.max("n").alias("n"))
+    texts = docs.select(key.alias("id"), as_bytes("text").alias("text"))
+    exact = verified(texts if plain else texts.dropDuplicates(["id"]), candidates.join(sizes, "id"), rule)
     label = connected_components(by_rep(light_links(some, rule)).unionByName(exact.select("a", "b")))
-    named = member.join(label.withColumnRenamed("id", "rep"), "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
-    alone = sets.filter((F.col("n") == 0) | F.col("doc_id").isNull()).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return named.unionByName(alone)
+    named = leads.join(label.withColumnRenamed("id", "rep"), "rep", "left").select("local", F.coalesce("component", "rep").alias("component"))
+    named = some.select("doc_id", "id", "n", "local").join(named, "local").select("doc_id", "id", "n", "component")
+    alone = sets.filter((F.col("n") == 0) | F.col("id").isNull()).select("doc_id", "id", "n", F.col("id").alias("component"))
+    return named.unionByName(alone), key, plain
 
 
-def first_of_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its component: one document of each group."""
-    keep = components(docs, size, num, den).filter(F.col("doc_id").eqNullSafe(F.col("component_id")) | F.col("doc_id").isNull()).select("doc_id").distinct()
-    one = docs.join(keep.filter("doc_id is not null"), "doc_id", "left_semi").select(*docs.columns)
-    return one.unionByName(docs.filter("doc_id is null"))
+def components(docs: DataFrame, size: int, num: int, den: int, exact: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs``."""
+    rows, _, plain = labelled(docs, Rule(size, num, den, exact))
+    if not plain:  # the smallest key isn't the smallest id
+        rows = staged(rows)
+        rows = rows.join(rows.groupBy("component").agg(F.min("doc_id").alias("least")), "component", "left").withColumn("component", F.col("least"))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def first_of_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, exact: bool = False) -> DataFrame:
+    """One document of each component, that of the smallest doc_id, with the columns of ``docs``; rows without an id all stay."""
+    rows, key, plain = labelled(docs, Rule(size, num, den, exact))
+    rows = rows.filter(F.col("id").isNotNull())
+    first = rows.filter("id = component").select("id") if plain else rows.groupBy("component").agg(F.min(F.struct("doc_id", "id")).alias("f")).select("f.id")
+    name = unused_name(docs, "key")
+    own = docs.withColumn(name, key)
+    one = own.join(first.select(F.col("id").alias(name)), name, "left_semi")
+    return one.unionByName(own.filter(F.col(name).isNull())).select(*[F.col(f"`{c}`") for c in docs.columns])
