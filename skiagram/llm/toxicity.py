@@ -10,7 +10,7 @@ task and in id order, which makes it repeatable; only the weights reach the driv
 
 Null and empty texts have no features and get the score of the bias.  Rows with a null label do not train; if there are no
 labelled rows all scores are 0.  Very long texts are read whole.  Repeated ids in the labels count once for each pair of rows.
-Other columns are not read; an empty table gives no rows.
+Other columns, whatever their names, are kept by ``without_toxic``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from skiagram.llm.shared import TO_LOWER, U64, as_bytes, bounded_sample, chunks, held_out, mix, prefix_hash, span_hash, words
+from skiagram.llm.shared import TO_LOWER, U64, as_bytes, bounded_sample, chunks, held_out, mix, prefix_hash, span_hash, unused_name, words
 
 MOST, BITS = 20_000, 22
 ALPHA, BETA, L1, L2, EPOCHS = 3.0, 1.0, 5.0, 0.01, 6
@@ -34,11 +35,12 @@ def features(data: np.ndarray, at: np.ndarray, bits: int = BITS) -> Iterator[np.
     """Distinct hashed features of each document of a chunk."""
     data = TO_LOWER[data]
     start, end, before = words(data, at)
-    for _ in range(3):  # up to three marks at each end
-        longer = end - start > 1
-        start = start + (longer & _TRIM[data[np.minimum(start, len(data) - 1)]]) if len(data) else start
-        longer = end - start > 1
-        end = end - (longer & _TRIM[data[end - 1]]) if len(data) else end
+    if len(start):  # all marks at the ends go; a word of marks alone stays as it is
+        inner = np.flatnonzero(~_TRIM[data])
+        low, high = np.searchsorted(inner, start), np.searchsorted(inner, end) - 1
+        some = low <= high
+        start = np.where(some, inner[np.minimum(low, len(inner) - 1)], start) if len(inner) else start
+        end = np.where(some, inner[np.maximum(high, 0)] + 1, end) if len(inner) else end
     h = span_hash(prefix_hash(data), start, end)
     down = U64(64 - bits)
     one = mix(h + U64(1)) >> down
@@ -102,31 +104,30 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     return got["i"].to_numpy(np.int64), got["w"].to_numpy(np.float64)
 
 
-def scored(docs: DataFrame, index: np.ndarray, weight: np.ndarray, keep: list[str] | None = None) -> DataFrame:
-    """The kept columns of ``docs`` (doc_id alone without ``keep``) and ``_toxicity``, the probability of label 1."""
+def scored(docs: DataFrame, index: np.ndarray, weight: np.ndarray, score: str = "score") -> DataFrame:
+    """``docs`` with a column ``score`` (a name that it hasn't), the probability of label 1."""
     broadcast = docs.sparkSession.sparkContext.broadcast((index, weight))
-    columns = [c for c in keep or ["doc_id"]]
-    rows = docs.select(*columns, as_bytes("text").alias("_bytes"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", _toxicity double"
+    schema = StructType([*docs.schema.fields, StructField(score, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, weight = broadcast.value
         table = np.zeros((1 << BITS) + 1, np.float32)
         table[index] = weight
         bias = float(table[-1])
-        for part, data, at in chunks(batches, "_bytes", 1 << 19):
+        for part, data, at in chunks(batches, "text", 1 << 19):
             s = np.array([bias + float(table[f].sum()) for f in features(data, at)])
             p = 1 / (1 + np.exp(-np.clip(s, -35, 35))) if len(index) else np.zeros(len(s))
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(p)], [*part.schema.names[:-1], "_toxicity"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p)], [*part.schema.names, score])
 
-    return rows.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST) -> DataFrame:
-    out = scored(docs, *train(docs, labels, most=most))
-    return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("_toxicity").alias("score"), (F.col("_toxicity") >= 0.5).cast("int").alias("predicted"))
+    out = scored(docs.select("doc_id", "text"), *train(docs, labels, most=most))
+    return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, most: int = MOST) -> DataFrame:
     """The rows of ``docs`` with a score below 0.5, columns unchanged."""
-    return scored(docs, *train(docs, labels, most=most), keep=docs.columns).filter(F.col("_toxicity") < 0.5).select(*docs.columns)
+    name = unused_name(docs, "score")
+    return scored(docs, *train(docs, labels, most=most), name).filter(F.col(name) < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
