@@ -50,7 +50,7 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.exact_top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", F.col("id") % 100 == 0)
+    return topk.exact_top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", F.col("id") % 100 == 0).select("query_id", "rank", "vec_id", "score")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,17 +1,21 @@
 """Exact top-k by integer inner product, block at a time.
 
-Vectors are quantised to integers and packed, in ranges of ids, into blocks: a dense forward index (ids x dimensions) with the
-largest and smallest value of every dimension.  A dimension acts as a term; the most it can add to a query's score is the
+Vectors are quantised to integers, put in an order in which vectors that point the same way stand together (by the places and
+signs of their largest components, then by id), and packed, in ranges of that order, into blocks: a dense forward index (ids x
+dimensions) with the largest and smallest value of every dimension.  A dimension acts as a term; the most it can add to a query's score is the
 larger of weight x maximum and weight x minimum.  Summed over dimensions this bounds the score of every vector in the block.
 Each query takes the blocks in order of falling bounds and scores them through the forward index until the bound falls below
 its k-th score, so the result is exact.  Ties go to the smaller id; a block whose bound equals the k-th score is still read.
+How many blocks that spares depends on the vectors (``visits`` tells): where they lie in clusters or have few large components,
+most; where they point every way alike in tens of dimensions, none, as the maxima of any two vectors already bound too loosely.
 
 Distribution: candidate blocks are dealt to groups of bounded size and sets of query blocks of bounded size meet each group,
 so a task holds one group and one set of query blocks.  Only k rows for each query and group leave a task; a window over these keeps k.
 
 Vectors that are null or hold a null or non-finite component take no part, neither as queries nor as candidates.  Shorter
-vectors count as padded with zeros.  Repeated ids are separate candidates; none of them answers the query of its own id.  An
-empty table gives no rows.  Other columns are not read.
+vectors count as padded with zeros.  Rows that share an id are separate candidates and separate queries, told apart by
+query_copy (0 for the first of an id in the order of its vectors), and answer each other.  An empty table gives no rows.  Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -24,36 +28,47 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK, GROUP_BLOCKS, QUERY_BLOCK = 128, 64, 1024
-PACKED = "dims int, n int, ids binary, vectors binary, low long"
-_ARROW = pa.schema([("dims", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("vectors", pa.binary()), ("low", pa.int64())])
+LEADING = 4
+PACKED = "dims int, n int, ids binary, copies binary, vectors binary, low long"
+_ARROW = pa.schema([("dims", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("copies", pa.binary()), ("vectors", pa.binary()), ("low", pa.int64())])
 
 
 def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """(id, v array<long>) of the vectors that take part."""
+    """(id, copy, v array<long>) of the vectors that take part; copy numbers the rows of one id."""
     v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
     bad = F.exists(F.col("_v"), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return (
+    rows = (
         vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("_v"))
         .filter(F.col("_v").isNotNull() & F.col("id").isNotNull() & ~bad)
         .select("id", F.transform("_v", lambda x: F.floor(x * scale).cast("long")).alias("v"))
     )
+    n, ids = rows.agg(F.count("*"), F.count_distinct("id")).first()
+    copy = F.lit(0) if n == ids else F.row_number().over(Window.partitionBy("id").orderBy("v")) - 1
+    return rows.select("id", copy.cast("int").alias("copy"), "v")
+
+
+def direction(v):
+    """Places and signs of the largest components, largest first: alike for vectors that point the same way."""
+    largest = F.slice(F.array_sort(F.transform(v, lambda x, i: F.struct((-F.abs(x)).alias("a"), F.when(x < 0, -1 - i).otherwise(i).alias("i")))), 1, LEADING)
+    return F.transform(largest, lambda x: x["i"])
 
 
 def packed(rows: DataFrame, size: int, order: bool) -> DataFrame:
-    """Blocks of up to ``size`` vectors; with ``order`` a block is a range of ids."""
+    """Blocks of up to ``size`` vectors; with ``order`` a block is a range of the order by direction and id."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def block(ids: list[np.ndarray], vs: list[np.ndarray]) -> pa.RecordBatch:
+        def block(ids: list[np.ndarray], copies: list[np.ndarray], vs: list[np.ndarray]) -> pa.RecordBatch:
             dims = max(x.shape[1] for x in vs)
             m = np.concatenate([np.pad(x, ((0, 0), (0, dims - x.shape[1]))) for x in vs])
             i = np.concatenate(ids)
-            return pa.RecordBatch.from_arrays([pa.array([dims], pa.int32()), pa.array([len(i)], pa.int32()), pa.array([i.tobytes()]), pa.array([m.tobytes()]), pa.array([int(i[0])])], schema=_ARROW)
+            return pa.RecordBatch.from_arrays([pa.array([dims], pa.int32()), pa.array([len(i)], pa.int32()), pa.array([i.tobytes()]), pa.array([np.concatenate(copies).tobytes()]), pa.array([m.tobytes()]), pa.array([int(i[0])])], schema=_ARROW)
 
         ids: list[np.ndarray] = []
+        copies: list[np.ndarray] = []
         vs: list[np.ndarray] = []
         have = 0
         for batch in batches:
-            got, lists = batch.column(0).to_numpy(), batch.column(1)
+            got, copy, lists = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
             at = lists.offsets.to_numpy()
             values = lists.values.to_numpy()
             width = np.diff(at)
@@ -62,33 +77,36 @@ def packed(rows: DataFrame, size: int, order: bool) -> DataFrame:
                 end = min(len(got), row + size - have)
                 end = row + int(np.argmax(np.append(width[row:end] != width[row], True)))  # a run of one length
                 ids.append(got[row:end])
+                copies.append(copy[row:end])
                 vs.append(values[at[row] : at[end]].reshape(end - row, width[row]))
                 have, row = have + end - row, end
                 if have == size:
-                    yield block(ids, vs)
-                    ids, vs, have = [], [], 0
+                    yield block(ids, copies, vs)
+                    ids, copies, vs, have = [], [], [], 0
         if have:
-            yield block(ids, vs)
+            yield block(ids, copies, vs)
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, "id").sortWithinPartitions("id") if order else rows
-    return dealt.mapInArrow(pack, PACKED)
+    if order:
+        way = rows.withColumn("way", direction(F.col("v")))
+        rows = way.repartitionByRange(n, "way", "id", "copy").sortWithinPartitions("way", "id", "copy").drop("way")
+    return rows.mapInArrow(pack, PACKED)
 
 
-def _matrix(row: dict, dims: int) -> tuple[np.ndarray, np.ndarray]:
+def _matrix(row: dict, dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     m = np.frombuffer(row["vectors"], np.int64).reshape(row["n"], row["dims"])
-    return np.frombuffer(row["ids"], np.int64), np.pad(m, ((0, 0), (0, dims - row["dims"]))) if dims > row["dims"] else m
+    return np.frombuffer(row["ids"], np.int64), np.pad(m, ((0, 0), (0, dims - row["dims"]))) if dims > row["dims"] else m, np.frombuffer(row["copies"], np.int32)
 
 
-def search(query_rows: list[dict], block_rows: list[dict], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """query ids, candidate ids and scores of the k best of these blocks, and how many block visits it took."""
+def search(query_rows: list[dict], block_rows: list[dict], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Query ids and copies, candidate ids and scores of the k best of these blocks, and how many block visits it took."""
     dims = max(r["dims"] for r in query_rows + block_rows)
     qs = [_matrix(r, dims) for r in query_rows]
-    qid, q = np.concatenate([x[0] for x in qs]), np.concatenate([x[1] for x in qs])
+    qid, q, q_copy = (np.concatenate([x[i] for x in qs]) for i in range(3))
     blocks = [_matrix(r, dims) for r in block_rows]
-    small = max(np.abs(q).max(initial=0), max(np.abs(m).max(initial=0) for _, m in blocks)) ** 2 * max(dims, 1) < 1 << 52
+    small = max(np.abs(q).max(initial=0), max(np.abs(m).max(initial=0) for _, m, _ in blocks)) ** 2 * max(dims, 1) < 1 << 52
     q = q.astype(np.float64) if small else q  # exact either way; doubles go through BLAS
-    index = [m.astype(np.float64) if small else m for _, m in blocks]
+    index = [m.astype(np.float64) if small else m for _, m, _ in blocks]
     top, bottom = np.array([m.max(0) for m in index]), np.array([m.min(0) for m in index])
     bounds = np.where(q > 0, q, 0) @ top.T + np.where(q < 0, q, 0) @ bottom.T
     order = np.argsort(-bounds, 1, kind="stable")
@@ -107,17 +125,17 @@ def search(query_rows: list[dict], block_rows: list[dict], k: int) -> tuple[np.n
             rows = going[at == b]
             ids = np.broadcast_to(blocks[b][0], (len(rows), len(blocks[b][0])))
             score = q[rows] @ index[b].T
-            own = ids == qid[rows, None]
+            own = (ids == qid[rows, None]) & (blocks[b][2] == q_copy[rows, None])
             score = np.concatenate([best[rows], np.where(own, least, score)], 1)
             ids = np.concatenate([who[rows], np.where(own, np.iinfo(np.int64).max, ids)], 1)
             pick = np.lexsort((ids, -score), axis=1)[:, :k]
             best[rows], who[rows] = np.take_along_axis(score, pick, 1), np.take_along_axis(ids, pick, 1)
     keep = who != np.iinfo(np.int64).max
-    return np.repeat(qid, keep.sum(1)), who[keep], best[keep].astype(np.int64), visits
+    return np.repeat(qid, keep.sum(1)), np.repeat(q_copy, keep.sum(1)), who[keep], best[keep].astype(np.int64), visits
 
 
-def exact_top_k(vectors: DataFrame, id_col: str, vec_col: str, is_query, k: int = 10, scale: int = 1024) -> DataFrame:
-    """query_id, rank, vec_id, score; ``is_query`` is a condition on the column ``id``."""
+def dealt(vectors: DataFrame, id_col: str, vec_col: str, is_query, scale: int):
+    """Query blocks and candidate blocks, grouped by g and q so that each query block meets each candidate block once."""
     rows = quantised(vectors, id_col, vec_col, scale)
     n, n_queries = rows.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     n_groups, n_sets = max(1, -(-n // (BLOCK * GROUP_BLOCKS))), max(1, -(-n_queries // (4 * QUERY_BLOCK)))
@@ -126,12 +144,32 @@ def exact_top_k(vectors: DataFrame, id_col: str, vec_col: str, is_query, k: int
     blocks = packed(rows, BLOCK, order=True).withColumn("g", part(n_groups)).withColumn("q", every(n_sets))
     queries = packed(rows.filter(is_query), QUERY_BLOCK, order=False).withColumn("q", part(n_sets)).withColumn("g", every(n_groups))
 
+    return queries.groupBy("g", "q").cogroup(blocks.groupBy("g", "q"))
+
+
+def exact_top_k(vectors: DataFrame, id_col: str, vec_col: str, is_query, k: int = 10, scale: int = 1024) -> DataFrame:
+    """query_id, rank, vec_id, score, query_copy; ``is_query`` is a condition on the column ``id``."""
+
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         q = v = s = np.zeros(0, np.int64)
+        c = np.zeros(0, np.int32)
+        if left.num_rows and right.num_rows:
+            q, c, v, s, _ = search(left.to_pylist(), right.to_pylist(), k)
+        return pa.table({"query_id": pa.array(q), "query_copy": pa.array(c), "vec_id": pa.array(v), "score": pa.array(s)})
+
+    best = dealt(vectors, id_col, vec_col, is_query, scale).applyInArrow(scored, "query_id long, query_copy int, vec_id long, score long")
+    w = Window.partitionBy("query_id", "query_copy").orderBy(F.desc("score"), "vec_id")
+    return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "query_copy")
+
+
+def visits(vectors: DataFrame, id_col: str, vec_col: str, is_query, k: int = 10, scale: int = 1024) -> DataFrame:
+    """One row: block visits that the search makes, and how many there would be without bounds."""
+
+    def counted(left: pa.Table, right: pa.Table) -> pa.Table:
+        made = possible = 0
         if left.num_rows and right.num_rows:
-            q, v, s, _ = search(left.to_pylist(), right.to_pylist(), k)
-        return pa.table({"query_id": pa.array(q), "vec_id": pa.array(v), "score": pa.array(s)})
+            made = search(left.to_pylist(), right.to_pylist(), k)[-1]
+            possible = sum(left.column("n").to_pylist()) * right.num_rows
+        return pa.table({"made": pa.array([made]), "possible": pa.array([possible])})
 
-    best = queries.groupBy("g", "q").cogroup(blocks.groupBy("g", "q")).applyInArrow(scored, "query_id long, vec_id long, score long")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return dealt(vectors, id_col, vec_col, is_query, scale).applyInArrow(counted, "made long, possible long").agg(F.sum("made").alias("made"), F.sum("possible").alias("possible"))
