@@ -2,34 +2,69 @@
 
 Each stage gets what its predecessor kept, read back from Parquet, and all but the last return the columns of documents.
 Near copies are texts of a five-word shingle similarity of 0.8 or more, directly or through others; the smallest doc_id stays.
+A stage deletes the working tables of the stage before, whose rows are written by then.
 SQL can't express the stages (a trained model, exact set joins over whole texts, byte spans), so there is no ORACLE_SQL.
+
+All stages: an empty table gives no rows; texts of any length are read whole; other columns, whatever their names, are kept by
+all but the last stage.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from skiagram.llm import bpe, jaccard, mixing, repeats, toxicity
-from skiagram.llm.shared import staged
+from skiagram.llm.shared import collecting, discard, staged
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_working: list[str] = []
+
+
+def stage(f: Stage) -> Stage:
+    @wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(spark, _working)
+        with collecting(_working):
+            return f(spark, docs, sf_dir)
+
+    return run_stage
 
 
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows with a toxicity score below 0.5.  Null and empty texts get the score of the bias, so they stay where toxic texts are
+    the fewer; repeated rows share a verdict; rows without a label or a doc_id are judged like others but don't train."""
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group, that of the smallest doc_id.  Texts without a word (null, empty) are in no group and stay, as do
+    rows without a doc_id; rows equal in doc_id and text are one document and stay together; rows that share a doc_id only are
+    documents of their own."""
     return jaccard.first_of_components(docs, 5, 80, 100)
 
 
+@stage
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, without bytes of 100-byte strings that start earlier; null texts stay null, texts may become empty; rows equal in
+    doc_id and text are cut alike; a null doc_id comes first."""
     return repeats.without_repeats(docs)
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows in the order of the mixture.  A null source is a source; null ids come first; equal ids are ordered by a hash of
+    the row."""
     return mixing.in_mix_order(docs)
 
 
+@stage
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row of ids and digests for each row; a null or empty text has none and the digests of nothing."""
     import public_tokenizers
 
     return bpe.encode_column(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
@@ -41,6 +76,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir))
+    before: list[str] = []
+    for _, f in STAGES:
+        now: list[str] = []
+        docs = staged(f(spark, docs, sf_dir), now)
+        discard(spark, before)
+        before = now
+    discard(spark, _working)
     return docs
