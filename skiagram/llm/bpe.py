@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skiagram.llm.pretokens import KEPT, LONGEST, PieceIds
+from skiagram.llm.pretokens import KEPT, LONGEST, PieceIds, cuts_at_spaces
 from skiagram.llm.shared import chunks
 
 #: One printable code point for each byte: Latin Extended-A and on, no white space and no special character among them.
@@ -73,7 +73,8 @@ class RankCodec:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(self.ranks))
         self.entries = [e for e, _ in sorted(self.ranks.items(), key=lambda x: x[1])]
         self.known: dict[str, bytes] = {}
-        self.pieces = PieceIds(self._encode_pieces)
+        # a pattern whose tokens cross single spaces has whole texts split
+        self.pieces = PieceIds(self._encode_pieces, cut=cuts_at_spaces(self.split))
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         split = [self.split(p) for p in pieces]

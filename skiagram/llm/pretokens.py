@@ -24,11 +24,20 @@ UNEVEN = rf"{_SPACE}{_SPACE}|^{_SPACE}|{_SPACE}$"
 NONE = np.zeros(0, "<u4")
 
 
+#: One character of each kind that patterns tell apart, and contractions.
+KINDS = ["a", "Z", "é", "ж", "漢", "ا", "1", "٣", ".", "'", "-", "€", "\U0001f600", "\u0301", "\x00", "'s", "ab12", "_"]
+
+
+def cuts_at_spaces(split: Callable[[str], list[str]]) -> bool:
+    """Whether a pattern splits a text before a single space as it splits the two parts, for all kinds of characters around it."""
+    return all(split(f"{a} {b}") == split(a) + split(f" {b}") for a in KINDS for b in KINDS)
+
+
 class PieceIds:
     """``encode_many`` gives the ids, as little-endian unsigned 32-bit integers, of each of a list of strings."""
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], kept: int = KEPT) -> None:
-        self.encode_many, self.most = encode_many, kept
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], kept: int = KEPT, cut: bool = True) -> None:
+        self.encode_many, self.most, self.cut = encode_many, kept, cut
         self.kept: dict[str, bytes] = {}  # pieces after a space, without it
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
@@ -64,6 +73,8 @@ class PieceIds:
     def encode_array(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a string column; null is empty."""
         texts = texts.fill_null("")
+        if not self.cut:
+            return [np.frombuffer(ids, "<u4") for ids in self.encode_many(texts.to_pylist())]
         uneven = np.asarray(pc.match_substring_regex(texts, UNEVEN)) | (np.asarray(pc.binary_length(texts)) == 0)
         out: list[np.ndarray] = [NONE] * len(texts)
         even = np.flatnonzero(~uneven)
