@@ -1,31 +1,45 @@
 """Main text of web pages by a minimum cut over their blocks.
 
 A page is cut into blocks at block-level tags.  A log-linear classifier gives each block the cost of calling it content and that
-of calling it boilerplate, from its link share, length, marks, and the names (tag, class, id, role) of the elements around it;
-these costs are the capacities from the source and to the sink.  Edges between neighbours in page order and between blocks under
-the same parent, weaker the farther apart they stand in the DOM, are the smoothness costs.  The maximum flow gives the cut of
-least total cost, and the blocks on the source side are the main text.
+of calling it boilerplate; these costs are the capacities from the source and to the sink.  Edges between neighbours in page
+order and between neighbours under the same parent, weaker the farther apart they stand in the DOM, are the smoothness costs.
+The maximum flow gives the cut of least total cost, and the blocks on the source side are the main text.
 
-Script, style, title, form controls and the like hold no text at all.  Blocks inside elements whose meaning is fixed
-(nav, footer, aside, form ...) get a cost that no smoothness outweighs.  A name that tells of boilerplate (class, id, role) is only
-a doubt: it ends at an article or main inside, and long text outweighs it.  On a page without other content it is less the more of
-the text the element holds, and nothing from half of the text on.  Character references are decoded, white space inside a
-block becomes one space, empty blocks vanish, blocks are joined in page order by one space.
+Features of the classifier: length, link share, digits and marks, a sentence mark at the end, a copyright sign, heading, distance to
+the longest block, a place before the first heading or at the end, and what the elements around say by tag and name (class, id, role): inside an article or main part or not, and a doubt by
+names that tell of boilerplate.  A doubt ends at an article or main inside; on a page without other content it is less the more
+of the text the element holds, and nothing from half of the text on.  There are two sets of weights: for pages that mark their
+content by tags or names, and for plain pages, which don't.
+
+There are no labelled pages, so ``train`` lets pages that mark their content teach: their blocks are labelled by the marks, and
+the weights are fitted by penalised likelihood, for plain pages with all marks hidden, so that text alone must tell.  The penalty
+pulls towards ``PRIOR``, which also serves tables without such pages.  Training reads about ``MOST_PAGES`` pages, a hash sample,
+and at most ``BLOCKS_A_PAGE`` evenly spread blocks of each; both bounds are parameters and concern the fit alone.
+
+Script, style, title, form controls and the like hold no text at all.  Blocks inside elements whose meaning is fixed (nav,
+footer, aside, form ...) are tied to the sink.  Character references are decoded, white space inside a block becomes one space,
+empty blocks vanish, blocks are joined in page order by one space.
 
 Null and empty pages give the empty text.  Unclosed and misnested markup, stray angle brackets and unfinished comments are
-read to the end.  Pages of any length are read whole.  Repeated rows get equal rows; an empty table gives no rows.
+read to the end, in time that grows with the length and depth of a page and not with their squares.  Pages of any length are
+read whole.  Repeated rows get equal rows; columns other than those asked for are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from skiagram.llm.shared import bounded_sample
 
 # Element names of HTML by role.
 SILENT = frozenset("script style noscript template title textarea select option button svg math object iframe canvas audio video head datalist".split())
@@ -41,19 +55,61 @@ CONTENT_WORDS = re.compile(r"(?i)(?:^|[\s_-])(?:article\w*|post|entry|content|ma
 
 HEADER_WORDS = re.compile(r"(?i)(?:^|[\s_-])(?:header|top|branding)(?=$|[\s_-])")
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)", re.S)
+TAG_REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 HIDDEN = re.compile(r"(?i)(?:^|;)\s*display\s*:\s*none\b")
 SPACE = re.compile(r"\s+")
-
-SURE, DOUBT = 1e6, 6.0
-
-
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CLOSED_BY_ITSELF = frozenset("li dd dt td th tr".split())
+
+#: Cost that ties a block to the sink; the others are log odds of at most MOST_COST.
+TIED, MOST_COST = 1e6, 12.0
+#: Smoothness between neighbours in page order (over 1 + their distance in the DOM) and under one parent.
+NEXT, SIBLING = 0.6, 0.4
+MOST_PAGES, BLOCKS_A_PAGE = 1_000, 256
+FEATURES = ("bias", "length", "long", "links", "sentence", "heading", "short", "digits", "marks", "rights", "far", "before", "last", "inside", "doubt")
+#: Log odds of content on pages that mark their content, and on plain ones.
+PRIOR = np.array(
+    [
+        [-2.5, 1.0, 0.0, -4.0, 0.4, 0.8, -0.3, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 5.5, -6.0],
+        [0.2, 1.0, 0.0, -4.0, 0.4, 0.8, -0.3, 0.0, 0.0, -2.0, 0.0, -0.5, -0.2, 0.0, -6.0],
+    ]
+)
+
+
+@dataclass(slots=True)
+class Node:
+    """A block-level element: the one around it and how deep it stands."""
+
+    parent: Node | None
+    depth: int
+
+
+@dataclass(slots=True)
+class Scope:
+    """An open element."""
+
+    name: str
+    silent: bool
+    away: bool
+    inside: bool
+    named: int  # the outermost element around whose name tells of boilerplate
+    linked: bool
+    heading: bool
+    node: Node
+    block_at: int  # place on the stack of the nearest block-level element, or -1
+
+
+@dataclass(slots=True)
 class Block:
-    __slots__ = ("text", "linked", "away", "inside", "heading", "path", "named")
-
-    def __init__(self, text: str, linked: int, away: bool, inside: bool, heading: bool, path: tuple, named: int = 0) -> None:
-        self.text, self.linked, self.away, self.inside, self.heading, self.path, self.named = text, linked, away, inside, heading, path, named
+    text: str
+    linked: int
+    away: bool
+    inside: bool
+    heading: bool
+    node: Node
+    named: int
 
 
 def attributes_of(raw: str) -> dict[str, str]:
@@ -64,129 +120,181 @@ def attributes_of(raw: str) -> dict[str, str]:
     return out
 
 
-def blocks(page: str) -> list[Block]:
-    """Blocks of a page in order; an element opens a scope that says whether its text is silent, away or content."""
-    out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool, int, int]] = []  # name, silent, away, inside content, number, outermost element named like boilerplate
-    parts: list[str] = []
-    state = {"linked": 0, "number": 0}
-
-    def flush() -> None:
-        if parts:
-            text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
-            if text:
-                name, _, away, inside, _, named = stack[-1] if stack else ("", False, False, False, 0, 0)
-                heading = any(s[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for s in stack[-3:])
-                out.append(Block(text, state["linked"], away, inside, heading, tuple(s[4] for s in stack if s[0] in BLOCK), named))
-            parts.clear()
-        state["linked"] = 0
-
-    def say(raw: str) -> None:
-        if raw and not (stack and stack[-1][1]):
-            parts.append(raw)
-            if any(s[0] == "a" for s in stack):
-                state["linked"] += len(raw.strip())
-
-    at = 0
+def tokens(page: str) -> Iterator[tuple[str, str, str, int]]:
+    """(kind, name, text or attributes, end) of texts, start and end tags, in order; the end of a start tag is where its text starts.
+
+    Quotes in a tag may hold angle brackets; where they don't close, the next bracket ends the tag.
+    """
+    at, quotes = 0, True
     while at < len(page):
-        m = TOKEN.search(page, at)
+        m = MARKUP.search(page, at)
         if not m:
-            say(page[at:])
-            break
-        say(page[at : m.start()])
-        at, name = m.end(), (m[2] or "").lower()
-        if not name:
+            yield "text", "", page[at:], len(page)
+            return
+        if m.start() > at:
+            yield "text", "", page[at : m.start()], m.start()
+        at = m.end()
+        if m[2] is None:
             if m[0].startswith("<![CDATA["):
-                say(html.escape(m[0][9:-3]))
-            continue
-        if m[1]:
-            if name == "br":
-                parts.append(" ")
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    if any(s[0] in BLOCK for s in stack[k:]):
-                        flush()
-                    del stack[k:]
-                    break
-                if name not in BLOCK and stack[k][0] in BLOCK:
-                    break  # an inline end tag does not close blocks
-            continue
-        if name == "br" or name == "hr":
-            parts.append(" ")
-            if name == "hr":
-                flush()
+                yield "text", "", html.escape(m[0][9:-3]), at
             continue
+        rest = TAG_REST.match(page, at) if quotes else None
+        if rest is None:
+            quotes = False  # nothing from here on has an end outside quotes that would close
+            end = page.find(">", at) + 1
+            if not end:
+                yield "text", "", page[m.start() :], len(page)
+                return
+        else:
+            end = rest.end()
+        raw, at = page[at : end - 1], end
+        sent = yield ("end" if m[1] else "start"), m[2].lower(), raw, at
+        if sent is not None:  # raw text was read up to there
+            at = sent
+            yield "", "", "", at
+
+
+class Reader:
+    """Cuts a page into blocks; an element opens a scope that says whether its text is silent, away or content."""
+
+    def __init__(self) -> None:
+        self.blocks: list[Block] = []
+        self.stack = [Scope("", False, False, False, 0, False, False, Node(None, 0), -1)]
+        self.open: Counter[str] = Counter()
+        self.parts: list[str] = []
+        self.linked = self.number = 0
+
+    def flush(self) -> None:
+        if self.parts:
+            text = SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
+            if text:
+                top = self.stack[-1]
+                self.blocks.append(Block(text, self.linked, top.away, top.inside, top.heading, top.node, top.named))
+            self.parts.clear()
+        self.linked = 0
+
+    def say(self, raw: str) -> None:
+        top = self.stack[-1]
+        if not top.silent:
+            self.parts.append(raw)
+            if top.linked:
+                self.linked += len(raw.strip())
+
+    def close_to(self, k: int) -> None:
+        for scope in self.stack[k:]:
+            self.open[scope.name] -= 1
+        del self.stack[k:]
+
+    def end(self, name: str) -> None:
+        if name == "br":
+            self.parts.append(" ")
+        if not self.open[name]:
+            return
+        lowest = 1 if name in BLOCK else max(1, self.stack[-1].block_at + 1)  # an inline end tag does not close blocks
+        for k in range(len(self.stack) - 1, lowest - 1, -1):
+            if self.stack[k].name == name:
+                if self.stack[-1].block_at >= k:
+                    self.flush()
+                self.close_to(k)
+                return
+
+    def start(self, name: str, raw: str) -> bool:
+        """Whether the element now stands open."""
+        if name in ("br", "hr"):
+            self.parts.append(" ")
+        if name == "hr":
+            self.flush()
         if name in VOID:
-            continue
+            return False
         if name in BLOCK:
-            flush()
-            if name in CLOSES_P:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == "p" or stack[k][0] == name and name in ("li", "dd", "dt", "td", "th", "tr", "option"):
-                        del stack[k:]
-                        break
-                    if stack[k][0] in BLOCK:
-                        break
-        _, silent, away, inside, _, named = stack[-1] if stack else ("", False, False, False, 0, 0)
-        attributes = m[3]
-        has = attributes_of(attributes) if attributes else {}
+            self.flush()
+            k = self.stack[-1].block_at
+            if k > 0 and name in CLOSES_P and (self.stack[k].name == "p" or self.stack[k].name == name and name in CLOSED_BY_ITSELF):
+                self.close_to(k)
+        up = self.stack[-1]
+        has = attributes_of(raw) if raw else {}
         labels = " ".join(has[k] for k in ("class", "id", "role") if k in has)
-        silent = silent or name in SILENT or "hidden" in has or bool(HIDDEN.search(has.get("style", "")))
-        inside = (inside or name in CONTENT_TAGS or bool(labels and CONTENT_WORDS.search(labels))) and not away
-        away = away or name in AWAY or not inside and name == "header"
-        state["number"] += 1
+        self.number += 1
+        inside = (up.inside or name in CONTENT_TAGS or bool(labels and CONTENT_WORDS.search(labels))) and not up.away
+        away = up.away or name in AWAY or not inside and name == "header"
         doubtful = bool(labels and name not in ("body", "html") and (not inside and HEADER_WORDS.search(labels) or AWAY_WORDS.search(labels)))
-        if name in CONTENT_TAGS:
-            named = named if doubtful else 0
-        elif doubtful:
-            named = named or state["number"]
-        if not attributes.rstrip().endswith("/"):
-            stack.append((name, silent, away, inside, state["number"], named))
-        if name in RAW:
-            end = re.compile(rf"</{name}\s*>|\Z", re.I).search(page, at)
-            if not silent:
-                say(page[at : end.start()])
-            at = end.end()
-            if stack and stack[-1][0] == name:
-                stack.pop()
-    flush()
-    return out
+        named = (up.named if doubtful else 0) if name in CONTENT_TAGS else up.named or self.number * doubtful
+        if raw.rstrip().endswith("/"):
+            return False
+        silent = up.silent or name in SILENT or "hidden" in has or bool(HIDDEN.search(has.get("style", "")))
+        block = name in BLOCK
+        self.stack.append(Scope(name, silent, away, inside, named, up.linked or name == "a", name in HEADINGS or up.heading and not block, Node(up.node, up.node.depth + 1) if block else up.node, len(self.stack) if block else up.block_at))
+        self.open[name] += 1
+        return True
+
+
+def blocks(page: str) -> list[Block]:
+    """Blocks of a page in order."""
+    reader, flow = Reader(), tokens(page)
+    no_end: set[str] = set()
+    for kind, name, raw, at in flow:
+        if kind == "text":
+            reader.say(raw)
+        elif kind == "end":
+            reader.end(name)
+        elif kind == "start":
+            opened = reader.start(name, raw)
+            if name in RAW:
+                found = None if name in no_end else re.compile(rf"</{name}\s*>", re.I).search(page, at)
+                if found is None:
+                    no_end.add(name)
+                stop = found.start() if found else len(page)
+                if opened:
+                    reader.say(page[at:stop])
+                    reader.close_to(len(reader.stack) - 1)
+                flow.send(found.end() if found else len(page))
+    reader.flush()
+    return reader.blocks
 
 
 def doubts(found: list[Block]) -> list[float]:
-    """What the name of an element around each block costs; on a page without other content less, the more of its text the element holds."""
+    """Doubt, 0 to 1, by the name of an element around each block."""
     if any(b.inside and not b.named for b in found):
-        return [DOUBT if b.named and not b.away else 0.0 for b in found]
-    held: dict[int, int] = {}
+        return [float(bool(b.named and not b.away)) for b in found]
+    held: Counter[int] = Counter()
     for b in found:
         if not b.away:
-            held[b.named] = held.get(b.named, 0) + len(b.text)
+            held[b.named] += len(b.text)
     total = sum(held.values())
-    return [DOUBT * max(0.0, 1 - 2 * held[b.named] / total) if b.named and not b.away else 0.0 for b in found]
+    return [max(0.0, 1 - 2 * held[b.named] / total) if b.named and not b.away else 0.0 for b in found]
 
 
-def costs(b: Block, in_page: bool, doubt: float = 0.0) -> tuple[float, float]:
-    """Cost of calling the block boilerplate and cost of calling it content."""
-    if b.away:
-        return 0.0, SURE
-    size = len(b.text)
-    score = min(size, 1000 if doubt else 400) / 100 - 4 * min(1.0, b.linked / size) + 0.4 * (b.text[-1] in ".!?:;\"'”»…") - doubt
-    score += 3.0 if b.inside and not doubt else -2.5 if in_page else 0.2
-    score += 0.8 * b.heading - 0.3 * (size < 15)
-    return max(score, 0.0), max(-score, 0.0)
+def features(found: list[Block], doubt: list[float], marked: bool) -> np.ndarray:
+    """A row for each block; without ``marked`` nothing is told of tags and names but headings and doubts."""
+    longest = max(range(len(found)), key=lambda i: (0 if found[i].away else len(found[i].text)), default=0)
+    title = next((i for i, b in enumerate(found) if b.heading), 0)
+    rows = []
+    for i, (b, d) in enumerate(zip(found, doubt, strict=True)):
+        size = len(b.text)
+        digits = sum(map(b.text.count, "0123456789"))
+        marks = sum(map(b.text.count, "|©»·/:"))
+        inside = marked and b.inside and not d
+        rows.append((1.0, min(size, 1000 if d else 400) / 100, min(size, 1000) / 1000, min(1.0, b.linked / size), float(b.text[-1] in ".!?:;\"'”»…"), float(b.heading), float(size < 15), digits / size, min(1.0, 10 * marks / size), float("©" in b.text), min(abs(i - longest), 20) / 20, float(i < title), float(i == len(found) - 1 > 0), float(inside), d))
+    return np.array(rows).reshape(-1, len(FEATURES))
 
 
 def smoothness(found: list[Block]) -> list[tuple[int, int, float]]:
     edges = []
-    by_parent: dict[tuple, int] = {}
+    last: dict[int, int] = {}
     for i, b in enumerate(found):
         if i:
-            a = found[i - 1].path
-            common = next((k for k, (x, y) in enumerate(zip(a, b.path, strict=False)) if x != y), min(len(a), len(b.path)))
-            edges.append((i - 1, i, 0.6 / (1 + len(a) + len(b.path) - 2 * common)))
-        if (before := by_parent.get(b.path[:-1])) is not None and before != i - 1:
-            edges.append((before, i, 0.4))
-        by_parent[b.path[:-1]] = i
+            a, c, apart = found[i - 1].node, b.node, 0
+            while a is not c:  # up to the element that holds both; in all no farther than a walk over the page
+                if a.depth >= c.depth:
+                    a = a.parent
+                else:
+                    c = c.parent
+                apart += 1
+            edges.append((i - 1, i, NEXT / (1 + apart)))
+        around = id(b.node.parent or b.node)
+        if (before := last.get(around)) is not None and before != i - 1:
+            edges.append((before, i, SIBLING))
+        last[around] = i
     return edges
 
 
@@ -254,25 +362,72 @@ def minimum_cut(n: int, terminal: list[tuple[float, float]], edges: list[tuple[i
                 break
 
 
-def labelled(page: str) -> list[tuple[Block, bool]]:
+def costs(found: list[Block], weights: np.ndarray = PRIOR) -> list[tuple[float, float]]:
+    """Cost of calling each block boilerplate and cost of calling it content."""
+    doubt = doubts(found)
+    marked = any(b.inside and not d for b, d in zip(found, doubt, strict=True))
+    odds = np.clip(features(found, doubt, marked) @ weights[0 if marked else 1], -MOST_COST, MOST_COST)
+    return [(0.0, TIED) if b.away else (max(o, 0.0), max(-o, 0.0)) for b, o in zip(found, odds.tolist(), strict=True)]
+
+
+def labelled(page: str, weights: np.ndarray = PRIOR) -> list[tuple[Block, bool]]:
+    found = blocks(page)
+    return list(zip(found, minimum_cut(len(found), costs(found, weights), smoothness(found)), strict=True))
+
+
+def main_text(page: str | None, weights: np.ndarray = PRIOR) -> str:
+    return " ".join(b.text for b, content in labelled(page, weights) if content) if page else ""
+
+
+def fit(x: np.ndarray, y: np.ndarray, prior: np.ndarray, pull: float = 1.0, rounds: int = 25) -> np.ndarray:
+    """Weights of largest likelihood less ``pull`` / 2 times their squared distance from ``prior``, by Newton steps."""
+    w = prior.copy()
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
+        slope = x.T @ (p - y) + pull * (w - prior)
+        w = w - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + pull * np.eye(len(w)), slope)
+        if np.abs(slope).max() < 1e-6:
+            break
+    return w
+
+
+def lessons(page: str, most: int = BLOCKS_A_PAGE) -> tuple[np.ndarray, np.ndarray]:
+    """Features with and without marks (stacked in that order) and labels of a page that marks its content; else nothing."""
     found = blocks(page)
     doubt = doubts(found)
-    in_page = any(b.inside and not d for b, d in zip(found, doubt, strict=True))
-    return list(zip(found, minimum_cut(len(found), [costs(b, in_page, d) for b, d in zip(found, doubt, strict=True)], smoothness(found)), strict=True))
+    content = [b.inside and not d and not b.away for b, d in zip(found, doubt, strict=True)]
+    if not any(content):
+        return np.zeros((0, 2 * len(FEATURES))), np.zeros(0)
+    own = np.arange(0, len(found), -(-len(found) // most))
+    return np.hstack([features(found, doubt, True), features(found, [0.0] * len(found), False)])[own], np.array(content, float)[own]
 
 
-def main_text(page: str | None) -> str:
-    return " ".join(b.text for b, content in labelled(page) if content) if page else ""
+def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", most: int = MOST_PAGES) -> np.ndarray:
+    """Weights for pages that mark their content and for plain ones."""
+    rows = bounded_sample(pages.select(id_col, html_col), id_col, most, "pages").select(F.col(html_col).cast("string").alias("html"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for page in batch.column(0):
+                x, y = lessons(page.as_py() or "")
+                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), pa.array(y, pa.float64())], ["x", "y"])
+
+    got = rows.mapInArrow(run, "x array<double>, y double").toPandas()
+    if got["y"].nunique() < 2:
+        return PRIOR
+    x, y, k = np.stack(got["x"].to_numpy()), got["y"].to_numpy(), len(FEATURES)
+    return np.stack([fit(x[:, :k], y, PRIOR[0]), fit(x[:, k:], y, PRIOR[1])])
 
 
-def extracted(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """The kept columns, text and n_chars of every page."""
-    rows = pages.select(*keep, F.col(html_col).cast("string").alias("_html"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", text string, n_chars long"
+def extracted(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url"), weights: np.ndarray | None = None) -> DataFrame:
+    """The kept columns, text and n_chars of every page; without ``weights`` they are learned from the pages."""
+    weights = train(pages, keep[0], html_col) if weights is None else weights
+    rows = pages.select(*keep, F.col(html_col).cast("string"))
+    schema = StructType([*rows.schema.fields[:-1], StructField("text", StringType()), StructField("n_chars", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(x.as_py()) for x in batch.columns[-1]]
+            texts = [main_text(x.as_py(), weights) for x in batch.columns[-1]]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], [*batch.schema.names[:-1], "text", "n_chars"])
 
     return rows.mapInArrow(run, schema)
