@@ -19,11 +19,6 @@ def total(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
 
 
-def crosses(x: Column, y: Column) -> Column:
-    nxt = F.arrays_zip(x.alias("a"), y.alias("b"), rolled(x).alias("c"), rolled(y).alias("d"))
-    return F.transform(nxt, lambda v: v["0"] * v["3"] - v["2"] * v["1"])
-
-
 def area(x: Column, y: Column) -> Column:
     return F.abs(total(F.zip_with(F.zip_with(x, rolled(y), lambda a, b: a * b), F.zip_with(rolled(x), y, lambda a, b: a * b), lambda a, b: a - b))) / 2
 
@@ -45,12 +40,6 @@ def circularity(a: Column, p: Column) -> Column:
     return F.when(p > 0, 4 * math.pi * a / (p * p))
 
 
-def feret_max(x: Column, y: Column) -> Column:
-    points = F.arrays_zip(x.alias("x"), y.alias("y"))
-    far = F.transform(x, lambda a, i: F.aggregate(F.zip_with(x, y, lambda p, q: F.pow(p - a, F.lit(2)) + F.pow(q - F.get(y, i), F.lit(2))), F.lit(0.0), lambda m, v: F.greatest(m, v)))
-    return F.when(F.size(points) > 0, F.sqrt(F.array_max(far)))
-
-
 def crop_box(x: Column, y: Column, pad: int, rows: Column, cols: Column) -> dict[str, Column]:
     return {
         "r0": F.greatest(F.floor(F.array_min(y)) - pad, F.lit(0)),
@@ -58,18 +47,3 @@ def crop_box(x: Column, y: Column, pad: int, rows: Column, cols: Column) -> dict
         "r1": F.least(F.ceil(F.array_max(y)) + pad, rows),
         "c1": F.least(F.ceil(F.array_max(x)) + pad, cols),
     }
-
-
-def half_max_level(pixels: Column, depth: float, fraction: float, least_px: int) -> Column:
-    """Threshold level of corrected pixels: none darker than 1 - depth gives a level that detects nothing."""
-    opaque = F.filter(pixels, lambda p: p < 1 - depth)
-    ordered = F.array_sort(opaque)
-    k = (F.size(opaque) - 1) * F.lit(0.05)
-    low = F.get(ordered, F.floor(k).cast("int"))
-    core = low + (F.get(ordered, F.ceil(k).cast("int")) - low) * (k - F.floor(k))
-    return F.when(F.size(opaque) < least_px, F.array_min(pixels) - 1).otherwise(core + fraction * (1 - core))
-
-
-def median(a: Column) -> Column:
-    s, n = F.array_sort(a), F.size(a)
-    return (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2

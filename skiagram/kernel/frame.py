@@ -41,11 +41,14 @@ def particle(d: Detection, raw: np.ndarray, labels: np.ndarray, um_per_px: float
     """All measures of a particle; those that its polygon can't give are NaN."""
     m, nan = cfg.measure, float("nan")
     row = {"label": d.label, "centroid_x": d.centroid[0], "centroid_y": d.centroid[1], "um_per_px": um_per_px}
-    row |= shapes.polygon_measures(d.polygon, um_per_px)
+    corners = mask = None
+    if d.polygon is not None:
+        corners, mask = shapes.hull(d.polygon.exterior), shapes.largest_component(shapes.mask_of(d.polygon))
+    row |= shapes.polygon_measures(d.polygon, um_per_px, corners, mask)
     efd, cum90, round_, sphere, entropy = np.full((m.efd_order, 4), nan), nan, nan, nan, nan
     if d.polygon is not None:
         efd, cum90 = shapes.fourier(d.polygon, m.efd_order, m.efd_resample_n)
-        round_, sphere = shapes.wadell(d.polygon, m.wadell_smoothing)
+        round_, sphere = shapes.wadell(d.polygon, m.wadell_smoothing, corners, mask)
         entropy = shapes.curvature_entropy(d.polygon, m.curvature_resample_n, m.curvature_smoothing, m.curvature_bins)
     row |= {f"efd_{h + 1}_{n}": float(efd[h, i]) for h in range(m.efd_order) for i, n in enumerate("abcd")}
     row |= {"fourier_power_cum_90": cum90, "wadell_roundness": round_, "wadell_sphericity": sphere}

@@ -47,6 +47,17 @@ def blurred(a: np.ndarray, sigma: float) -> np.ndarray:
     return a
 
 
+def large_frame(side: int, per_row: int, n: int, noise: float = 2.0, seed: int = 0) -> np.ndarray:
+    """A square frame with n particles on a grid, each drawn in a window of its own."""
+    rng = np.random.default_rng(seed)
+    out, cell = np.full((side, side), BRIGHT), side // per_row
+    for k in range(n):
+        y, x = (cell * v for v in divmod(k, per_row))
+        d = Disc("blob" if k % 2 else "ellipse", cell / 2, cell / 2, *rng.uniform(cell * 0.08, cell * 0.28, 2), rng.uniform(0, 3))
+        out[y : y + cell, x : x + cell] = frame(cell, cell, [d])
+    return np.clip(out + rng.normal(0, noise, out.shape), 0, 255).astype(np.uint8)
+
+
 def frame(rows: int, cols: int, discs: list[Disc], gradient: float = 0.0, noise: float = 0.0, seed: int = 0) -> np.ndarray:
     out = np.full((rows, cols), BRIGHT)
     for d in discs:
