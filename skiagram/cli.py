@@ -3,58 +3,100 @@
 from __future__ import annotations
 
 import argparse
-import json
+import sys
 
 from skiagram.config import load_config
+from skiagram.operators import aggregate, labelling
 from skiagram.plans import jobs
 from skiagram.session import session
 
+PLACES = {"detect": ("frames", "out"), "aggregate": ("grains", "out"), "report": ("grains", "frames", "out"), "overlay": ("run", "frames", "out"), "groundtruth": ("run",), "make-fixtures": ("frames", "out")}
+NOTHING = "no grains found at {}: the run detected nothing"
+
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="skiagram", description=__doc__)
-    p.add_argument("--config")
-    p.add_argument("--master")
+    p.add_argument("--master", help="Spark master; by default local, with as many cores as --jobs tells")
     sub = p.add_subparsers(dest="command", required=True)
-    for name, places in {"detect": ("root", "out"), "aggregate": ("run", "out"), "report": ("run", "out"), "overlay": ("run", "root", "out"), "groundtruth": ("run", "out"), "make-fixtures": ("root", "out")}.items():
-        c = sub.add_parser(name)
+    made = {}
+    for name, places in PLACES.items():
+        made[name] = c = sub.add_parser(name)
         for place in places:
             c.add_argument(place)
-        if name == "detect":
-            c.add_argument("--force", action="store_true")
-            c.add_argument("--sample-id")
-            c.add_argument("--camera")
-        elif name == "report":
-            c.add_argument("--frames")
-        elif name == "overlay":
-            c.add_argument("--frame-id", action="append")
-            c.add_argument("--factor", type=int, default=1)
-        elif name == "groundtruth":
-            c.add_argument("-k", type=int, default=100)
-            c.add_argument("--seed", type=int, default=0)
-            c.add_argument("--n-frames", type=int)
-        elif name == "make-fixtures":
-            c.add_argument("--factor", type=int, default=4)
+        if name != "make-fixtures":
+            c.add_argument("--config", help="YAML over the defaults")
+    yes_no = argparse.BooleanOptionalAction
+    c = made["detect"]
+    c.add_argument("--jobs", type=int, help="cores to use, -1 for all, instead of runtime.n_jobs")
+    c.add_argument("--force", action="store_true", help="clear the run and process every frame")
+    c.add_argument("--overview", action=yes_no, default=False, help="draw overlays of all frames with particles into OUT/overviews")
+    c.add_argument("--overview-factor", type=int, default=4)
+    c.add_argument("--sample-id", help="sample of all frames, whatever their names")
+    c.add_argument("--camera", help="camera of all frames, whatever their names")
+    c = made["overlay"]
+    c.add_argument("--frames", dest="frame_ids", help="required: frame ids, separated by commas")
+    c.add_argument("--factor", type=int, default=4)
+    c.add_argument("--labels", action=yes_no, help="draw labels, or not; by default where a frame has few particles")
+    c = made["groundtruth"]
+    for kind in ("frames", "grains"):
+        c.add_argument(f"--n-{kind}", type=int)
+        c.add_argument(f"--frac-{kind}", type=float)
+    c.add_argument("--seed", type=int, default=0)
+    c.add_argument("--out", help="label file; by default RUN/groundtruth.csv")
+    c.add_argument("--frames-dir", help="where the frames lie now")
+    c.add_argument("--keys", help="keys to press, separated by spaces, instead of reading them")
+    made["make-fixtures"].add_argument("--factor", type=int, default=4)
     return p
 
 
+def label(a: argparse.Namespace, spark, cfg) -> None:
+    """Labels a sample key by key: a line of status, then a key, until q or the end."""
+    folder = (a.out or f"{a.run}/groundtruth.csv").removesuffix(".csv")
+    sample, outlines = jobs.run_groundtruth(spark, a.run, cfg, a.n_grains, a.seed, frac=a.frac_grains, n_frames=a.n_frames, frac_frames=a.frac_frames, folder=a.frames_dir)
+    sample.write.mode("overwrite").parquet(f"{folder}_sample")
+    outlines.write.mode("overwrite").parquet(f"{folder}_contours")
+    told, rows = labelling.session(spark.read.parquet(f"{folder}_sample").orderBy("grain_uid"), cfg, f"{folder}.csv")
+    for key in a.keys.split() if a.keys is not None else (line.strip() for line in sys.stdin):
+        if not told.order or not told.press(key, cfg):
+            break
+        print(told.status_line(rows[told.current], cfg))
+    print(f"{told.progress()} of {len(told.order)} labelled in {told.labels.path}")
+
+
 def main(argv: list[str] | None = None) -> int:
-    a = parser().parse_args(argv)
-    cfg, spark = load_config(a.config), session(a.master)
+    p = parser()
+    a = p.parse_args(argv)
+    cfg = load_config(getattr(a, "config", None))
+    if a.command == "detect" and a.camera is not None and a.camera not in (known := sorted(set(cfg.filename.camera_map.values()))):
+        p.error(f"--camera: {a.camera!r} is not a configured camera (one of {known})")
+    cores = cfg.runtime.n_jobs if getattr(a, "jobs", None) is None else a.jobs
+    spark = session(a.master or f"local[{cores if cores > 0 else '*'}]")
     if a.command == "detect":
-        print(json.dumps(jobs.run_detect(spark, a.root, a.out, cfg, force=a.force, sample_id=a.sample_id, camera=a.camera)))
+        done = jobs.run_detect(spark, a.frames, a.out, cfg, force=a.force, sample_id=a.sample_id, camera=a.camera)
+        print(f"{done['processed']} frames processed, {done['n_objects']} grains: {done['frames']}")
+        if a.overview:
+            drawn = jobs.run_overviews(spark, a.out, a.frames, cfg, a.overview_factor)
+            print("no grains detected: nothing to draw" if drawn is None else f"{drawn.filter('error is null').count()} overviews in {a.out}/overviews")
     elif a.command == "aggregate":
-        print("\n".join(jobs.run_aggregate(spark, a.run, a.out, cfg)) or "nothing to aggregate")
+        print("\n".join(jobs.run_aggregate(spark, a.grains, a.out, cfg)) or NOTHING.format(a.grains))
     elif a.command == "report":
-        print("\n".join(jobs.run_report(spark, a.run, a.out, cfg, a.frames)) or "nothing to report")
+        print("\n".join(jobs.run_report(spark, a.grains, a.out, cfg, a.frames)) or NOTHING.format(a.grains))
     elif a.command == "overlay":
-        done = jobs.run_overlay(spark, a.run, a.root, a.out, cfg, a.frame_id, factor=a.factor)
-        print(json.dumps({"drawn": done.filter("error is null").count(), "failed": done.filter("error is not null").count()}))
+        grains = jobs.read_grains(spark, a.run, cfg)
+        if grains is None:
+            print(NOTHING.format(a.run))
+            return 0
+        ids = [i.strip() for i in (a.frame_ids or "").split(",") if i.strip()]
+        if not ids:
+            hint = ", ".join(r.frame_id for r in aggregate.frame_hint(grains).collect())
+            print(f"--frames is required: frame ids, separated by commas. There are {hint}, for example.")
+            return 1
+        done = jobs.run_overlay(spark, a.run, a.frames, a.out, cfg, ids, factor=a.factor, labels=a.labels)
+        print(f"{done.filter('error is null').count()} overlays in {a.out}, {done.filter('error is not null').count()} frames failed")
     elif a.command == "groundtruth":
-        sample, outlines = jobs.run_groundtruth(spark, a.run, cfg, a.k, a.seed, a.n_frames)
-        sample.write.mode("overwrite").parquet(f"{a.out}/sample")
-        outlines.write.mode("overwrite").parquet(f"{a.out}/contours")
+        label(a, spark, cfg)
     else:
-        print(json.dumps({"frames": jobs.make_smaller(spark, a.root, a.out, a.factor).count()}))
+        print(f"{jobs.make_smaller(spark, a.frames, a.out, a.factor).count()} frames in {a.out}")
     return 0
 
 

@@ -10,9 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skiagram.config import Qc
+from skiagram.config import FLAGS, Qc
 
-FLAGS = ("flag_defocus", "flag_border", "flag_too_small", "flag_sliver", "flag_possible_agglomerate", "flag_no_polygon")
 # Grain-size class edges in micrometres.
 ECD_EDGES = (0.0, 62.5, 125.0, 250.0, 500.0, 1000.0, 2000.0, 4000.0, float("inf"))
 
@@ -51,10 +50,10 @@ def flag_columns(df: DataFrame) -> list[str]:
 
 def gate(df: DataFrame, disqualifying: list[str]) -> Column:
     """True where none of the disqualifying flags is set; no flags at all accept every row."""
-    missing = [f"flag_{f}" for f in disqualifying if f"flag_{f}" not in df.columns]
+    missing = [f for f in disqualifying if f not in df.columns]
     if missing:
         raise KeyError(f"no such flag columns: {missing}")
-    flags = [F.coalesce(F.col(f"flag_{f}"), F.lit(False)) for f in disqualifying]
+    flags = [F.coalesce(F.col(f), F.lit(False)) for f in disqualifying]
     return ~reduce(lambda a, b: a | b, flags) if flags else F.lit(True)
 
 
@@ -90,8 +89,8 @@ def ecd_bin(x: Column, edges: tuple[float, ...] = ECD_EDGES) -> Column:
 
 
 def active_flags(names: tuple[str, ...] = FLAGS) -> Column:
-    return F.concat_ws(",", *[F.when(F.col(f), F.lit(f.removeprefix("flag_"))) for f in names])
+    return F.concat_ws(",", *[F.when(F.col(f), F.lit(f)) for f in names])
 
 
 def predicted_status(disqualifying: list[str]) -> Column:
-    return F.when(reduce(lambda a, b: a | b, [F.col(f"flag_{f}") for f in disqualifying], F.lit(False)), "reject").otherwise("accept")
+    return F.when(reduce(lambda a, b: a | b, [F.col(f) for f in disqualifying], F.lit(False)), "reject").otherwise("accept")

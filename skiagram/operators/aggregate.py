@@ -1,7 +1,7 @@
 """Summaries of gated grains: by sample and camera, by frame, by size class, and the accepted rows.
 
-Every aggregate is partial before its one shuffle.  Exact percentiles keep a value-to-count map by group, which merges before
-the shuffle too; groups are samples or frames, not single hot keys of the whole corpus.
+Every aggregate is partial before its one shuffle.  Exact percentiles by frame keep a map of a group's values; those by sample,
+whose groups are few and grow with the corpus, do so only for small tables and come from ranks beyond (``ranks``).
 """
 
 from __future__ import annotations
@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 
 from skiagram.config import Config
 from skiagram.functions.gate import ecd_bin, ecd_bin_index, flag_columns, nan_to_null, regated
+from skiagram.operators import ranks
 
 SHAPE = ("aspect_ratio", "solidity", "convexity", "circularity", "extent", "eccentricity", "wadell_roundness", "wadell_sphericity", "curvature_entropy")
 
+#: Columns that summaries read, besides flags.
+READ = ("sample_id", "camera", "frame_id", "ecd_um", "feret_min_um", *SHAPE)
+
 
 def percentiles(x: str, accepted: Column) -> list[Column]:
     """D10, D50, D90 of accepted rows; any NaN among them makes all three NaN, no rows make null."""
@@ -23,23 +27,40 @@ def percentiles(x: str, accepted: Column) -> list[Column]:
     return [F.when(bad, float("nan")).otherwise(F.get(p, k)).alias(f"{x}_d{d}") for k, d in enumerate((10, 50, 90))]
 
 
-def summarised(grains: DataFrame, keys: list[str]) -> DataFrame:
+PERCENT = ("ecd_um", "feret_min_um")
+
+
+def summarised(grains: DataFrame, keys: list[str], by_rank: bool = False) -> DataFrame:
     """One row for each observed key; rows with a null key are left out."""
     ok = F.coalesce(F.col("qc_pass"), F.lit(False))
     out = [F.count("*").alias("n_total"), F.count_if(ok).alias("n_accepted"), F.count_if(~ok).alias("n_rejected")]
     out += [F.count_if(F.col(f)).alias(f"n_{f}") for f in flag_columns(grains)]
-    for x in ("ecd_um", "feret_min_um"):
-        if x in grains.columns:
-            out += percentiles(x, ok)
+    measured = [x for x in PERCENT if x in grains.columns]
+    for x in measured:
+        out += percentiles(x, ok) if not by_rank else [F.coalesce(F.max(F.when(ok, F.isnan(x))), F.lit(False)).alias(f"_{x}_nan")]
     for x in SHAPE:
         if x in grains.columns:
             value = F.when(ok, nan_to_null(F.col(x)))
             out += [F.avg(value).alias(f"{x}_mean"), F.stddev_samp(value).alias(f"{x}_sd")]
-    return grains.dropna(subset=keys).groupBy(*keys).agg(*out)
-
-
-def summary(grains: DataFrame) -> DataFrame:
-    return summarised(grains, ["sample_id", "camera"])
+    rows = grains.dropna(subset=keys)
+    made = rows.groupBy(*keys).agg(*out)
+    if not by_rank:
+        return made
+    names = list(made.columns)
+    for x in measured:
+        p = ranks.percentiles(rows.filter(ok), keys, x, [0.1, 0.5, 0.9], small=False).withColumnRenamed("p", f"_{x}")
+        made = made.join(p, keys, "left")
+    bad = lambda x, k: F.when(F.col(f"_{x}_nan"), float("nan")).otherwise(F.get(f"_{x}", F.lit(k)))
+    columns = []
+    for c in names:
+        columns += [bad(c[1:-4], k).alias(f"{c[1:-4]}_d{d}") for k, d in enumerate((10, 50, 90))] if c.endswith("_nan") else [F.col(c)]
+    return made.select(*columns)
+
+
+def summary(grains: DataFrame, small: bool | None = None) -> DataFrame:
+    """Groups are few and grow with the corpus: percentiles of a large table come from ranks."""
+    small = ranks.is_small(grains) if small is None else small
+    return summarised(grains, ["sample_id", "camera"], by_rank=not small)
 
 
 def per_frame(grains: DataFrame) -> DataFrame:
@@ -58,6 +79,17 @@ def rejection_by_ecd_global(grains: DataFrame) -> DataFrame:
     return rows.groupBy("ecd_bin", "bin_index").agg(F.count("*").alias("n_total"), F.avg((~F.col("qc_pass")).cast("int")).alias("rejection_rate"))
 
 
+def frame_hint(grains: DataFrame, n: int = 5) -> DataFrame:
+    """The first few frame ids, for a message."""
+    return grains.select("frame_id").distinct().orderBy("frame_id").limit(n)
+
+
+def in_order(table: DataFrame) -> DataFrame:
+    """A finished summary in the order of its groups, size classes by their edges."""
+    by = [c for c in ("sample_id", "camera", "frame_id", "bin_index") if c in table.columns]
+    return table.orderBy(*by) if by else table
+
+
 def accepted(grains: DataFrame) -> DataFrame:
     return grains.filter("qc_pass")
 

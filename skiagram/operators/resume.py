@@ -19,7 +19,7 @@ def check_frames(frames: DataFrame, cfg: Config) -> None:
 
 
 def uncalibrated(frames: DataFrame, cfg: Config) -> DataFrame:
-    known = [c for c, v in cfg.calibration.um_per_px.items() if v is not None]
+    known = list(cfg.calibration.known())
     cameras = frames.select("camera").distinct()
     return cameras.filter(~F.col("camera").isin(known)) if known else cameras
 
@@ -42,6 +42,11 @@ def latest(records: DataFrame, key: str, order: str) -> DataFrame:
     return last.select("r.*")
 
 
+def of_frames(rows: DataFrame, frames: DataFrame) -> DataFrame:
+    """Rows of the frames that are named."""
+    return rows.join(frames.select("frame_id"), "frame_id", "left_semi")
+
+
 def upserted(old: DataFrame, new: DataFrame, touched: DataFrame, key: str = "frame_id") -> DataFrame:
     """Rows of touched frames are replaced, or gone if the frame has none now."""
     return old.join(touched.select(key), key, "left_anti").select(*new.columns).unionByName(new)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from skiagram.config import Config
 from skiagram.functions import gate
+from skiagram.functions.gate import nan_to_null
 from skiagram.functions.identity import stem
 from skiagram.operators.detect import spread
 
@@ -41,22 +42,36 @@ def crop_half(ecd_um: str = "ecd_um", scale: str = "um_per_px") -> Column:
     return F.greatest(F.coalesce(px, F.lit(0.0)), F.lit(float(LEAST_HALF_PX)))
 
 
+def label_frames(frames: DataFrame, folder: DataFrame) -> DataFrame:
+    """frame_id and path for the labelling tool: a file of a given folder's listing that is named by the id, else as stored."""
+    there = folder.groupBy(stem(F.col("frame_path")).alias("frame_id")).agg(F.min("frame_path").alias("_there"))
+    return frames.join(there, "frame_id", "left").select("frame_id", F.coalesce("_there", "frame_path").alias("path"))
+
+
 def tiles(pages: DataFrame, resolved: DataFrame, columns: int = 6) -> DataFrame:
-    """Where each tile goes on its sheet, what it crops and its caption."""
-    size = gate.nan_to_null(F.col("ecd_um"))
+    """Where each tile goes on its sheet, what it crops and its caption.
+
+    Crops end at the image's edges, at its far ones if the rows tell its size (frame_rows, frame_cols); a row without a centre,
+    or whose crop would be empty, has null bounds.
+    """
+    size = nan_to_null(F.col("ecd_um"))
     k = (F.col("position") - 1) % 24
     half = crop_half()
     keep = [c for c in ("flag", "page", "position") if c in pages.columns]
+    bounds = {}
+    for axis, size_of in (("x", "frame_cols"), ("y", "frame_rows")):
+        centre = nan_to_null(F.col(f"centroid_{axis}"))
+        end = centre + half
+        bounds[f"{axis}0"] = F.greatest(centre - half, F.lit(0.0)).cast("int")
+        bounds[f"{axis}1"] = (F.least(end, F.col(size_of)) if size_of in pages.columns else end).cast("int")
+    some = (bounds["x1"] > bounds["x0"]) & (bounds["y1"] > bounds["y0"]) & F.col("centroid_x").isNotNull() & F.col("centroid_y").isNotNull()
     return pages.join(resolved, "frame_path").select(
         "grain_uid",
         "path",
         *keep,
         F.floor(k / columns).cast("int").alias("tile_row"),
         (k % columns).cast("int").alias("tile_column"),
-        F.greatest((F.col("centroid_x") - half).cast("int"), F.lit(0)).alias("x0"),
-        F.greatest((F.col("centroid_y") - half).cast("int"), F.lit(0)).alias("y0"),
-        (F.col("centroid_x") + half).cast("int").alias("x1"),
-        (F.col("centroid_y") + half).cast("int").alias("y1"),
+        *[F.when(some, bounds[b]).alias(b) for b in ("x0", "y0", "x1", "y1")],
         F.concat("grain_uid", F.coalesce(F.concat(F.lit("\n"), F.bround(size).cast("long").cast("string"), F.lit("µm")), F.lit(""))).alias("caption"),
     )
 
@@ -76,11 +91,16 @@ def illumination(resolved: DataFrame, cfg: Config, step: int = 16) -> DataFrame:
     return resolved.orderBy("frame_path").limit(1).select("path").mapInArrow(field, "path string, x long, y long, field double")
 
 
+def with_contours(grains: DataFrame, contours: DataFrame) -> DataFrame:
+    """Grains with their outline, null where there is none."""
+    return grains.join(contours.select("grain_uid", "wkt"), "grain_uid", "left")
+
+
 def outlined(grains: DataFrame, contours: DataFrame, listing: DataFrame, labels: bool | None = None) -> DataFrame:
     """One row a frame: its path, counts, whether labels are drawn, and its outlines by stored verdict."""
     at = resolved_frames(grains.select("frame_path").distinct(), listing)
     by_id = listing.groupBy(stem(F.col("frame_path")).alias("frame_id")).agg(F.min("frame_path").alias("other_path"))
-    rows = grains.join(contours.select("grain_uid", "wkt"), "grain_uid", "left")
+    rows = with_contours(grains, contours)
     one = F.struct(F.substring_index("grain_uid", ":", -1).alias("label"), "qc_pass", "centroid_x", "centroid_y", "wkt")
     per = rows.groupBy("frame_id", "frame_path").agg(F.sort_array(F.collect_list(one)).alias("outlines"), F.count_if("qc_pass").alias("n_accepted"), F.count_if(~F.col("qc_pass")).alias("n_rejected"))
     shown = F.lit(labels) if labels is not None else F.size("outlines") <= LABELLED_MOST
@@ -88,36 +108,67 @@ def outlined(grains: DataFrame, contours: DataFrame, listing: DataFrame, labels:
     return placed.withColumn("draw_labels", shown)
 
 
+ACCEPTED, REJECTED, UNOUTLINED = (0, 255, 0), (255, 0, 0), (255, 165, 0)
+#: Digits on 3 x 5 pixels, a row in three bits.
+DIGITS = {"0": (7, 5, 5, 5, 7), "1": (2, 6, 2, 2, 7), "2": (7, 1, 7, 4, 7), "3": (7, 1, 7, 1, 7), "4": (5, 5, 7, 1, 1), "5": (7, 4, 7, 1, 7), "6": (7, 4, 7, 5, 7), "7": (7, 1, 2, 2, 2), "8": (7, 5, 7, 5, 7), "9": (7, 5, 7, 1, 7)}
+
+
 def painted(image: np.ndarray, outlines: list[dict], thick: int) -> np.ndarray:
-    """Accepted outlines in green, then rejected ones in red."""
+    """Accepted outlines in green, then rejected ones in red; text that is no polygon is passed over."""
     from skiagram.kernel.outlines import from_wkt, rasterised
     from skiagram.kernel.pixels import grown, shrunk
 
     out = np.repeat(image[:, :, None], 3, axis=2)
-    for accepted, colour in ((True, (0, 255, 0)), (False, (255, 0, 0))):
+    for accepted, colour in ((True, ACCEPTED), (False, REJECTED)):
         edge = np.zeros(image.shape, bool)
         for o in outlines:
             if bool(o["qc_pass"]) == accepted and (p := from_wkt(o["wkt"])) is not None:
-                m = rasterised(p, image.shape)
-                edge |= m & ~shrunk(m, 1)
+                low, high = np.floor(p.exterior.min(axis=0)).astype(int) - 2, np.ceil(p.exterior.max(axis=0)).astype(int) + 3
+                x0, y0 = np.maximum(low, 0)
+                part = edge[y0 : max(high[1], 0), x0 : max(high[0], 0)]
+                m = rasterised(p, part.shape, x0, y0)
+                part |= m & ~shrunk(m, 1)
         out[grown(edge, thick)] = colour
     return out
 
 
+def annotated(small: np.ndarray, outlines: list[dict], factor: int, labels: bool, zoom: int = 2) -> np.ndarray:
+    """The smaller image with crosses on particles without an outline and, if told, labels at the centres."""
+    out = small.copy()
+
+    def dot(x: int, y: int, colour: tuple[int, int, int], size: int = 1) -> None:
+        out[max(y, 0) : max(y + size, 0), max(x, 0) : max(x + size, 0)] = colour
+
+    for o in outlines:
+        if o["centroid_x"] is None or o["centroid_y"] is None or not np.isfinite((o["centroid_x"], o["centroid_y"])).all():
+            continue
+        x, y = round(o["centroid_x"] / factor), round(o["centroid_y"] / factor)
+        if not o["wkt"]:
+            for k in range(-4, 5):
+                dot(x + k, y + k, UNOUTLINED)
+                dot(x + k, y - k, UNOUTLINED)
+        for place, digit in enumerate(str(o["label"]) if labels else ""):
+            for row, bits in enumerate(DIGITS.get(digit, ())):
+                for column in range(3):
+                    if bits >> 2 - column & 1:
+                        dot(x + zoom * (4 * place + column), y + zoom * row, ACCEPTED if o["qc_pass"] else REJECTED, zoom)
+    return out
+
+
 def overlays(drawn: DataFrame, out: str, factor: int = 1) -> DataFrame:
-    """Writes a PNG a frame into a folder that all workers share; never fails for a frame."""
+    """Writes a PNG a frame, titled with its counts, into a folder that all workers share; never fails for a frame."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from skiagram.sources.frames import read_image
-        from skiagram.sources.images import block_mean, encode_png
+        from skiagram.sources.images import encode_png, smoothed_smaller
 
         for b in batches:
             for r in b.to_pylist():
-                path, error = os.path.join(out, f"{r['frame_id']}.png"), None
+                path, error = os.path.join(out, f"{r['frame_id']}_overlay.png"), None
                 try:
-                    full = painted(read_image(r["path"]), r["outlines"], max(1, factor))
-                    small = full if factor == 1 else np.stack([block_mean(full[:, :, k], factor) for k in range(3)], axis=2)
-                    store(path, encode_png(small))
+                    small = smoothed_smaller(painted(read_image(r["path"]), r["outlines"], max(1, factor // 2)), factor)
+                    title = f"{r['frame_id']}  (accepted={r['n_accepted']}, rejected={r['n_rejected']})"
+                    store(path, encode_png(annotated(small, r["outlines"], factor, r["draw_labels"]), title))
                 except Exception as e:
                     path, error = None, f"{type(e).__name__}: {e}"
                 yield pa.RecordBatch.from_pylist([{"frame_id": r["frame_id"], "png": path, "error": error}], schema=pa.schema([("frame_id", pa.string()), ("png", pa.string()), ("error", pa.string())]))
@@ -161,6 +212,14 @@ def first_unlabelled(order: DataFrame, labels: DataFrame) -> int:
     return int(left or 0)
 
 
+def progress(order: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row: the first row of the order without a label (the first of all if every one has one), how many have one, and all."""
+    rows = order.join(labels.select("grain_uid").distinct().withColumn("_has", F.lit(True)), "grain_uid", "left")
+    first = F.struct(F.coalesce("_has", F.lit(False)), F.col("position"))
+    at = rows.agg(F.min_by(F.struct("grain_uid", "position"), first).alias("at"), F.count("_has").alias("n_labelled"), F.count("*").alias("n_total"))
+    return at.select("at.grain_uid", "at.position", "n_labelled", "n_total")
+
+
 def neighbours(order: DataFrame) -> DataFrame:
     """Previous and next row of each row of a labelling order, itself at the ends.  The order is a bounded sample."""
     w = Window.partitionBy(F.lit(0)).orderBy("position")

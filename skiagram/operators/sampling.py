@@ -1,16 +1,21 @@
 """Samples for hand labelling and contact sheets: quantile ranks, hypercube, strata, pages.
 
-A sample is bounded, so its design is made on the driver from a bounded number of candidates; ranks, strata and pages are
-windows.  Random choices are orders of a hash of the id and the seed: repeatable, whatever the partitioning.
+A sample is bounded, so its design is made on the driver; ranks, strata and pages are places in an order (``ranks``), which no task
+needs a whole group for once a table is large.  Random choices are orders of a hash of the id and the seed: repeatable, whatever
+the partitioning.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skiagram.functions.gate import finite
+from skiagram.operators import ranks
 
 PAGE = 24
 
@@ -19,10 +24,12 @@ def hashed(key: str, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col(key))
 
 
-def quantile_rank(x: str, tie: str, *by: str) -> Column:
-    """(k + 0.5) / n of the row in the order of x, tie."""
-    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    return (F.row_number().over(w.orderBy(x, tie)).cast("double") - 0.5) / F.count("*").over(w).cast("double")
+def quantile_ranked(rows: DataFrame, x: str, tie: str, *by: str, name: str = "rank", small: bool | None = None) -> DataFrame:
+    """Adds (k + 0.5) / n of the row in the order of x, tie within each group."""
+    at = ranks.placed(rows, list(by), [x, tie], "_k", small)
+    n = rows.groupBy(*by).agg(F.count("*").alias("_n"))
+    at = at.join(n, list(by)) if by else at.crossJoin(F.broadcast(n))  # one row without groups
+    return at.withColumn(name, (F.col("_k") + 0.5) / F.col("_n")).drop("_k", "_n")
 
 
 def resolve_count(n: int | None, frac: float | None, total: int) -> int:
@@ -41,38 +48,70 @@ def reserved(grains: DataFrame, mask: Column, k: int, seed: int, taken: DataFram
     return rows.orderBy(hashed("grain_uid", seed), "grain_uid").limit(k)
 
 
-def latin_hypercube(ranks: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """Indices of k rows nearest, one after the other without repeats, to the points of a hypercube design."""
+def hypercube_points(k: int, dims: int, seed: int) -> np.ndarray:
+    """k points, one in each of k slices of every axis."""
     rng = np.random.default_rng(seed)
-    n, d = ranks.shape
-    design = (np.stack([rng.permutation(k) for _ in range(d)], 1) + rng.random((k, d))) / max(k, 1)
-    free, out = np.ones(n, bool), []
-    for point in design[: min(k, n)]:
-        far = np.where(free, ((ranks - point) ** 2).sum(1), np.inf)
-        out.append(int(far.argmin()))
-        free[out[-1]] = False
-    return np.array(out, np.int64)
-
-
-def hypercube_sample(grains: DataFrame, axes: list[str], k: int, seed: int, candidates: int = 20_000) -> DataFrame:
-    """k rows spread over the quantiles of the axes, from at most ``candidates`` rows by hash; non-finite rows stay out."""
+    return (np.stack([rng.permutation(k) for _ in range(dims)], 1) + rng.random((k, dims))) / max(k, 1)
+
+
+def nearest(points: np.ndarray, near: list[list[tuple[float, str]]]) -> list[str]:
+    """An id for each point, one after the other without repeats, from its candidates in the order of their distance."""
+    taken: dict[str, None] = {}
+    for own in near:
+        uid = next((u for _, u in own if u not in taken), None)
+        if uid is not None:
+            taken[uid] = None
+    return list(taken)
+
+
+def hypercube_sample(grains: DataFrame, axes: list[str], k: int, seed: int) -> DataFrame:
+    """k rows spread over the quantiles of the axes, chosen from all rows whose axes are finite.
+
+    Each point takes the nearest row that is left, in turn.  At most k - 1 rows are gone by then, so a point needs its k nearest
+    rows only: every task finds the k nearest of its own rows to each point, and the k nearest of those reach the driver.
+    """
     some = grains
     for x in axes:
         some = some.filter(finite(F.col(x)))
-    some = some.orderBy(hashed("grain_uid", seed), "grain_uid").limit(candidates)
-    pdf = some.select("grain_uid", *axes).toPandas()
-    if pdf.empty:
-        return grains.limit(0)
-    ranks = np.stack([(np.lexsort((pdf["grain_uid"], pdf[x])).argsort() + 0.5) / len(pdf) for x in axes], 1)
-    picked = pdf["grain_uid"].to_numpy()[latin_hypercube(ranks, k, seed)]
+    some = some.select("grain_uid", *axes)
+    small = ranks.is_small(some)
+    for d, x in enumerate(axes):
+        some = quantile_ranked(some, x, "grain_uid", name=f"_r{d}", small=small)
+    points = hypercube_points(k, len(axes), seed)
+
+    def closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = [(np.zeros(0), np.zeros(0, object))] * len(points)
+        for b in batches:
+            uid = np.array(b.column(0).to_pylist(), object)
+            at = np.stack([b.column(d + 1).to_numpy() for d in range(len(axes))], 1)
+            for i, point in enumerate(points):
+                far = np.append(best[i][0], ((at - point) ** 2).sum(axis=1))
+                own = np.append(best[i][1], uid)
+                keep = np.lexsort((own, far))[:k]
+                best[i] = far[keep], own[keep]
+        for i, (far, own) in enumerate(best):
+            yield pa.RecordBatch.from_arrays([pa.array([i] * len(far), pa.int32()), pa.array(far), pa.array(own.tolist(), pa.string())], ["i", "far", "uid"])
+
+    w = Window.partitionBy("i").orderBy("far", "uid")
+    got = some.select("grain_uid", *[f"_r{d}" for d in range(len(axes))]).mapInArrow(closest, "i int, far double, uid string")
+    got = got.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= k).collect()  # k rows for each of k points
+    near: list[list[tuple[float, str]]] = [[] for _ in range(k)]
+    for r in got:
+        near[r.i].append((r.far, r.uid))
+    picked = nearest(points, [sorted(x) for x in near])
     chosen = grains.sparkSession.createDataFrame([(u,) for u in picked], "grain_uid string")
     return grains.join(F.broadcast(chosen), "grain_uid", "left_semi")  # k ids
 
 
-def label_sample(grains: DataFrame, axes: list[str], k: int, reserve: dict[str, int], seed: int, n_frames: int | None = None) -> DataFrame:
-    """Rows of a pool of frames: some reserved for rare flags, the rest by hypercube."""
-    if n_frames is not None:
-        grains = grains.join(frame_pool(grains, n_frames, seed), "frame_id", "left_semi")
+def label_sample(grains: DataFrame, axes: list[str], reserve: dict[str, int], seed: int, *, n: int | None = None, frac: float | None = None, n_frames: int | None = None, frac_frames: float | None = None) -> DataFrame:
+    """Rows of a pool of frames: some reserved for rare flags, the rest by hypercube.  Counts come before shares; neither means all."""
+    if n_frames is not None or frac_frames is not None:
+        total = grains.agg(F.count_distinct("frame_id")).first()[0]
+        grains = grains.join(frame_pool(grains, resolve_count(n_frames, frac_frames, total), seed), "frame_id", "left_semi")
+    size = grains.count()
+    k = resolve_count(n, frac, size)
+    if k >= size:
+        return grains
     out = None
     for flag, n in reserve.items():
         got = reserved(grains, F.col(f"flag_{flag}"), min(n, k), seed, out)
@@ -85,7 +124,8 @@ def label_sample(grains: DataFrame, axes: list[str], k: int, reserve: dict[str,
 
 def strata(rows: DataFrame, x: str, n: int = 5) -> DataFrame:
     """Adds stratum, 0 to n - 1, by quantile edges of x; equal edges fall together."""
-    edges = rows.agg(F.percentile(x, F.array(*[F.lit(k / n) for k in range(1, n)])).alias("e")).first()[0] or []
+    found = ranks.percentiles(rows, [], x, [k / n for k in range(1, n)]).first()
+    edges = found.p if found and found.p else []
     stratum = sum(((F.col(x) > e).cast("int") for e in sorted(set(edges))), F.lit(0))
     return rows.withColumn("stratum", stratum)
 
@@ -96,14 +136,14 @@ def stratified(rows: DataFrame, x: str, cap: int, key: str, seed: int = 0, n: in
         return rows
     cut = strata(rows, x, n)
     groups = cut.select("stratum").distinct().count()
-    w = Window.partitionBy("stratum").orderBy(hashed(key, seed), key)
-    return cut.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= cap // groups).drop("_k", "stratum").limit(cap)
+    w = Window.partitionBy("stratum").orderBy(hashed(key, seed), key)  # a limit by group, which no task sees more of than it keeps
+    return cut.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= cap // groups).drop("_k", "stratum")
 
 
 def paged(rows: DataFrame, key: str, *by: str, size: int = PAGE) -> DataFrame:
     """Adds position and page, from 1, in the order of key within each group."""
-    w = Window.partitionBy(*by).orderBy(key) if by else Window.partitionBy(F.lit(0)).orderBy(key)
-    return rows.withColumn("position", F.row_number().over(w)).withColumn("page", (F.floor((F.col("position") - 1) / F.lit(size)) + 1).cast("int"))
+    at = ranks.placed(rows, list(by), [key], "_k")
+    return at.withColumn("position", (F.col("_k") + 1).cast("int")).withColumn("page", (F.floor(F.col("_k") / F.lit(size)) + 1).cast("int")).drop("_k")
 
 
 def rejected_pages(grains: DataFrame, flags: list[str], size: int = PAGE) -> DataFrame:

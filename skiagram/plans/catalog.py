@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skiagram.config import Config, load_config
 from skiagram.functions import gate, identity, rings
-from skiagram.operators import aggregate, detect, polygons, resume, sampling, schema
+from skiagram.operators import aggregate, detect, polygons, ranks, resume, review, sampling, schema
 from skiagram.plans import adapters as A
+from skiagram.sources import tables
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
-G, FR, RG, TL = A.GRAINS_SQL, A.GRAINS_SQL + "," + A.FRAMES_SQL, A.RINGS_SQL, A.TILES_SQL
+G, FR, RG = A.GRAINS_SQL, A.GRAINS_SQL + "," + A.FRAMES_SQL, A.RINGS_SQL
 
 
 def query(sql: str | None = None):
@@ -43,6 +44,18 @@ def summary_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(aggregate.summary(A.grains(spark, sf_dir)), 8)
 
 
+@query(f"WITH {G} SELECT sample_id, camera, {COUNTS}, {FLAG_COUNTS}, {PCT}, {SHAPES} FROM grains GROUP BY ALL")
+def summary_by_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As a table too large for maps of values has it: percentiles from range-partitioned ranks."""
+    return rounded(aggregate.summary(A.grains(spark, sf_dir), small=False), 8)
+
+
+@query(f"WITH {G} SELECT grain_uid, sample_id, CAST(row_number() OVER (PARTITION BY sample_id ORDER BY ecd_um, grain_uid) - 1 AS BIGINT) AS place FROM grains")
+def places_in_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places in few and large groups, without a task that sees one whole."""
+    return ranks.placed(A.grains(spark, sf_dir).select("grain_uid", "sample_id", "ecd_um"), ["sample_id"], ["ecd_um", "grain_uid"], small=False).drop("ecd_um")
+
+
 @query(f"WITH {G} SELECT sample_id, camera, frame_id, {COUNTS}, {FLAG_COUNTS}, {PCT}, {SHAPES} FROM grains GROUP BY ALL")
 def per_frame_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(aggregate.per_frame(A.grains(spark, sf_dir)), 8)
@@ -78,7 +91,7 @@ def regate_none(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {G} SELECT sample_id, camera, count(*) AS n_total, count(*) FILTER (WHERE qc_pass AND NOT flag_possible_agglomerate) AS n_accepted FROM grains GROUP BY ALL")
 def regate_with_agglomerate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _regate(spark, sf_dir, [f.removeprefix("flag_") for f in gate.FLAGS])
+    return _regate(spark, sf_dir, list(gate.FLAGS))
 
 
 @query(f"WITH {G} " + " UNION ALL ".join(f"SELECT sample_id, camera, '{f}' AS flag, count(*) FILTER (WHERE {f}) AS n_set FROM grains GROUP BY ALL" for f in gate.FLAGS))
@@ -92,7 +105,7 @@ def flags_with_nan_edge_width(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.flagged(g, Config().qc).groupBy("sample_id").agg(F.count("*").alias("n_total"), F.count_if("flag_defocus").alias("n_defocus"))
 
 
-ACTIVE = "concat_ws(',', " + ", ".join(f"CASE WHEN {f} THEN '{f.removeprefix('flag_')}' END" for f in gate.FLAGS) + ")"
+ACTIVE = "concat_ws(',', " + ", ".join(f"CASE WHEN {f} THEN '{f}' END" for f in gate.FLAGS) + ")"
 
 
 @query(f"WITH {G} SELECT grain_uid, {ACTIVE} AS flags, CASE WHEN qc_pass THEN 'accept' ELSE 'reject' END AS status FROM grains")
@@ -119,23 +132,25 @@ def parse_identity_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.parsed(A.frames(spark, sf_dir).select("frame_path"), Config(), sample_id="S9", camera="zoom").select("frame_path", "sample_id", "camera", "frame_index")
 
 
+def _with_blanks(frames: DataFrame, has_blank: Column | None = None) -> DataFrame:
+    """Paths of frames and of the blank of their sample and camera, in one pass."""
+    blank = F.concat(F.lit("data/"), "sample_id", F.when(F.col("camera") == "basic", "_b").otherwise("_z"), F.lit("_back.bmp"))
+    blank = blank if has_blank is None else F.when(has_blank, blank)
+    return frames.select(F.explode(F.array_compact(F.array("frame_path", blank))).alias("frame_path")).distinct()
+
+
 BLANKS_SQL = "blanks AS (SELECT sample_id, camera, 'data/' || sample_id || '_' || CASE camera WHEN 'basic' THEN 'b' ELSE 'z' END || '_back.bmp' AS blank_path FROM (SELECT DISTINCT sample_id, camera FROM frames WHERE sample_id <> 'P_N'))"
 
 
 @query(f"WITH {FR}, {BLANKS_SQL} SELECT frame_path, sample_id, camera, blank_path FROM frames LEFT JOIN blanks USING (sample_id, camera)")
 def pair_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = A.frames(spark, sf_dir)
-    blanks = frames.filter("sample_id <> 'P_N'").select(F.concat(F.lit("data/"), "sample_id", F.when(F.col("camera") == "basic", "_b").otherwise("_z"), F.lit("_back.bmp")).alias("frame_path")).distinct()
-    all_ = identity.parsed(frames.select("frame_path").unionByName(blanks), Config())
-    return identity.with_blanks(all_).select("frame_path", "sample_id", "camera", "blank_path")
+    return identity.with_blanks(identity.parsed(_with_blanks(A.frames(spark, sf_dir), F.col("sample_id") != "P_N"), Config())).select("frame_path", "sample_id", "camera", "blank_path")
 
 
 @query(f"WITH {FR}, b AS (SELECT split_part(sample_id, '_', 2) AS run, camera, max('data/' || sample_id || '_' || CASE camera WHEN 'basic' THEN 'b' ELSE 'z' END || '_back.bmp') AS blank_path FROM frames GROUP BY ALL) SELECT frame_path, 'P' AS sample_id, run, camera, blank_path FROM (SELECT *, split_part(sample_id, '_', 2) AS run FROM frames) LEFT JOIN b USING (run, camera)")
 def pair_blanks_run_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = A.frames(spark, sf_dir)
-    blanks = frames.select(F.concat(F.lit("data/"), "sample_id", F.when(F.col("camera") == "basic", "_b").otherwise("_z"), F.lit("_back.bmp")).alias("frame_path")).distinct()
     cfg = load_config(overlay={"filename": {"sample_regex": RUN_REGEX}})
-    return identity.with_blanks(identity.parsed(frames.select("frame_path").unionByName(blanks), cfg)).select("frame_path", "sample_id", "run", "camera", "blank_path")
+    return identity.with_blanks(identity.parsed(_with_blanks(A.frames(spark, sf_dir)), cfg)).select("frame_path", "sample_id", "run", "camera", "blank_path")
 
 
 PRINT = "size || ':' || mtime"
@@ -175,29 +190,207 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resume.run_counters(_manifest(_printed(spark, sf_dir)))
 
 
-@query(f"WITH {G}, c AS (SELECT DISTINCT grain_uid, 'POLYGON ' || label AS wkt FROM grains WHERE has_polygon) SELECT g.grain_uid, c.wkt FROM grains g LEFT JOIN c USING (grain_uid)")
+@query(f"WITH {G} SELECT grain_uid, frame_id, (row_number() OVER (PARTITION BY frame_id ORDER BY ecd_px, grain_uid) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY frame_id) AS rank_ecd FROM grains")
+def quantile_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.quantile_ranked(A.grains(spark, sf_dir).select("grain_uid", "frame_id", "ecd_px"), "ecd_px", "grain_uid", "frame_id", name="rank_ecd").drop("ecd_px")
+
+
+CONTOURS_SQL = "contours AS (SELECT grain_uid, frame_id, 'POLYGON ' || label AS wkt FROM grains WHERE has_polygon)"
+
+
+def _contours(g: DataFrame) -> DataFrame:
+    return g.filter("has_polygon").select("grain_uid", "frame_id", F.concat(F.lit("POLYGON "), F.col("label").cast("string")).alias("wkt"))
+
+
+@query(f"WITH {G}, {CONTOURS_SQL} SELECT g.grain_uid, c.wkt FROM grains g LEFT JOIN contours c USING (grain_uid)")
 def grains_with_contours(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = A.grains(spark, sf_dir)
-    contours = g.filter("has_polygon").select("grain_uid", F.concat(F.lit("POLYGON "), F.col("label").cast("string")).alias("wkt")).distinct()
-    return g.join(contours, "grain_uid", "left").select("grain_uid", "wkt")
+    return review.with_contours(g, _contours(g)).select("grain_uid", "wkt")
 
 
-@query(f"WITH {G} SELECT grain_uid, frame_id FROM grains WHERE has_polygon AND frame_id IN (SELECT frame_id FROM grains GROUP BY frame_id HAVING count(*) FILTER (WHERE qc_pass) > 20)")
+@query(f"WITH {G}, {CONTOURS_SQL} SELECT grain_uid, frame_id FROM contours WHERE frame_id IN (SELECT frame_id FROM grains GROUP BY frame_id HAVING count(*) FILTER (WHERE qc_pass) > 20)")
 def contours_of_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = A.grains(spark, sf_dir)
-    pool = g.groupBy("frame_id").agg(F.count_if("qc_pass").alias("n")).filter("n > 20")
-    return g.filter("has_polygon").join(pool, "frame_id", "left_semi").select("grain_uid", "frame_id")
+    busy = aggregate.per_frame(g).filter("n_accepted > 20").select("frame_id")
+    return resume.of_frames(_contours(g), busy).select("grain_uid", "frame_id")
 
 
-@query(f"WITH {G} SELECT l.quality AS label, g.qc_pass, count(*) AS n FROM grains g JOIN labels l ON g.l_orderkey = l.doc_id GROUP BY ALL")
+@query(f"WITH {G} SELECT 'quality ' || l.quality AS label_name, g.qc_pass, count(*) AS n FROM grains g JOIN labels l ON g.l_orderkey = l.doc_id GROUP BY ALL")
 def label_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("l_orderkey"), F.col("quality").alias("label"))
-    return A.grains(spark, sf_dir).select("l_orderkey", "qc_pass").join(labels, "l_orderkey").groupBy("label", "qc_pass").agg(F.count("*").alias("n"))
+    g = A.grains(spark, sf_dir)
+    given = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("l_orderkey"), F.concat(F.lit("quality "), F.col("quality").cast("string")).alias("label_name"))
+    return review.label_scores(g.select("grain_uid", "l_orderkey").join(given, "l_orderkey"), g)
 
 
-@query(f"WITH {G} SELECT grain_uid, frame_id, (row_number() OVER (PARTITION BY frame_id ORDER BY ecd_px, grain_uid) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY frame_id) AS rank_ecd FROM grains")
-def quantile_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.grains(spark, sf_dir).select("grain_uid", "frame_id", sampling.quantile_rank("ecd_px", "grain_uid", "frame_id").alias("rank_ecd"))
+PLACES = "listing AS (SELECT 'z/' || frame_id || '.bmp' AS path, 2 AS deep FROM frames WHERE mtime % 3 <> 0 UNION ALL SELECT 'a/' || frame_id || '.bmp', 2 FROM frames WHERE mtime % 2 = 0 UNION ALL SELECT 'data/' || frame_id || '.bmp', 1 FROM frames WHERE mtime % 5 = 0)"
+
+
+def _places(f: DataFrame) -> DataFrame:
+    """Files of frames in up to three folders: where the frames were and elsewhere."""
+    at = lambda d: F.concat(F.lit(f"{d}/"), "frame_id", F.lit(".bmp")).alias("frame_path")
+    return f.filter("mtime % 3 <> 0").select(at("z")).unionByName(f.filter("mtime % 2 = 0").select(at("a"))).unionByName(f.filter("mtime % 5 = 0").select(at("data")))
+
+
+@query(f"WITH {FR}, {PLACES} SELECT f.frame_path, arg_min(l.path, (CAST(l.path <> f.frame_path AS INTEGER), l.path)) AS path FROM frames f JOIN listing l ON split_part(l.path, '/', 2) = f.frame_id || '.bmp' GROUP BY f.frame_path")
+def first_match_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = A.frames(spark, sf_dir)
+    return review.resolved_frames(f.select("frame_path"), _places(f))
+
+
+@query(f"WITH {FR}, {PLACES} SELECT f.frame_id, coalesce(min(l.path) FILTER (WHERE l.path LIKE 'a/%'), f.frame_path) AS path FROM frames f LEFT JOIN listing l ON split_part(l.path, '/', 2) = f.frame_id || '.bmp' GROUP BY f.frame_id, f.frame_path")
+def label_tool_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = A.frames(spark, sf_dir)
+    return review.label_frames(f.select("frame_id", "frame_path"), _places(f).filter("frame_path like 'a/%'"))
+
+
+@query(f"WITH {G}, {CONTOURS_SQL} SELECT frame_id, count(*) FILTER (WHERE qc_pass) AS n_accepted, count(*) FILTER (WHERE NOT qc_pass) AS n_rejected, count(*) <= 50 AS draw_labels, count(c.wkt) AS n_outlines FROM grains LEFT JOIN contours c USING (grain_uid, frame_id) GROUP BY frame_id")
+def overlay_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = A.grains(spark, sf_dir).withColumns({"frame_path": F.concat(F.lit("data/"), "frame_id", F.lit(".bmp")), "centroid_x": F.lit(1.0), "centroid_y": F.lit(2.0)})
+    drawn = review.outlined(g, _contours(g), g.select("frame_path").distinct())
+    return drawn.select("frame_id", "n_accepted", "n_rejected", "draw_labels", F.size(F.filter("outlines", lambda o: o["wkt"].isNotNull())).cast("long").alias("n_outlines"))
+
+
+HALF = "greatest(ecd_um / 4, 20)"
+
+
+@query(f"WITH {G}, t AS (SELECT *, l_partkey % 3000 AS cx, l_orderkey % 2100 AS cy, {HALF} AS half, row_number() OVER (PARTITION BY frame_id ORDER BY grain_uid) - 1 AS i FROM grains), w AS (SELECT *, greatest(cx - half, 0) AS a, greatest(cy - half, 0) AS b, least(cx + half, 2048) AS d, least(cy + half, 2048) AS e FROM t) SELECT grain_uid, CAST(i % 24 // 6 AS INTEGER) AS tile_row, CAST(i % 24 % 6 AS INTEGER) AS tile_column, CASE WHEN trunc(d) > trunc(a) AND trunc(e) > trunc(b) THEN CAST(trunc(a) AS INTEGER) END AS x0, CASE WHEN trunc(d) > trunc(a) AND trunc(e) > trunc(b) THEN CAST(trunc(b) AS INTEGER) END AS y0, CASE WHEN trunc(d) > trunc(a) AND trunc(e) > trunc(b) THEN CAST(trunc(d) AS INTEGER) END AS x1, CASE WHEN trunc(d) > trunc(a) AND trunc(e) > trunc(b) THEN CAST(trunc(e) AS INTEGER) END AS y1 FROM w")
+def sheet_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    more = {"frame_path": F.concat(F.lit("data/"), "frame_id", F.lit(".bmp")), "um_per_px": F.lit(4.0), "centroid_x": (F.col("l_partkey") % 3000).cast("double"), "centroid_y": (F.col("l_orderkey") % 2100).cast("double")}
+    g = A.grains(spark, sf_dir).withColumns(more | {"frame_rows": F.lit(2048), "frame_cols": F.lit(2048)})
+    at = review.resolved_frames(g.select("frame_path").distinct(), g.select("frame_path").distinct())
+    return review.tiles(sampling.paged(g, "grain_uid", "frame_id"), at).select("grain_uid", "tile_row", "tile_column", "x0", "y0", "x1", "y1")
+
+
+@query(f"WITH {G} SELECT grain_uid, sample_id, camera, CASE WHEN qc_pass THEN 'accept' ELSE 'reject' END AS qc_status, {ACTIVE} AS flags FROM grains WHERE frame_id IN (SELECT frame_id FROM grains GROUP BY frame_id ORDER BY frame_id LIMIT 5)")
+def predictions_of_first_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = A.grains(spark, sf_dir)
+    return review.with_predictions(resume.of_frames(g, aggregate.frame_hint(g)), Config()).select("grain_uid", "sample_id", "camera", "qc_status", "flags")
+
+
+@query(f"WITH {G} SELECT DISTINCT frame_id FROM grains ORDER BY frame_id LIMIT 5")
+def frame_hint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report feature: the first five frame ids of a run."""
+    return aggregate.frame_hint(A.grains(spark, sf_dir))
+
+
+@query(f"WITH {FR} SELECT frame_id, CAST(row_number() OVER (PARTITION BY sample_id ORDER BY camera, CAST(right(frame_id, 7) AS BIGINT), frame_id) AS INTEGER) AS place FROM frames")
+def frames_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = identity.parsed(A.frames(spark, sf_dir).select("frame_path"), Config())
+    return f.select(F.col("stem").alias("frame_id"), F.row_number().over(Window.partitionBy("sample_id").orderBy(*identity.frame_order())).alias("place"))
+
+
+@query("SELECT 'f' || l_orderkey || ':' || l_linenumber AS grain_uid, CAST(l_linenumber AS VARCHAR) AS suffix, count(*) AS n FROM lineitem GROUP BY ALL")
+def uid_and_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    uid = identity.grain_uid(F.concat(F.lit("f"), F.col("l_orderkey").cast("string")), F.col("l_linenumber"))
+    return rows.select(uid.alias("grain_uid")).select("grain_uid", identity.uid_suffix(F.col("grain_uid")).alias("suffix")).groupBy("grain_uid", "suffix").agg(F.count("*").alias("n"))
+
+
+@query("SELECT s.s_suppkey AS grain_uid, coalesce(p.s_suppkey, s.s_suppkey) AS previous_uid, coalesce(n.s_suppkey, s.s_suppkey) AS next_uid FROM (SELECT 's' || s_suppkey AS s_suppkey, s_suppkey AS k FROM supplier) s LEFT JOIN (SELECT 's' || s_suppkey AS s_suppkey, s_suppkey AS k FROM supplier) p ON p.k = s.k - 1 LEFT JOIN (SELECT 's' || s_suppkey AS s_suppkey, s_suppkey AS k FROM supplier) n ON n.k = s.k + 1")
+def labelling_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("grain_uid"), F.col("s_suppkey").alias("position"))
+    return review.neighbours(order).select("grain_uid", "previous_uid", "next_uid")
+
+
+@query("SELECT 's' || s_suppkey AS grain_uid, CAST(s_suppkey AS BIGINT) AS position, (SELECT count(*) FROM supplier WHERE s_suppkey % 3 = 0 OR s_suppkey < 7) AS n_labelled, (SELECT count(*) FROM supplier) AS n_total FROM supplier WHERE s_suppkey = (SELECT min(s_suppkey) FROM supplier WHERE NOT (s_suppkey % 3 = 0 OR s_suppkey < 7))")
+def labelling_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("grain_uid"), F.col("s_suppkey").cast("long").alias("position"))
+    return review.progress(order, order.filter("position % 3 = 0 or position < 7"))
+
+
+@query(f"WITH {FR}, {MANIFEST_SQL} SELECT frame_id, arg_max(fingerprint, n) AS fingerprint, arg_max(n_objects, n) AS n_objects FROM (SELECT frame_id, fingerprint, n_objects, 1 AS n FROM manifest UNION ALL SELECT frame_id, 'later', CAST(99 AS BIGINT), 2 FROM manifest WHERE n_objects > 4) GROUP BY frame_id")
+def latest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = _manifest(_printed(spark, sf_dir)).select("frame_id", "fingerprint", "n_objects", F.lit(1).alias("n"))
+    later = old.filter("n_objects > 4").select("frame_id", F.lit("later").alias("fingerprint"), F.lit(99).cast("long").alias("n_objects"), F.lit(2).alias("n"))
+    return resume.latest(old.unionByName(later), "frame_id", "n").select("frame_id", "fingerprint", "n_objects")
+
+
+@query(f"WITH {FR}, {MANIFEST_SQL} SELECT frame_id, fingerprint, status, n_objects FROM manifest WHERE n_objects NOT IN (3, 5) UNION ALL SELECT frame_id, 'new', 'ok', CAST(1 AS BIGINT) FROM frames WHERE size % 13 = 3")
+def upserted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Touched frames lose their rows and get their new ones, if they have any."""
+    f = _printed(spark, sf_dir)
+    new = f.filter("size % 13 = 3").select("frame_id", F.lit("new").alias("fingerprint"), F.lit("ok").alias("status"), F.lit(1).cast("long").alias("n_objects"))
+    return resume.upserted(_manifest(f), new, f.filter("size % 13 in (3, 5)"))
+
+
+NESTED = ("ecd_um", "contrast", "ecd_px", "edge_width_px", "qc_aspect_ratio", "qc_solidity", "touches_border", "has_polygon")
+
+
+def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grains as the frame pass leaves them: nested by frame, without flags, a line number telling them apart within an order."""
+    g = A.grains(spark, sf_dir).withColumn("frame_id", F.concat_ws("/", "frame_id", "l_orderkey", "l_partkey"))
+    inner = [f for f in schema.results(Config().measure.efd_order)["particles"].dataType.elementType.fields]
+    made = {n: F.col(n) for n in NESTED} | {"label": F.col("label"), "um_per_px": F.lit(2.0), "wkt": F.when(F.col("has_polygon"), F.concat(F.lit("POLYGON "), F.col("label").cast("string")))}
+    one = F.struct(*[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in inner])
+    return g.groupBy("frame_id", "sample_id", "camera").agg(F.collect_list(one).alias("particles")).withColumns({"frame_path": F.col("frame_id"), "run": F.lit(None).cast("string"), "status": F.when(F.size("particles") > 2, "error").otherwise("ok"), "fingerprint": F.lit("p"), "n_objects": F.size("particles").cast("long"), "flatfield_method": F.lit("blank"), "traceback": F.lit("t")})
+
+
+WHERE = "frame_id || '/' || l_orderkey || '/' || l_partkey"
+FLAG_LIST = ", ".join(gate.FLAGS)
+
+
+@query(f"WITH {G} SELECT {WHERE} || ':' || label AS grain_uid, sample_id, camera, round(ecd_um, 4) AS ecd_um, {FLAG_LIST}, qc_pass FROM grains")
+def results_to_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(detect.grains(_results(spark, sf_dir), Config()).select("grain_uid", "sample_id", "camera", "ecd_um", *gate.FLAGS, "qc_pass"))
+
+
+@query(f"WITH {G} SELECT {WHERE} || ':' || label AS grain_uid, 'POLYGON ' || label AS wkt, 2.0::DOUBLE AS um_per_px FROM grains WHERE has_polygon")
+def results_to_contours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect.contours(_results(spark, sf_dir)).select("grain_uid", "wkt", "um_per_px")
+
+
+@query(f"WITH {G} SELECT {WHERE} AS frame_id, CASE WHEN count(*) > 2 THEN 'error' ELSE 'ok' END AS status, count(*) AS n_objects, 0.0::DOUBLE AS seconds FROM grains GROUP BY ALL")
+def results_to_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect.manifest(_results(spark, sf_dir), Config()).select("frame_id", "status", "n_objects", "seconds")
+
+
+@query(f"WITH {G} SELECT {WHERE} AS frame_id, 't' AS traceback FROM grains GROUP BY ALL HAVING count(*) > 2")
+def results_to_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect.errors(_results(spark, sf_dir)).select("frame_id", "traceback")
+
+
+KEPT_COLUMNS = ["grain_uid", "frame_id", "sample_id", "camera", "label", "ecd_um", "edge_width_px", *gate.FLAGS, "qc_pass"]
+
+
+def _stored(spark: SparkSession, sf_dir: str, fmt: str, keys: list[str]) -> DataFrame:
+    """Grains written as a table of a format and read again."""
+    g = A.grains(spark, sf_dir).select(*KEPT_COLUMNS)
+    path = tables.write_partitioned(g, f"{tables.working_folder(spark)}/grains", fmt, keys)
+    return rounded(tables.read_table(spark, path, fmt, g.schema).select(*KEPT_COLUMNS))
+
+
+STORED_SQL = f"WITH {G} SELECT grain_uid, frame_id, sample_id, camera, label, round(ecd_um, 4) AS ecd_um, round(edge_width_px, 4) AS edge_width_px, {FLAG_LIST}, qc_pass FROM grains"
+
+
+@query(STORED_SQL)
+def stored_as_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "csv", [])
+
+
+@query(STORED_SQL)
+def stored_as_discovered_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As text columns, of which those that hold True and False alone become booleans."""
+    g = A.grains(spark, sf_dir).select(*KEPT_COLUMNS)
+    path = tables.write_table(g, f"{tables.working_folder(spark)}/grains", "csv")
+    found = tables.with_booleans(spark.read.option("header", "true").csv(path))
+    flags = [c for c, t in found.dtypes if t == "boolean"]
+    return rounded(found.select(*[F.col(c) if c in flags else F.col(c).cast(g.schema[c].dataType).alias(c) for c in KEPT_COLUMNS]))
+
+
+@query(STORED_SQL)
+def stored_as_feather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "feather", ["sample_id", "camera"])
+
+
+@query(STORED_SQL)
+def stored_as_partitioned_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "parquet", ["sample_id", "camera"])
+
+
+@query(f"WITH {G} SELECT grain_uid, sample_id, camera, round(contrast, 4) AS contrast, flag_defocus FROM grains")
+def focus_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = A.grains(spark, sf_dir).withColumn("edge_gradient_norm", F.lit(1.0))
+    return rounded(review.focus_scatter(g).drop("edge_gradient_norm"))
 
 
 @query(f"WITH {G}, e AS (SELECT list_distinct(quantile_cont(ecd_um, [0.2, 0.4, 0.6, 0.8])) AS e FROM grains WHERE qc_pass), s AS (SELECT grain_uid, frame_id, CAST(len(list_filter(e, lambda x: x < ecd_um)) AS INTEGER) AS stratum FROM grains, e WHERE qc_pass), p AS (SELECT *, row_number() OVER (PARTITION BY frame_id, stratum ORDER BY grain_uid) AS position FROM s) SELECT grain_uid, frame_id, stratum, CAST(position AS INTEGER) AS position, CAST(floor((position - 1) / 24) + 1 AS INTEGER) AS page FROM p")
@@ -211,15 +404,6 @@ def rejected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.rejected_pages(A.grains(spark, sf_dir), list(gate.FLAGS))
 
 
-@query(f"WITH {FR}, l AS (SELECT frame_id, 'z/' || frame_id || '.bmp' AS path FROM frames UNION ALL SELECT frame_id, 'a/' || frame_id || '.bmp' FROM frames WHERE mtime % 2 = 0), r AS (SELECT f.frame_id, l.path, row_number() OVER (PARTITION BY f.frame_id ORDER BY l.path) AS k FROM frames f JOIN l USING (frame_id)) SELECT frame_id, path FROM r WHERE k = 1")
-def first_match_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = A.frames(spark, sf_dir)
-    at = lambda d: F.concat(F.lit(f"{d}/"), "frame_id", F.lit(".bmp")).alias("path")
-    listing = f.select("frame_id", at("z")).unionByName(f.filter("mtime % 2 = 0").select("frame_id", at("a")))
-    w = Window.partitionBy("frame_id").orderBy("path")
-    return f.select("frame_id").join(listing, "frame_id").withColumn("k", F.row_number().over(w)).filter("k = 1").select("frame_id", "path")
-
-
 @query(f"WITH {RG} SELECT vec_id, round(abs(sum(x * ny - nx * y)) / 2, 4) AS area_px, round(sum(sqrt((nx - x) * (nx - x) + (ny - y) * (ny - y))), 4) AS perimeter_px, round(2 * sqrt(abs(sum(x * ny - nx * y)) / 2 / pi()), 4) AS ecd_px FROM edges GROUP BY vec_id")
 def polygon_area_perimeter_ecd(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = F.col("xs"), F.col("ys")
@@ -241,29 +425,7 @@ def polygon_bbox_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {RG} SELECT a.vec_id, round(max(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))), 4) AS feret_max_px FROM points a JOIN points b ON a.vec_id = b.vec_id GROUP BY a.vec_id")
 def feret_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(A.rings(spark, sf_dir).select("vec_id", rings.feret_max(F.col("xs"), F.col("ys")).alias("feret_max_px")))
-
-
-@query(f"WITH {RG} SELECT vec_id, k, round(sum(sqrt((nx - x) * (nx - x) + (ny - y) * (ny - y))) OVER (PARTITION BY vec_id ORDER BY k), 4) AS arc_px FROM edges")
-def boundary_arc_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = A.rings(spark, sf_dir).select("vec_id", F.posexplode(rings.steps(F.col("xs"), F.col("ys"))).alias("k", "s"))
-    w = Window.partitionBy("vec_id").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    return rounded(rows.select("vec_id", F.col("k").cast("long").alias("k"), F.sum("s").over(w).alias("arc_px")))
-
-
-@query(f"WITH {TL} SELECT vec_id, k, round(p, 6) AS p FROM tiles")
-def tile_flatfield(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = A.tiles(spark, sf_dir).withColumn("m", rings.median(F.col("pixels")))
-    return rounded(rows.select("vec_id", F.posexplode(F.transform("pixels", lambda v: v / F.col("m"))).alias("k", "p")).withColumn("k", F.col("k").cast("long")), 6)
-
-
-@query(f"WITH {TL}, c AS (SELECT vec_id, count(*) FILTER (WHERE p < 0.85) AS n, quantile_cont(p, 0.05) FILTER (WHERE p < 0.85) AS core, min(p) AS low FROM tiles GROUP BY vec_id), l AS (SELECT vec_id, CASE WHEN n < 3 THEN low - 1 ELSE core + 0.5 * (1 - core) END AS level FROM c) SELECT vec_id, round(level, 6) AS level, count(*) FILTER (WHERE p < level) AS n_foreground, count(*) FILTER (WHERE p < level AND (k % 8 IN (0, 7) OR k // 8 IN (0, 7))) AS n_border FROM tiles JOIN l USING (vec_id) GROUP BY ALL")
-def tile_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = A.tiles(spark, sf_dir).withColumn("m", rings.median(F.col("pixels"))).select("vec_id", F.transform("pixels", lambda v: v / F.col("m")).alias("p"))
-    rows = rows.withColumn("level", rings.half_max_level(F.col("p"), 0.15, 0.5, 3))
-    edge = lambda k: (k % 8).isin(0, 7) | F.floor(k / 8).isin(0, 7)
-    marks = F.transform("p", lambda v, k: F.struct((v < F.col("level")).alias("on"), edge(k).alias("edge")))
-    return rows.withColumn("marks", marks).select("vec_id", F.round("level", 6).alias("level"), F.size(F.filter("marks", lambda m: m["on"])).cast("long").alias("n_foreground"), F.size(F.filter("marks", lambda m: m["on"] & m["edge"])).cast("long").alias("n_border"))
+    return rounded(polygons.per_ring(A.rings(spark, sf_dir), "vec_id", polygons.measures(1.0, ["feret_max_um"]), schema.of(feret_max_px=schema.REAL)))
 
 
 ARC = "sums AS (SELECT *, sqrt((nx - x) * (nx - x) + (ny - y) * (ny - y)) AS s, coalesce(sum(sqrt((nx - x) * (nx - x) + (ny - y) * (ny - y))) OVER (PARTITION BY vec_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS t FROM edges), arc AS (SELECT *, sum(s) OVER (PARTITION BY vec_id) AS whole FROM sums)"
@@ -290,7 +452,7 @@ def curvature_entropy_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {RG}, pairs AS (SELECT a.vec_id, a.k AS i, b.k AS j, a.x AS ax, a.y AS ay, (b.x - a.x) / sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) AS ex, (b.y - a.y) / sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) AS ey FROM points a JOIN points b ON a.vec_id = b.vec_id AND a.k <> b.k), o AS (SELECT p.vec_id, i, j, min(ex * (c.y - ay) - ey * (c.x - ax)) AS low, max(ex * (c.y - ay) - ey * (c.x - ax)) AS high FROM pairs p JOIN points c ON p.vec_id = c.vec_id GROUP BY ALL) SELECT vec_id, round(min(high), 4) AS feret_min_px FROM o WHERE low >= -1e-9 GROUP BY vec_id")
 def feret_min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(polygons.per_ring(A.rings(spark, sf_dir), "vec_id", polygons.narrowest, schema.of(feret_min_px=schema.REAL)))
+    return rounded(polygons.per_ring(A.rings(spark, sf_dir), "vec_id", polygons.measures(1.0, ["feret_min_um"]), schema.of(feret_min_px=schema.REAL)))
 
 
 @query()

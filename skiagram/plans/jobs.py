@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skiagram.config import Config, config_hash
-from skiagram.functions.gate import FLAGS
+from skiagram.functions.gate import FLAGS, regated
 from skiagram.operators import aggregate, detect, resume, review, sampling, schema
 from skiagram.sources import frames as frame_source
 from skiagram.sources import tables
@@ -37,12 +37,19 @@ def read_grains(spark: SparkSession, out: str, cfg: Config) -> DataFrame | None:
     return tables.read_table(spark, path, cfg.output.format, schema.grains(cfg.measure.efd_order)) if tables.exists(spark, path) else None
 
 
+def grains_at(spark: SparkSession, path: str, cfg: Config) -> DataFrame | None:
+    """The grain table of a run, or the one at the path itself, a folder or a file."""
+    if tables.exists(spark, f"{path}/grains"):
+        return read_grains(spark, path, cfg)
+    return tables.read_table(spark, path, cfg.output.format, schema.grains(cfg.measure.efd_order)) if tables.exists(spark, path) else None
+
+
 def read_contours(spark: SparkSession, out: str, cfg: Config, frame_ids: DataFrame | list[str] | None = None) -> DataFrame:
     """Outlines, of some frames if told; empty where there are none."""
     rows = tables.read_table(spark, f"{out}/contours", cfg.output.format, schema.KEYED_CONTOURS)
     if frame_ids is None:
         return rows
-    return rows.filter(F.col("frame_id").isin(frame_ids)) if isinstance(frame_ids, list) else rows.join(frame_ids.select("frame_id"), "frame_id", "left_semi")
+    return rows.filter(F.col("frame_id").isin(frame_ids)) if isinstance(frame_ids, list) else resume.of_frames(rows, frame_ids)
 
 
 def replace_rows(spark: SparkSession, out: str, name: str, new: DataFrame, touched: DataFrame, cfg: Config, shape: StructType) -> None:
@@ -83,9 +90,10 @@ def run_detect(spark: SparkSession, root: str, out: str, cfg: Config, *, force:
         for name in ("grains", "contours", "manifest", "errors"):
             tables.remove(spark, f"{out}/{name}")
     before = tables.read_table(spark, f"{out}/manifest", cfg.output.format, schema.MANIFEST)
-    todo = resume.todo(found, before)
+    todo = resume.todo(found, before).persist()  # small rows, counted before they are dealt out
     staged = f"{out}/_staged/results"
     detect.results(todo, cfg).write.mode("overwrite").parquet(staged)
+    todo.unpersist()
     done = spark.read.schema(schema.results(cfg.measure.efd_order)).parquet(staged)
 
     replace_rows(spark, out, "grains", detect.grains(done, cfg), done, cfg, schema.grains(cfg.measure.efd_order))
@@ -122,15 +130,21 @@ def run_detect(spark: SparkSession, root: str, out: str, cfg: Config, *, force:
 
 def run_aggregate(spark: SparkSession, run: str, out: str, cfg: Config) -> list[str]:
     """Writes summary, rejection_by_ecd, accepted and per_frame; nothing where the run has no grains."""
-    grains = read_grains(spark, run, cfg)
+    grains = grains_at(spark, run, cfg)
     if grains is None:
         return []
-    return [tables.write_table(df, f"{out}/{name}", cfg.output.format) for name, df in aggregate.aggregate_run(grains, cfg).items()]
+    # the gate is made once: four tables come of it
+    gated = grains.select([c for c in grains.columns if c in aggregate.READ or c.startswith("flag_")]).persist()
+    try:
+        made = aggregate.aggregate_run(gated, cfg) | {"accepted": aggregate.accepted(regated(grains, cfg.qc))}
+        return [tables.write_table(aggregate.in_order(df) if name != "accepted" else df, f"{out}/{name}", cfg.output.format) for name, df in made.items()]
+    finally:
+        gated.unpersist()
 
 
 def run_report(spark: SparkSession, run: str, out: str, cfg: Config, root: str | None = None, cap: int = 96) -> list[str]:
     """Writes the tables behind the figures; with the frames' root also sheet tiles with frame paths, and the illumination."""
-    grains = read_grains(spark, run, cfg)
+    grains = grains_at(spark, run, cfg)
     if grains is None:
         return []
     made = {"focus_scatter": review.focus_scatter(grains), "rejection_by_ecd_global": aggregate.rejection_by_ecd_global(grains)}
@@ -156,14 +170,25 @@ def run_overlay(spark: SparkSession, run: str, root: str, out: str, cfg: Config,
     return spark.read.parquet(f"{out}/_overlays")
 
 
-def run_groundtruth(spark: SparkSession, run: str, cfg: Config, k: int, seed: int = 0, n_frames: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """The sample to label, with predicted status and flags, and its outlines."""
+def run_overviews(spark: SparkSession, run: str, root: str, cfg: Config, factor: int) -> DataFrame | None:
+    """Overlays of every frame with a particle, in the run's folder; nothing where there are none."""
+    if read_grains(spark, run, cfg) is None or read_grains(spark, run, cfg).isEmpty():
+        return None
+    return run_overlay(spark, run, root, f"{run}/overviews", cfg, factor=factor)
+
+
+def run_groundtruth(spark: SparkSession, run: str, cfg: Config, n: int | None = None, seed: int = 0, *, frac: float | None = None, n_frames: int | None = None, frac_frames: float | None = None, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The sample to label, with predicted status and flags and where its frames lie (in a folder, if told, else as stored), and
+    its outlines."""
     grains = read_grains(spark, run, cfg)
     if grains is None:
         raise FileNotFoundError(f"no grains under {run}")
-    chosen = sampling.label_sample(grains, cfg.groundtruth.lhs_axes, k, cfg.groundtruth.reserved, seed, n_frames)
+    chosen = sampling.label_sample(grains, cfg.groundtruth.lhs_axes, cfg.groundtruth.reserved, seed, n=n, frac=frac, n_frames=n_frames, frac_frames=frac_frames)
+    at = chosen.select("frame_id", "frame_path").distinct()
+    at = review.label_frames(at, frame_source.listing(spark, folder)) if folder else at.withColumnRenamed("frame_path", "path")
     ids = chosen.select("grain_uid")
-    return review.with_predictions(chosen, cfg), read_contours(spark, run, cfg).join(ids, "grain_uid", "left_semi")
+    sample = review.with_predictions(chosen, cfg).join(at.select("frame_id", "path"), "frame_id")
+    return sample, read_contours(spark, run, cfg).join(ids, "grain_uid", "left_semi")
 
 
 def make_smaller(spark: SparkSession, root: str, out: str, factor: int) -> DataFrame:

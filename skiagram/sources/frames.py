@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,20 +22,43 @@ def is_uri(path: str) -> bool:
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
-    """Image files under a root.  A local root is walked, so that names with a leading underscore count; only a file's own
-    leading dot hides it.  A URI is listed by Spark in parallel, contents unread; Spark hides names with an underscore."""
+    """Image files under a root.  A local root is walked, its folders by tasks, so that names with a leading underscore count;
+    only a file's own leading dot hides it.  A URI is listed by Spark in parallel, contents unread; Spark hides names with an underscore."""
     if is_uri(root):
         glob = "*.{" + ",".join(s for x in SUFFIXES for s in (x, x.upper())) + "}"
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
         return of_files(files)
-    rows = []
-    for folder, _, names in os.walk(root):
-        for n in names:
-            if not n.startswith(".") and n.rpartition(".")[2].lower() in SUFFIXES:
-                path = os.path.join(folder, n)
-                stat = os.stat(path)
-                rows.append((path, stat.st_size, stat.st_mtime))
-    return spark.createDataFrame(rows, LISTING)
+    top = [(e.path, e.is_dir()) for e in os.scandir(root)] if os.path.isdir(root) else []
+    here = spark.createDataFrame([seen(p) for p, folder in top if not folder and is_frame(p)], LISTING)
+    folders = [(p,) for p, folder in top if folder]
+    if not folders:
+        return here
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for root in b.column(0).to_pylist():
+                for folder, _, names in os.walk(root):
+                    rows = [seen(os.path.join(folder, n)) for n in names if is_frame(n)]
+                    if rows:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["frame_path", "size", "mtime"])
+
+    # a task for each of a number of top folders: they are on a path that all workers share
+    n = min(len(folders), 4 * spark.sparkContext.defaultParallelism)
+    return here.unionByName(spark.createDataFrame(folders, "folder string").repartition(n).mapInArrow(walk, LISTING))
+
+
+def is_frame(path: str) -> bool:
+    name = os.path.basename(path)
+    return not name.startswith(".") and name.rpartition(".")[2].lower() in SUFFIXES
+
+
+def seen(path: str) -> tuple[str, int, float]:
+    stat = os.stat(path)
+    return path, stat.st_size, stat.st_mtime
+
+
+def in_path_order(files: DataFrame) -> DataFrame:
+    return files.orderBy("frame_path")
 
 
 def of_files(files: DataFrame) -> DataFrame:

@@ -104,13 +104,15 @@ def unfiltered(raw: np.ndarray, unit: int) -> np.ndarray:
     return out
 
 
-def encode_png(image: np.ndarray) -> bytes:
+def encode_png(image: np.ndarray, title: str = "") -> bytes:
+    """An 8 bit PNG, grey or colour, with a title in its text chunk if there is one."""
     rows, cols = image.shape[:2]
     flat = image.reshape(rows, -1)
     chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
     lines = np.concatenate([np.zeros((rows, 1), np.uint8), flat], axis=1)
     head = struct.pack(">IIBBBBB", cols, rows, 8, 2 if image.ndim == 3 else 0, 0, 0, 0)
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines.tobytes(), 6)) + chunk(b"IEND", b"")
+    text = chunk(b"iTXt", b"Title\0\0\0\0\0" + title.encode()) if title else b""
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + text + chunk(b"IDAT", zlib.compress(lines.tobytes(), 6)) + chunk(b"IEND", b"")
 
 
 def decode_tiff(data: bytes) -> np.ndarray:
@@ -142,3 +144,23 @@ def block_mean(image: np.ndarray, factor: int) -> np.ndarray:
     full[: image.shape[0], : image.shape[1]] = image
     means = full.reshape(rows // factor, factor, cols // factor, factor).mean(axis=(1, 3))
     return np.clip(np.round(means), 0, 255).astype(np.uint8)
+
+
+def smoothed_smaller(image: np.ndarray, factor: int) -> np.ndarray:
+    """Smaller image without aliases: a Gaussian of (factor - 1) / 2, read off by linear interpolation at the new pixels' centres."""
+    if factor <= 1:
+        return image
+    sigma = (factor - 1) / 2
+    reach = int(4 * sigma + 0.5)
+    bell = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
+    share = (factor - 1) / 2 % 1
+    taps = np.convolve(bell / bell.sum(), [1 - share, share])
+    out = image.astype(np.float64)
+    for axis in (0, 1):
+        n = max(1, round(image.shape[axis] / factor))
+        first = np.floor((np.arange(n) + 0.5) * factor - 0.5).astype(int) - reach
+        size = out.shape[axis]
+        at = (first[:, None] + np.arange(len(taps))) % (2 * size)
+        at = np.minimum(at, 2 * size - 1 - at)  # edges mirrored
+        out = sum(w * out.take(at[:, k], axis) for k, w in enumerate(taps))
+    return np.clip(np.round(out), 0, 255).astype(np.uint8)

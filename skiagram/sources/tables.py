@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import glob
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +35,35 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def moved(spark: SparkSession, source: str, target: str) -> None:
-    """The target is replaced by the source."""
-    remove(spark, target)
-    a, b = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
-    if not a.getFileSystem(spark._jsc.hadoopConfiguration()).rename(a, b):
+    """The target is replaced by the source.  The old one is set aside first and goes last, so a driver that is lost in between
+    leaves one of the two whole."""
+    aside = f"{target}.old"
+    remove(spark, aside)
+    a, b, c = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target, aside))
+    system = a.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(b) and not system.rename(b, c) or not system.rename(a, b):
         raise OSError(f"can't move {source} to {target}")
+    remove(spark, aside)
+
+
+def working_folder(spark: SparkSession) -> str:
+    """A new folder for tables on the way: below spark.checkpoint.dir, which all workers share, or a temporary one in local mode."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all workers share")
+        base = tempfile.mkdtemp(prefix="skiagram-")
+    return f"{base.removeprefix('file://').removeprefix('file:').rstrip('/')}/tables-{uuid.uuid4().hex}"
+
+
+def with_booleans(df: DataFrame) -> DataFrame:
+    """Text columns whose values are all True or False, with at least one, as booleans; for tables read without a schema."""
+    texts = [c for c, t in df.dtypes if t == "string"]
+    if not texts:
+        return df
+    only = df.agg(*[F.bool_and(F.col(f"`{c}`").isin("True", "False", "true", "false")).alias(f"c{k}") for k, c in enumerate(texts)]).first()
+    flags = {c for k, c in enumerate(texts) if only[k]}
+    return df.select(*[F.col(f"`{c}`").cast("boolean").alias(c) if c in flags else F.col(f"`{c}`") for c in df.columns])
 
 
 def read_table(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataFrame:
@@ -83,10 +109,13 @@ def write_table(df: DataFrame, path: str, fmt: str) -> str:
     return path
 
 
-def write_feather(df: DataFrame, path: str) -> str:
-    """A folder of one feather file a task, on a path that all workers share; files of an older run go first.
+def write_feather(df: DataFrame, path: str, keys: list[str] | None = None) -> str:
+    """A folder of one feather file a task, or with keys one for each task and value of them in folders key=value (keys stay inside);
+    on a path that all workers share; files of an older run go first.
 
     A file is named by its partition and put in place by a rename, so a task that runs again replaces its own."""
+    keys = keys or []
+    at = [df.columns.index(k) for k in keys]
     from pyspark.sql.pandas.types import to_arrow_schema
 
     remove(df.sparkSession, path)
@@ -98,14 +127,28 @@ def write_feather(df: DataFrame, path: str) -> str:
         from pyspark import TaskContext
 
         context = TaskContext.get()
-        final = os.path.join(path, f"part-{context.partitionId():05d}.feather")
-        partial = f"{final}.{context.taskAttemptId()}"
-        rows = 0
-        with pa.OSFile(partial, "wb") as f, pa.ipc.new_file(f, shape) as w:
-            for b in batches:
-                w.write_batch(pa.RecordBatch.from_arrays([c.cast(t.type) for c, t in zip(b.columns, shape, strict=True)], schema=shape))
-                rows += b.num_rows
-        os.replace(partial, final)
+        rows, place, writer = 0, None, None
+
+        def close() -> None:
+            if writer is not None:
+                writer.close()
+                os.replace(f"{place}.{context.taskAttemptId()}", place)
+
+        for b in batches:
+            b = pa.RecordBatch.from_arrays([c.cast(t.type) for c, t in zip(b.columns, shape, strict=True)], schema=shape)
+            values = list(zip(*(b.column(k).to_pylist() for k in at), strict=True)) if at else [()] * b.num_rows
+            begin = 0
+            for end in [k for k in range(1, len(values)) if values[k] != values[k - 1]] + [len(values)]:  # rows are sorted by keys
+                folder = os.path.join(path, *(f"{k}={v}" for k, v in zip(keys, values[begin], strict=True))) if values else path
+                now = os.path.join(folder, f"part-{context.partitionId():05d}.feather")
+                if now != place:
+                    close()
+                    os.makedirs(folder, exist_ok=True)
+                    place, writer = now, pa.ipc.new_file(f"{now}.{context.taskAttemptId()}", shape)
+                writer.write_batch(b.slice(begin, end - begin))
+                begin = end
+            rows += b.num_rows
+        close()
         yield pa.RecordBatch.from_pydict({"rows": [rows]})
 
     df.mapInArrow(store, "rows long").agg(F.sum("rows")).collect()
@@ -122,5 +165,5 @@ def write_partitioned(df: DataFrame, root: str, fmt: str, keys: list[str], *, pa
         doubled = df.select("*", *[F.col(k).alias(f"_{k}") for k in keys])
         doubled.write.mode("overwrite").option("header", "true").option("nanValue", "NaN").partitionBy(*[f"_{k}" for k in keys]).csv(root)
     else:
-        write_feather(df.repartition(*keys).sortWithinPartitions(*keys), root)
+        write_feather(df.repartition(*keys).sortWithinPartitions(*keys), root, keys)
     return root

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from skiagram.plans import catalog
+from skiagram.plans import catalog, kernel_queries  # noqa: F401  (its queries are in the catalog)
 
 SF = "/root/testdata/sf0.001"
 

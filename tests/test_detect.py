@@ -13,7 +13,7 @@ from skiagram.sources import tables
 from skiagram.sources.images import decode, encode_bmp
 from skiagram.streaming.frames import detect_stream
 
-CFG = load_config(overlay={"calibration": {"um_per_px": {"basic": 2.0, "zoom": 1.0}}})
+CFG = load_config(overlay={"calibration": {"um_per_px": {"basic": 2.0, "zoom": 1.0}}, "output": {"format": "parquet"}})
 
 
 def put(folder, name, image):
@@ -71,8 +71,8 @@ def test_run_resume_and_change(spark, frames, tmp_path):
     assert len(jobs.run_report(spark, out, str(tmp_path / "rep"), CFG, str(frames))) == 5
     drawn = jobs.run_overlay(spark, out, str(frames), str(tmp_path / "png"), CFG)
     assert drawn.count() == 3 and drawn.filter("error is not null").count() == 0
-    assert decode((tmp_path / "png" / "S1_b_0000001.png").read_bytes()).shape == (128, 128)
-    sample, outlines = jobs.run_groundtruth(spark, out, CFG, 3)
+    assert decode((tmp_path / "png" / "S1_b_0000001_overlay.png").read_bytes()).shape == (128, 128)
+    sample, outlines = jobs.run_groundtruth(spark, out, CFG, 3, folder=str(frames))
     assert sample.count() == 3 and outlines.count() == 3
     assert jobs.make_smaller(spark, str(frames), str(tmp_path / "small"), 4).count() == 6
 
