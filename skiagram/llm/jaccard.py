@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skiagram.llm.components import connected_components
+from skiagram.llm.components import connected_components, limit, spread_join
 from skiagram.llm.shared import TO_LOWER, U64, as_bytes, bounded_sample, chunks, mix, prefix_hash, shingle_hashes, span_hash, staged, unused_name, words
 
 SAMPLE, FREQUENT, MOST_FREQUENT = 2_000, 3, 1 << 20
@@ -205,14 +205,14 @@ def set_table(docs: DataFrame, key: Column, rule: Rule, frequent: np.ndarray) ->
 
 
 def light_links(sets: DataFrame, rule: Rule) -> DataFrame:
-    """Links through a shared subset, from each member to the smallest set under the key.
+    """Links through a shared subset, from the smallest set under the key (a) to each member.
 
     Whoever shares a subset that two members need shares enough with the smallest of them, so no link is lost.
     """
     rows = sets.filter(F.size("light") > 0).select("id", "n", F.explode(F.arrays_zip("light", "light_c")).alias("k")).select("id", "n", F.col("k.light").alias("key"), F.col("k.light_c").alias("c"))
     hubs = rows.groupBy("key", "c").agg(F.min(F.struct("n", "id")).alias("hub"), F.count("*").alias("members")).filter("members > 1").drop("members")
     near = (F.col("hub.id") != F.col("id")) & ((rule.num + rule.den) * F.col("c") >= rule.num * (F.col("n") + F.col("hub.n")))
-    return rows.join(hubs, ["key", "c"]).filter(near).select(F.col("id").alias("a"), F.col("hub.id").alias("b")).distinct()
+    return rows.join(hubs, ["key", "c"]).filter(near).select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
 
 
 def _similar(sketch: np.ndarray, agree: int) -> list[tuple[int, int]]:
@@ -403,9 +403,11 @@ def labelled(docs: DataFrame, rule: Rule) -> tuple[DataFrame, Column, bool]:
     keys = some.filter(F.size("heavy") > 0).select(F.explode("heavy").alias("key"), "id", "s0", "s1", "s2", "s3")
 
     def by_rep(links: DataFrame) -> DataFrame:
-        for end in ("a", "b"):
-            links = links.join(leads.select(F.col("local").alias(end), F.col("rep").alias(f"{end}_rep")), end).drop(end).withColumnRenamed(f"{end}_rep", end)
-        return links.filter("a <> b").distinct()
+        """Links of classes.  Many links may share their first end, the hub of a list or subset, but few their second."""
+        links = staged(links)
+        named = lambda end: leads.select(F.col("local").alias(end), F.col("rep").alias(f"{end}_rep"))
+        links = spread_join(links, named("a"), "a", limit(links.count(), links)).join(named("b"), "b")
+        return links.filter("a_rep <> b_rep").select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct()
 
     candidates = connected_components(by_rep(scan_lists(keys, rule)))
     sizes = leads.groupBy(F.col("rep").alias("id")).agg(F.max("n").alias("n"))
