@@ -96,24 +96,28 @@ def errors(found: DataFrame) -> DataFrame:
     return found.filter("status = 'error'").select(*schema.ERRORS.names)
 
 
+DRAWN = ("area_px", "perimeter_um", "perimeter_crofton_px", "major_axis_um", "minor_axis_um", "feret_max_um", "feret_min_um", "solidity", "circularity", "wadell_sphericity", "edge_width_px", "contrast", "touches_border", "has_polygon")
+
+
 def drawn(keys: DataFrame, cfg: Config) -> DataFrame:
-    """A synthetic frame a key, drawn and measured in one pass: one particle each, of a size and place that follow the key."""
-    shape = "key long, n_objects long, area_px double, true_area_px double, edge_width_px double, contrast double, touches_border boolean"
+    """A synthetic frame a key, drawn, stored as BMP, read and measured in one pass: one ellipse each, of a size and place that
+    follow the key; its half axes a and b, and what was measured."""
+    kinds = {f.name: f.dataType for f in schema.measured(cfg.measure.efd_order).fields}
+    shape = schema.of(key=schema.LONG, n_objects=schema.LONG, a=schema.REAL, b=schema.REAL, **{n: kinds[n] for n in DRAWN})
+    arrow = to_arrow_schema(shape)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import math
-
         from skiagram.kernel import frame, synthetic
+        from skiagram.sources.images import decode, encode_bmp
 
-        for b in batches:
+        for batch in batches:
             rows = []
-            for key in b.column(0).to_pylist():
-                a, ratio = 8 + key % 9, 1 - (key % 4) / 8
-                image = synthetic.frame(64, 64, [synthetic.Disc("ellipse", 28 + key % 7, 30 + key % 5, a, a * ratio, key % 3)])
-                got = frame.particles(image, None, 1.0, cfg)[0]
-                first = got[0] if got else dict.fromkeys(("area_px", "edge_width_px", "contrast", "touches_border"))
-                rows.append((key, len(got), first["area_px"], math.pi * a * a * ratio, first["edge_width_px"], first["contrast"], first["touches_border"]))
-            names = [f.split()[0] for f in shape.split(", ")]
-            yield pa.RecordBatch.from_pydict({n: [r[i] for r in rows] for i, n in enumerate(names)})
+            for key in batch.column(0).to_pylist():
+                a = 8.0 + key % 9
+                b = a * (1 - (key % 4) / 8)
+                image = synthetic.frame(64, 64, [synthetic.Disc("ellipse", 28 + key % 7, 30 + key % 5, a, b, key % 3)])
+                got = frame.particles(decode(encode_bmp(image)), None, 1.0, cfg)[0]
+                rows.append({"key": key, "n_objects": len(got), "a": a, "b": b} | ({n: got[0][n] for n in DRAWN} if got else {}))
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     return spread(keys.select(keys.columns[0]), keys.columns[0]).mapInArrow(work, shape)

@@ -76,6 +76,46 @@ def tiles(pages: DataFrame, resolved: DataFrame, columns: int = 6) -> DataFrame:
     )
 
 
+def sheets(placed: DataFrame, out: str, columns: int = 6, cell: int = 96) -> DataFrame:
+    """Draws contact sheets, a PNG a flag and page, from ``tiles`` that tell them; a row a sheet.
+
+    A page has two dozen tiles at most, so it is drawn by one task, which reads the frames that its tiles are cut from.  A tile
+    without bounds or whose frame can't be read stays empty.
+    """
+    flag = F.coalesce(F.col("flag"), F.lit("accepted")) if "flag" in placed.columns else F.lit("accepted")
+    rows = placed.select(flag.alias("flag"), "page", "position", "tile_row", "tile_column", "path", "x0", "y0", "x1", "y1", "caption")
+
+    def draw(page: pa.Table) -> pa.Table:
+        from skiagram.sources.frames import read_image
+        from skiagram.sources.images import encode_png
+
+        tiles = page.sort_by("position").to_pylist()
+        sheet = np.full(((max(t["tile_row"] for t in tiles) + 1) * cell, columns * cell), 255, np.uint8)
+        frames: dict[str, np.ndarray | None] = {}
+        shown = 0
+        for t in tiles:
+            if t["path"] not in frames:
+                try:
+                    frames[t["path"]] = read_image(t["path"])
+                except Exception:
+                    frames[t["path"]] = None
+            image = frames[t["path"]]
+            crop = None if image is None or t["x0"] is None else image[t["y0"] : t["y1"], t["x0"] : t["x1"]]
+            if crop is not None and crop.size:
+                size = cell - 4
+                most = max(crop.shape)
+                r, c = ((np.arange(max(1, n * size // most)) * most // size).clip(0, n - 1) for n in crop.shape)
+                top, left = t["tile_row"] * cell + 2, t["tile_column"] * cell + 2
+                sheet[top : top + len(r), left : left + len(c)] = crop[np.ix_(r, c)]
+                shown += 1
+        first = tiles[0]
+        path = os.path.join(out, f"{first['flag']}_{first['page']:03d}.png")
+        store(path, encode_png(sheet, "; ".join(t["caption"].replace("\n", " ") for t in tiles)))
+        return pa.table({"flag": [first["flag"]], "page": pa.array([first["page"]], pa.int32()), "png": [path], "n_tiles": [len(tiles)], "n_shown": [shown]})
+
+    return rows.groupBy("flag", "page").applyInArrow(draw, "flag string, page int, png string, n_tiles long, n_shown long")
+
+
 def illumination(resolved: DataFrame, cfg: Config, step: int = 16) -> DataFrame:
     """Background of the first frame that is there, one row a point of a grid."""
     from skiagram.kernel.pixels import background_field

@@ -455,7 +455,21 @@ def feret_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(polygons.per_ring(A.rings(spark, sf_dir), "vec_id", polygons.measures(1.0, ["feret_min_um"]), schema.of(feret_min_px=schema.REAL)))
 
 
-@query()
+RIGHT = {
+    "area": "abs(area_px / (pi() * a * b) - 1) < 0.02",
+    "perimeter": "abs(perimeter_um / (pi() * (a + b) * (1 + 3 * pow((a - b) / (a + b), 2) / (10 + sqrt(4 - 3 * pow((a - b) / (a + b), 2))))) - 1) < 0.02",
+    "crofton": "abs(perimeter_crofton_px / perimeter_um - 1) < 0.08",
+    "axes": "abs(major_axis_um / (2 * a) - 1) < 0.03 and abs(minor_axis_um / (2 * b) - 1) < 0.04",
+    "feret": "abs(feret_max_um / (2 * a) - 1) < 0.02 and abs(feret_min_um / (2 * b) - 1) < 0.03",
+    "shape": "solidity > 0.97 and abs(circularity / (4 * pi() * area_px / pow(perimeter_um, 2)) - 1) < 1e-9",
+    "sphericity": "abs(wadell_sphericity / (b / a) - 1) < 0.04",
+    "sharp": "edge_width_px < 3 and contrast > 0.85",
+}
+
+
+@query("SELECT CAST(s_suppkey AS BIGINT) AS key, CAST(1 AS BIGINT) AS n_objects, true AS has_polygon, false AS touches_border, " + ", ".join(f"true AS {n}_right" for n in RIGHT) + " FROM supplier")
 def detect_synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The frame kernel over a frame a supplier, drawn in the worker: an ellipse whose size and place follow the key."""
-    return detect.drawn(spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey"), Config())
+    """The frame kernel over a frame a supplier, an ellipse whose size and place follow the key: whether its measures are those of
+    the ellipse, within a few hundredths."""
+    rows = detect.drawn(spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey"), Config())
+    return rows.select("key", "n_objects", "has_polygon", "touches_border", *[F.expr(test).alias(f"{n}_right") for n, test in RIGHT.items()])

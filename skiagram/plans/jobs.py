@@ -143,7 +143,7 @@ def run_aggregate(spark: SparkSession, run: str, out: str, cfg: Config) -> list[
 
 
 def run_report(spark: SparkSession, run: str, out: str, cfg: Config, root: str | None = None, cap: int = 96) -> list[str]:
-    """Writes the tables behind the figures; with the frames' root also sheet tiles with frame paths, and the illumination."""
+    """Writes the tables behind the figures; with the frames' root also sheet tiles, the sheets drawn from them, and the illumination."""
     grains = grains_at(spark, run, cfg)
     if grains is None:
         return []
@@ -155,6 +155,8 @@ def run_report(spark: SparkSession, run: str, out: str, cfg: Config, root: str |
         pages = sampling.rejected_pages(grains, list(FLAGS)).join(grains, "grain_uid")
         made["rejected_sheets"] = review.tiles(pages, at)
         made["illumination"] = review.illumination(at, cfg)
+        both = made["accepted_sheet"].withColumn("flag", F.lit("accepted")).unionByName(made["rejected_sheets"])
+        made["sheets"] = review.sheets(both, f"{out}/contact_sheets")
     return [tables.write_table(df, f"{out}/{name}", "parquet") for name, df in made.items()]
 
 

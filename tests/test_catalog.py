@@ -27,9 +27,3 @@ def test_query_equals_sql(spark, duck, name):
     a = sorted(str(tuple(r[c] for c in cols)) for r in ours.collect())
     b = sorted(str(tuple(r[theirs.columns.index(c)] for c in cols)) for r in theirs.fetchall())
     assert a == b
-
-
-def test_synthetic_frames_are_measured_right(spark):
-    rows = catalog.detect_synthetic(spark, SF).collect()
-    assert rows and all(r.n_objects == 1 and not r.touches_border for r in rows)
-    assert all(abs(r.area_px / r.true_area_px - 1) < 0.02 for r in rows)

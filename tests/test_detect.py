@@ -68,7 +68,11 @@ def test_run_resume_and_change(spark, frames, tmp_path):
 
     assert len(jobs.run_aggregate(spark, out, str(tmp_path / "agg"), CFG)) == 4
     assert spark.read.parquet(str(tmp_path / "agg/summary")).first().n_total == 4
-    assert len(jobs.run_report(spark, out, str(tmp_path / "rep"), CFG, str(frames))) == 5
+    assert len(jobs.run_report(spark, out, str(tmp_path / "rep"), CFG, str(frames))) == 6
+    drawn = spark.read.parquet(str(tmp_path / "rep" / "sheets")).collect()
+    assert {(r.flag, r.n_tiles, r.n_shown) for r in drawn} == {("accepted", 3, 3), ("flag_border", 1, 1)}
+    sheet = decode((tmp_path / "rep" / "contact_sheets" / "accepted_001.png").read_bytes())
+    assert sheet.shape == (96, 576) and (sheet[:, :288] < 100).any() and (sheet[:, 288:] == 255).all()
     drawn = jobs.run_overlay(spark, out, str(frames), str(tmp_path / "png"), CFG)
     assert drawn.count() == 3 and drawn.filter("error is not null").count() == 0
     assert decode((tmp_path / "png" / "S1_b_0000001_overlay.png").read_bytes()).shape == (128, 128)
