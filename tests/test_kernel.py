@@ -181,3 +181,21 @@ def test_tiff():
     tags = [(256, 5), (257, 4), (258, 8), (259, 1), (262, 1), (273, 8), (277, 1), (278, 4), (279, 20)]
     data = b"II*\0" + struct.pack("<I", 28) + image.tobytes() + struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", t, 4, 1, v) for t, v in tags) + b"\0" * 4
     assert (images.decode(data) == image).all()
+
+
+def rounded_square(half, radius, turn=0.0):
+    t = np.arange(20) * math.pi / 38
+    quarter = (half - radius) * np.array([1, 1]) + radius * np.column_stack([np.cos(t), np.sin(t)])
+    ring = np.vstack([quarter @ np.array([[math.cos(k * math.pi / 2 + turn), math.sin(k * math.pi / 2 + turn)], [-math.sin(k * math.pi / 2 + turn), math.cos(k * math.pi / 2 + turn)]]) for k in range(4)])
+    return outlines.Polygon(ring + 50, [])
+
+
+@pytest.mark.parametrize("turn", [0.0, 0.4])
+def test_roundness_is_that_of_the_corners(turn):
+    for radius in (6, 10, 14):
+        assert shapes.wadell(rounded_square(20, radius, turn), 1.0)[0] == pytest.approx(radius / 20, abs=0.1)
+    assert shapes.wadell(rounded_square(20, 0.5, turn), 1.0)[0] < 0.2
+    t = np.arange(90) * 2 * math.pi / 90
+    assert shapes.wadell(outlines.Polygon(20 * np.column_stack([np.cos(t), np.sin(t)]) + 50, []), 1.0)[0] > 0.97
+    r = shapes.wadell(rounded_square(20, 6)._replace(exterior=rounded_square(20, 6).exterior[::-1]), 1.0)[0]
+    assert r == pytest.approx(0.3, abs=0.1)
