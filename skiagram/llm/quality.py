@@ -1,10 +1,10 @@
 """Quality by line labelling: a linear-chain conditional random field marks each line as content or boilerplate.
 
 Lines (split at \\n, those with a word) are the chain.  A line has a few numeric features: shares of letters, upper case, digits,
-symbols and marks, its length, whether it repeats an earlier line or its own words, whether it ends like a sentence.  Viterbi
-decoding gives the best labelling; a text is kept if lines marked as content hold at least ``CONTENT_SHARE`` of its word
-characters.  Texts that fail the base rules (under 50 words, or over half of their words inside repeated 3-word windows) are
-not kept.
+symbols and marks, words without a letter or digit, its length, whether it repeats an earlier line or its own words, whether it
+ends like a sentence.  Viterbi decoding gives the best labelling; a text is kept if lines marked as content hold at least
+``CONTENT_SHARE`` of its word characters.  Texts that fail the base rules (under 50 words, or over half of their words inside
+repeated 3-word windows) are not kept.
 
 There are no line labels, so the field is fitted to the documents' quality labels: lines of labelled good texts count as
 content, lines of labelled bad texts as boilerplate, by maximum conditional likelihood over about ``MOST`` labelled texts (a
@@ -35,9 +35,9 @@ _IS = {name: np.zeros(256, np.int32) for name in ("upper", "lower", "digit", "sy
 _IS["upper"][65:91] = _IS["lower"][97:123] = _IS["digit"][48:58] = _IS["high"][0xC0:] = 1
 _IS["symbol"][list(SYMBOLS)] = 1
 _IS["mark"][list(b"!?=/\\_@~^{}[]+;:\"")] = 1
-FEATURES = ("bias", "symbol", "upper", "digit", "mark", "letter", "length", "short", "duplicate", "repeats", "ends", "word_length")
+FEATURES = ("bias", "symbol", "upper", "digit", "mark", "letter", "length", "short", "duplicate", "repeats", "ends", "word_length", "bare", "some_symbols")
 #: Emission of boilerplate over content, without labels.
-PRIOR = np.array([-2.0, 12.0, 4.0, 4.0, 6.0, 0.0, -0.2, 0.0, 2.5, 2.5, -0.3, 0.0])
+PRIOR = np.array([-2.0, 12.0, 4.0, 4.0, 6.0, 0.0, -0.2, 0.0, 2.5, 2.5, -0.3, 0.0, 4.0, 0.0])
 
 
 class Chunk:
@@ -82,8 +82,10 @@ class Chunk:
             c = np.concatenate([[0], np.cumsum(table[data])])
             share[name] = (c[text_end] - c[line_start]) / n
         letters = share["upper"] + share["lower"] + share["high"]
+        plain = np.concatenate([[0], np.cumsum(_IS["upper"][data] + _IS["lower"][data] + _IS["digit"][data] + _IS["high"][data])])
+        bare = per((plain[end] == plain[start]).astype(np.int64)) / n_words
         tail = data[end[np.append(first[1:], len(start)) - 1] - 1] if len(first) else np.zeros(0, np.uint8)
-        self.x = np.stack([np.ones(len(n)), np.minimum(share["symbol"], 1), share["upper"] / np.maximum(letters, 1e-9), np.minimum(share["digit"], 1), np.minimum(share["mark"], 1), np.minimum(letters, 1), np.log1p(n) / 5, n_words < 5, same, per(repeated) / n_words, np.isin(tail, list(b".!?")), np.minimum(n / n_words, 20) / 10], 1).astype(np.float64)
+        self.x = np.stack([np.ones(len(n)), np.minimum(share["symbol"], 1), share["upper"] / np.maximum(letters, 1e-9), np.minimum(share["digit"], 1), np.minimum(share["mark"], 1), np.minimum(letters, 1), np.log1p(n) / 5, n_words < 5, same, per(repeated) / n_words, np.isin(tail, list(b".!?")), np.minimum(n / n_words, 20) / 10, bare, np.minimum(10 * share["symbol"], 1)], 1).astype(np.float64)
 
     def _repeated(self, h: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Whether each word lies in a 3-word window found twice or more in its document."""
