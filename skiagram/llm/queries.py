@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skiagram.llm import bpe, html_text, jaccard, language, mixing, quality, repeats, token_files, topk, toxicity
+from skiagram.llm import bpe, html_text, jaccard, language, mixing, packing, quality, repeats, runs, token_files, topk, toxicity
 from skiagram.llm.shared import documents
 
 
@@ -57,7 +57,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir).select("doc_id", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_language, op3_ngram_jaccard, op4_toxicity, op5_quality, op6_suffix_array, op7_byte_bpe, op8_main_text, op9_exact_top_k, op10_mixing)}
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, sf_dir).select("doc_id", "text"), _tokenizer("byte_bpe_50k.json"), 1)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(runs.periodic_runs(runs.with_planted_periods(documents(spark, sf_dir))))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_language, op3_ngram_jaccard, op4_toxicity, op5_quality, op6_suffix_array, op7_byte_bpe, op8_main_text, op9_exact_top_k, op10_mixing, op11_packing, op12_periodic_runs)}
 
 ORACLE_SQL = {
     "op9_exact_top_k": """
