@@ -39,9 +39,14 @@ tiles AS (SELECT vec_id, k, v / median(v) OVER (PARTITION BY vec_id) AS p FROM p
 
 
 def grains(spark: SparkSession, sf_dir: str, cfg: Config | None = None) -> DataFrame:
-    c, cfg = F.col, cfg or Config()
+    return grains_of(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), cfg or Config())
+
+
+def grains_of(lines: DataFrame, cfg: Config) -> DataFrame:
+    """Flagged and gated grains from rows of lineitem, of a table or a batch of a stream."""
+    c = F.col
     code = F.when(c("l_linestatus") == "O", "b").otherwise("z")
-    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    rows = lines.select(
         F.concat(F.lit("P_"), "l_returnflag").alias("sample_id"),
         F.when(c("l_linestatus") == "O", "basic").otherwise("zoom").alias("camera"),
         F.concat(F.lit("P_"), c("l_returnflag"), F.lit("_"), code, F.lit("_"), F.lpad(c("l_suppkey").cast("string"), 7, "0")).alias("frame_id"),

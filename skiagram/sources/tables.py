@@ -29,6 +29,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.exists(p) and system.getFileStatus(p).isFile()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
@@ -46,14 +52,20 @@ def moved(spark: SparkSession, source: str, target: str) -> None:
     remove(spark, aside)
 
 
-def working_folder(spark: SparkSession) -> str:
-    """A new folder for tables on the way: below spark.checkpoint.dir, which all workers share, or a temporary one in local mode."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The name of a new folder below spark.checkpoint.dir, of the session or else of the context, which all workers share; below a
+    temporary one in local mode where neither is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all workers share")
         base = tempfile.mkdtemp(prefix="skiagram-")
-    return f"{base.removeprefix('file://').removeprefix('file:').rstrip('/')}/tables-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}"
+
+
+def working_folder(spark: SparkSession) -> str:
+    """A shared folder by its plain path, where it is a local one that all workers mount."""
+    return shared_folder(spark).removeprefix("file://").removeprefix("file:")
 
 
 def with_booleans(df: DataFrame) -> DataFrame:
