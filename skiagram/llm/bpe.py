@@ -109,9 +109,10 @@ def codec(path: str, pattern: str) -> RankCodec:
     return _CODECS[path, pattern]
 
 
-def encode_column(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """doc id, n_tokens, ids_sha256, decoded_sha256 and, if asked, the ids themselves as binary."""
-    schema = f"{id_col} long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
+def encode_column(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, order_col: str | None = None) -> DataFrame:
+    """doc id, n_tokens, ids_sha256, decoded_sha256 and, if asked, the ids themselves as binary and a column of integers that orders
+    the rows, which stay in the order in which they come."""
+    schema = f"{id_col} long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids + (f", {order_col} long" if order_col else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
@@ -119,6 +120,8 @@ def encode_column(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
             ids = [x.tobytes() for x in own.pieces.encode_array(part.column(1))]
             arrays = [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()), pa.array([hashlib.sha256(own.decode(x)).hexdigest() for x in ids], pa.string())]
             names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
-            yield pa.RecordBatch.from_arrays(arrays + [pa.array(ids, pa.binary())] * with_ids, names + ["ids"] * with_ids)
+            arrays, names = arrays + [pa.array(ids, pa.binary())] * with_ids, names + ["ids"] * with_ids
+            yield pa.RecordBatch.from_arrays(arrays + [part.column(2)] if order_col else arrays, names + [order_col] if order_col else names)
 
-    return docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)
+    more = [F.col(order_col).cast("long").alias("_order")] if order_col else []
+    return docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("_text"), *more).mapInArrow(run, schema)

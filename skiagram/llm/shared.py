@@ -7,6 +7,7 @@ shingles and windows are found and hashed for the whole chunk at once, so there
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import ctypes
 import tempfile
 import uuid
@@ -31,17 +32,17 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/skiagram-{uuid.uuid4().hex}"
 
 
-_COLLECTING: list[list[str]] = []
+_COLLECTING: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("folders", default=None)
 
 
 @contextlib.contextmanager
 def collecting(folders: list[str]) -> Iterator[None]:
-    """Within, the folders of staged tables are noted, so that they can be discarded when the result is written."""
-    _COLLECTING.append(folders)
+    """Within, and in this thread alone, the folders of staged tables are noted, so that they can be discarded when the result is written."""
+    was = _COLLECTING.set(folders)
     try:
         yield
     finally:
-        _COLLECTING.pop()
+        _COLLECTING.reset(was)
 
 
 def discard(spark: SparkSession, folders: list[str]) -> None:
@@ -68,8 +69,9 @@ def staged(df: DataFrame, folders: list[str] | None = None) -> DataFrame:
     The shuffle files of that one write are not needed afterwards and go at once.  The folder is added to ``folders``.
     """
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
-    for noted in (*_COLLECTING[-1:], *([folders] if folders is not None else [])):
-        noted.append(path)
+    for noted in (_COLLECTING.get(), folders):
+        if noted is not None:
+            noted.append(path)
     was = spark.conf.get(CLEANUP, None)
     try:
         spark.conf.set(CLEANUP, "true")
