@@ -55,12 +55,14 @@ def label(a: argparse.Namespace, spark, cfg) -> None:
     sample, outlines = jobs.run_groundtruth(spark, a.run, cfg, a.n_grains, a.seed, frac=a.frac_grains, n_frames=a.n_frames, frac_frames=a.frac_frames, folder=a.frames_dir)
     sample.write.mode("overwrite").parquet(f"{folder}_sample")
     outlines.write.mode("overwrite").parquet(f"{folder}_contours")
-    told, rows = labelling.session(spark.read.parquet(f"{folder}_sample").orderBy("grain_uid"), cfg, f"{folder}.csv")
-    for key in a.keys.split() if a.keys is not None else (line.strip() for line in sys.stdin):
-        if not told.order or not told.press(key, cfg):
-            break
-        print(told.status_line(rows[told.current], cfg))
-    print(f"{told.progress()} of {len(told.order)} labelled in {told.labels.path}")
+    sample, log = spark.read.parquet(f"{folder}_sample"), f"{folder}_log"
+    labelling.take_over(spark, f"{folder}.csv", log)
+    keys = a.keys.split() if a.keys is not None else (line.strip() for line in sys.stdin)
+    for line in labelling.walk(spark, sample, log, keys, cfg):
+        print(line)
+    labelling.write_labels(spark, log, jobs.read_grains(spark, a.run, cfg), cfg, f"{folder}.csv")
+    done = labelling.progress(sample, labelling.events(spark, log)).first()
+    print(f"{done.n_labelled} of {done.n_total} labelled in {folder}.csv")
 
 
 def main(argv: list[str] | None = None) -> int:

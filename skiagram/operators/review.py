@@ -132,8 +132,9 @@ def illumination(resolved: DataFrame, cfg: Config, step: int = 16) -> DataFrame:
 
 
 def with_contours(grains: DataFrame, contours: DataFrame) -> DataFrame:
-    """Grains with their outline, null where there is none."""
-    return grains.join(contours.select("grain_uid", "wkt"), "grain_uid", "left")
+    """Grains with their outline, null where there is none.  Both are joined by frame and uid, so tables that lie in the same buckets
+    of frame_id are joined where they are."""
+    return grains.join(contours.select("frame_id", "grain_uid", "wkt"), ["frame_id", "grain_uid"], "left")
 
 
 def outlined(grains: DataFrame, contours: DataFrame, listing: DataFrame, labels: bool | None = None) -> DataFrame:

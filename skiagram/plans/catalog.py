@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skiagram.config import Config, load_config
 from skiagram.functions import gate, identity, rings
 from skiagram.operators import aggregate, detect, polygons, ranks, resume, review, sampling, schema
 from skiagram.plans import adapters as A
-from skiagram.sources import tables
+from skiagram.sources import colocated, feather, tables
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -208,6 +209,15 @@ def grains_with_contours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.with_contours(g, _contours(g)).select("grain_uid", "wkt")
 
 
+@query(f"WITH {G}, {CONTOURS_SQL} SELECT g.grain_uid, c.wkt FROM grains g LEFT JOIN contours c USING (grain_uid)")
+def grains_with_contours_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over tables that lie in the same buckets: read and joined without a shuffle."""
+    g, folder, n = A.grains(spark, sf_dir).select("grain_uid", "frame_id"), tables.shared_folder(spark), 8
+    c = _contours(A.grains(spark, sf_dir))
+    stored = [colocated.read(spark, colocated.write(t, f"{folder}/{name}", n), t.schema, n) for name, t in (("grains", g), ("contours", c))]
+    return review.with_contours(*stored).select("grain_uid", "wkt")
+
+
 @query(f"WITH {G}, {CONTOURS_SQL} SELECT grain_uid, frame_id FROM contours WHERE frame_id IN (SELECT frame_id FROM grains GROUP BY frame_id HAVING count(*) FILTER (WHERE qc_pass) > 20)")
 def contours_of_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = A.grains(spark, sf_dir)
@@ -382,6 +392,15 @@ def stored_as_feather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "feather", ["sample_id", "camera"])
 
 
+@query(f"WITH {G} SELECT grain_uid, round(ecd_um, 4) AS ecd_um, label FROM grains WHERE camera = 'zoom' AND ecd_um > 1500 AND label IN (1, 3)")
+def feather_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four of eighteen columns of a feather table in folders; where the session pushes filters, rows and folders are left out on reading."""
+    g = A.grains(spark, sf_dir).select(*KEPT_COLUMNS, "contrast", "qc_solidity", "circularity", "feret_min_um")
+    path = tables.write_partitioned(g, f"{tables.working_folder(spark)}/grains", "feather", ["sample_id", "camera"])
+    some = StructType([g.schema[c] for c in ("grain_uid", "camera", "ecd_um", "label")])
+    return rounded(feather.read(spark, path, some).filter("camera = 'zoom' and ecd_um > 1500 and label in (1, 3)").drop("camera"))
+
+
 @query(STORED_SQL)
 def stored_as_partitioned_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "parquet", ["sample_id", "camera"])

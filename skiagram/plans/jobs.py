@@ -11,17 +11,19 @@ import json
 import time
 
 import yaml
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skiagram.config import Config, config_hash
 from skiagram.functions.gate import FLAGS, regated
 from skiagram.operators import aggregate, detect, resume, review, sampling, schema
+from skiagram.sources import colocated, tables
 from skiagram.sources import frames as frame_source
-from skiagram.sources import tables
 
 KEYS = ["sample_id", "camera"]
+STATES = ("ok", "empty", "error")
+COLOCATED, LAYOUT = "colocated", "layout.json"
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -52,6 +54,32 @@ def read_contours(spark: SparkSession, out: str, cfg: Config, frame_ids: DataFra
     return rows.filter(F.col("frame_id").isin(frame_ids)) if isinstance(frame_ids, list) else resume.of_frames(rows, frame_ids)
 
 
+def run_colocate(spark: SparkSession, run: str, cfg: Config, buckets: int | None = None) -> int:
+    """Copies grains and contours of a finished run into common buckets of the frame id, for joins without a shuffle; overlays and
+    labelling samples read the copies until the run changes.  Returns the number of buckets: a file each, so some for every core."""
+    grains = read_grains(spark, run, cfg)
+    if grains is None:
+        raise FileNotFoundError(f"no grains under {run}")
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place, staged = f"{run}/{COLOCATED}", f"{run}/_{COLOCATED}"
+    tables.remove(spark, staged)
+    colocated.write(grains, f"{staged}/grains", n)
+    colocated.write(read_contours(spark, run, cfg), f"{staged}/contours", n)
+    write_text(spark, f"{staged}/{LAYOUT}", json.dumps({"buckets": n}))
+    tables.moved(spark, staged, place)
+    return n
+
+
+def read_joined(spark: SparkSession, run: str, cfg: Config) -> tuple[DataFrame, DataFrame] | None:
+    """Grains and contours of a run to be joined by frame: co-located ones where they have been made, else as they are stored."""
+    place, shape = f"{run}/{COLOCATED}", schema.grains(cfg.measure.efd_order)
+    if tables.exists(spark, f"{place}/{LAYOUT}"):
+        n = json.loads(spark.read.text(f"{place}/{LAYOUT}", wholetext=True).first()[0])["buckets"]
+        return colocated.read(spark, f"{place}/grains", shape, n), colocated.read(spark, f"{place}/contours", schema.KEYED_CONTOURS, n)
+    grains = read_grains(spark, run, cfg)
+    return None if grains is None else (grains, read_contours(spark, run, cfg))
+
+
 def replace_rows(spark: SparkSession, out: str, name: str, new: DataFrame, touched: DataFrame, cfg: Config, shape: StructType) -> None:
     """Puts the new rows of touched frames in place of their old ones.  The written whole is staged first, so a lost executor or
     driver never leaves a folder half read and half written."""
@@ -80,8 +108,9 @@ def swap(spark: SparkSession, df: DataFrame, out: str, name: str, cfg: Config) -
     tables.moved(spark, f"{out}/_staged/{name}", f"{out}/{name}")
 
 
-def run_detect(spark: SparkSession, root: str, out: str, cfg: Config, *, force: bool = False, sample_id: str | None = None, camera: str | None = None, files: DataFrame | None = None) -> dict:
-    """Detects what is new or changed under a root (or among given files) and returns the run's counts."""
+def run_detect(spark: SparkSession, root: str, out: str, cfg: Config, *, force: bool = False, sample_id: str | None = None, camera: str | None = None, files: DataFrame | None = None, again: DataFrame | None = None) -> dict:
+    """Detects what is new or changed under a root (or among given files) and returns the run's counts; files that ``again`` names by
+    frame_path are done whatever the manifest says."""
     began = time.time()
     listed = frame_source.listing(spark, root) if files is None else files
     found = frame_source.discovered(listed, cfg, sample_id=sample_id, camera=camera)
@@ -90,13 +119,16 @@ def run_detect(spark: SparkSession, root: str, out: str, cfg: Config, *, force:
         for name in ("grains", "contours", "manifest", "errors"):
             tables.remove(spark, f"{out}/{name}")
     before = tables.read_table(spark, f"{out}/manifest", cfg.output.format, schema.MANIFEST)
-    todo = resume.todo(found, before).persist()  # small rows, counted before they are dealt out
+    done_before = before if again is None else before.join(again.select("frame_path"), "frame_path", "left_anti")
+    todo = resume.todo(found, done_before).persist()  # small rows, counted before they are dealt out
     staged = f"{out}/_staged/results"
-    detect.results(todo, cfg).write.mode("overwrite").parquet(staged)
+    measured, flagged, listed_now = (Observation(name) for name in ("frames", "grains", "manifest"))  # counted while they are written
+    detect.results(todo, cfg).observe(measured, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(staged)
     todo.unpersist()
     done = spark.read.schema(schema.results(cfg.measure.efd_order)).parquet(staged)
+    tables.remove(spark, f"{out}/{COLOCATED}")  # made from tables that change now
 
-    replace_rows(spark, out, "grains", detect.grains(done, cfg), done, cfg, schema.grains(cfg.measure.efd_order))
+    replace_rows(spark, out, "grains", detect.grains(done, cfg).observe(flagged, *[F.count_if(f).alias(f) for f in FLAGS]), done, cfg, schema.grains(cfg.measure.efd_order))
     if cfg.output.save_contours:
         replace_rows(spark, out, "contours", detect.contours(done), done, cfg, schema.KEYED_CONTOURS)
     # given files are part of the root only: what they don't name stays
@@ -104,21 +136,20 @@ def run_detect(spark: SparkSession, root: str, out: str, cfg: Config, *, force:
     failed_before = tables.read_table(spark, f"{out}/errors", cfg.output.format, schema.ERRORS)
     failed = resume.upserted(failed_before, detect.errors(done), done).join(kept.select("frame_id"), "frame_id", "left_semi")
     failed.write.mode("overwrite").parquet(f"{out}/_staged/failed")
-    swap(spark, kept, out, "manifest", cfg)
+    states = [F.count_if(F.col("status") == s).alias(s) for s in STATES]
+    swap(spark, kept.observe(listed_now, *states, F.sum("n_objects").alias("n_objects")), out, "manifest", cfg)
     failed = spark.read.schema(schema.ERRORS).parquet(f"{out}/_staged/failed")
     if failed.isEmpty():
         tables.remove(spark, f"{out}/errors")
     else:
         swap(spark, failed, out, "errors", cfg)
 
-    manifest = tables.read_table(spark, f"{out}/manifest", cfg.output.format, schema.MANIFEST)
-    flags = detect.grains(done, cfg).agg(*[F.count_if(f).alias(f) for f in FLAGS]).first().asDict()
-    counts = resume.run_counters(manifest).collect()
+    counts = listed_now.get
     summary = {
-        "frames": {r.status: r.n_frames for r in counts},
-        "n_objects": sum(r.n_objects or 0 for r in counts),
-        "processed": done.count(),
-        "rejection_counts": flags,
+        "frames": {s: counts[s] for s in STATES if counts[s]},
+        "n_objects": counts["n_objects"] or 0,
+        "processed": measured.get["n"],
+        "rejection_counts": flagged.get,
         "config_hash": config_hash(cfg),
         "wall_seconds": round(time.time() - began, 3),
     }
@@ -162,12 +193,11 @@ def run_report(spark: SparkSession, run: str, out: str, cfg: Config, root: str |
 
 def run_overlay(spark: SparkSession, run: str, root: str, out: str, cfg: Config, frame_ids: list[str] | None = None, *, factor: int = 1, labels: bool | None = None) -> DataFrame:
     """Writes one PNG a frame with accepted outlines green and rejected ones red; returns a row a frame, its error if it has one."""
-    grains = read_grains(spark, run, cfg)
-    if grains is None:
+    both = read_joined(spark, run, cfg)
+    if both is None:
         raise FileNotFoundError(f"no grains under {run}")
-    if frame_ids is not None:
-        grains = grains.filter(F.col("frame_id").isin(frame_ids))
-    drawn = review.outlined(grains, read_contours(spark, run, cfg), frame_source.listing(spark, root), labels)
+    grains, contours = both if frame_ids is None else (t.filter(F.col("frame_id").isin(frame_ids)) for t in both)
+    drawn = review.outlined(grains, contours, frame_source.listing(spark, root), labels)
     review.overlays(drawn, out, factor).write.mode("overwrite").parquet(f"{out}/_overlays")
     return spark.read.parquet(f"{out}/_overlays")
 
@@ -182,15 +212,15 @@ def run_overviews(spark: SparkSession, run: str, root: str, cfg: Config, factor:
 def run_groundtruth(spark: SparkSession, run: str, cfg: Config, n: int | None = None, seed: int = 0, *, frac: float | None = None, n_frames: int | None = None, frac_frames: float | None = None, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The sample to label, with predicted status and flags and where its frames lie (in a folder, if told, else as stored), and
     its outlines."""
-    grains = read_grains(spark, run, cfg)
-    if grains is None:
+    both = read_joined(spark, run, cfg)
+    if both is None:
         raise FileNotFoundError(f"no grains under {run}")
-    chosen = sampling.label_sample(grains, cfg.groundtruth.lhs_axes, cfg.groundtruth.reserved, seed, n=n, frac=frac, n_frames=n_frames, frac_frames=frac_frames)
+    chosen = sampling.label_sample(both[0], cfg.groundtruth.lhs_axes, cfg.groundtruth.reserved, seed, n=n, frac=frac, n_frames=n_frames, frac_frames=frac_frames)
     at = chosen.select("frame_id", "frame_path").distinct()
     at = review.label_frames(at, frame_source.listing(spark, folder)) if folder else at.withColumnRenamed("frame_path", "path")
-    ids = chosen.select("grain_uid")
+    ids = chosen.select("frame_id", "grain_uid")
     sample = review.with_predictions(chosen, cfg).join(at.select("frame_id", "path"), "frame_id")
-    return sample, read_contours(spark, run, cfg).join(ids, "grain_uid", "left_semi")
+    return sample, both[1].join(ids, ["frame_id", "grain_uid"], "left_semi")
 
 
 def make_smaller(spark: SparkSession, root: str, out: str, factor: int) -> DataFrame:

@@ -11,7 +11,11 @@ SETTINGS = {
     # frame and sample ids such as 001 must stay text
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # one frame decodes to megabytes: few rows a batch
+    # tables in buckets of frame_id are joined on (frame_id, grain_uid) where they lie; frames are many and small, so that is even
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # feather tables take filters themselves
+    "spark.sql.python.filterPushdown.enabled": "true",
+    # workers are the parallel part, not the libraries in them
     "spark.executorEnv.OMP_NUM_THREADS": "1",
 }
 

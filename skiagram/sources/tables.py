@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import glob
 import os
 import tempfile
 import uuid
@@ -91,26 +90,10 @@ def read_table(spark: SparkSession, path: str, fmt: str, schema: StructType) ->
 
 
 def read_feather(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Each file is read by one task, batch by batch; missing columns are null, others are left out."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    files = sorted(glob.glob(os.path.join(path, "**", "*.feather"), recursive=True)) if os.path.isdir(path) else [path]
-    if not files:
-        return spark.createDataFrame([], schema)
-    shape = to_arrow_schema(schema)
-
-    def batches(paths):
-        import pyarrow as pa
-
-        for group in paths:
-            for p in group.column(0).to_pylist():
-                with pa.memory_map(p) as f, pa.ipc.open_file(f) as reader:
-                    for k in range(reader.num_record_batches):
-                        b = reader.get_batch(k)
-                        columns = [b.column(c.name).cast(c.type) if c.name in b.schema.names else pa.nulls(b.num_rows, c.type) for c in shape]
-                        yield pa.RecordBatch.from_arrays(columns, schema=shape)
+    """Each file, or a range of a large one, is read by one task, batch by batch; missing columns are null, others are left out."""
+    from skiagram.sources import feather
 
-    return spark.createDataFrame([(f,) for f in files], "path string").repartition(len(files)).mapInArrow(batches, schema)
+    return feather.read(spark, path, schema)
 
 
 def write_table(df: DataFrame, path: str, fmt: str) -> str:

@@ -76,56 +76,61 @@ def test_layers():
     assert load_config(overlay={"calibration": {"um_per_px": {"basic": 5.0}}}).um_per_px("basic") == 5.0
 
 
-def record(value, name):
-    return {"label": value, "label_name": name}
-
-
-def test_labels_are_saved_at_every_change(tmp_path):
-    p = tmp_path / "deep" / "g.csv"
-    labels = labelling.Labels(p)
-    assert not labels.rows and not p.exists()
-    labels.set("F0:1", record(2, "special"))
-    assert list(csv.DictReader(p.open()))[0]["grain_uid"] == "F0:1"
-    labels.set("F0:2", record(0, "exclude"))
-    again = labelling.Labels(p)
-    assert set(again.rows) == {"F0:1", "F0:2"} and again.get("F0:1") == 2 and again.get("nothing") is None
-    again.unset("F0:1")
-    again.unset("nothing")
-    assert set(labelling.Labels(p).rows) == {"F0:2"} and [f.name for f in p.parent.iterdir()] == ["g.csv"]
-    assert next(csv.reader(p.open())) == schema.LABELS.names
-
-
-def test_session(tmp_path):
+def grain_rows(spark, n):
+    """Grains g0, g1, ... of which every second touches the border."""
+    flags = {f: F.lit(False) for f in FLAGS} | {"flag_border": F.col("id") % 2 == 1, "qc_pass": F.col("id") % 2 == 0}
+    about = {"grain_uid": F.concat(F.lit("g"), "id"), "frame_id": F.lit("f"), "sample_id": F.lit("S"), "camera": F.lit("basic"), "ecd_px": F.col("id") + 10.25}
+    return spark.range(n).withColumns(flags | about).drop("id")
+
+
+def told(spark, log):
+    return {r.grain_uid: (r.label, r.label_name) for r in labelling.current(labelling.events(spark, log)).collect()}
+
+
+def test_sittings_come_together_in_the_log(spark, tmp_path):
+    cfg, log, grains = load_config(), str(tmp_path / "log"), grain_rows(spark, 3)
+    lines = list(labelling.walk(spark, grains, log, ["2", "x", "0", "left", "1", "q", "2"], cfg, "morning"))
+    assert [x[:5] for x in lines] == ["[2/3]", "[2/3]", "[3/3]", "[2/3]", "[3/3]"]
+    assert told(spark, log) == {"g0": (2, "special"), "g1": (1, "include")}
+    assert labelling.progress(grains, labelling.events(spark, log)).first().asDict() == {"grain_uid": "g2", "n_labelled": 2, "n_total": 3}
+    # a second sitting opens at the open row, goes no further than the ends and takes a label back
+    lines = list(labelling.walk(spark, grains, log, ["n", "p", "p", "p", "u", "u", "i", "m"], cfg, "noon"))
+    assert lines[0].startswith("[3/3]  g2") and lines[3].endswith("label: 2") and lines[4].endswith("label: -")
+    assert lines[6] == "[1/3]  g0   |   S / basic   |   ecd 10.2 px   |   predicted: accept   |   label: -"
+    assert told(spark, log) == {"g1": (1, "include")}
+    assert {(r.grain_uid, r.n_given, r.n_different) for r in labelling.changes(labelling.events(spark, log)).collect()} == {("g0", 1, 1), ("g1", 2, 2)}
+    assert labelling.events(spark, log).count() == 4  # taking back what isn't there is no event
+    assert {tuple(r) for r in labelling.agreement(labelling.events(spark, log), grains).collect()} == {("include", "reject", "flag_border", 1)}
+
+
+def test_label_file_from_the_log_and_back(spark, tmp_path):
+    cfg, log, path, grains = load_config(), str(tmp_path / "log"), str(tmp_path / "g.csv"), grain_rows(spark, 2)
+    assert list(labelling.walk(spark, grains.limit(0), log, ["1"], cfg)) == [] and labelling.events(spark, log).count() == 0
+    labelling.append(spark, log, [("gone", 1, "include", "2024-01-01T00:00:00", "a", 0), ("g1", 0, "exclude", "2024-01-02T00:00:00", "a", 1), (None, 0, "exclude", "2024-01-02T00:00:00", "a", 2), ("g1", 2, "special", "2024-01-02T00:00:00", "b", 0)])
+    labelling.write_labels(spark, log, grains, cfg, path)
+    with open(path, newline="") as f:
+        rows = list(csv.DictReader(f))
+    assert list(rows[0]) == schema.LABELS.names and [f.name for f in tmp_path.iterdir() if "csv" in f.name and not f.name.startswith(".")] == ["g.csv"]
+    assert [(r["grain_uid"], r["label"], r["qc_status"], r["flags"]) for r in rows] == [("g1", "2", "reject", "flag_border"), ("gone", "1", "", "")]
+    assert labelling.read_labels(spark, path).filter("label = 2").first().ecd_px == 11.25
+    other = str(tmp_path / "other")
+    for _ in range(2):  # the second time there is a log
+        labelling.take_over(spark, path, other)
+    assert told(spark, other) == told(spark, log) and labelling.events(spark, other).count() == 2
+    labelling.write_labels(spark, str(tmp_path / "none"), grains, cfg, path)
+    assert labelling.read_labels(spark, path).count() == 0
+
+
+def test_views_follow_from_keys_alone():
     cfg = load_config()
-    labels = labelling.Labels(tmp_path / "g.csv")
-    labels.set("a", record(1, "include"))
-    s = labelling.Session(["a", "b", "c"], labels, lambda uid, v, n: record(v, n))
-    assert s.current == "b" and s.progress() == 1
-    s.assign(0, "exclude")
-    assert s.current == "c" and labels.get("b") == 0
-    s.move(5)
-    assert s.current == "c"
-    s.move(-9)
-    assert s.current == "a"
-    s.unset()
-    assert labels.get("a") is None
-    assert s.press("2", cfg) and labels.get("a") == 2 and s.current == "b"
-    assert s.press("m", cfg) and not s.mask_visible
-    row = {"sample_id": "S", "camera": "basic", "ecd_px": 12.34, "flag_border": True}
-    assert s.status_line(row, cfg) == "[2/3]  b   |   S / basic   |   ecd 12.3 px   |   label: 0"
-    assert s.press("i", cfg) and "predicted: reject (flag_border)" in s.status_line(row | {"ecd_px": math.nan}, cfg)
-    assert s.press("n", cfg) and s.press("p", cfg) and not s.press("q", cfg)
-    assert labelling.Session(["a", "b"], labels, lambda *x: {}).index == 0
-
-
-def test_predictions():
-    cfg = load_config()
-    row = dict.fromkeys(FLAGS, False)
-    assert labelling.predicted(row, cfg) == ("accept", "")
-    assert labelling.predicted(row | {"flag_possible_agglomerate": True}, cfg) == ("accept", "flag_possible_agglomerate")
-    assert labelling.predicted(row | {"flag_defocus": True}, cfg) == ("reject", "flag_defocus")
-    made = labelling.record_of(row | {"ecd_px": 3.0, "frame_id": "f"}, cfg, 1, "include")
-    assert set(made) | {"grain_uid"} == set(schema.LABELS.names) and made["qc_status"] == "accept"
+    at = labelling.View(1, True, False)
+    assert labelling.pressed(at, "1", 3, cfg) == (at._replace(at=2), (1, "include"))
+    assert labelling.pressed(at, "backspace", 3, cfg) == (at, (None, None))
+    assert labelling.pressed(at, "right", 2, cfg) == (at, None)
+    assert labelling.pressed(at, "m", 3, cfg)[0].outline is False and labelling.pressed(at, "i", 3, cfg)[0].verdict is True
+    assert labelling.opened(["a", "b"], {"a": 1}, cfg).at == 1 and labelling.opened(["a"], {"a": 1}, cfg).at == 0
+    row = {"grain_uid": "b", "sample_id": "S", "camera": "basic", "ecd_px": math.nan, "qc_status": "reject", "flags": "flag_border"}
+    assert labelling.line(at._replace(verdict=True), row, 3, 0) == "[2/3]  b   |   S / basic   |   predicted: reject (flag_border)   |   label: 0"
 
 
 def test_counts():
