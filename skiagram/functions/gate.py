@@ -73,19 +73,18 @@ def bin_labels(edges: tuple[float, ...] = ECD_EDGES) -> list[str]:
 
 
 def ecd_bin_index(x: Column, edges: tuple[float, ...] = ECD_EDGES) -> Column:
-    """Index of the half-open class [low, high); null for negative, NaN, infinite."""
-    out = F.lit(None).cast("int")
-    for k in range(len(edges) - 2, -1, -1):
-        out = F.when((x >= edges[k]) & (x < edges[k + 1]), k).otherwise(out)
-    return F.when(~F.isnan(x), out)
+    """Index of the half-open class [low, high); null for negative, NaN, infinite: as many edges as x has reached, less one."""
+    reached = reduce(lambda a, b: a + b, [(x >= e).cast("int") for e in edges[1:-1]], F.lit(0))
+    return F.when(~F.isnan(x) & (x >= edges[0]) & (x < edges[-1]), reached)
+
+
+def ecd_label(index: Column, edges: tuple[float, ...] = ECD_EDGES) -> Column:
+    """The name of a class by its index; to be attached after an aggregation by the index."""
+    return F.get(F.array(*map(F.lit, bin_labels(edges))), index)
 
 
 def ecd_bin(x: Column, edges: tuple[float, ...] = ECD_EDGES) -> Column:
-    index, names = ecd_bin_index(x, edges), bin_labels(edges)
-    out = F.when(index == 0, names[0])
-    for k, name in enumerate(names[1:], 1):
-        out = out.when(index == k, name)
-    return out
+    return ecd_label(ecd_bin_index(x, edges), edges)
 
 
 def active_flags(names: tuple[str, ...] = FLAGS) -> Column:

@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skiagram.config import Config
-from skiagram.functions.gate import ecd_bin, ecd_bin_index, flag_columns, nan_to_null, regated
+from skiagram.functions.gate import ecd_bin_index, ecd_label, flag_columns, nan_to_null
 from skiagram.operators import ranks
 
 SHAPE = ("aspect_ratio", "solidity", "convexity", "circularity", "extent", "eccentricity", "wadell_roundness", "wadell_sphericity", "curvature_entropy")
@@ -30,18 +29,25 @@ def percentiles(x: str, accepted: Column) -> list[Column]:
 PERCENT = ("ecd_um", "feret_min_um")
 
 
-def summarised(grains: DataFrame, keys: list[str], by_rank: bool = False) -> DataFrame:
-    """One row for each observed key; rows with a null key are left out."""
-    ok = F.coalesce(F.col("qc_pass"), F.lit(False))
+def summary_columns(grains: DataFrame, ok: Column, by_rank: bool = False) -> list[Column]:
+    """Aggregates of a group; with ``by_rank``, whether a size is NaN in place of its percentiles."""
     out = [F.count("*").alias("n_total"), F.count_if(ok).alias("n_accepted"), F.count_if(~ok).alias("n_rejected")]
     out += [F.count_if(F.col(f)).alias(f"n_{f}") for f in flag_columns(grains)]
-    measured = [x for x in PERCENT if x in grains.columns]
-    for x in measured:
-        out += percentiles(x, ok) if not by_rank else [F.coalesce(F.max(F.when(ok, F.isnan(x))), F.lit(False)).alias(f"_{x}_nan")]
+    for x in PERCENT:
+        if x in grains.columns:
+            out += percentiles(x, ok) if not by_rank else [F.coalesce(F.max(F.when(ok, F.isnan(x))), F.lit(False)).alias(f"_{x}_nan")]
     for x in SHAPE:
         if x in grains.columns:
             value = F.when(ok, nan_to_null(F.col(x)))
             out += [F.avg(value).alias(f"{x}_mean"), F.stddev_samp(value).alias(f"{x}_sd")]
+    return out
+
+
+def summarised(grains: DataFrame, keys: list[str], by_rank: bool = False) -> DataFrame:
+    """One row for each observed key; rows with a null key are left out."""
+    ok = F.coalesce(F.col("qc_pass"), F.lit(False))
+    out = summary_columns(grains, ok, by_rank)
+    measured = [x for x in PERCENT if x in grains.columns]
     rows = grains.dropna(subset=keys)
     made = rows.groupBy(*keys).agg(*out)
     if not by_rank:
@@ -67,16 +73,50 @@ def per_frame(grains: DataFrame) -> DataFrame:
     return summarised(grains, ["sample_id", "camera", "frame_id"])
 
 
+def by_class(grains: DataFrame) -> DataFrame:
+    """Rows with the index of their size class; those without one are left out."""
+    return grains.withColumn("bin_index", ecd_bin_index(F.col("ecd_um"))).filter("bin_index is not null")
+
+
 def rejection_by_ecd(grains: DataFrame) -> DataFrame:
-    rows = grains.withColumns({"ecd_bin": ecd_bin(F.col("ecd_um")), "bin_index": ecd_bin_index(F.col("ecd_um"))}).filter("ecd_bin is not null")
-    out = rows.dropna(subset=["sample_id", "camera"]).groupBy("sample_id", "camera", "ecd_bin", "bin_index")
-    return out.agg(F.count("*").alias("n_total"), F.count_if(~F.col("qc_pass")).alias("n_rejected")).withColumn("rejection_rate", F.col("n_rejected") / F.col("n_total"))
+    out = by_class(grains).dropna(subset=["sample_id", "camera"]).groupBy("sample_id", "camera", "bin_index").agg(F.count("*").alias("n_total"), F.count_if(~F.col("qc_pass")).alias("n_rejected"))
+    return out.select("sample_id", "camera", ecd_label(F.col("bin_index")).alias("ecd_bin"), "bin_index", "n_total", "n_rejected", (F.col("n_rejected") / F.col("n_total")).alias("rejection_rate"))
 
 
 def rejection_by_ecd_global(grains: DataFrame) -> DataFrame:
     """By the stored qc_pass, over all samples."""
-    rows = grains.withColumns({"ecd_bin": ecd_bin(F.col("ecd_um")), "bin_index": ecd_bin_index(F.col("ecd_um"))}).filter("ecd_bin is not null")
-    return rows.groupBy("ecd_bin", "bin_index").agg(F.count("*").alias("n_total"), F.avg((~F.col("qc_pass")).cast("int")).alias("rejection_rate"))
+    out = by_class(grains).groupBy("bin_index").agg(F.count("*").alias("n_total"), F.avg((~F.col("qc_pass")).cast("int")).alias("rejection_rate"))
+    return out.select(ecd_label(F.col("bin_index")).alias("ecd_bin"), "bin_index", "n_total", "rejection_rate")
+
+
+#: Levels of ``levels`` by their grouping id: bits of the keys that are summed over, of (sample_id, camera, frame_id, bin_index).
+PER_FRAME, PER_CLASS, PER_SAMPLE = 0b0001, 0b0010, 0b0011
+
+
+def levels(grains: DataFrame) -> DataFrame:
+    """Summaries by sample and camera, by frame and by size class in one scan and one shuffle; ``level`` tells them apart.
+
+    For tables whose groups' values fit a map; each row is counted once for each level before the shuffle."""
+    ok = F.coalesce(F.col("qc_pass"), F.lit(False))
+    rows = grains.withColumn("bin_index", ecd_bin_index(F.col("ecd_um"))).dropna(subset=["sample_id", "camera"])
+    out = summary_columns(grains, ok)
+    keys = [F.col(k) for k in ("sample_id", "camera", "frame_id", "bin_index")]
+    sets = [keys[:2], keys[:3], [*keys[:2], keys[3]]]
+    made = rows.groupingSets(sets, *keys).agg(F.grouping_id().alias("level"), *out)
+    named = ((F.col("level") != PER_FRAME) | F.col("frame_id").isNotNull()) & ((F.col("level") != PER_CLASS) | F.col("bin_index").isNotNull())
+    return made.filter(named)
+
+
+def of_levels(made: DataFrame) -> dict[str, DataFrame]:
+    """The tables that ``summary``, ``per_frame`` and ``rejection_by_ecd`` give, from ``levels``."""
+    at = lambda level, *drop: made.filter(F.col("level") == level).drop("level", *drop)
+    rejected = made.filter(F.col("level") == PER_CLASS)
+    rate = (F.col("n_rejected") / F.col("n_total")).alias("rejection_rate")
+    return {
+        "summary": at(PER_SAMPLE, "frame_id", "bin_index"),
+        "per_frame": at(PER_FRAME, "bin_index"),
+        "rejection_by_ecd": rejected.select("sample_id", "camera", ecd_label(F.col("bin_index")).alias("ecd_bin"), "bin_index", "n_total", "n_rejected", rate),
+    }
 
 
 def frame_hint(grains: DataFrame, n: int = 5) -> DataFrame:
@@ -100,7 +140,6 @@ def flag_counts(grains: DataFrame) -> DataFrame:
     return grains.select("sample_id", "camera", F.expr(f"stack({len(flags)}, {stack}) as (flag, is_set)")).groupBy("sample_id", "camera", "flag").agg(F.count_if("is_set").alias("n_set"))
 
 
-def aggregate_run(grains: DataFrame, cfg: Config) -> dict[str, DataFrame]:
-    """The four tables over the gate made anew; persist the input if several are written."""
-    gated = regated(grains, cfg.qc)
-    return {"summary": summary(gated), "rejection_by_ecd": rejection_by_ecd(gated), "accepted": accepted(gated), "per_frame": per_frame(gated)}
+def aggregated(gated: DataFrame) -> dict[str, DataFrame]:
+    """The three tables of a gated table that is too large for maps of values; persist it, as each reads it."""
+    return {"summary": summary(gated, False), "rejection_by_ecd": rejection_by_ecd(gated), "per_frame": per_frame(gated)}

@@ -1,6 +1,6 @@
 """Samples for hand labelling and contact sheets: quantile ranks, hypercube, strata, pages.
 
-A sample is bounded, so its design is made on the driver; ranks, strata and pages are places in an order (``ranks``), which no task
+A sample is bounded, so its design is made on the driver, from a few rows for each of its points; ranks, strata and pages are places in an order (``ranks``), which no task
 needs a whole group for once a table is large.  Random choices are orders of a hash of the id and the seed: repeatable, whatever
 the partitioning.
 """
@@ -25,11 +25,11 @@ def hashed(key: str, seed: int) -> Column:
 
 
 def quantile_ranked(rows: DataFrame, x: str, tie: str, *by: str, name: str = "rank", small: bool | None = None) -> DataFrame:
-    """Adds (k + 0.5) / n of the row in the order of x, tie within each group."""
+    """Adds (k + 0.5) / n of the row in the order of x, tie within each group; null keys are a group."""
     at = ranks.placed(rows, list(by), [x, tie], "_k", small)
     n = rows.groupBy(*by).agg(F.count("*").alias("_n"))
-    at = at.join(n, list(by)) if by else at.crossJoin(F.broadcast(n))  # one row without groups
-    return at.withColumn(name, (F.col("_k") + 0.5) / F.col("_n")).drop("_k", "_n")
+    at = at.alias("a").join(n.alias("b"), ranks.matched("a", "b", list(by))) if by else at.alias("a").crossJoin(F.broadcast(n).alias("b"))  # one row without groups
+    return at.select(*[F.col(f"a.`{c}`") for c in rows.columns], ((F.col("a._k") + 0.5) / F.col("b._n")).alias(name))
 
 
 def resolve_count(n: int | None, frac: float | None, total: int) -> int:
@@ -54,21 +54,73 @@ def hypercube_points(k: int, dims: int, seed: int) -> np.ndarray:
     return (np.stack([rng.permutation(k) for _ in range(dims)], 1) + rng.random((k, dims))) / max(k, 1)
 
 
-def nearest(points: np.ndarray, near: list[list[tuple[float, str]]]) -> list[str]:
-    """An id for each point, one after the other without repeats, from its candidates in the order of their distance."""
-    taken: dict[str, None] = {}
-    for own in near:
-        uid = next((u for _, u in own if u not in taken), None)
-        if uid is not None:
-            taken[uid] = None
-    return list(taken)
+class Matching:
+    """Points and rows, each point with its nearest row that no point before it has.
+
+    A point asks its rows one after the other; a row that two ask for goes to the earlier point, and the other asks on.  In whatever
+    order they ask, the end is that of the points choosing in turn, so rows need to be known only as far as they are asked for.
+    """
+
+    def __init__(self, k: int) -> None:
+        self.near: list[list[str]] = [[] for _ in range(k)]
+        self.asked = [0] * k
+        self.holder: dict[str, int] = {}
+
+    def ask(self, points: list[int]) -> list[int]:
+        """Lets points ask; gives those that have asked all the rows they know."""
+        waiting, stuck = list(points), []
+        while waiting:
+            i = waiting.pop()
+            while self.asked[i] < len(self.near[i]):
+                uid = self.near[i][self.asked[i]]
+                self.asked[i] += 1
+                other = self.holder.get(uid)
+                if other is None or i < other:
+                    self.holder[uid] = i
+                    if other is not None:
+                        waiting.append(other)
+                    break
+            else:
+                stuck.append(i)
+        return stuck
+
+
+def nearest_rows(ranked: DataFrame, points: np.ndarray, wanted: list[int], m: int) -> DataFrame:
+    """i, far, uid: the m nearest rows of each wanted point, each task's own before they meet.  ``ranked`` has grain_uid and then a
+    column an axis."""
+
+    def closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = {i: (np.zeros(0), np.zeros(0, object)) for i in wanted}
+        for b in batches:
+            uid = np.array(b.column(0).to_pylist(), object)
+            at = np.stack([c.to_numpy() for c in b.columns[1:]], 1)
+            for i in wanted:
+                far = ((at - points[i]) ** 2).sum(axis=1)
+                if len(best[i][0]) >= m:  # only rows that may come in
+                    some = far <= best[i][0][-1]
+                    far, own = np.append(best[i][0], far[some]), np.append(best[i][1], uid[some])
+                else:
+                    far, own = np.append(best[i][0], far), np.append(best[i][1], uid)
+                keep = np.lexsort((own, far))[:m]
+                best[i] = far[keep], own[keep]
+        for i, (far, own) in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i] * len(far), pa.int32()), pa.array(far), pa.array(own.tolist(), pa.string())], ["i", "far", "uid"])
+
+    found = ranked.mapInArrow(closest, "i int, far double, uid string")
+    w = Window.partitionBy("i").orderBy("far", "uid")
+    return found.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= m).drop("_k")
+
+
+#: Rows of each point that are fetched at first; points that ask for more get twice as many each time.
+FETCHED = 8
 
 
 def hypercube_sample(grains: DataFrame, axes: list[str], k: int, seed: int) -> DataFrame:
-    """k rows spread over the quantiles of the axes, chosen from all rows whose axes are finite.
+    """k rows spread over the quantiles of the axes, chosen from all rows whose axes are finite: each point of the design takes, in
+    turn, the nearest row that is left.
 
-    Each point takes the nearest row that is left, in turn.  At most k - 1 rows are gone by then, so a point needs its k nearest
-    rows only: every task finds the k nearest of its own rows to each point, and the k nearest of those reach the driver.
+    A few nearest rows of each point reach the driver, which settles who takes which; points that all of theirs are taken from are
+    looked for again, with more.
     """
     some = grains
     for x in axes:
@@ -77,29 +129,22 @@ def hypercube_sample(grains: DataFrame, axes: list[str], k: int, seed: int) -> D
     small = ranks.is_small(some)
     for d, x in enumerate(axes):
         some = quantile_ranked(some, x, "grain_uid", name=f"_r{d}", small=small)
-    points = hypercube_points(k, len(axes), seed)
-
-    def closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = [(np.zeros(0), np.zeros(0, object))] * len(points)
-        for b in batches:
-            uid = np.array(b.column(0).to_pylist(), object)
-            at = np.stack([b.column(d + 1).to_numpy() for d in range(len(axes))], 1)
-            for i, point in enumerate(points):
-                far = np.append(best[i][0], ((at - point) ** 2).sum(axis=1))
-                own = np.append(best[i][1], uid)
-                keep = np.lexsort((own, far))[:k]
-                best[i] = far[keep], own[keep]
-        for i, (far, own) in enumerate(best):
-            yield pa.RecordBatch.from_arrays([pa.array([i] * len(far), pa.int32()), pa.array(far), pa.array(own.tolist(), pa.string())], ["i", "far", "uid"])
-
-    w = Window.partitionBy("i").orderBy("far", "uid")
-    got = some.select("grain_uid", *[f"_r{d}" for d in range(len(axes))]).mapInArrow(closest, "i int, far double, uid string")
-    got = got.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= k).collect()  # k rows for each of k points
-    near: list[list[tuple[float, str]]] = [[] for _ in range(k)]
-    for r in got:
-        near[r.i].append((r.far, r.uid))
-    picked = nearest(points, [sorted(x) for x in near])
-    chosen = grains.sparkSession.createDataFrame([(u,) for u in picked], "grain_uid string")
+    ranked = some.select("grain_uid", *[f"_r{d}" for d in range(len(axes))]).persist()
+    try:
+        points, match = hypercube_points(k, len(axes), seed), Matching(k)
+        stuck, known = list(range(k)), dict.fromkeys(range(k), 0)
+        while stuck:
+            m = max([2 * known[i] for i in stuck] + [FETCHED])
+            for i in stuck:
+                match.near[i] = []
+            for r in nearest_rows(ranked, points, stuck, m).orderBy("i", "far", "uid").collect():  # a few rows a point
+                match.near[r.i].append(r.uid)
+            more = [i for i in stuck if len(match.near[i]) > known[i]]  # others have asked every row there is
+            known.update((i, len(match.near[i])) for i in more)
+            stuck = match.ask(more)
+    finally:
+        ranked.unpersist()
+    chosen = grains.sparkSession.createDataFrame([(u,) for u in match.holder], "grain_uid string")
     return grains.join(F.broadcast(chosen), "grain_uid", "left_semi")  # k ids
 
 

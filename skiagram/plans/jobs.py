@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from skiagram.config import Config, config_hash
 from skiagram.functions.gate import FLAGS, regated
-from skiagram.operators import aggregate, detect, resume, review, sampling, schema
+from skiagram.operators import aggregate, detect, ranks, resume, review, sampling, schema
 from skiagram.sources import colocated, tables
 from skiagram.sources import frames as frame_source
 
@@ -164,13 +164,15 @@ def run_aggregate(spark: SparkSession, run: str, out: str, cfg: Config) -> list[
     grains = grains_at(spark, run, cfg)
     if grains is None:
         return []
-    # the gate is made once: four tables come of it
-    gated = grains.select([c for c in grains.columns if c in aggregate.READ or c.startswith("flag_")]).persist()
+    gated = regated(grains, cfg.qc)
+    kept = gated.select([c for c in gated.columns if c in aggregate.READ or c == "qc_pass" or c.startswith("flag_")])
+    small = ranks.is_small(kept)
+    base = aggregate.levels(kept).persist() if small else kept.persist()  # read once, whichever it is
     try:
-        made = aggregate.aggregate_run(gated, cfg) | {"accepted": aggregate.accepted(regated(grains, cfg.qc))}
+        made = (aggregate.of_levels(base) if small else aggregate.aggregated(base)) | {"accepted": aggregate.accepted(gated)}
         return [tables.write_table(aggregate.in_order(df) if name != "accepted" else df, f"{out}/{name}", cfg.output.format) for name, df in made.items()]
     finally:
-        gated.unpersist()
+        base.unpersist()
 
 
 def run_report(spark: SparkSession, run: str, out: str, cfg: Config, root: str | None = None, cap: int = 96) -> list[str]:

@@ -61,7 +61,7 @@ def tile_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_tiles(spark, sf_dir, polygons.gradient, POINT), 6)
 
 
-@query(f"WITH {PX} SELECT a.vec_id, a.k, round(0.5 * (0.75 * a.v + 0.25 * b.v) + 0.5 * (0.75 * d.v + 0.25 * e.v), 6) AS v FROM px a JOIN px b ON b.vec_id = a.vec_id AND b.r = a.r AND b.c = a.c + 1 JOIN px d ON d.vec_id = a.vec_id AND d.r = a.r + 1 AND d.c = a.c JOIN px e ON e.vec_id = a.vec_id AND e.r = a.r + 1 AND e.c = a.c + 1")
+@query(f"WITH {PX}, n AS (SELECT vec_id, k, v, lead(v, 1) OVER w AS right_v, lead(v, 8) OVER w AS below, lead(v, 9) OVER w AS diagonal FROM px WINDOW w AS (PARTITION BY vec_id ORDER BY k)) SELECT vec_id, k, round(0.5 * (0.75 * v + 0.25 * right_v) + 0.5 * (0.75 * below + 0.25 * diagonal), 6) AS v FROM n WHERE k % 8 < 7 AND k < 56")
 def tile_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_tiles(spark, sf_dir, polygons.between, POINT).filter("k % 8 < 7 and k < 56"), 6)
 

@@ -1,4 +1,4 @@
-"""Grey images from and to bytes: BMP, PNG and baseline TIFF, on NumPy and zlib alone.
+"""Grey images from and to bytes: BMP, PNG and TIFF (strips or tiles; plain, deflate, LZW or PackBits), on NumPy and zlib alone.
 
 An image with channels gives its first one (red); palettes are looked up.  What the decoders don't know raises ValueError,
 which the frame's row then carries.
@@ -63,20 +63,30 @@ def decode_png(data: bytes) -> np.ndarray:
         elif kind == b"IDAT":
             packed.append(body)
         at += size + 12
-    if interlaced:
-        raise ValueError("interlaced PNG isn't supported")
     channels = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[colour]
-    unit = max(1, channels * depth // 8)
-    stride = (width * channels * depth + 7) // 8
-    raw = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8).reshape(height, stride + 1)
-    px = unfiltered(raw, unit)
-    if depth < 8:
-        steps = np.arange(8 - depth, -1, -depth)
-        px = ((px[:, :, None] >> steps) & ((1 << depth) - 1)).reshape(height, -1)[:, :width]
-        px = px if colour == 3 else px * (255 // ((1 << depth) - 1))
-    else:
-        px = px.reshape(height, width, unit)[:, :, 0]  # of 16 bits the high byte
-    return np.ascontiguousarray(palette[px] if colour == 3 else px).astype(np.uint8)
+    raw, at = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8), 0
+    out = np.zeros((height, width), np.uint8)
+    for top, left, down, right in PASSES if interlaced else ((0, 0, 1, 1),):
+        rows, cols = len(range(top, height, down)), len(range(left, width, right))
+        if rows and cols:
+            stride = (cols * channels * depth + 7) // 8
+            lines = raw[at : at + rows * (stride + 1)].reshape(rows, stride + 1)
+            at += lines.size
+            out[top::down, left::right] = samples_of(unfiltered(lines, max(1, channels * depth // 8)), cols, depth, channels, colour == 3)
+    return palette[out].astype(np.uint8) if colour == 3 else out
+
+
+#: First row and column and steps of the passes of an interlaced PNG.
+PASSES = ((0, 0, 8, 8), (0, 4, 8, 8), (4, 0, 8, 4), (0, 2, 4, 4), (2, 0, 4, 2), (0, 1, 2, 2), (1, 0, 2, 1))
+
+
+def samples_of(px: np.ndarray, cols: int, depth: int, channels: int, indexed: bool) -> np.ndarray:
+    """The first channel of lines of bytes, in 8 bits or as indices of a palette."""
+    if depth >= 8:
+        return px.reshape(len(px), cols, channels * depth // 8)[:, :, 0]  # of 16 bits the high byte
+    steps = np.arange(8 - depth, -1, -depth)
+    px = ((px[:, :, None] >> steps) & ((1 << depth) - 1)).reshape(len(px), -1)[:, :cols]
+    return px if indexed else px * (255 // ((1 << depth) - 1))
 
 
 def unfiltered(raw: np.ndarray, unit: int) -> np.ndarray:
@@ -126,15 +136,68 @@ def decode_tiff(data: bytes) -> np.ndarray:
             place = at + 10 + 12 * k
             place = place if size * count <= 4 else struct.unpack_from(order + "I", data, place)[0]
             tags[tag] = struct.unpack_from(f"{order}{count}{code}", data, place)
-    packing, bits, samples = tags.get(259, (1,))[0], tags.get(258, (1,))[0], tags.get(277, (1,))[0]
-    if packing not in (1, 8, 32946) or bits not in (8, 16) or 273 not in tags or tags.get(317, (1,))[0] != 1:
-        raise ValueError("TIFF: only 8 or 16 bit strips, plain or deflated, are supported")
-    strips = [data[o : o + n] for o, n in zip(tags[273], tags[279], strict=True)]
-    body = b"".join(strips if packing == 1 else map(zlib.decompress, strips))
-    px = np.frombuffer(body, np.dtype(f"{order}u{bits // 8}"), tags[257][0] * tags[256][0] * samples)
-    px = px.reshape(tags[257][0], tags[256][0], samples)[:, :, 0]
-    px = (px >> (bits - 8)).astype(np.uint8)
-    return 255 - px if tags.get(262, (1,))[0] == 0 else np.ascontiguousarray(px)
+    one = lambda tag, default: tags.get(tag, (default,))[0]
+    packing, bits, samples, predictor = one(259, 1), one(258, 1), one(277, 1), one(317, 1)
+    unpack = {1: bytes, 5: unpacked_lzw, 8: zlib.decompress, 32946: zlib.decompress, 32773: unpacked_bits}.get(packing)
+    if unpack is None or bits not in (8, 16) or predictor not in (1, 2) or one(284, 1) != 1:
+        raise ValueError("TIFF: only 8 or 16 bits by pixel, plain, deflated, LZW or PackBits, are supported")
+    rows, cols = tags[257][0], tags[256][0]
+    tiled = 324 in tags
+    high, wide = (tags[323][0], tags[322][0]) if tiled else (min(one(278, rows), rows), cols)
+    out, across = np.zeros((rows, cols), np.uint8), -(-cols // wide)
+    for k, (o, n) in enumerate(zip(tags[324 if tiled else 273], tags[325 if tiled else 279], strict=True)):
+        top, left = k // across * high, k % across * wide
+        there = high if tiled else min(high, rows - top)
+        px = np.frombuffer(unpack(data[o : o + n]), np.dtype(f"{order}u{bits // 8}"), there * wide * samples).reshape(there, wide, samples)[:, :, 0]
+        if predictor == 2:
+            px = np.cumsum(px, axis=1, dtype=px.dtype)
+        px = (px >> (bits - 8))[: rows - top, : cols - left]
+        out[top : top + len(px), left : left + px.shape[1]] = px
+    return 255 - out if one(262, 1) == 0 else out
+
+
+def unpacked_bits(data: bytes) -> bytes:
+    """PackBits: a count and as many bytes, or a count and one byte that many times."""
+    out, at = bytearray(), 0
+    while at < len(data):
+        n, at = data[at], at + 1
+        if n < 128:
+            out += data[at : at + n + 1]
+            at += n + 1
+        elif n > 128:
+            out += data[at : at + 1] * (257 - n)
+            at += 1
+    return bytes(out)
+
+
+CLEAR, END = 256, 257
+
+
+def unpacked_lzw(data: bytes) -> bytes:
+    """LZW of TIFF: codes of 9 to 12 bits, the highest first, which widen one entry before they must."""
+    out, table, last = [], [], b""
+    bits = held = 0
+    width = 9
+    for byte in data:
+        held, bits = held << 8 | byte, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code, held = held >> bits, held & ((1 << bits) - 1)
+        if code == END:
+            break
+        if code == CLEAR:
+            table, last, width = [bytes([k]) for k in range(256)] + [b"", b""], b"", 9
+            continue
+        if not table or code > len(table):
+            raise ValueError("TIFF: LZW data is damaged")
+        now = table[code] if code < len(table) else last + last[:1]
+        out.append(now)
+        if last:
+            table.append(last + now[:1])
+        last = now
+        width = 9 if len(table) < 511 else 10 if len(table) < 1023 else 11 if len(table) < 2047 else 12
+    return b"".join(out)
 
 
 def block_mean(image: np.ndarray, factor: int) -> np.ndarray:

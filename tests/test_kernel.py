@@ -183,6 +183,117 @@ def test_tiff():
     assert (images.decode(data) == image).all()
 
 
+def tiff(image, packing, tile=None, predictor=1, order="<", bits=8):
+    """As the published format has it: blocks, then tags."""
+    import struct
+    import zlib
+
+    rows, cols = image.shape
+    high, wide = tile or (3, cols)
+    blocks = []
+    for top in range(0, rows, high):
+        for left in range(0, cols, wide):
+            b = image[top : top + high, left : left + wide].astype(f"{order}u{bits // 8}")
+            if tile:
+                b = np.pad(b, ((0, high - b.shape[0]), (0, wide - b.shape[1])))
+            if predictor == 2:
+                b = np.diff(b, axis=1, prepend=b[:, :1] * 0).astype(b.dtype)
+            raw = b.tobytes()
+            blocks.append({1: bytes, 5: packed_lzw, 8: zlib.compress, 32773: packed_bits}[packing](raw))
+    at, places = 8, []
+    for b in blocks:
+        places.append(at)
+        at += len(b)
+    sizes = [len(b) for b in blocks]
+    lists = struct.pack(f"{order}{len(places)}I", *places) + struct.pack(f"{order}{len(sizes)}I", *sizes)
+    where = (places[0], sizes[0]) if len(blocks) == 1 else (at, at + 4 * len(places))
+    of = (324, 325) if tile else (273, 279)
+    tags = [(256, cols), (257, rows), (258, bits), (259, packing), (262, 1), (277, 1), (317, predictor)]
+    tags = [(t, 4, 1, v) for t, v in tags] + [(of[0], 4, len(places), where[0]), (of[1], 4, len(sizes), where[1])]
+    tags += [(322, 4, 1, wide), (323, 4, 1, high)] if tile else [(278, 4, 1, high)]
+    ifd = struct.pack(order + "H", len(tags)) + b"".join(struct.pack(order + "HHII", *t) for t in sorted(tags)) + b"\0" * 4
+    head = (b"II*\0" if order == "<" else b"MM\0*") + struct.pack(order + "I", at + len(lists))
+    return head + b"".join(blocks) + lists + ifd
+
+
+def packed_bits(raw):
+    out, k = bytearray(), 0
+    while k < len(raw):
+        n = next((m for m in range(1, 128) if k + m >= len(raw) or raw[k + m] != raw[k]), 128)
+        out += bytes([257 - n, raw[k]]) if n > 1 else bytes([0, raw[k]])
+        k += n
+    return bytes(out)
+
+
+def packed_lzw(raw):
+    table, bits, width = {bytes([k]): k for k in range(256)}, f"{256:09b}", 9
+    now = b""
+    n = 258
+    for c in raw:
+        if now + bytes([c]) in table:
+            now += bytes([c])
+            continue
+        bits += f"{table[now]:0{width}b}"
+        table[now + bytes([c])] = n
+        n += 1
+        now = bytes([c])
+        width = 9 if n < 512 else 10 if n < 1024 else 11 if n < 2048 else 12
+        if n == 4094:
+            bits += f"{256:0{width}b}"
+            table, n, width = {bytes([k]): k for k in range(256)}, 258, 9
+    if now:
+        bits += f"{table[now]:0{width}b}"
+        n += 1
+        width = 9 if n < 512 else 10 if n < 1024 else 11 if n < 2048 else 12
+    bits += f"{257:0{width}b}"
+    bits += "0" * (-len(bits) % 8)
+    return bytes(int(bits[k : k + 8], 2) for k in range(0, len(bits), 8))
+
+
+@pytest.mark.parametrize("packing", [1, 5, 8, 32773])
+@pytest.mark.parametrize("tile", [None, (16, 32)])
+def test_tiff_strips_and_tiles(packing, tile):
+    rng = np.random.default_rng(packing)
+    image = np.where(rng.random((61, 83)) < 0.5, rng.integers(0, 256, (61, 83)), 7).astype(np.uint8)
+    for predictor in (1, 2):
+        for order in "<>":
+            assert (images.decode(tiff(image, packing, tile, predictor, order)) == image).all()
+    deep = image.astype(np.uint16) * 256 + rng.integers(0, 256, image.shape).astype(np.uint16)
+    assert (images.decode(tiff(deep, packing, tile, 2, ">", 16)) == image).all()
+
+
+def test_lzw_of_every_width_and_damage():
+    rng = np.random.default_rng(1)
+    for raw in (b"", b"a", b"a" * 9000, rng.integers(0, 256, 20_000).astype(np.uint8).tobytes(), rng.integers(0, 3, 60_000).astype(np.uint8).tobytes()):
+        assert images.unpacked_lzw(packed_lzw(raw)) == raw
+    with pytest.raises(ValueError, match="damaged"):
+        images.unpacked_lzw(b"\x00\x00\x00")
+
+
+@pytest.mark.parametrize(("depth", "colour"), [(8, 0), (1, 0), (4, 3), (8, 2), (16, 0), (8, 6)])
+@pytest.mark.parametrize("shape", [(13, 22), (1, 1), (3, 5), (8, 2)])
+def test_interlaced_png(depth, colour, shape):
+    import struct
+    import zlib
+
+    rng = np.random.default_rng(depth)
+    channels = {0: 1, 2: 3, 3: 1, 6: 4}[colour]
+    px = rng.integers(0, 1 << depth, (*shape, channels))
+    body = b""
+    for top, left, down, right in images.PASSES:
+        for line in px[top::down, left::right]:
+            bits = "".join(f"{v:0{depth}b}" for v in line.ravel())
+            if bits:
+                bits += "0" * (-len(bits) % 8)
+                body += b"\0" + bytes(int(bits[k : k + 8], 2) for k in range(0, len(bits), 8))
+    palette = bytes(range(48))
+    parts = [(b"IHDR", struct.pack(">IIBBBBB", shape[1], shape[0], depth, colour, 0, 0, 1)), (b"PLTE", palette), (b"IDAT", zlib.compress(body))]
+    data = b"\x89PNG\r\n\x1a\n" + b"".join(struct.pack(">I", len(x)) + k + x + b"\0\0\0\0" for k, x in parts)
+    first = px[:, :, 0]
+    want = np.array(list(palette))[first * 3] if colour == 3 else first * (255 // ((1 << depth) - 1)) if depth < 8 else first >> (depth - 8)
+    assert (images.decode(data) == want).all()
+
+
 def rounded_square(half, radius, turn=0.0):
     t = np.arange(20) * math.pi / 38
     quarter = (half - radius) * np.array([1, 1]) + radius * np.column_stack([np.cos(t), np.sin(t)])

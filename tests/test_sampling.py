@@ -31,7 +31,73 @@ def test_percentiles_do_not_depend_on_the_way(grains, by):
     some = grains.filter(~F.isnan("ecd_um"))
     got = [{tuple(r[c] for c in by): r.p for r in ranks.percentiles(some.dropna(subset=by), by, "ecd_um", [0.1, 0.5, 0.9, 1.0], small).collect()} for small in (True, False)]
     assert got[0].keys() == got[1].keys() and all(np.allclose(got[0][k], got[1][k]) for k in got[0])
-    assert ranks.percentiles(some.limit(0), [], "ecd_um", [0.5], False).first().p in (None, [None])
+    assert ranks.percentiles(some.limit(0), [], "ecd_um", [0.5], False).collect() == ranks.percentiles(some.limit(0), [], "ecd_um", [0.5], True).collect()
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_null_keys_are_a_group(grains, small):
+    some = grains.filter("ecd_um is not null and not isnan(ecd_um)")
+    rows = some.collect()
+    n = len([r for r in rows if r.sample_id is None])
+    assert n > 5
+    got = {r.grain_uid: r["rank"] for r in sampling.quantile_ranked(some, "ecd_um", "grain_uid", "sample_id", small=small).collect()}
+    assert len(got) == len(rows)
+    own = sorted((r.ecd_um, r.grain_uid) for r in rows if r.sample_id is None)
+    assert [got[u] for _, u in own] == [(k + 0.5) / n for k in range(n)]
+    parts = {r.sample_id: r.p for r in ranks.percentiles(some, ["sample_id"], "ecd_um", [0.5], small).collect()}
+    assert parts[None] == [np.percentile([x for x, _ in own], 50)] and len(parts) == len({r.sample_id for r in rows})
+    assert sorted(r.place for r in ranks.placed(some, ["sample_id"], ["ecd_um", "grain_uid"], small=small).collect() if r.sample_id is None) == list(range(n))
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 10, 199, 201, 999, 40_000])
+def test_selected_percentiles_are_exact(spark, n):
+    shares = [0.0, 0.1, 1 / 3, 0.5, 0.9, 0.999, 1.0]
+    values = {"even": F.col("id") * 0.5, "tied": F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.pmod(F.hash("id"), F.lit(5)).cast("double")), "steep": F.exp(F.pmod(F.hash("id"), F.lit(600)) - 300.0), "alike": F.lit(-2.5)}
+    rows = spark.range(n).select(F.explode(F.create_map(*[c for k, v in values.items() for c in (F.lit(k), v)])).alias("kind", "x")).repartition(3)
+    got = {r.kind: r.p for r in ranks.percentiles(rows, ["kind"], "x", shares, False).collect()}
+    pdf = rows.toPandas()
+    assert set(got) == set(values)
+    for kind, own in pdf.groupby("kind"):
+        assert np.allclose(got[kind], np.percentile(own["x"], [100 * q for q in shares]), rtol=1e-12, atol=0), kind
+    if n == 40_000:
+        monotone = ranks.selected(rows, ["kind"], "x", [0.5])
+        assert monotone._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2
+
+
+def test_groups_beyond_a_broadcast_are_joined(grains, monkeypatch):
+    some = grains.filter("ecd_um is not null and not isnan(ecd_um)")
+    want = sorted(map(str, ranks.percentiles(some, ["sample_id"], "ecd_um", [0.1, 0.9], False).collect()))
+    monkeypatch.setattr(ranks, "MOST_GROUPS", 2)
+    assert sorted(map(str, ranks.percentiles(some, ["sample_id"], "ecd_um", [0.1, 0.9], False).collect())) == want
+
+
+def test_levels_are_the_three_tables_in_one_pass(grains):
+    rows = grains.withColumn("camera", F.lit("basic")).withColumn("flag_x", F.lit(True)).withColumn("frame_id", F.when(F.col("frame_id") != "f3", F.col("frame_id")))
+    key = lambda df: sorted(str(sorted((c, round(v, 9) if isinstance(v, float) else v) for c, v in r.asDict().items())) for r in df.collect())
+    made = aggregate.of_levels(aggregate.levels(rows))
+    for name, plain in (("summary", aggregate.summary(rows, True)), ("per_frame", aggregate.per_frame(rows)), ("rejection_by_ecd", aggregate.rejection_by_ecd(rows))):
+        assert key(made[name]) == key(plain), name
+    assert key(aggregate.aggregated(rows)["summary"]) == key(made["summary"])
+    plan = aggregate.levels(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_points_take_rows_as_if_in_turn():
+    rng = random.Random(3)
+    for _ in range(300):
+        n, k = rng.randint(1, 12), rng.randint(0, 12)
+        near = [rng.sample([f"r{x}" for x in range(n)], n) for _ in range(k)]
+        taken = []
+        for own in near:
+            taken += [u for u in own if u not in taken][:1]
+        match = sampling.Matching(k)
+        match.near = [own[:1] for own in near]
+        stuck = match.ask(rng.sample(range(k), k))
+        while more := [i for i in stuck if len(match.near[i]) < n]:
+            for i in more:
+                match.near[i] = near[i][: 2 * len(match.near[i])]
+            stuck = match.ask(more)
+        assert sorted(match.holder) == sorted(taken)
 
 
 def test_summary_of_large_tables(grains):
@@ -52,6 +118,20 @@ def test_hypercube_takes_the_nearest_of_all_rows(grains):
         want.add(pdf["grain_uid"][best])
     got = {r.grain_uid for r in sampling.hypercube_sample(grains, axes, k, 3).collect()}
     assert got == want and len(got) == k
+    few = grains.filter("grain_uid < 'g0009'")
+    assert sampling.hypercube_sample(few, axes, 30, 3).count() == few.filter("ecd_um is not null and not isnan(ecd_um)").count()  # more points than rows
+    assert sampling.hypercube_sample(grains, axes, 0, 3).count() == 0
+
+
+def test_hypercube_of_rows_that_crowd(spark):
+    """Points ask far beyond the few rows that are fetched at first."""
+    rows = spark.range(90).select(F.concat(F.lit("g"), F.lpad("id", 3, "0")).alias("grain_uid"), F.col("id").cast("double").alias("x"), (-F.col("id")).cast("double").alias("y"))
+    got = [r.grain_uid for r in sampling.hypercube_sample(rows, ["x", "y"], 60, 1).collect()]
+    at = [((k + 0.5) / 90, (89 - k + 0.5) / 90) for k in range(90)]
+    left = set(range(90))
+    for p in sampling.hypercube_points(60, 2, 1):
+        left.discard(min(left, key=lambda i: (((np.array(at[i]) - p) ** 2).sum(), i)))  # noqa: B023
+    assert sorted(got) == [f"g{i:03d}" for i in range(90) if i not in left]
 
 
 def test_label_sample_reserves_and_counts(grains):
