@@ -1,4 +1,4 @@
-"""Command line: detect, aggregate, report, overlay, groundtruth, make-fixtures."""
+"""Command line: detect, aggregate, report, overlay, groundtruth, colocate, make-fixtures."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from skiagram.operators import aggregate, labelling
 from skiagram.plans import jobs
 from skiagram.session import session
 
-PLACES = {"detect": ("frames", "out"), "aggregate": ("grains", "out"), "report": ("grains", "frames", "out"), "overlay": ("run", "frames", "out"), "groundtruth": ("run",), "make-fixtures": ("frames", "out")}
+PLACES = {"detect": ("frames", "out"), "aggregate": ("grains", "out"), "report": ("grains", "frames", "out"), "overlay": ("run", "frames", "out"), "groundtruth": ("run",), "colocate": ("run",), "make-fixtures": ("frames", "out")}
 NOTHING = "no grains found at {}: the run detected nothing"
 
 
@@ -45,6 +45,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--out", help="label file; by default RUN/groundtruth.csv")
     c.add_argument("--frames-dir", help="where the frames lie now")
     c.add_argument("--keys", help="keys to press, separated by spaces, instead of reading them")
+    made["colocate"].add_argument("--buckets", type=int, help="files of each table; by default the session's shuffle partitions")
     made["make-fixtures"].add_argument("--factor", type=int, default=4)
     return p
 
@@ -95,6 +96,8 @@ def main(argv: list[str] | None = None) -> int:
             return 1
         done = jobs.run_overlay(spark, a.run, a.frames, a.out, cfg, ids, factor=a.factor, labels=a.labels)
         print(f"{done.filter('error is null').count()} overlays in {a.out}, {done.filter('error is not null').count()} frames failed")
+    elif a.command == "colocate":
+        print(f"grains and contours in {jobs.run_colocate(spark, a.run, cfg, a.buckets)} buckets of {a.run}/{jobs.COLOCATED}")
     elif a.command == "groundtruth":
         label(a, spark, cfg)
     else:

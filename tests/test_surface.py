@@ -194,6 +194,7 @@ def test_commands_end_to_end(spark, run, capsys):
     got = labelling.read_labels(spark, str(out / "groundtruth.csv")).collect()
     assert [(r.label, r.label_name, r.qc_status) for r in got] == [(1, "include", "accept"), (0, "exclude", "accept")]
     assert command(run, "groundtruth", out, "--frac-grains", "1.0", "--frac-frames", "0.5", "--out", run / "l.csv", "--keys", "") == 0
+    assert command(run, "colocate", out, "--buckets", "2") == 0 and "2 buckets" in capsys.readouterr().out
     assert command(run, "make-fixtures", run / "in", run / "small", "--factor", "4") == 0
     assert jobs.run_detect(spark, str(run / "in"), str(out), cfg)["processed"] == 0
 
