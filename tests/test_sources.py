@@ -74,7 +74,7 @@ def test_overlays_read_copies_until_the_run_changes(spark, tmp_path):
     jobs.run_detect(spark, str(d), out, CFG)
     plain = [rows(t.select("grain_uid", "frame_id")) for t in jobs.read_joined(spark, out, CFG)]
     assert jobs.run_colocate(spark, out, CFG, 2) == 2
-    assert all("/out/colocated/" in plan(t) for t in jobs.read_joined(spark, out, CFG))
+    assert all("/out/colocated/" in f for t in jobs.read_joined(spark, out, CFG) for f in t.inputFiles())
     assert [rows(t.select("grain_uid", "frame_id")) for t in jobs.read_joined(spark, out, CFG)] == plain
     assert jobs.run_overlay(spark, out, str(d), str(tmp_path / "png"), CFG, ["S1_b_0000001"]).filter("error is null").count() == 1
     assert jobs.run_groundtruth(spark, out, CFG, 1)[1].count() == 1
