@@ -6,15 +6,18 @@ order and between neighbours under the same parent, weaker the farther apart the
 The maximum flow gives the cut of least total cost, and the blocks on the source side are the main text.
 
 Features of the classifier: length, link share, digits and marks, a sentence mark at the end, a copyright sign, heading, distance to
-the longest block, a place before the first heading or at the end, and what the elements around say by tag and name (class, id, role): inside an article or main part or not, and a doubt by
-names that tell of boilerplate.  A doubt ends at an article or main inside; on a page without other content it is less the more
-of the text the element holds, and nothing from half of the text on.  There are two sets of weights: for pages that mark their
-content by tags or names, and for plain pages, which don't.
+the longest block, a place before the first heading or at the end, and what the elements around say by tag and name (class, id, role):
+inside an article or main part or not, and a doubt by names that tell of boilerplate.  Names are read word by word.  Those that tell
+it surely (comment-list, cookie-notice, sidebar) count however much text the element holds; others (social-science, legal) are a doubt
+that long blocks outweigh, and on pages without marked content less of one, the more of the text such an element holds.  A doubt ends
+at an article or main inside, but that of comments.  There are two sets of weights: for pages that mark their content by tags or
+names, and for plain pages, which don't.
 
 There are no labelled pages, so ``train`` lets pages that mark their content teach: their blocks are labelled by the marks, and
-the weights are fitted by penalised likelihood, for plain pages with all marks hidden, so that text alone must tell.  The penalty
-pulls towards ``PRIOR``, which also serves tables without such pages.  Training reads about ``MOST_PAGES`` pages, a hash sample,
-and at most ``BLOCKS_A_PAGE`` evenly spread blocks of each; both bounds are parameters and concern the fit alone.
+the weights are fitted by penalised likelihood, for plain pages with all marks hidden, so that text alone must tell.  There the
+scale of the smoothness is fitted with them, by pseudo-likelihood: how much a block's label follows from its neighbours' ones.  The
+penalty pulls towards ``PRIOR``, which also serves tables without such pages.  Training reads about ``MOST_PAGES`` pages, a hash
+sample, and at most ``BLOCKS_A_PAGE`` evenly spread blocks of each; both bounds are parameters and concern the fit alone.
 
 Script, style, title, form controls and the like hold no text at all.  Blocks inside elements whose meaning is fixed (nav,
 footer, aside, form ...) are tied to the sink.  Character references are decoded, white space inside a block becomes one space,
@@ -32,6 +35,7 @@ import re
 from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,10 +54,15 @@ AWAY = frozenset("nav footer aside form menu dialog".split())
 CONTENT_TAGS = frozenset("article main".split())
 CLOSES_P = BLOCK - {"html", "body"}
 # Words in class, id and role that tell what an element holds.
-AWAY_WORDS = re.compile(r"(?i)(?:^|[\s_-])(?:ad|ads|advert\w*|adverts|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice|notices|gdpr|nav\w*|menu\w*|breadcrumb\w*|sidebar|side|footer|foot|masthead|comment\w*|disqus|respond|reply|replies|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|popup|modal|widget\w*|pagination|pager|copyright|legal|toolbar|search|form|skip\w*|contentinfo|complementary|navigation)(?=$|[\s_-])")
+COMMENT_WORDS = frozenset("comment comments commentlist commentform commenter commenters disqus respond responses replies".split())
+SURE_WORDS = frozenset("ads adsbygoogle advert adverts advertisement advertisements banner banners breadcrumb breadcrumbs complementary consent contentinfo copyright footer gdpr login masthead menu menus modal nav navbar navigation newsletter newsletters pager pagination popup promo promos promoted promotion sidebar signup sponsor sponsored sponsors subscribe subscription toolbar".split())
+UNSURE_WORDS = frozenset("ad cookie cookies form notice notices recommendations recommended related reply search share sharing skip social widget widgets".split())
+VAGUE_WORDS = frozenset("foot legal side".split())
+HEADER_WORDS = frozenset("branding header".split())
+STATE_WORDS = frozenset("close has hide no not open show toggle with without".split())
+NEUTRAL_WORDS = frozenset("area article articles bar block body bottom box button buttons center col column container content group heading icon icons info inner item items label law left link links list main media message more outer page panel policy post posts primary right row secondary section site slot stories text title to top unit view wrap wrapper zone".split())
 CONTENT_WORDS = re.compile(r"(?i)(?:^|[\s_-])(?:article\w*|post|entry|content|main|story|body|text|prose)(?=$|[\s_-])")
-
-HEADER_WORDS = re.compile(r"(?i)(?:^|[\s_-])(?:header|top|branding)(?=$|[\s_-])")
+WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[^\W\d_]+")
 
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)", re.S)
 TAG_REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
@@ -65,18 +74,24 @@ CLOSED_BY_ITSELF = frozenset("li dd dt td th tr".split())
 
 #: Cost that ties a block to the sink; the others are log odds of at most MOST_COST.
 TIED, MOST_COST = 1e6, 12.0
-#: Smoothness between neighbours in page order (over 1 + their distance in the DOM) and under one parent.
+#: Smoothness between neighbours in page order (over 1 + their distance in the DOM) and under one parent, before it is scaled.
 NEXT, SIBLING = 0.6, 0.4
+#: How much a name tells of boilerplate; what is sure, and comments more, counts SURE times a doubt.
+WEAK_NAME, SURE_NAME, COMMENT_NAME = 1, 2, 3
+SURE = 3.0
 MOST_PAGES, BLOCKS_A_PAGE = 1_000, 256
 FEATURES = ("bias", "length", "long", "links", "sentence", "heading", "short", "digits", "marks", "rights", "far", "before", "last", "inside", "doubt")
-#: Log odds of content on pages that mark their content, and on plain ones.
+#: Log odds of content on pages that mark their content, and on plain ones; the last number scales the smoothness.
 PRIOR = np.array(
     [
-        [-2.5, 1.0, 0.0, -4.0, 0.4, 0.8, -0.3, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 5.5, -6.0],
-        [0.2, 1.0, 0.0, -4.0, 0.4, 0.8, -0.3, 0.0, 0.0, -2.0, 0.0, -0.5, -0.2, 0.0, -6.0],
+        [-2.5, 1.0, 0.0, -4.0, 0.4, 0.8, -0.3, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 5.5, -6.0, 1.0],
+        [0.2, 1.0, 0.0, -4.0, 0.4, 0.8, -0.3, 0.0, 0.0, -2.0, 0.0, -0.5, -0.2, 0.0, -6.0, 1.0],
     ]
 )
 
+#: A negative scale would reward labels that differ; a cut can't say that.
+LEAST_WEIGHTS = np.append(np.full(len(FEATURES), -np.inf), 0.0)
+
 
 @dataclass(slots=True)
 class Node:
@@ -95,6 +110,7 @@ class Scope:
     away: bool
     inside: bool
     named: int  # the outermost element around whose name tells of boilerplate
+    level: int  # how much the names around tell of it
     linked: bool
     heading: bool
     node: Node
@@ -110,6 +126,26 @@ class Block:
     heading: bool
     node: Node
     named: int
+    level: int
+
+
+@lru_cache(8192)
+def name_level(labels: str, header: bool) -> int:
+    """How much class, id and role tell of boilerplate: 0 for nothing.  What follows a word such as has or no tells of the page around;
+    some words tell it only beside neutral ones (share-buttons, not social-science), some never surely.
+    With ``header`` words for a page's header count."""
+    unsure = UNSURE_WORDS | HEADER_WORDS if header else UNSURE_WORDS
+    most = 0
+    for name in labels.split():
+        words = [w.lower() for w in WORDS.findall(name)]
+        words = words[: next((k for k, w in enumerate(words) if w in STATE_WORDS), len(words))]
+        if not COMMENT_WORDS.isdisjoint(words):
+            return COMMENT_NAME
+        if not SURE_WORDS.isdisjoint(words) or not unsure.isdisjoint(words) and all(w in unsure or w in VAGUE_WORDS or w in NEUTRAL_WORDS for w in words):
+            most = SURE_NAME
+        elif not (unsure | VAGUE_WORDS).isdisjoint(words) or header and words == ["top"]:
+            most = max(most, WEAK_NAME)
+    return most
 
 
 def attributes_of(raw: str) -> dict[str, str]:
@@ -159,7 +195,7 @@ class Reader:
 
     def __init__(self) -> None:
         self.blocks: list[Block] = []
-        self.stack = [Scope("", False, False, False, 0, False, False, Node(None, 0), -1)]
+        self.stack = [Scope("", False, False, False, 0, 0, False, False, Node(None, 0), -1)]
         self.open: Counter[str] = Counter()
         self.parts: list[str] = []
         self.linked = self.number = 0
@@ -169,7 +205,7 @@ class Reader:
             text = SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
             if text:
                 top = self.stack[-1]
-                self.blocks.append(Block(text, self.linked, top.away, top.inside, top.heading, top.node, top.named))
+                self.blocks.append(Block(text, self.linked, top.away, top.inside, top.heading, top.node, top.named, top.level))
             self.parts.clear()
         self.linked = 0
 
@@ -217,13 +253,15 @@ class Reader:
         self.number += 1
         inside = (up.inside or name in CONTENT_TAGS or bool(labels and CONTENT_WORDS.search(labels))) and not up.away
         away = up.away or name in AWAY or not inside and name == "header"
-        doubtful = bool(labels and name not in ("body", "html") and (not inside and HEADER_WORDS.search(labels) or AWAY_WORDS.search(labels)))
-        named = (up.named if doubtful else 0) if name in CONTENT_TAGS else up.named or self.number * doubtful
+        own = name_level(labels, not inside) if labels and name not in ("body", "html") else 0
+        held = up.level if own or name not in CONTENT_TAGS or up.level == COMMENT_NAME else 0
+        level = max(held, own)
+        named = (up.named or self.number) if level else 0
         if raw.rstrip().endswith("/"):
             return False
         silent = up.silent or name in SILENT or "hidden" in has or bool(HIDDEN.search(has.get("style", "")))
         block = name in BLOCK
-        self.stack.append(Scope(name, silent, away, inside, named, up.linked or name == "a", name in HEADINGS or up.heading and not block, Node(up.node, up.node.depth + 1) if block else up.node, len(self.stack) if block else up.block_at))
+        self.stack.append(Scope(name, silent, away, inside, named, level, up.linked or name == "a", name in HEADINGS or up.heading and not block, Node(up.node, up.node.depth + 1) if block else up.node, len(self.stack) if block else up.block_at))
         self.open[name] += 1
         return True
 
@@ -253,15 +291,23 @@ def blocks(page: str) -> list[Block]:
 
 
 def doubts(found: list[Block]) -> list[float]:
-    """Doubt, 0 to 1, by the name of an element around each block."""
-    if any(b.inside and not b.named for b in found):
-        return [float(bool(b.named and not b.away)) for b in found]
+    """Doubt by the names of the elements around each block: SURE for sure names, whatever they hold; for others 1 on pages that mark
+    their content, else half of the share of the page's text that stands elsewhere."""
+    marked = is_marked(found)
     held: Counter[int] = Counter()
     for b in found:
-        if not b.away:
+        if not b.away and b.level < SURE_NAME:
             held[b.named] += len(b.text)
     total = sum(held.values())
-    return [max(0.0, 1 - 2 * held[b.named] / total) if b.named and not b.away else 0.0 for b in found]
+
+    def doubt(b: Block) -> float:
+        if b.away or not b.level:
+            return 0.0
+        if b.level >= SURE_NAME:
+            return SURE
+        return 1.0 if marked else 0.5 * (1 - held[b.named] / total)
+
+    return [doubt(b) for b in found]
 
 
 def features(found: list[Block], doubt: list[float], marked: bool) -> np.ndarray:
@@ -274,11 +320,12 @@ def features(found: list[Block], doubt: list[float], marked: bool) -> np.ndarray
         digits = sum(map(b.text.count, "0123456789"))
         marks = sum(map(b.text.count, "|©»·/:"))
         inside = marked and b.inside and not d
-        rows.append((1.0, min(size, 1000 if d else 400) / 100, min(size, 1000) / 1000, min(1.0, b.linked / size), float(b.text[-1] in ".!?:;\"'”»…"), float(b.heading), float(size < 15), digits / size, min(1.0, 10 * marks / size), float("©" in b.text), min(abs(i - longest), 20) / 20, float(i < title), float(i == len(found) - 1 > 0), float(inside), d))
+        rows.append((1.0, min(size, 1000 if 0 < d < SURE else 400) / 100, min(size, 1000) / 1000, min(1.0, b.linked / size), float(b.text[-1] in ".!?:;\"'”»…"), float(b.heading), float(size < 15), digits / size, min(1.0, 10 * marks / size), float("©" in b.text), min(abs(i - longest), 20) / 20, float(i < title), float(i == len(found) - 1 > 0), float(inside), d))
     return np.array(rows).reshape(-1, len(FEATURES))
 
 
 def smoothness(found: list[Block]) -> list[tuple[int, int, float]]:
+    """Pairs of neighbours and what it costs to tell them apart, before it is scaled."""
     edges = []
     last: dict[int, int] = {}
     for i, b in enumerate(found):
@@ -362,17 +409,22 @@ def minimum_cut(n: int, terminal: list[tuple[float, float]], edges: list[tuple[i
                 break
 
 
+def is_marked(found: list[Block]) -> bool:
+    """Whether a page marks its content."""
+    return any(b.inside and not b.named for b in found)
+
+
 def costs(found: list[Block], weights: np.ndarray = PRIOR) -> list[tuple[float, float]]:
     """Cost of calling each block boilerplate and cost of calling it content."""
-    doubt = doubts(found)
-    marked = any(b.inside and not d for b, d in zip(found, doubt, strict=True))
-    odds = np.clip(features(found, doubt, marked) @ weights[0 if marked else 1], -MOST_COST, MOST_COST)
+    marked = is_marked(found)
+    odds = np.clip(features(found, doubts(found), marked) @ weights[0 if marked else 1, :-1], -MOST_COST, MOST_COST)
     return [(0.0, TIED) if b.away else (max(o, 0.0), max(-o, 0.0)) for b, o in zip(found, odds.tolist(), strict=True)]
 
 
 def labelled(page: str, weights: np.ndarray = PRIOR) -> list[tuple[Block, bool]]:
     found = blocks(page)
-    return list(zip(found, minimum_cut(len(found), costs(found, weights), smoothness(found)), strict=True))
+    scale = weights[0 if is_marked(found) else 1, -1]
+    return list(zip(found, minimum_cut(len(found), costs(found, weights), [(a, b, w * scale) for a, b, w in smoothness(found)]), strict=True))
 
 
 def main_text(page: str | None, weights: np.ndarray = PRIOR) -> str:
@@ -392,14 +444,25 @@ def fit(x: np.ndarray, y: np.ndarray, prior: np.ndarray, pull: float = 1.0, roun
 
 
 def lessons(page: str, most: int = BLOCKS_A_PAGE) -> tuple[np.ndarray, np.ndarray]:
-    """Features with and without marks (stacked in that order) and labels of a page that marks its content; else nothing."""
+    """Of a page that marks its content, features with and without marks, how much more the neighbours are content than not (stacked
+    in that order), and labels; else nothing."""
     found = blocks(page)
-    doubt = doubts(found)
-    content = [b.inside and not d and not b.away for b, d in zip(found, doubt, strict=True)]
-    if not any(content):
-        return np.zeros((0, 2 * len(FEATURES))), np.zeros(0)
+    content = np.array([b.inside and not b.named and not b.away for b in found], float)
+    if not content.any():
+        return np.zeros((0, 2 * len(FEATURES) + 1)), np.zeros(0)
+    lean = np.zeros((len(found), 1))
+    for a, b, w in smoothness(found):
+        lean[a] += w * (2 * content[b] - 1)
+        lean[b] += w * (2 * content[a] - 1)
     own = np.arange(0, len(found), -(-len(found) // most))
-    return np.hstack([features(found, doubt, True), features(found, [0.0] * len(found), False)])[own], np.array(content, float)[own]
+    return np.hstack([features(found, doubts(found), True), features(found, [0.0] * len(found), False), lean])[own], content[own]
+
+
+def fitted(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights from the rows of lessons.  With the neighbours' labels among the features, the fit is of largest pseudo-likelihood for the
+    energy that the cut makes least, and the weight of these is the scale of the smoothness."""
+    k = len(FEATURES)
+    return np.stack([np.append(fit(x[:, :k], y, PRIOR[0, :-1]), PRIOR[0, -1]), np.maximum(fit(x[:, k:], y, PRIOR[1]), LEAST_WEIGHTS)])
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", most: int = MOST_PAGES) -> np.ndarray:
@@ -415,8 +478,7 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", mos
     got = rows.mapInArrow(run, "x array<double>, y double").toPandas()
     if got["y"].nunique() < 2:
         return PRIOR
-    x, y, k = np.stack(got["x"].to_numpy()), got["y"].to_numpy(), len(FEATURES)
-    return np.stack([fit(x[:, :k], y, PRIOR[0]), fit(x[:, k:], y, PRIOR[1])])
+    return fitted(np.stack(got["x"].to_numpy()), got["y"].to_numpy())
 
 
 def extracted(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url"), weights: np.ndarray | None = None) -> DataFrame:
