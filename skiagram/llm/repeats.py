@@ -252,24 +252,31 @@ def nodes(rows: DataFrame, firsts: DataFrame, min_len: int) -> DataFrame:
 
 
 class WholeGroups:
-    """Gathers sorted batches into pieces of at least ``least`` rows, as far as there are, that end where the column changes."""
+    """Gathers sorted batches into pieces of at least ``least`` rows, as far as there are, that end where the column changes.
+    Batches that only go on with the last group are kept beside it, so a group of any size is put together once."""
 
     def __init__(self, column: str, least: int) -> None:
-        self.column, self.least, self.held = column, least, None
+        self.column, self.least = column, least
+        self.held: list[pa.RecordBatch] = []
 
     def add(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows = pa.concat_batches([self.held, batch]) if self.held is not None else batch
-        key, begin = rows.column(self.column).to_numpy(), 0
+        key = batch.column(self.column)
+        goes_on = bool(self.held) and self.held[-1].column(self.column)[-1] == key[0] == key[-1]
+        self.held.append(batch)
+        if goes_on:
+            return
+        rows, begin = pa.concat_batches(self.held), 0
+        key = rows.column(self.column).to_numpy()
         for edge in (np.flatnonzero(key[1:] != key[:-1]) + 1).tolist():
             if edge - begin >= self.least:
                 yield rows.slice(begin, edge - begin)
                 begin = edge
-        self.held = rows.slice(begin)
+        self.held = [rows.slice(begin)]
 
     def rest(self) -> Iterator[pa.RecordBatch]:
-        if self.held is not None and self.held.num_rows:
-            yield self.held
-        self.held = None
+        if self.held:
+            yield pa.concat_batches(self.held)
+        self.held = []
 
 
 def maximal_intervals(lcp: list[int], left: list[int]) -> list[tuple[int, int, int]]:
