@@ -1,8 +1,8 @@
 """Places of rows in an order, within groups that may be few and large.
 
-A window puts each group into one task.  That is the cheaper way for a table whose estimated size is small; beyond, rows are
-sorted once by range partitions over (group, order) and written, and a row's place is its place in its partition plus the rows
-of its group in the partitions before.  Both give the same places.  Percentiles of a large table need no places: they are selected
+A window puts each group into one task.  That is the cheaper way for a table whose estimated size is small, or whose groups are;
+beyond, rows are sorted once by range partitions over (group, order) and written, and a row's place is its place in its partition plus
+the rows of its group in the partitions before.  Both give the same places.  Percentiles of a large table need no places: they are selected
 between brackets that sketches give.
 """
 
@@ -13,13 +13,24 @@ from pyspark.sql import functions as F
 
 from skiagram.sources import tables
 
-#: Estimated bytes up to which a table counts as small.
-SMALL = 1 << 30
+#: Estimated bytes up to which a table counts as small, and of a partition of one that isn't.  Catalyst estimates by bytes of files, which
+#: are a tenth of the rows' or less once they are sorted.
+SMALL, PART = 32 << 20, 8 << 20
+
+
+def estimated(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def is_small(df: DataFrame) -> bool:
     """By Catalyst's estimate, which is the product of both sides' sizes for a join it knows nothing of, so it errs upwards."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SMALL
+    return estimated(df) <= SMALL
+
+
+def partitions(df: DataFrame, most: int = 20) -> int:
+    """As many as shuffles have, or more for a large table; estimates err upwards, so no more than so many times that."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(n, min(most * n, -(-estimated(df) // PART)))
 
 
 def placed(rows: DataFrame, by: list[str], order: list[str], name: str = "place", small: bool | None = None) -> DataFrame:
@@ -28,7 +39,7 @@ def placed(rows: DataFrame, by: list[str], order: list[str], name: str = "place"
         w = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order)
         return rows.withColumn(name, F.row_number().over(w).cast("long") - 1)
     spark = rows.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions(rows)
     at, part, shift = f"{name}_at", f"{name}_part", f"{name}_shift"
     dealt = rows.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order).withColumn(at, F.monotonically_increasing_id())
     folder = tables.working_folder(spark)
@@ -38,6 +49,8 @@ def placed(rows: DataFrame, by: list[str], order: list[str], name: str = "place"
     runs = kept.groupBy(part, *by).agg(F.min(at).alias("_first"), F.count("*").alias("_n"))
     before = Window.partitionBy(*(by or [F.lit(0)])).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn(shift, F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).drop("_first", "_n")
+    if len(few := runs.limit(MOST_GROUPS + 1).collect()) <= MOST_GROUPS:  # the rows stay where they are
+        runs = F.broadcast(spark.createDataFrame(few, runs.schema))
     joined = kept.alias("a").join(runs.alias("b"), matched("a", "b", [part, *by]))
     return joined.select(*[F.col(f"a.{c}") for c in rows.columns], (F.col(f"a.{at}") + F.col(f"b.{shift}")).alias(name))
 

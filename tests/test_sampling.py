@@ -152,3 +152,17 @@ def test_strata_and_pages(grains):
     assert sampling.stratified(some, "ecd_um", 500, "grain_uid").count() == some.count()
     pages = sampling.paged(some, "grain_uid").collect()
     assert sorted(r.position for r in pages) == list(range(1, len(pages) + 1)) and all(r.page == (r.position - 1) // 24 + 1 for r in pages)
+
+
+def test_tables_beyond_one_task_are_not_small(spark, monkeypatch):
+    """A window over six groups is six tasks; ten million rows are 80 MB by estimate and many times that in a sort."""
+    large = spark.range(10_000_000)
+    assert not ranks.is_small(large) and ranks.is_small(spark.range(1000))
+    assert ranks.partitions(large) > ranks.partitions(spark.range(1000)) == 4
+    monkeypatch.setattr(ranks, "SMALL", 0)
+    rows = spark.range(500).select(F.concat(F.lit("g"), "id").alias("grain_uid"), F.lit(False).alias("qc_pass"), (F.col("id") % 2 == 0).alias("flag_a"), F.lit(True).alias("flag_b"))
+    pages = sampling.rejected_pages(rows, ["flag_a", "flag_b"], 10)
+    assert "Window" not in pages._jdf.queryExecution().executedPlan().toString()
+    for flag, n in (("flag_a", 250), ("flag_b", 500)):
+        own = sorted((r for r in pages.collect() if r.flag == flag), key=lambda r: r.grain_uid)
+        assert [r.position for r in own] == list(range(1, n + 1)) and all(r.page == (r.position - 1) // 10 + 1 for r in own)
