@@ -1,6 +1,6 @@
 """Samples for hand labelling and contact sheets: quantile ranks, hypercube, strata, pages.
 
-A sample is bounded, so its design is made on the driver, from a few rows for each of its points; ranks, strata and pages are places in an order (``ranks``), which no task
+A sample is bounded, so its design is made on the driver, from a few rows for each of its points, whose ranks are counted; other ranks, strata and pages are places in an order (``ranks``), which no task
 needs a whole group for once a table is large.  Random choices are orders of a hash of the id and the seed: repeatable, whatever
 the partitioning.
 """
@@ -85,30 +85,119 @@ class Matching:
         return stuck
 
 
-def nearest_rows(ranked: DataFrame, points: np.ndarray, wanted: list[int], m: int) -> DataFrame:
-    """i, far, uid: the m nearest rows of each wanted point, each task's own before they meet.  ``ranked`` has grain_uid and then a
-    column an axis."""
-
-    def closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = {i: (np.zeros(0), np.zeros(0, object)) for i in wanted}
+#: Rows whose places on every axis are counted first, as marks between which the others lie.
+MARKS = 16_384
+
+
+def passed(x: np.ndarray, uid: np.ndarray, mark_x: np.ndarray, mark_uid: np.ndarray) -> np.ndarray:
+    """How many marks, in the order of (x, uid), are up to each row."""
+    first, last = np.searchsorted(mark_x, x, "left"), np.searchsorted(mark_x, x, "right")
+    out = first.copy()
+    tied = np.flatnonzero(first < last)
+    tied = tied[np.argsort(first[tied], kind="stable")]
+    for rows in np.split(tied, np.flatnonzero(np.diff(first[tied])) + 1):
+        if len(rows):
+            a, b = first[rows[0]], last[rows[0]]
+            out[rows] = a + np.searchsorted(mark_uid[a:b], uid[rows], "right")
+    return out
+
+
+def columns_of(batch: pa.RecordBatch) -> tuple[np.ndarray, list[np.ndarray]]:
+    uid = np.empty(batch.num_rows, object)
+    uid[:] = batch.column(0).to_pylist()
+    return uid, [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]
+
+
+class Marks:
+    """Some rows, and of each axis their values and ids in its order, with how many rows of the whole table are before each."""
+
+    def __init__(self, rows: DataFrame, marked: list) -> None:
+        spark, axes = rows.sparkSession, range(len(rows.columns) - 1)
+        self.uid = np.empty(len(marked), object)
+        self.uid[:] = [r[0] for r in marked]
+        values = [np.array([r[1 + d] for r in marked], float) for d in axes]
+        self.order = [np.lexsort((self.uid, x)) for x in values]
+        self.at = [(x[o], self.uid[o]) for x, o in zip(values, self.order, strict=True)]
+        at = spark.sparkContext.broadcast(self.at)
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n = np.zeros((len(axes), len(at.value[0][0]) + 1), np.int64)
+            for b in batches:
+                uid, xs = columns_of(b)
+                for d, x in enumerate(xs):
+                    n[d] += np.bincount(passed(x, uid, *at.value[d]), minlength=n.shape[1])
+            d, p = np.nonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(d, pa.int32()), pa.array(p, pa.int32()), pa.array(n[d, p])], ["d", "p", "n"])
+
+        n = np.zeros((len(axes), len(marked) + 1), np.int64)
+        for r in rows.mapInArrow(count, "d int, p int, n long").groupBy("d", "p").agg(F.sum("n").alias("n")).collect():  # marks and axes
+            n[r.d, r.p] = r.n
+        self.total = int(n[0].sum())
+        self.before = n.cumsum(axis=1)[:, :-1]
+
+    def ranks(self) -> np.ndarray:
+        """Of each marked row its rank on every axis."""
+        out = np.zeros((len(self.uid), len(self.order)))
+        for d, o in enumerate(self.order):
+            out[o, d] = (self.before[d] + 0.5) / max(self.total, 1)
+        return out
+
+
+def nearest_rows(rows: DataFrame, marks: Marks, points: np.ndarray, wanted: list[int], m: int) -> dict[int, list[str]]:
+    """Ids of the m nearest rows, or a few more, of each wanted point, nearest first; ``rows`` has grain_uid and then a column an axis.
+
+    Marks bound a row's ranks, and so how far it is from a point.  A task keeps rows that may be among a point's m nearest ones of its
+    own; those that still may be when tasks meet are few, and their ranks are counted exactly.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((marks.at, marks.before))
+    total = marks.total
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, before = shared.value
+        axes = range(len(at))
+        least = [(np.append(0, n) + 0.5) / total for n in before]
+        most = [(np.append(n, total) - 0.5) / total for n in before]
+        kept = {i: (np.zeros(0), np.zeros(0), np.zeros(0, object), np.zeros((0, len(at)))) for i in wanted}
         for b in batches:
-            uid = np.array(b.column(0).to_pylist(), object)
-            at = np.stack([c.to_numpy() for c in b.columns[1:]], 1)
+            uid, xs = columns_of(b)
+            p = [passed(x, uid, *at[d]) for d, x in enumerate(xs)]
+            low, high = [least[d][p[d]] for d in axes], [most[d][p[d]] for d in axes]
+            values = np.stack(xs, 1).astype(float)
             for i in wanted:
-                far = ((at - points[i]) ** 2).sum(axis=1)
-                if len(best[i][0]) >= m:  # only rows that may come in
-                    some = far <= best[i][0][-1]
-                    far, own = np.append(best[i][0], far[some]), np.append(best[i][1], uid[some])
-                else:
-                    far, own = np.append(best[i][0], far), np.append(best[i][1], uid)
-                keep = np.lexsort((own, far))[:m]
-                best[i] = far[keep], own[keep]
-        for i, (far, own) in best.items():
-            yield pa.RecordBatch.from_arrays([pa.array([i] * len(far), pa.int32()), pa.array(far), pa.array(own.tolist(), pa.string())], ["i", "far", "uid"])
-
-    found = ranked.mapInArrow(closest, "i int, far double, uid string")
+                near = sum(np.maximum(np.maximum(low[d] - points[i, d], points[i, d] - high[d]), 0) ** 2 for d in axes)
+                far = sum(np.maximum(np.abs(low[d] - points[i, d]), np.abs(high[d] - points[i, d])) ** 2 for d in axes)
+                old = kept[i]
+                some = near <= reach(old[1], m)
+                new = [np.concatenate([a, c[some]]) for a, c in zip(old, (near, far, uid, values), strict=True)]
+                some = new[0] <= reach(new[1], m)
+                kept[i] = tuple(c[some] for c in new)
+        for i, (near, far, uid, values) in kept.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i] * len(uid), pa.int32()), pa.array(near), pa.array(far), pa.array(uid.tolist(), pa.string()), pa.array(list(values), pa.list_(pa.float64()))], ["i", "near", "far", "uid", "x"])
+
+    found = rows.mapInArrow(bounded, "i int, near double, far double, uid string, x array<double>")
+    # tasks' own rows are few; of a point, those that no m others are surely nearer than
     w = Window.partitionBy("i").orderBy("far", "uid")
-    return found.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= m).drop("_k")
+    kept = found.withColumn("_k", F.row_number().over(w)).withColumn("_m", F.max(F.when(F.col("_k") == m, F.col("far"))).over(Window.partitionBy("i")))
+    kept = kept.filter(F.col("_m").isNull() | (F.col("near") <= F.col("_m") * (1 + SLACK) + SLACK)).collect()
+    own = {r.uid: (r.uid, *r.x) for r in kept}
+    exact = Marks(rows, list(own.values()))
+    rank = dict(zip(exact.uid.tolist(), exact.ranks(), strict=True))
+    out: dict[int, list[tuple[float, str]]] = {i: [] for i in wanted}
+    surely = {r.i: r._m for r in kept}
+    for r in kept:
+        far = float(((rank[r.uid] - points[r.i]) ** 2).sum())
+        if surely[r.i] is None or far <= surely[r.i]:  # rows as far as that are all here
+            out[r.i].append((far, r.uid))
+    return {i: [u for _, u in sorted(near)] for i, near in out.items()}
+
+
+#: Share by which sums of squares may be off.
+SLACK = 1e-12
+
+
+def reach(far: np.ndarray, m: int) -> float:
+    """How far a row may be to be among the m nearest of some."""
+    return float("inf") if len(far) < m else float(np.partition(far, m - 1)[m - 1]) * (1 + SLACK) + SLACK
 
 
 #: Rows of each point that are fetched at first; points that ask for more get twice as many each time.
@@ -119,31 +208,23 @@ def hypercube_sample(grains: DataFrame, axes: list[str], k: int, seed: int) -> D
     """k rows spread over the quantiles of the axes, chosen from all rows whose axes are finite: each point of the design takes, in
     turn, the nearest row that is left.
 
-    A few nearest rows of each point reach the driver, which settles who takes which; points that all of theirs are taken from are
-    looked for again, with more.
+    Rows are never sorted: a few thousand marks, whose places are counted, bound all ranks, and exact ones are counted for rows near to a
+    point.  Those reach the driver, which settles who takes which; points that all of theirs are taken from are looked for again, with more.
     """
     some = grains
     for x in axes:
         some = some.filter(finite(F.col(x)))
-    some = some.select("grain_uid", *axes)
-    small = ranks.is_small(some)
-    for d, x in enumerate(axes):
-        some = quantile_ranked(some, x, "grain_uid", name=f"_r{d}", small=small)
-    ranked = some.select("grain_uid", *[f"_r{d}" for d in range(len(axes))]).persist()
-    try:
-        points, match = hypercube_points(k, len(axes), seed), Matching(k)
-        stuck, known = list(range(k)), dict.fromkeys(range(k), 0)
-        while stuck:
-            m = max([2 * known[i] for i in stuck] + [FETCHED])
-            for i in stuck:
-                match.near[i] = []
-            for r in nearest_rows(ranked, points, stuck, m).orderBy("i", "far", "uid").collect():  # a few rows a point
-                match.near[r.i].append(r.uid)
-            more = [i for i in stuck if len(match.near[i]) > known[i]]  # others have asked every row there is
-            known.update((i, len(match.near[i])) for i in more)
-            stuck = match.ask(more)
-    finally:
-        ranked.unpersist()
+    some = some.select("grain_uid", *[F.col(x).cast("double").alias(f"_x{d}") for d, x in enumerate(axes)])
+    points, match = hypercube_points(k, len(axes), seed), Matching(k)
+    stuck, known = list(range(k)), dict.fromkeys(range(k), 0)
+    marks = Marks(some, some.orderBy(hashed("grain_uid", seed), "grain_uid").limit(MARKS).collect()) if k else None
+    while stuck and marks.total:
+        m = max([2 * known[i] for i in stuck] + [FETCHED])
+        for i, near in nearest_rows(some, marks, points, stuck, m).items():
+            match.near[i] = near
+        more = [i for i in stuck if len(match.near[i]) > known[i]]  # others have asked every row there is
+        known.update((i, len(match.near[i])) for i in more)
+        stuck = match.ask(more)
     chosen = grains.sparkSession.createDataFrame([(u,) for u in match.holder], "grain_uid string")
     return grains.join(F.broadcast(chosen), "grain_uid", "left_semi")  # k ids
 

@@ -166,3 +166,20 @@ def test_tables_beyond_one_task_are_not_small(spark, monkeypatch):
     for flag, n in (("flag_a", 250), ("flag_b", 500)):
         own = sorted((r for r in pages.collect() if r.flag == flag), key=lambda r: r.grain_uid)
         assert [r.position for r in own] == list(range(1, n + 1)) and all(r.page == (r.position - 1) // 10 + 1 for r in own)
+
+
+def test_hypercube_never_sorts_the_table(grains, monkeypatch):
+    """Few marks, many ties: the same rows as by full ranks, and no task that takes rows by a window over all of them."""
+    some = grains.filter("ecd_um is not null and not isnan(ecd_um)").withColumn("tied", F.floor(F.col("contrast") * 3).cast("double"))
+    pdf = some.toPandas()
+    axes, k = ["ecd_um", "tied"], 15
+    at = np.stack([(np.lexsort((pdf["grain_uid"], pdf[x])).argsort() + 0.5) / len(pdf) for x in axes], 1)
+    left, want = set(range(len(pdf))), set()
+    for point in sampling.hypercube_points(k, 2, 5):
+        best = min(left, key=lambda i: (((at[i] - point) ** 2).sum(), pdf["grain_uid"][i]))  # noqa: B023
+        left.discard(best)
+        want.add(pdf["grain_uid"][best])
+    monkeypatch.setattr(ranks, "placed", None)  # no ranks of all rows
+    for marks in (1, 7, 64):
+        monkeypatch.setattr(sampling, "MARKS", marks)
+        assert {r.grain_uid for r in sampling.hypercube_sample(some, axes, k, 5).collect()} == want, marks
