@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: Shares of a key for each partition that they are dealt to; more make partitions more alike.
+SHARES = 8
+
 FORMATS = ("parquet", "csv", "feather")
 
 
@@ -160,5 +163,15 @@ def write_partitioned(df: DataFrame, root: str, fmt: str, keys: list[str], *, pa
         doubled = df.select("*", *[F.col(k).alias(f"_{k}") for k in keys])
         doubled.write.mode("overwrite").option("header", "true").option("nanValue", "NaN").partitionBy(*[f"_{k}" for k in keys]).csv(root)
     else:
-        write_feather(df.repartition(*keys).sortWithinPartitions(*keys), root, keys)
+        write_feather(dealt(df, keys).sortWithinPartitions(*keys), root, keys)
     return root
+
+
+def dealt(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows brought together by keys; those of a large table, whose keys may be few, in several shares of each key by a hash of the row."""
+    from skiagram.operators import ranks
+
+    if ranks.is_small(df):
+        return df.repartition(*keys)
+    n = ranks.partitions(df)
+    return df.repartition(n, *keys, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n * SHARES)))

@@ -130,6 +130,18 @@ def test_feather_reads_what_is_asked_for(spark, feathers, monkeypatch):
         feather.read(spark, f"{path}/nothing").count()
 
 
+def test_a_large_table_of_few_keys_is_dealt_in_shares(spark, tmp_path, monkeypatch):
+    """One key is not one task, however many rows it has."""
+    from skiagram.operators import ranks
+
+    df = spark.range(4000).selectExpr("id", "'a' as k")
+    monkeypatch.setattr(ranks, "SMALL", 0)
+    sizes = tables.dealt(df, ["k"]).rdd.glom().map(len).collect()
+    assert sum(sizes) == 4000 and max(sizes) < 2500
+    path = tables.write_partitioned(df, str(tmp_path / "large"), "feather", ["k"])
+    assert len(feather.files_of(path)) > 1 and rows(feather.read(spark, path, df.schema)) == rows(df)
+
+
 # ----------------------------------------------------------------------------------------------------------------- arrivals
 
 
