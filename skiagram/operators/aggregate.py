@@ -1,11 +1,14 @@
 """Summaries of gated grains: by sample and camera, by frame, by size class, and the accepted rows.
 
-Every aggregate is partial before its one shuffle.  Exact percentiles by frame keep a map of a group's values; those by sample,
-whose groups are few and grow with the corpus, do so only for small tables and come from ranks beyond (``ranks``).
+Every aggregate is partial before its one shuffle.  Exact percentiles keep a map of a group's values in small tables; beyond, those by
+sample, whose groups are few and grow with the corpus, come from ranks (``ranks``), and those by frame from two sizes a row that are
+brought together by frame as they are, as maps made before the shuffle would hold every value and more.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +29,7 @@ def percentiles(x: str, accepted: Column) -> list[Column]:
     return [F.when(bad, float("nan")).otherwise(F.get(p, k)).alias(f"{x}_d{d}") for k, d in enumerate((10, 50, 90))]
 
 
-PERCENT = ("ecd_um", "feret_min_um")
+PERCENT, SHARES = ("ecd_um", "feret_min_um"), [0.1, 0.5, 0.9]
 
 
 def summary_columns(grains: DataFrame, ok: Column, by_rank: bool = False) -> list[Column]:
@@ -43,34 +46,51 @@ def summary_columns(grains: DataFrame, ok: Column, by_rank: bool = False) -> lis
     return out
 
 
-def summarised(grains: DataFrame, keys: list[str], by_rank: bool = False) -> DataFrame:
-    """One row for each observed key; rows with a null key are left out."""
+def frame_percentiles(rows: DataFrame, keys: list[str], measured: list[str]) -> DataFrame:
+    """Exact percentiles of many groups, none of which has much of the rows; a column _x of each size."""
+    values = rows.select(*keys, *[F.col(x).cast("double").alias(x) for x in measured]).repartition(ranks.partitions(rows), *keys)
+    return values.groupBy(*keys).agg(*[F.percentile(x, F.array(*map(F.lit, SHARES))).alias(f"_{x}") for x in measured])
+
+
+def with_percentiles(made: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """Columns of percentiles where summary_columns left whether a size is NaN; keys match null by null."""
+    columns = []
+    for c in made.columns:
+        x = c[1:-4]
+        if c.endswith("_nan"):
+            columns += [F.when(F.col(f"m.{c}"), float("nan")).otherwise(F.get(F.col(f"p._{x}"), F.lit(k))).alias(f"{x}_d{d}") for k, d in enumerate((10, 50, 90))]
+        else:
+            columns.append(F.col(f"m.{c}"))
+    return made.alias("m").join(found.alias("p"), ranks.matched("m", "p", keys), "left").select(*columns)
+
+
+def rank_percentiles(rows: DataFrame, keys: list[str], measured: list[str]) -> DataFrame:
+    """Exact percentiles of few and large groups; a column _x of each size."""
+    found = rows.select(*keys).distinct()
+    for x in measured:
+        p = ranks.percentiles(rows, keys, x, SHARES, small=False).withColumnRenamed("p", f"_{x}")
+        found = found.alias("a").join(p.alias("b"), ranks.matched("a", "b", keys), "left").select("a.*", f"b._{x}")
+    return found
+
+
+def summarised(grains: DataFrame, keys: list[str], found: Callable | None = None) -> DataFrame:
+    """One row for each observed key; rows with a null key are left out.  ``found`` gives the percentiles of a large table."""
     ok = F.coalesce(F.col("qc_pass"), F.lit(False))
-    out = summary_columns(grains, ok, by_rank)
     measured = [x for x in PERCENT if x in grains.columns]
     rows = grains.dropna(subset=keys)
-    made = rows.groupBy(*keys).agg(*out)
-    if not by_rank:
-        return made
-    names = list(made.columns)
-    for x in measured:
-        p = ranks.percentiles(rows.filter(ok), keys, x, [0.1, 0.5, 0.9], small=False).withColumnRenamed("p", f"_{x}")
-        made = made.join(p, keys, "left")
-    bad = lambda x, k: F.when(F.col(f"_{x}_nan"), float("nan")).otherwise(F.get(f"_{x}", F.lit(k)))
-    columns = []
-    for c in names:
-        columns += [bad(c[1:-4], k).alias(f"{c[1:-4]}_d{d}") for k, d in enumerate((10, 50, 90))] if c.endswith("_nan") else [F.col(c)]
-    return made.select(*columns)
+    made = rows.groupBy(*keys).agg(*summary_columns(grains, ok, found is not None))
+    return with_percentiles(made, found(rows.filter(ok), keys, measured), keys) if found and measured else made
 
 
 def summary(grains: DataFrame, small: bool | None = None) -> DataFrame:
     """Groups are few and grow with the corpus: percentiles of a large table come from ranks."""
     small = ranks.is_small(grains) if small is None else small
-    return summarised(grains, ["sample_id", "camera"], by_rank=not small)
+    return summarised(grains, ["sample_id", "camera"], None if small else rank_percentiles)
 
 
-def per_frame(grains: DataFrame) -> DataFrame:
-    return summarised(grains, ["sample_id", "camera", "frame_id"])
+def per_frame(grains: DataFrame, small: bool | None = None) -> DataFrame:
+    small = ranks.is_small(grains) if small is None else small
+    return summarised(grains, ["sample_id", "camera", "frame_id"], None if small else frame_percentiles)
 
 
 def by_class(grains: DataFrame) -> DataFrame:
@@ -93,18 +113,31 @@ def rejection_by_ecd_global(grains: DataFrame) -> DataFrame:
 PER_FRAME, PER_CLASS, PER_SAMPLE = 0b0001, 0b0010, 0b0011
 
 
-def levels(grains: DataFrame) -> DataFrame:
+def levels(grains: DataFrame, small: bool = True) -> DataFrame:
     """Summaries by sample and camera, by frame and by size class in one scan and one shuffle; ``level`` tells them apart.
 
-    For tables whose groups' values fit a map; each row is counted once for each level before the shuffle."""
+    That counts each row once for each level before the shuffle, with maps of a group's values.  Of a table that isn't small only counts
+    and moments are made so; percentiles are found level by level."""
     ok = F.coalesce(F.col("qc_pass"), F.lit(False))
     rows = grains.withColumn("bin_index", ecd_bin_index(F.col("ecd_um"))).dropna(subset=["sample_id", "camera"])
-    out = summary_columns(grains, ok)
-    keys = [F.col(k) for k in ("sample_id", "camera", "frame_id", "bin_index")]
+    out = summary_columns(grains, ok, not small)
+    names = ["sample_id", "camera", "frame_id", "bin_index"]
+    keys = [F.col(k) for k in names]
     sets = [keys[:2], keys[:3], [*keys[:2], keys[3]]]
     made = rows.groupingSets(sets, *keys).agg(F.grouping_id().alias("level"), *out)
     named = ((F.col("level") != PER_FRAME) | F.col("frame_id").isNotNull()) & ((F.col("level") != PER_CLASS) | F.col("bin_index").isNotNull())
-    return made.filter(named)
+    made = made.filter(named)
+    measured = [x for x in PERCENT if x in grains.columns]
+    if small or not measured:
+        return made
+    some = rows.filter(ok)
+    parts = [(PER_SAMPLE, rank_percentiles(some, names[:2], measured)), (PER_FRAME, frame_percentiles(some, names[:3], measured)), (PER_CLASS, rank_percentiles(some, [*names[:2], "bin_index"], measured))]
+    found = None
+    for level, part in parts:
+        of_level = [F.col(c) if c in part.columns else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in names]
+        part = part.select(*of_level, F.lit(level).cast("long").alias("level"), *[f"_{x}" for x in measured])
+        found = part if found is None else found.unionByName(part)
+    return with_percentiles(made, found, [*names, "level"])
 
 
 def of_levels(made: DataFrame) -> dict[str, DataFrame]:
@@ -142,4 +175,4 @@ def flag_counts(grains: DataFrame) -> DataFrame:
 
 def aggregated(gated: DataFrame) -> dict[str, DataFrame]:
     """The three tables of a gated table that is too large for maps of values; persist it, as each reads it."""
-    return {"summary": summary(gated, False), "rejection_by_ecd": rejection_by_ecd(gated), "per_frame": per_frame(gated)}
+    return {"summary": summary(gated, False), "rejection_by_ecd": rejection_by_ecd(gated), "per_frame": per_frame(gated, False)}

@@ -75,8 +75,9 @@ def summary_of_other_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {G}, b AS (SELECT *, CAST({BIN} AS INTEGER) AS bin_index FROM grains) SELECT sample_id, camera, frame_id, bin_index, CAST(grouping_id(sample_id, camera, frame_id, bin_index) AS BIGINT) AS level, {COUNTS}, {FLAG_COUNTS}, {PCT}, {SHAPES} FROM b GROUP BY GROUPING SETS ((sample_id, camera), (sample_id, camera, frame_id), (sample_id, camera, bin_index)) HAVING NOT (grouping_id(sample_id, camera, frame_id, bin_index) = 2 AND bin_index IS NULL)")
 def summaries_in_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By sample, by frame and by size class in one scan and one shuffle."""
-    return rounded(aggregate.levels(A.grains(spark, sf_dir)), 8)
+    """By sample, by frame and by size class in one scan and one shuffle; the percentiles of a large table apart."""
+    g = A.grains(spark, sf_dir)
+    return rounded(aggregate.levels(g, ranks.is_small(g)), 8)
 
 
 METRICS_SQL = "edge_width_px, contrast, touches_border, ecd_px, qc_aspect_ratio, qc_solidity, has_polygon"

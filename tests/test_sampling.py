@@ -1,6 +1,7 @@
 """Ranks, percentiles, strata and samples against plain versions."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -183,3 +184,15 @@ def test_hypercube_never_sorts_the_table(grains, monkeypatch):
     for marks in (1, 7, 64):
         monkeypatch.setattr(sampling, "MARKS", marks)
         assert {r.grain_uid for r in sampling.hypercube_sample(some, axes, k, 5).collect()} == want, marks
+
+
+def test_summaries_of_large_tables_are_those_of_small_ones(grains):
+    """By level and by frame; values aren't gathered in maps before the shuffle, and not once for each level."""
+    rows = grains.withColumn("camera", F.lit("basic")).withColumn("flag_x", F.lit(True)).withColumn("frame_id", F.when(F.col("frame_id") != "f3", F.col("frame_id")))
+    key = lambda df: sorted(str(sorted((c, round(v, 9) if isinstance(v, float) else v) for c, v in r.asDict().items())) for r in df.collect())
+    assert key(aggregate.levels(rows, False)) == key(aggregate.levels(rows, True))
+    assert aggregate.levels(rows, False).columns == aggregate.levels(rows, True).columns
+    assert key(aggregate.per_frame(rows, False)) == key(aggregate.per_frame(rows, True))
+    plan = aggregate.per_frame(rows, False)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("partial_percentile") :]  # plans read upwards: rows come together before they are gathered
+    assert re.search(r"hashpartitioning\([^\n]*REPARTITION_BY_NUM", below)
