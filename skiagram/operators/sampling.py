@@ -266,9 +266,9 @@ def stratified(rows: DataFrame, x: str, cap: int, key: str, seed: int = 0, n: in
     return cut.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= cap // groups).drop("_k", "stratum")
 
 
-def paged(rows: DataFrame, key: str, *by: str, size: int = PAGE) -> DataFrame:
-    """Adds position and page, from 1, in the order of key within each group."""
-    at = ranks.placed(rows, list(by), [key], "_k")
+def paged(rows: DataFrame, key: str, *by: str, size: int = PAGE, small: bool | None = None) -> DataFrame:
+    """Adds position and page, from 1, in the order of key within each group; ``small`` where groups are, however large the table."""
+    at = ranks.placed(rows, list(by), [key], "_k", small)
     return at.withColumn("position", (F.col("_k") + 1).cast("int")).withColumn("page", (F.floor(F.col("_k") / F.lit(size)) + 1).cast("int")).drop("_k")
 
 

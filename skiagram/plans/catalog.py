@@ -252,7 +252,7 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {G} SELECT grain_uid, frame_id, (row_number() OVER (PARTITION BY frame_id ORDER BY ecd_px, grain_uid) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY frame_id) AS rank_ecd FROM grains")
 def quantile_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.quantile_ranked(A.grains(spark, sf_dir).select("grain_uid", "frame_id", "ecd_px"), "ecd_px", "grain_uid", "frame_id", name="rank_ecd").drop("ecd_px")
+    return sampling.quantile_ranked(A.grains(spark, sf_dir).select("grain_uid", "frame_id", "ecd_px"), "ecd_px", "grain_uid", "frame_id", name="rank_ecd", small=True).drop("ecd_px")
 
 
 CONTOURS_SQL = "contours AS (SELECT grain_uid, frame_id, 'POLYGON ' || label AS wkt FROM grains WHERE has_polygon)"
@@ -327,7 +327,7 @@ def sheet_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = {"frame_path": F.concat(F.lit("data/"), "frame_id", F.lit(".bmp")), "um_per_px": F.lit(4.0), "centroid_x": (F.col("l_partkey") % 3000).cast("double"), "centroid_y": (F.col("l_orderkey") % 2100).cast("double")}
     g = A.grains(spark, sf_dir).withColumns(more | {"frame_rows": F.lit(2048), "frame_cols": F.lit(2048)})
     at = review.resolved_frames(g.select("frame_path").distinct(), g.select("frame_path").distinct())
-    return review.tiles(sampling.paged(g, "grain_uid", "frame_id"), at).select("grain_uid", "tile_row", "tile_column", "caption", "path", "x0", "y0", "x1", "y1")
+    return review.tiles(sampling.paged(g, "grain_uid", "frame_id", small=True), at).select("grain_uid", "tile_row", "tile_column", "caption", "path", "x0", "y0", "x1", "y1")
 
 
 @query(f"WITH {G} SELECT grain_uid, sample_id, camera, CASE WHEN qc_pass THEN 'accept' ELSE 'reject' END AS qc_status, {ACTIVE} AS flags FROM grains WHERE frame_id IN (SELECT frame_id FROM grains GROUP BY frame_id ORDER BY frame_id LIMIT 5)")
@@ -481,7 +481,7 @@ def focus_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {G}, e AS (SELECT list_distinct(quantile_cont(ecd_um, [0.2, 0.4, 0.6, 0.8])) AS e FROM grains WHERE qc_pass), s AS (SELECT grain_uid, frame_id, CAST(len(list_filter(e, lambda x: x < ecd_um)) AS INTEGER) AS stratum FROM grains, e WHERE qc_pass), p AS (SELECT *, row_number() OVER (PARTITION BY frame_id, stratum ORDER BY grain_uid) AS position FROM s) SELECT grain_uid, frame_id, stratum, CAST(position AS INTEGER) AS position, CAST(floor((position - 1) / 24) + 1 AS INTEGER) AS page FROM p")
 def stratified_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = sampling.strata(aggregate.accepted(A.grains(spark, sf_dir)), "ecd_um").select("grain_uid", "frame_id", "stratum")
-    return sampling.paged(cut, "grain_uid", "frame_id", "stratum")
+    return sampling.paged(cut, "grain_uid", "frame_id", "stratum", small=True)
 
 
 @query(f"WITH {G}, a AS (SELECT grain_uid, ecd_um FROM grains WHERE qc_pass), e AS (SELECT list_distinct(quantile_cont(ecd_um, [0.2, 0.4, 0.6, 0.8])) AS e FROM a), s AS (SELECT len(list_filter(e, lambda x: x < ecd_um)) AS stratum, count(*) AS n FROM a, e GROUP BY ALL) SELECT CAST(stratum AS INTEGER) AS stratum, least(n, 96 // (SELECT count(*) FROM s)) AS n_drawn FROM s")

@@ -196,3 +196,14 @@ def test_summaries_of_large_tables_are_those_of_small_ones(grains):
     plan = aggregate.per_frame(rows, False)._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("partial_percentile") :]  # plans read upwards: rows come together before they are gathered
     assert re.search(r"hashpartitioning\([^\n]*REPARTITION_BY_NUM", below)
+
+
+@pytest.mark.parametrize("name", ["sheet_tiles", "stratified_pages", "quantile_ranks"])
+def test_places_in_frames_need_no_table_of_their_own(spark, monkeypatch, name):
+    """Frames are many and small: a window over them, which reads only the columns that are asked for, however large the table."""
+    from skiagram.plans import catalog
+    from skiagram.sources import tables
+
+    monkeypatch.setattr(ranks, "SMALL", 0)
+    monkeypatch.setattr(tables, "working_folder", None)
+    assert "Window" in catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
