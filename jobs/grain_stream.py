@@ -28,14 +28,21 @@ from skiagram.sources import tables
 
 log = logging.getLogger("grain_stream")
 SETTINGS = {"qc": {}, "files_a_batch": 1000}
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 KEYS = ["sample_id", "camera"]
 KEPT = ["grain_uid", "frame_id", *KEYS, "label", "ecd_um", "feret_min_um", "ecd_px", "edge_width_px", "contrast", "qc_aspect_ratio", "qc_solidity", "touches_border", "has_polygon", "aspect_ratio", "solidity", "circularity", *gate.FLAGS, "qc_pass"]
 SUMMARIES = {"per_frame": aggregate.per_frame, "summary": aggregate.summary}
 
 
 def replaced(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Folders of the keys that the rows have are replaced, others stay."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    """Folders of the keys that the rows have are replaced, others stay.  A task has a few of them open at once, so that rows needn't be
+    sorted by folder; one with more sorts the rest."""
+    conf, was = df.sparkSession.conf, df.sparkSession.conf.get(WRITERS, None)
+    conf.set(WRITERS, "8")
+    try:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    finally:
+        conf.unset(WRITERS) if was is None else conf.set(WRITERS, was)
 
 
 def stored(spark: SparkSession, path: str, shape: StructType) -> DataFrame:
@@ -57,7 +64,7 @@ def take(rows: DataFrame, number: int, out: str, cfg: Config) -> dict[str, int]:
     replaced(counted.withColumn("batch", F.lit(number).cast("long")), f"{out}/grains", [*KEYS, "batch"])
     store = stored(spark, f"{out}/grains", shape["grains"])
     touched = store.filter(F.col("batch") == number).select(*KEYS).distinct()  # folder names alone
-    current = store.join(touched, KEYS, "left_semi")
+    current = store.join(F.broadcast(touched), KEYS, "left_semi")
     for name, made in SUMMARIES.items():
         replaced(made(current), f"{out}/{name}", KEYS)
     log.info("batch %d: read %d measurements, wrote %d grains (%d accepted) to %s/grains, renewed %s of their samples", number, seen.get["n_read"], seen.get["n_read"], seen.get["n_accepted"], out, ", ".join(SUMMARIES))

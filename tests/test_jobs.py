@@ -157,3 +157,15 @@ def test_command_lines(spark, tmp_path, job, inputs):
     assert done.returncode == 0, done.stderr[-2000:]
     assert " read " in done.stderr and "wrote " in done.stderr
     assert os.path.isdir(f"{out}/{'per_frame' if job == 'grain_stream' else 'queue'}")
+
+
+def test_a_task_writes_its_folders_without_a_sort(spark, tmp_path):
+    """Rows of a few folders aren't sorted, which large tables spill; the session's setting is as before."""
+    df = spark.range(200).selectExpr("id", "cast(id % 5 as string) as k")
+    seen = []
+    write = type(df).write.fget
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(df), "write", property(lambda self: seen.append(spark.conf.get(grain_stream.WRITERS)) or write(self)))
+        grain_stream.replaced(df, str(tmp_path / "t"), ["k"])
+    assert seen == ["8"] and spark.conf.get(grain_stream.WRITERS) == "0"
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "t")).collect()) == list(range(200))
