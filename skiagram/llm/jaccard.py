@@ -17,11 +17,13 @@ c(n, m) = ceil(num * (n + m) / (num + den)).
   the cheapest split compares the two costs size by size.
 
 Components are kept instead of pairs: within a list and within a verified block, members already connected are not compared
-again, so a group of n near copies costs about n comparisons and n links.  Verification deals a large candidate component in
+again, so a group of n near copies costs about n comparisons and n links.  As tasks that scan lists know nothing of each other,
+each would link a large group anew; so lists under the ``FEW`` least hashes of each set, which copies mostly share, are scanned
+first, with at most that many links a set, and all lists are then scanned for links between the components found.  A class has one
+set in the lists.  Verification deals a large candidate component in
 blocks of bounded size that each hold its first set too, so a text is read once; only if links within the blocks leave it in
-several pieces, members of different pieces meet in pairs of blocks.  A task writes each of its distinct sets to the lists once,
-and equal sets of a task find their class through their first one, so a hot group of copies puts at most one entry for each task
-into a list or a join.
+several pieces, members of different pieces meet in pairs of blocks.  Equal sets of a task find their class through their first
+one, so a hot group of copies puts at most one entry for each task into a join.
 
 Null and empty texts, and texts without a word, have no shingles and stay alone.  A text of fewer words than a shingle is one
 shingle.  Rows without a doc_id get a null component.  Rows that share an id but not a text are documents of their own (by a
@@ -45,6 +47,7 @@ from skiagram.llm.shared import TO_LOWER, U64, as_bytes, bounded_sample, chunks,
 
 SAMPLE, FREQUENT, MOST_FREQUENT = 2_000, 3, 1 << 20
 BLOCK_SETS, BLOCK_SHINGLES, LIST_ROWS = 2_000, 1 << 20, 20_000
+FEW, FEW_ROWS = 4, 2_000
 BITS, LOSS = 256, 1e-18
 _RNG = np.random.default_rng(99)
 _ROLLS = _RNG.integers(0, 1 << 31, BITS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -73,7 +76,8 @@ class Rule:
             n += 1
         self.boundary = n - 1
         # one-bit minima of linked sets agree with probability (1 + J) / 2
-        self.agree = 0 if exact else least_agreement(BITS, (1 + num / den) / 2, LOSS)
+        self.alike = least_agreement(BITS, (1 + num / den) / 2, LOSS)
+        self.agree = 0 if exact else self.alike
 
     def overlap(self, n: int, m: int) -> int:
         return -(-self.num * (n + m) // (self.num + self.den))
@@ -161,7 +165,7 @@ def keyed(docs: DataFrame) -> tuple[Column, bool]:
 
 
 #: id: the document's key; local: the key of the first equal set in the task.
-SETS = "doc_id long, id long, n long, h1 long, h2 long, s0 long, s1 long, s2 long, s3 long, local long, light array<long>, light_c array<int>, heavy array<long>"
+SETS = "doc_id long, id long, n long, h1 long, h2 long, s0 long, s1 long, s2 long, s3 long, local long, light array<long>, light_c array<int>, few array<long>, heavy array<long>"
 
 
 def set_table(docs: DataFrame, key: Column, rule: Rule, frequent: np.ndarray) -> DataFrame:
@@ -183,7 +187,7 @@ def set_table(docs: DataFrame, key: Column, rule: Rule, frequent: np.ndarray) ->
                 local.append(seen.setdefault(d, i) if len(s) and i is not None else i)
             sketch = np.zeros((len(sets), BITS // 64), U64)
             sketch[np.array(new, bool)] = sketches([s for s, x in zip(sets, new, strict=True) if x])
-            light, light_c, heavy = [], [], []
+            light, light_c, few, heavy = [], [], [], []
             for s, x in zip(sets, new, strict=True):
                 n = len(s)
                 keys = [subset_keys(s, c).view(np.int64) for c in rule.light.get(n, ())] if x else []
@@ -191,15 +195,17 @@ def set_table(docs: DataFrame, key: Column, rule: Rule, frequent: np.ndarray) ->
                 light_c.append(np.repeat(rule.light[n], [len(k) for k in keys]) if keys else none)
                 if x and rule.is_heavy(n):
                     order = mix(s + U64(77)) >> U64(1)
+                    few.append((s[np.argpartition(order, FEW - 1)[:FEW]] if FEW < n else s).view(np.int64))
                     if len(frequent):
                         order |= (frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s).astype(U64) << U64(63)
                     p = rule.prefix(n)
                     heavy.append((s[np.argpartition(order, p - 1)[:p]] if p < n else s).view(np.int64))
                 else:
+                    few.append(none)
                     heavy.append(none)
             h = np.array(digest, np.int64).reshape(-1, 2)
             columns = [pa.array([len(s) for s in sets], pa.int64()), *(pa.array(x) for x in (h[:, 0], h[:, 1], *sketch.view(np.int64).T)), pa.array(local, pa.int64())]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns, lists(light, np.int64), lists(light_c, np.int32), lists(heavy, np.int64)], [f.split()[0] for f in SETS.split(", ")])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns, lists(light, np.int64), lists(light_c, np.int32), lists(few, np.int64), lists(heavy, np.int64)], [f.split()[0] for f in SETS.split(", ")])
 
     return staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("id"), as_bytes("text").alias("text")).mapInArrow(run, SETS))
 
@@ -215,9 +221,9 @@ def light_links(sets: DataFrame, rule: Rule) -> DataFrame:
     return rows.join(hubs, ["key", "c"]).filter(near).select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def _similar(sketch: np.ndarray, agree: int) -> list[tuple[int, int]]:
-    """Links that connect all members whose sketches agree in ``agree`` bits, directly or through others."""
-    label, out = np.arange(len(sketch)), []
+def _similar(ids: np.ndarray, sketch: np.ndarray, agree: int) -> list[tuple[int, int]]:
+    """Links that connect all members whose sketches agree in ``agree`` bits, directly or through others; equal ids are connected."""
+    label, out = np.unique(ids, return_inverse=True)[1], []
     for p in range(len(sketch)):
         others = np.flatnonzero(label != label[p])
         if not len(others):
@@ -229,8 +235,12 @@ def _similar(sketch: np.ndarray, agree: int) -> list[tuple[int, int]]:
     return out
 
 
-def scan_lists(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Candidate links (a, b) from index rows (key, id, s0, s1, s2, s3)."""
+def scan_lists(rows: DataFrame, rule: Rule, parted: bool = False) -> DataFrame:
+    """Candidate links (a, b) from index rows (key, id, s0, s1, s2, s3); rows of one id are connected already.
+
+    With ``parted``, a list is scanned in parts of ``FEW_ROWS`` and by sketches always, which gives some of the candidates only.
+    """
+    agree = rule.alike if parted else rule.agree
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[int, int] = {}  # what this task has linked so far: a link inside a component is not sent
@@ -261,11 +271,13 @@ def scan_lists(rows: DataFrame, rule: Rule) -> DataFrame:
             s = m[:, 2:].view(U64)
             found = []
             if len(two):
-                near = two[np.bitwise_count(s[two] ^ s[two + 1]).sum(1) <= BITS - rule.agree]
+                near = two[np.bitwise_count(s[two] ^ s[two + 1]).sum(1) <= BITS - agree]
                 found += zip(m[near, 1].tolist(), m[near + 1, 1].tolist(), strict=True)
             for e, k in zip(edge[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-                ids = m[e : e + k, 1]
-                found += [(int(ids[p]), int(ids[q])) for p, q in _similar(s[e : e + k], rule.agree)]
+                for f in range(e, e + k, FEW_ROWS if parted else k):
+                    t = min(f + FEW_ROWS, e + k) if parted else e + k
+                    ids = m[f:t, 1]
+                    found += [(int(ids[p]), int(ids[q])) for p, q in _similar(ids, s[f:t], agree)]
             return found
 
         for batch in batches:
@@ -289,7 +301,9 @@ def scan_lists(rows: DataFrame, rule: Rule) -> DataFrame:
             else:
                 hub = None
                 held.append(rest)
-                if sum(map(len, held)) > LIST_ROWS:  # every member becomes a candidate of the first one
+                if parted and sum(map(len, held)) > FEW_ROWS:
+                    found, held = found + close(np.concatenate(held)), []
+                elif sum(map(len, held)) > LIST_ROWS:  # every member becomes a candidate of the first one
                     ids = np.concatenate(held)[:, 1]
                     hub, held = (int(rest[0, 0]), int(ids[0])), []
                     found += [(hub[1], int(i)) for i in ids[1:]]
@@ -398,9 +412,11 @@ def labelled(docs: DataFrame, rule: Rule) -> tuple[DataFrame, Column, bool]:
     key, plain = keyed(docs)
     sets = set_table(docs, key, rule, frequent_shingles(docs, rule))
     some = sets.filter((F.col("n") > 0) & F.col("id").isNotNull())
-    classes = some.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
-    leads = staged(some.filter("id = local").select("id", "n", "h1", "h2").distinct().join(classes, ["h1", "h2"]).select(F.col("id").alias("local"), "n", "rep"))
-    keys = some.filter(F.size("heavy") > 0).select(F.explode("heavy").alias("key"), "id", "s0", "s1", "s2", "s3")
+    classes = some.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.min("local").alias("first"))
+    leads = staged(some.filter("id = local").select("id", "n", "h1", "h2").distinct().join(classes, ["h1", "h2"]).select(F.col("id").alias("local"), "n", "rep", "first"))
+    listed = some.filter(F.size("heavy") > 0).select(F.col("id").alias("local"), "s0", "s1", "s2", "s3", "few", "heavy")
+    listed = listed.join(leads.filter("local = first").select("local", F.col("rep").alias("id")), "local").drop("local")
+    keys = lambda rows, kind: rows.select(F.explode(kind).alias("key"), "id", "s0", "s1", "s2", "s3")
 
     def by_rep(links: DataFrame) -> DataFrame:
         """Links of classes.  Many links may share their first end, the hub of a list or subset, but few their second."""
@@ -409,7 +425,10 @@ def labelled(docs: DataFrame, rule: Rule) -> tuple[DataFrame, Column, bool]:
         links = spread_join(links, named("a"), "a", limit(links.count(), links)).join(named("b"), "b")
         return links.filter("a_rep <> b_rep").select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct()
 
-    candidates = connected_components(by_rep(scan_lists(keys, rule)))
+    near = staged(scan_lists(keys(listed, "few"), rule, parted=True))
+    pieces = connected_components(near)
+    pieced = listed.join(pieces, "id", "left").withColumn("id", F.coalesce("component", "id"))
+    candidates = connected_components(near.unionByName(scan_lists(keys(pieced, "heavy"), rule)))
     sizes = leads.groupBy(F.col("rep").alias("id")).agg(F.max("n").alias("n"))
     texts = docs.select(key.alias("id"), as_bytes("text").alias("text"))
     exact = verified(texts if plain else texts.dropDuplicates(["id"]), candidates.join(sizes, "id"), rule)

@@ -82,6 +82,38 @@ def test_verification_in_blocks_and_without_sketches(spark, monkeypatch):
             assert {tuple(r) for r in jaccard.components(df, 3, 90, 100, exact).collect()} == want
 
 
+@pytest.mark.parametrize("exact", [False, True])
+def test_links_of_a_group_do_not_grow_with_tasks(spark, monkeypatch, exact):
+    """Tasks that scan lists make at most ``FEW`` links a text, and few more for each task; copies have one set in the lists."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base, texts = [word() for _ in range(200)], []
+    for _ in range(150):
+        w = [*base]
+        for k in rng.sample(range(200), 3):
+            w[k] = word()
+        texts.append(" ".join(w))
+    df = spark.createDataFrame(list(enumerate([*texts, *texts])), "doc_id long, text string").repartition(8)
+    made, scan = [], jaccard.scan_lists
+
+    def counted(rows, *more, **named):
+        with monkeypatch.context() as m:
+            m.setattr(type(rows), "distinct", lambda d: d)
+            out = jaccard.staged(scan(rows, *more, **named))
+        made.append(out.count())
+        return out.distinct()
+
+    monkeypatch.setattr(jaccard, "scan_lists", counted)
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        got = {tuple(r) for r in jaccard.components(df, 3, 90, 100, exact).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert got == components(list(enumerate([*texts, *texts])), 3, 90, 100)
+    assert sum(made) <= 4 * 150 + 32 * 5
+
+
 def test_agreement_loses_less_than_stated():
     from fractions import Fraction
     from math import comb
