@@ -2,7 +2,7 @@
 
 All are SQL bodies that Spark puts into the query in place of the call, so a query by name is planned as one by expression: nothing is
 interpreted row by row and no Python runs.  Names are given with a prefix, ``grain_`` by default; what they replace is of this session
-only.
+only.  A body is computed anew wherever the query has it, so bodies on paths match as few patterns as they can.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from skiagram.functions import gate
 from skiagram.functions.identity import java_regex
 
 PREFIX = "grain_"
+STEM = r"^(?:[^/]*/)*+([^/]*[^/\n\r\u0085\u2028\u2029](?=\.[^./]*\z)|[^/]*)"
 
 
 def text(s: str) -> str:
@@ -42,14 +43,20 @@ def bodies(cfg: Config) -> dict[str, tuple[str, str, str]]:
     classes = list(zip(gate.ECD_EDGES[1:-1], gate.bin_labels()[1:], strict=True))
     index = " + ".join(f"CAST(x >= {e!r}D AS INT)" for e, _ in classes)
     labels = ", ".join(map(text, gate.bin_labels()))
-    stem = r"regexp_replace(element_at(split(path, '/'), -1), '(?<=.)\\.[^.]*$', '')"
+    # what comes after the last slash, without an ending after a character (a line's end is none)
+    stem = f"regexp_extract(path, {text(STEM)}, 1)"
     pattern, groups = java_regex(cfg.filename.sample_regex)
-    part = lambda name: f"nullif(regexp_extract({stem}, {text(pattern)}, {groups[name]}), '')" if name in groups else "CAST(NULL AS STRING)"
-    cameras = "CASE " + part("cam") + " " + " ".join(f"WHEN {text(k)} THEN {text(v)}" for k, v in cfg.filename.camera_map.items()) + " END"
+    picked = lambda name: f"regexp_extract({stem}, {text(pattern)}, {groups[name]})"
+    part = lambda name: f"nullif({picked(name)}, '')" if name in groups else "CAST(NULL AS STRING)"
+    codes = ", ".join(f"{text(k)}, {text(v)}" for k, v in cfg.filename.camera_map.items() if k)
+    cameras = f"try_element_at(map({codes}), {picked('cam')})" if codes and "cam" in groups else "CAST(NULL AS STRING)"
     blank = f"{stem} RLIKE {text(cfg.filename.blank_regex)}"
+    # an empty text is no number
+    number = f"WHEN NOT {blank} THEN try_cast(regexp_extract({stem}, '(\\\\d+)$', 1) AS BIGINT)"
     if "frame" in groups:
-        blank = f"CASE WHEN {stem} RLIKE {text(pattern)} THEN {part('frame')} IS NULL ELSE {blank} END"
-    digits = f"nullif(regexp_extract({stem}, '(\\\\d+)$', 1), '')"
+        matched = f"{stem} RLIKE {text(pattern)}"
+        number = f"WHEN {matched} THEN try_cast({picked('frame')} AS BIGINT) {number}"
+        blank = f"CASE WHEN {matched} THEN {picked('frame')} = '' ELSE {blank} END"
     point = lambda k: f"try_cast(split(trim(p.point), '\\\\s+')[{k}] AS DOUBLE)"
     return {
         "flags": (metrics, kind, f"named_struct({named})"),
@@ -62,7 +69,7 @@ def bodies(cfg: Config) -> dict[str, tuple[str, str, str]]:
         "run": ("path STRING", "STRING", part("run")),
         "camera": ("path STRING", "STRING", cameras),
         "is_blank": ("path STRING", "BOOLEAN", blank),
-        "frame_index": ("path STRING", "BIGINT", f"CASE WHEN NOT ({blank}) THEN try_cast(coalesce({part('frame')}, {digits}) AS BIGINT) END"),
+        "frame_index": ("path STRING", "BIGINT", f"CASE {number} END"),
         "vertices": (
             "wkt STRING",
             "TABLE (ring INT, k INT, x DOUBLE, y DOUBLE)",

@@ -44,6 +44,16 @@ def test_identity_is_that_of_the_expressions(spark, pattern):
     assert sorted(map(str, made.collect())) == sorted(map(str, plain.collect())) and made.count()
 
 
+def test_names_of_paths_take_few_patterns(spark):
+    sql.register(spark)
+    paths = ["", "/", "a/", ".bmp", "a.bmp", "a..bmp", "..", "a.", "x.y/b", "x/.y", "x/a.b.c", "a\n.bmp", "x/\n.bmp", "a.b\n", "\u2028.x", "\U0001f600.x", "a\r\nb.c", None]
+    rows = spark.createDataFrame(list(enumerate(paths)), "n int, path string")
+    assert spark.sql("SELECT n, grain_stem(path) AS s FROM {r}", r=rows).collect() == rows.select("n", identity.stem(F.col("path")).alias("s")).collect()
+    made = spark.sql("SELECT grain_sample(path), grain_camera(path), max(grain_frame_index(path)) FROM {r} WHERE NOT grain_is_blank(path) GROUP BY ALL", r=rows)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(plan.count(f) for f in ("regexp_extract(", "regexp_replace(", "split(", "RLIKE")) <= 20  # 48 once
+
+
 def test_vertices_of_outlines(spark):
     sql.register(spark)
     texts = ["POLYGON ((0 0, 4 0, 4 3, 0 0))", " POLYGON((1.5 -2e1,2 3 , 1 1),(0 0, 1 0 ,0 1))", "POLYGON EMPTY", "", "LINESTRING (0 0, 1 1)", None, "POLYGON ((x y, 1 2))"]
