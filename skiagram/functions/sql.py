@@ -58,6 +58,10 @@ def bodies(cfg: Config) -> dict[str, tuple[str, str, str]]:
         number = f"WHEN {matched} THEN try_cast({picked('frame')} AS BIGINT) {number}"
         blank = f"CASE WHEN {matched} THEN {picked('frame')} = '' ELSE {blank} END"
     point = lambda k: f"try_cast(split(trim(p.point), '\\\\s+')[{k}] AS DOUBLE)"
+    rings = "split(nullif(regexp_extract(wkt, '^\\\\s*POLYGON\\\\s*\\\\(\\\\s*\\\\((.*)\\\\)\\\\s*\\\\)\\\\s*$', 1), ''), '\\\\)\\\\s*,\\\\s*\\\\(')"
+    real = lambda point, k: f"try_cast(get({point}, {k}) AS DOUBLE)"
+    side = f"named_struct('ring', ring, 'k', k, 'x', {real('here', 0)}, 'y', {real('here', 1)}, 'nx', {real('get(at, k + 1)', 0)}, 'ny', {real('get(at, k + 1)', 1)})"
+    points = "transform(split(body, ','), point -> split(trim(point), '\\\\s+'))"
     return {
         "flags": (metrics, kind, f"named_struct({named})"),
         "accepted": (f"flags {kind}", "BOOLEAN", "NOT (" + " OR ".join(f"coalesce(flags.{f}, false)" for f in barred) + ")" if barred else "true"),
@@ -73,7 +77,12 @@ def bodies(cfg: Config) -> dict[str, tuple[str, str, str]]:
         "vertices": (
             "wkt STRING",
             "TABLE (ring INT, k INT, x DOUBLE, y DOUBLE)",
-            f"SELECT r.ring, p.k, {point(0)}, {point(1)} FROM posexplode(split(nullif(regexp_extract(wkt, '^\\\\s*POLYGON\\\\s*\\\\(\\\\s*\\\\((.*)\\\\)\\\\s*\\\\)\\\\s*$', 1), ''), '\\\\)\\\\s*,\\\\s*\\\\(')) AS r(ring, body), LATERAL posexplode(split(r.body, ',')) AS p(k, point)",
+            f"SELECT r.ring, p.k, {point(0)}, {point(1)} FROM posexplode({rings}) AS r(ring, body), LATERAL posexplode(split(r.body, ',')) AS p(k, point)",
+        ),
+        "edges": (
+            "wkt STRING",
+            "ARRAY<STRUCT<ring: INT, k: INT, x: DOUBLE, y: DOUBLE, nx: DOUBLE, ny: DOUBLE>>",
+            f"flatten(flatten(transform({rings}, (body, ring) -> transform(array({points}), at -> transform(slice(at, 1, size(at) - 1), (here, k) -> {side})))))",
         ),
     }
 
@@ -84,7 +93,9 @@ def register(spark: SparkSession, cfg: Config | None = None, prefix: str = PREFI
     flags(edge_width_px, contrast, touches_border, ecd_px, qc_aspect_ratio, qc_solidity, has_polygon), a struct of the six flags;
     accepted(flags), active_flags(flags); size_index(ecd_um), size_class(ecd_um); stem, sample, run, camera, is_blank and frame_index of
     a frame's path; and the table function vertices(wkt), to be joined LATERAL: ring (0 the outline, others its holes), k, x and y, the
-    first vertex again at the end as in the text; no rows for null and for what is no polygon.
+    first vertex again at the end as in the text; no rows for null and for what is no polygon.  Spark joins such a table
+    with its distinct texts; edges(wkt) is an array instead, to be named in a subquery and opened by inline: ring, k, x and y of each vertex but the last, and
+    those of the one after it as nx and ny.
     """
     made = []
     for name, (parameters, returns, body) in bodies(cfg or Config()).items():

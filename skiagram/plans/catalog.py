@@ -519,13 +519,13 @@ def polygon_area_perimeter_ecd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {RG} SELECT vec_id, count(*) AS n_vertices, round(abs(sum(x * ny - nx * y)) / 2, 4) AS area_px, round(sum(sqrt((nx - x) * (nx - x) + (ny - y) * (ny - y))), 4) AS perimeter_px, round(min(x), 4) AS x0, round(min(y), 4) AS y0, round(max(x), 4) AS x1, round(max(y), 4) AS y1 FROM edges GROUP BY vec_id")
 def outlines_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vertices, area, length and bounds of outlines stored as text, by the table function in a LATERAL join."""
+    """Vertices, area, length and bounds of outlines stored as text, by the array of their edges: no join or window, so edges are summed
+    where they are made."""
     sql.register(spark)
     point = F.zip_with("xs", "ys", lambda x, y: F.concat_ws(" ", x.cast("string"), y.cast("string")))
-    outlines = A.rings(spark, sf_dir).select("vec_id", F.concat(F.lit("POLYGON (("), F.array_join(F.concat(point, F.slice(point, 1, 1)), ", "), F.lit("))")).alias("wkt"))
+    outlines = A.rings(spark, sf_dir).repartition("vec_id").select("vec_id", F.concat(F.lit("POLYGON (("), F.array_join(F.concat(point, F.slice(point, 1, 1)), ", "), F.lit("))")).alias("wkt"))
     made = spark.sql(
-        """WITH v AS (SELECT vec_id, x, y, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM {outlines}, LATERAL grain_vertices(wkt) WINDOW w AS (PARTITION BY vec_id, ring ORDER BY k))
-        SELECT vec_id, count(*) AS n_vertices, abs(sum(x * ny - nx * y)) / 2 AS area_px, sum(sqrt((nx - x) * (nx - x) + (ny - y) * (ny - y))) AS perimeter_px, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1 FROM v WHERE nx IS NOT NULL GROUP BY vec_id""",
+        """SELECT vec_id, count(*) AS n_vertices, abs(sum(x * ny - nx * y)) / 2 AS area_px, sum(sqrt((nx - x) * (nx - x) + (ny - y) * (ny - y))) AS perimeter_px, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1 FROM (SELECT vec_id, grain_edges(wkt) AS edges FROM {outlines}) LATERAL VIEW OUTER inline(edges) e WHERE nx IS NOT NULL GROUP BY vec_id""",
         outlines=outlines,
     )
     return rounded(made)

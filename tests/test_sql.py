@@ -66,6 +66,19 @@ def test_vertices_of_outlines(spark):
     assert {r.n: r.n_vertices for r in outer.collect()} == {0: 4, 1: 6, 2: 0, 3: 0, 4: 0, 5: 0, 6: 2}
 
 
+def test_edges_are_vertices_with_the_next_one(spark):
+    from skiagram.plans import catalog
+
+    sql.register(spark)
+    texts = ["POLYGON ((0 0, 4 0, 4 3, 0 0))", " POLYGON((1.5 -2e1,2 3 , 1 1),(0 0, 1 0 ,0 1))", "POLYGON EMPTY", "", None, "POLYGON ((x y, 1 2))", "POLYGON ((1 2))"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, wkt string")
+    got = {(r.n, r.ring, r.k): tuple(r)[3:] for r in spark.sql("SELECT n, e.* FROM (SELECT n, grain_edges(wkt) AS edges FROM {r}) LATERAL VIEW inline(edges) e", r=rows).collect()}
+    at = {(r.n, r.ring, r.k): (r.x, r.y) for r in spark.sql("SELECT n, v.* FROM {r}, LATERAL grain_vertices(wkt) v", r=rows).collect()}
+    assert got == {(n, ring, k): (*p, *at[n, ring, k + 1]) for (n, ring, k), p in at.items() if (n, ring, k + 1) in at}
+    plan = catalog.outlines_by_sql(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Join") == 0
+
+
 def test_views_of_a_run(spark, tmp_path):
     cfg = load_config(overlay={"output": {"format": "parquet"}})
     shape = schema.grains(cfg.measure.efd_order)
