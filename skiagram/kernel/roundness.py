@@ -8,6 +8,7 @@ inscribed one are corners, and roundness is their mean radius over the inscribed
 from __future__ import annotations
 
 import math
+from operator import sub
 
 import numpy as np
 
@@ -33,14 +34,16 @@ def key_points(points: np.ndarray, straying: float = STRAYING) -> np.ndarray:
     ring = np.concatenate([ring, ring[:1]])
     far = int(((ring - ring[0]) ** 2).sum(axis=1).argmax())
     keep, open_ = [0], [(0, far), (far, n)]
+    x, y = np.ascontiguousarray(ring.T)
+    corners = ring.tolist()
     while open_:
         a, b = open_.pop()
         keep.append(b)
         if b - a < 2:
             continue
-        chord, inner = ring[b] - ring[a], ring[a + 1 : b] - ring[a]
-        size = math.hypot(*chord)
-        gap = np.abs(inner[:, 0] * chord[1] - inner[:, 1] * chord[0]) / size if size > 0 else np.hypot(*inner.T)
+        (ax, ay), (bx, by) = corners[a], corners[b]
+        u, v, size = x[a + 1 : b] - ax, y[a + 1 : b] - ay, math.hypot(bx - ax, by - ay)
+        gap = np.abs(u * (by - ay) - v * (bx - ax)) / size if size > 0 else np.hypot(u, v)
         k = int(gap.argmax())
         if gap[k] > straying:
             open_ += [(a, a + 1 + k), (a + 1 + k, b)]
@@ -51,14 +54,15 @@ class Arcs:
     """Circles fitted to stretches of a closed row of points, by running sums."""
 
     def __init__(self, points: np.ndarray) -> None:
-        self.points, self.shift = points, points.mean(axis=0)
-        x, y = np.concatenate([points, points]).T - self.shift[:, None]
+        self.x, self.y = np.ascontiguousarray(points.T)
+        self.shift = points.mean(axis=0).tolist()
+        x, y = np.concatenate([points, points]).T - np.array(self.shift)[:, None]
         s = x * x + y * y
-        self.sums = np.concatenate([np.zeros((9, 1)), np.cumsum([x * x, x * y, y * y, x, y, np.ones(len(x)), x * s, y * s, s], axis=1)], axis=1)
+        self.sums = [[0.0] * 9, *np.cumsum([x * x, x * y, y * y, x, y, np.ones(len(x)), x * s, y * s, s], axis=1).T.tolist()]
 
     def circle(self, a: int, b: int) -> tuple[float, float, float] | None:
         """Centre and radius of the circle nearest to points a to b (inclusive, b may go once round)."""
-        xx, xy, yy, x, y, n, xs, ys, s = (self.sums[:, b + 1] - self.sums[:, a]).tolist()
+        xx, xy, yy, x, y, n, xs, ys, s = map(sub, self.sums[b + 1], self.sums[a])
         # least squares of x*x + y*y = 2 p x + 2 q y + r
         uxx, uxy, uyy, ux, uy = xx - x * x / n, xy - x * y / n, yy - y * y / n, xs - x * s / n, ys - y * s / n
         whole = uxx * uyy - uxy * uxy
@@ -73,7 +77,7 @@ class Arcs:
         if found is None:
             return None
         px, py, r = found
-        near = math.sqrt(float(((self.points[:, 0] - px) ** 2 + (self.points[:, 1] - py) ** 2).min()))
+        near = math.sqrt(float(((self.x - px) ** 2 + (self.y - py) ** 2).min()))
         return r if near >= STAYS_INSIDE * r else None
 
 

@@ -1,6 +1,7 @@
 """The frame kernel against known shapes and plain versions of its steps."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -310,3 +311,46 @@ def test_roundness_is_that_of_the_corners(turn):
     assert shapes.wadell(outlines.Polygon(20 * np.column_stack([np.cos(t), np.sin(t)]) + 50, []), 1.0)[0] > 0.97
     r = shapes.wadell(rounded_square(20, 6)._replace(exterior=rounded_square(20, 6).exterior[::-1]), 1.0)[0]
     assert r == pytest.approx(0.3, abs=0.1)
+
+
+@pytest.mark.parametrize("at", [(30.0, 33.0), (-3.0, 60.0), (70.0, 2.0), (200.0, 200.0)])
+def test_drawing_costs_what_the_particle_covers(at):
+    d = S.Disc("blob", *at, 9.5, 6.25, 0.7)
+    p = outlines.Polygon((S.outline(d) + 0.5) * 8 - 0.5, [])
+    c, r = np.meshgrid(np.arange(96 * 8), np.arange(64 * 8))
+    x, y, nx, ny = *p.exterior.T, *np.roll(p.exterior, -1, axis=0).T
+    odd = np.zeros(c.shape, bool)
+    for i in range(len(x)):  # point by point, side by side
+        odd ^= ((y[i] >= r) != (ny[i] >= r)) & (c >= x[i] + (r - y[i]) / (ny[i] - y[i]) * (nx[i] - x[i]))
+    assert (outlines.rasterised(p, c.shape) == odd).all()
+    assert (outlines.covered(p, (64, 96), 8) == odd.reshape(64, 8, 96, 8).mean(axis=(1, 3))).all()
+    tracemalloc.start()
+    try:
+        S.frame(64, 64, [d])
+        assert tracemalloc.get_traced_memory()[1] < 1 << 20  # not the 512 x 512 points of the frame
+        tracemalloc.reset_peak()
+        outlines.rasterised(p, (2048, 2048))
+        assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_masks_of_one_run_a_row_have_no_holes():
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        start, end = np.sort(rng.integers(0, 13, (2, 9)), axis=0)
+        one = (np.arange(12) >= start[:, None]) & (np.arange(12) < end[:, None])
+        assert (pixels.without_holes(one) == one).all()
+        holed = one.copy()
+        holed[4, (start[4] + end[4]) // 2] = False
+        outside, _ = pixels.components(~holed, diagonal=False)
+        edge = np.unique(np.concatenate([outside[0], outside[-1], outside[:, 0], outside[:, -1]]))
+        assert (pixels.without_holes(holed) == (holed | ~np.isin(outside, edge))).all()
+
+
+def test_several_grey_values_are_reached_as_one_by_one():
+    rise = np.cumsum(np.random.default_rng(2).uniform(0, 1, (7, 9)), axis=1)
+    at, grey = np.arange(9.0), np.array([0.5, 2.0, 20.0])
+    assert (sharpness.reached(rise, at, grey) == [sharpness.reached(rise, at, float(g)) for g in grey]).all()
+    for row, found in zip(rise, sharpness.reached(rise, at, 2.0), strict=True):
+        assert found == pytest.approx(np.interp(2.0, row, at))
