@@ -120,4 +120,4 @@ def drawn(keys: DataFrame, cfg: Config) -> DataFrame:
                 rows.append({"key": key, "n_objects": len(got), "a": a, "b": b} | ({n: got[0][n] for n in DRAWN} if got else {}))
             yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    return spread(keys.select(keys.columns[0]), keys.columns[0]).mapInArrow(work, shape)
+    return spread(keys.select(keys.columns[0]), keys.columns[0], per_task=512).mapInArrow(work, shape)  # small frames: some 5 s a task

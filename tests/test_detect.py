@@ -7,7 +7,7 @@ import pytest
 
 from skiagram.config import load_config
 from skiagram.kernel import synthetic as S
-from skiagram.operators import review
+from skiagram.operators import detect, review
 from skiagram.plans import jobs
 from skiagram.sources import tables
 from skiagram.sources.images import decode, encode_bmp
@@ -115,3 +115,10 @@ def test_first_unlabelled_and_neighbours(spark):
     assert review.first_unlabelled(order, order.filter("grain_uid = 'a'")) == 1
     assert review.first_unlabelled(order, order) == 0
     assert rows(review.neighbours(order), "grain_uid", "previous_uid", "next_uid") == [("a", "a", "b"), ("b", "a", "c"), ("c", "b", "c")]
+
+
+def test_small_drawn_frames_are_dealt_in_large_tasks(spark):
+    found = detect.drawn(spark.range(1500), CFG)
+    assert found.rdd.getNumPartitions() <= max(2 * spark.sparkContext.defaultParallelism, 3)
+    few = detect.drawn(spark.range(20, 24), CFG)
+    assert rows(few, "key", "n_objects", "a", "b") == [(k, 1, 8.0 + k % 9, (8.0 + k % 9) * (1 - k % 4 / 8)) for k in range(20, 24)]

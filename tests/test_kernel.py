@@ -354,3 +354,12 @@ def test_several_grey_values_are_reached_as_one_by_one():
     assert (sharpness.reached(rise, at, grey) == [sharpness.reached(rise, at, float(g)) for g in grey]).all()
     for row, found in zip(rise, sharpness.reached(rise, at, 2.0), strict=True):
         assert found == pytest.approx(np.interp(2.0, row, at))
+
+
+@pytest.mark.parametrize("kind", [np.uint8, np.float64])
+def test_running_extremes_of_every_width(kind):
+    a = np.random.default_rng(8).integers(0, 256, (17, 23)).astype(kind)
+    for k in range(1, 24, 2):
+        p = np.pad(a, k // 2, mode="symmetric")
+        assert (pixels.running_extreme(a, k, np.maximum, 1) == [[p[k // 2 + r, c : c + k].max() for c in range(23)] for r in range(17)]).all()
+        assert (pixels.running_extreme(a, k, np.minimum, 0) == [[p[r : r + k, k // 2 + c].min() for c in range(23)] for r in range(17)]).all()
